@@ -304,3 +304,246 @@ def _t05(spark, d):
 @binding("global_order")
 def _t13(spark, d):
     return TR.global_order(t(spark, d, "orders"), [F.col("o_totalprice").desc(), F.col("o_orderkey")])
+
+
+# ------------------------------------------------------------- json, text
+from ..operators import graph as G  # noqa: E402
+from ..operators import jsonops as J  # noqa: E402
+from ..operators import text as TX  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import files as FS  # noqa: E402
+from ..sources import ingest as IN  # noqa: E402
+from ..sources import logs as LG  # noqa: E402
+from ..sources import tables as TB  # noqa: E402
+from ..streaming import merge as SM  # noqa: E402
+from ..streaming import sessions as SS  # noqa: E402
+
+ITEMS_PER_PAYLOAD = 4  # lines per JSON document of the A07 fixture
+
+
+def order_payloads(spark, d) -> DataFrame:
+    """JSON documents {order_id, customer:{id}, items:[{product_id, price}]}
+    derived from orders + lineitem, at most ITEMS_PER_PAYLOAD items each."""
+    li = t(spark, d, "lineitem")
+    items = (li.groupBy("l_orderkey", F.ceil(F.col("l_linenumber") / ITEMS_PER_PAYLOAD).alias("_chunk"))
+               .agg(F.collect_list(F.struct(F.col("l_partkey").alias("product_id"),
+                                            F.col("l_extendedprice").alias("price"))).alias("items")))
+    o = t(spark, d, "orders")
+    doc = F.to_json(F.struct(F.col("o_orderkey").alias("order_id"),
+                             F.struct(F.col("o_custkey").alias("id")).alias("customer"), "items"))
+    return items.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(doc.alias("payload"))
+
+
+@binding("json_flatten")
+def _a07(spark, d):
+    return J.json_flatten(order_payloads(spark, d), "payload",
+                          {"order_id": ("order_id", "bigint"), "customer_id": ("customer.id", "bigint")},
+                          "items", {"product_id": ("product_id", "bigint"), "price": ("price", "double")})
+
+
+@binding("clean_place_names")
+def _t06(spark, d):
+    return TX.clean_place_names(t(spark, d, "documents").select("doc_id", "text"), "text", "text_clean") \
+             .select("doc_id", "text_clean")
+
+
+def _dirty_names(spark, d):
+    return t(spark, d, "part").select(F.regexp_replace("p_name", "[aeiou]", "").alias("name"))
+
+
+@binding("fuzzy_match")
+def _t07(spark, d):
+    return TX.fuzzy_match(_dirty_names(spark, d), t(spark, d, "part"), "name", "p_name", cutoff=60)
+
+
+@binding("strip_control_chars")
+def _t08(spark, d):
+    return TX.strip_control_chars(t(spark, d, "documents").select("doc_id", "text"), "text")
+
+
+@binding("match_quality")
+def _t09(spark, d):
+    return TX.match_quality(_t07(spark, d))
+
+
+SENTIMENT_LEXICON = [("the", 0.25), ("of", -0.375), ("and", 0.5), ("to", -0.625)]  # fixture lexicon
+
+
+@binding("sentiment_label")
+def _t10(spark, d):
+    docs = t(spark, d, "documents").filter(F.col("lang") == "en").select("doc_id", "text")
+    lex = spark.createDataFrame(SENTIMENT_LEXICON, "word string, polarity double")
+    return TX.sentiment_label(docs, "text", lex, "doc_id").select("doc_id", "polarity", "sentiment")
+
+
+@binding("json_to_tables")
+def _t11(spark, d):
+    ev = t(spark, d, "events").select("event_id", "props")
+    return J.json_to_tables(ev, "props", key_col="event_id")["root"]
+
+
+@binding("infer_json_columns")
+def _t12(spark, d):
+    return J.infer_json_columns(t(spark, d, "events"), "props")
+
+
+# ------------------------------------------------------------- graph
+def part_supplier_edges(spark, d) -> DataFrame:
+    """Directed edges both ways between a part and each supplier that
+    shipped it (supplier vertices are -1 - suppkey); weight = smallest
+    quantity shipped on that pair."""
+    li = t(spark, d, "lineitem")
+    pairs = li.groupBy("l_partkey", "l_suppkey").agg(F.min("l_quantity").alias("w"))
+    sv = (F.lit(-1) - F.col("l_suppkey"))
+    return (pairs.select(F.col("l_partkey").alias("src"), sv.alias("dst"), "w")
+                 .unionByName(pairs.select(sv.alias("src"), F.col("l_partkey").alias("dst"), "w")))
+
+
+@binding("bfs_levels")
+def _g01(spark, d):
+    return G.bfs_levels(part_supplier_edges(spark, d), "src", "dst", start=0, max_hops=8)
+
+
+@binding("shortest_paths")
+def _g02(spark, d):
+    return G.shortest_paths(part_supplier_edges(spark, d), "src", "dst", "w", start=0)
+
+
+# ------------------------------------------------------------- sources
+@binding("read_table")
+def _i01(spark, d):
+    path = scratch_path(spark, "orders_by_priority")
+    t(spark, d, "orders").write.partitionBy("o_orderpriority").parquet(path)
+    return TB.read_table(spark, path, {"o_orderpriority": "1-URGENT", "o_custkey": 5},
+                         where="o_totalprice > 100000")
+
+
+@binding("dedup_partition")
+def _a14(spark, d):
+    path = scratch_path(spark, "lineitem_by_month")
+    li = t(spark, d, "lineitem").withColumn(
+        "ship_month", (F.year("l_shipdate") * 100 + F.month("l_shipdate")).cast("int"))
+    li.write.partitionBy("ship_month").parquet(path)
+    D.dedup_partition(spark, path, "ship_month", 199803, LINE_KEYS, LINE_ORDER,
+                      staging_path=scratch_path(spark, "dedup_staging"))
+    return spark.read.parquet(path)
+
+
+@binding("ingest_full")
+def _i04(spark, d):
+    target = scratch_path(spark, IN.target_name("customer", "erp"))
+    IN.ingest_full(t(spark, d, "customer"), target, drop_cols=["c_acctbal"], source="erp", table="customer")
+    return spark.read.parquet(target)
+
+
+@binding("ingest_compare")
+def _i05(spark, d):
+    cust = t(spark, d, "customer")
+    target = scratch_path(spark, IN.target_name("customer", "crm"))
+    IN.ingest_full(cust.filter(F.col("c_nationkey") < 10), target)   # a stale earlier load
+    IN.ingest_compare(cust, target, source="crm", table="customer")    # counts differ: reload
+    return spark.read.parquet(target)
+
+
+@binding("ingest_incremental")
+def _i06(spark, d):
+    o = t(spark, d, "orders")
+    target = scratch_path(spark, IN.target_name("orders", "erp"))
+    IN.ingest_full(o.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")), target)
+    IN.ingest_incremental(o, target, "o_orderdate", source="erp", table="orders")
+    return spark.read.parquet(target)
+
+
+@binding("ingest_merge")
+def _i07(spark, d):
+    o = t(spark, d, "orders")
+    target = scratch_path(spark, IN.target_name("orders", "merge"))
+    IN.ingest_full(o, target)
+    changed = o.filter(F.col("o_totalprice") > 300000).withColumn("o_orderstatus", F.lit("X"))
+    IN.ingest_merge(changed, target, "o_orderkey", staging=scratch_path(spark, "merge_staging"))
+    return spark.read.parquet(target)
+
+
+@binding("copy_table_if_absent")
+def _i08(spark, d):
+    src = scratch_path(spark, "lineitem_by_flag")
+    t(spark, d, "lineitem").write.partitionBy("l_returnflag").parquet(src)
+    target = scratch_path(spark, "lineitem_copy")
+    FS.copy_table_if_absent(spark, src, target)
+    FS.copy_table_if_absent(spark, src, target)  # second call: target exists, untouched
+    return spark.read.parquet(target)
+
+
+def event_log_lines(spark, d) -> DataFrame:
+    """A text log derived from events: one entry per event; error events
+    carry a two-line stack trace."""
+    ev = t(spark, d, "events")
+    level = (F.when(F.col("event_type") == "error", "ERROR")
+              .when(F.col("event_type") == "purchase", "WARNING").otherwise("INFO"))
+    first = F.concat_ws(" ", F.date_format("ts", "yyyy-MM-dd HH:mm:ss,SSS"), level,
+                        F.concat(F.lit("app."), F.col("event_type")),
+                        F.concat(F.lit("user "), F.col("user_id").cast("string"),
+                                 F.lit(" event "), F.col("event_id").cast("string")))
+    trace = F.concat(F.lit("\nTraceback (most recent call last):\nValueError: event "),
+                     F.col("event_id").cast("string"))
+    text = F.when(F.col("event_type") == "error", F.concat(first, trace)).otherwise(first)
+    return ev.select(F.col("user_id"), F.col("ts"), text.alias("value"))
+
+
+@binding("parse_log")
+def _i09(spark, d):
+    path = scratch_path(spark, "app_log")
+    (event_log_lines(spark, d).repartition(4, "user_id").sortWithinPartitions("ts")
+        .select("value").write.text(path))
+    out = LG.parse_log(spark, path, run_id="r1", env="test", notebook="events")
+    return out.select("Log_Date", "Level", "Logger", "Message", "Exception_Message", "Stack_Trace",
+                      "Raw_Line")
+
+
+@binding("convert_format")
+def _i10(spark, d):
+    as_json = scratch_path(spark, "orders_json")
+    as_parquet = scratch_path(spark, "orders_parquet")
+    FS.convert_format(spark, table_path(d, "orders"), as_json, "parquet", "json")
+    schema = t(spark, d, "orders").schema
+    return FS.convert_format(spark, as_json, as_parquet, "json", "parquet", schema=schema)
+
+
+@binding("compact_table")
+def _i11(spark, d):
+    small = scratch_path(spark, "lineitem_small_files")
+    t(spark, d, "lineitem").repartition(16).write.parquet(small)
+    out = scratch_path(spark, "lineitem_compacted")
+    FS.compact_table(spark, small, out, target_mb=1, cluster_by=["l_partkey", "l_suppkey"], zorder=True)
+    return spark.read.parquet(out)
+
+
+# ------------------------------------------------------------- streaming
+def _events_source(spark, d, copies: int = 1) -> tuple[str, object]:
+    src = scratch_path(spark, "events_stream_src")
+    ev = t(spark, d, "events")
+    for _ in range(copies):
+        ev.write.mode("append").parquet(src)
+    return src, ev.schema
+
+
+@binding("session_summary_stream")
+def _a22(spark, d):
+    src, schema = _events_source(spark, d)
+    stream = spark.readStream.schema(schema).parquet(src)
+    sink, ckpt = scratch_path(spark, "sessions_sink"), scratch_path(spark, "sessions_ckpt")
+    q = (SS.session_summary_stream(stream, "user_id", "ts", gap="30 minutes", watermark="10 minutes")
+         .writeStream.format("parquet").option("path", sink).option("checkpointLocation", ckpt)
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(sink)
+
+
+@binding("merge_insert_new_stream")
+def _a23(spark, d):
+    src, schema = _events_source(spark, d, copies=2)
+    stream = spark.readStream.schema(schema).parquet(src)
+    target, ckpt = scratch_path(spark, "events_target"), scratch_path(spark, "events_merge_ckpt")
+    q = SM.merge_insert_new_stream(stream, target, "event_id", "ts", watermark="1 hour", checkpoint=ckpt)
+    q.awaitTermination()
+    return spark.read.parquet(target)

@@ -411,3 +411,148 @@ sql("drop_sensitive_columns", "SELECT * EXCLUDE (c_acctbal) FROM customer")
 sql("global_order", """
 SELECT *, ROW_NUMBER() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS position FROM orders
 """)
+
+# ------------------------------------------------------------------ json, text
+sql("json_flatten", """
+SELECT o.o_orderkey AS order_id, o.o_custkey AS customer_id,
+       l.l_partkey AS product_id, l.l_extendedprice AS price
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+""")
+
+_TITLE = "array_to_string(list_transform(string_split({s}, ' '), lambda w: upper(w[1:1]) || lower(w[2:])), ' ')"
+_FOLDED = "regexp_replace(strip_accents(text), '[^\\x00-\\x7F]', '', 'g')"
+_LETTERS = f"regexp_replace({_FOLDED}, '[^A-Za-z\\-\\t\\n\\x0B\\f\\r\\x1C-\\x1F ]', ' ', 'g')"
+_NOHYPHEN = f"regexp_replace({_LETTERS}, '-', ' ', 'g')"
+_SQUEEZED = f"trim(regexp_replace({_NOHYPHEN}, '[\\t\\n\\x0B\\f\\r\\x1C-\\x1F ]+', ' ', 'g'))"
+_NOSTOP = (f"regexp_replace({_SQUEEZED}, "
+           "'(?i)\\b(Uni[oã]o|das|dos|de|da|do|freguesia|freguesias|municipio)\\b', '', 'g')")
+sql("clean_place_names", f"""
+SELECT doc_id, COALESCE(trim({_TITLE.format(s=_NOSTOP)}), '') AS text_clean FROM documents
+""")
+
+sql("strip_control_chars", """
+SELECT doc_id,
+       trim(regexp_replace(regexp_replace(text, '[\\x00-\\x1F\\x7F-\\x9F]', '', 'g'), '\\x{FFFD}', '', 'g'))
+           AS text
+FROM documents
+""")
+
+sql("sentiment_label", """
+WITH lex(word, polarity) AS (VALUES ('the', 0.25), ('of', -0.375), ('and', 0.5), ('to', -0.625)),
+d AS (SELECT doc_id, text FROM documents WHERE lang = 'en'),
+tok AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS w FROM d),
+sc AS (SELECT tok.doc_id, AVG(CAST(lex.polarity AS DOUBLE)) AS p
+       FROM tok JOIN lex ON tok.w = lex.word GROUP BY tok.doc_id)
+SELECT d.doc_id, ROUND(COALESCE(sc.p, 0.0), 6) AS polarity,
+       CASE WHEN COALESCE(sc.p, 0.0) > 0.1 THEN 'positive'
+            WHEN COALESCE(sc.p, 0.0) < -0.1 THEN 'negative' ELSE 'neutral' END AS sentiment
+FROM d LEFT JOIN sc ON d.doc_id = sc.doc_id
+""")
+
+sql("json_to_tables", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
+""")
+
+sql("infer_json_columns", """
+WITH kv AS (SELECT unnest(json_keys(props)) AS path, props FROM events WHERE props IS NOT NULL),
+typed AS (SELECT path, json_type(props, '$."' || path || '"') AS jt FROM kv),
+kinds AS (
+    SELECT path,
+           CASE WHEN jt IN ('BIGINT', 'UBIGINT', 'INTEGER') THEN 'int'
+                WHEN jt = 'DOUBLE' THEN 'float' WHEN jt = 'BOOLEAN' THEN 'boolean'
+                WHEN jt = 'NULL' THEN NULL WHEN jt = 'OBJECT' THEN 'object'
+                WHEN jt = 'ARRAY' THEN 'array' ELSE 'text' END AS kind
+    FROM typed
+)
+SELECT path, array_to_string(list_sort(list_distinct(list(kind))), ',') AS kinds,
+       CASE WHEN COUNT(DISTINCT kind) <> 1 THEN 'VARCHAR(255)'
+            WHEN MIN(kind) = 'boolean' THEN 'BOOLEAN' WHEN MIN(kind) = 'int' THEN 'INT'
+            WHEN MIN(kind) = 'float' THEN 'FLOAT' WHEN MIN(kind) = 'object' THEN 'OBJECT'
+            WHEN MIN(kind) = 'array' THEN 'ARRAY' ELSE 'VARCHAR(255)' END AS sql_type,
+       COUNT(DISTINCT kind) > 1 AS conflict, COUNT(*) AS n_values
+FROM kinds GROUP BY path
+""")
+
+# ------------------------------------------------------------------ graph
+sql("bfs_levels", """
+WITH RECURSIVE edges AS (
+    SELECT DISTINCT l_partkey AS src, -1 - l_suppkey AS dst FROM lineitem
+    UNION
+    SELECT DISTINCT -1 - l_suppkey AS src, l_partkey AS dst FROM lineitem
+), walk(vertex, hops) AS (
+    SELECT CAST(0 AS BIGINT), 0
+    UNION
+    SELECT e.dst, w.hops + 1 FROM walk w JOIN edges e ON w.vertex = e.src WHERE w.hops < 8
+)
+SELECT vertex, CAST(MIN(hops) AS INTEGER) AS hops FROM walk GROUP BY vertex
+""")
+
+# ------------------------------------------------------------------ sources
+sql("read_table", """
+SELECT * FROM orders WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 100000
+""")
+
+sql("dedup_partition", """
+WITH li AS (SELECT *, CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INTEGER) AS ship_month
+            FROM lineitem)
+SELECT * FROM li WHERE ship_month <> 199803
+UNION ALL
+SELECT * EXCLUDE (rn) FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber
+                                 ORDER BY l_shipdate, l_partkey, l_suppkey) AS rn
+    FROM li WHERE ship_month = 199803
+) WHERE rn = 1
+""")
+
+sql("ingest_full", "SELECT * EXCLUDE (c_acctbal) FROM customer")
+sql("ingest_compare", "SELECT * FROM customer")
+sql("ingest_incremental", "SELECT * FROM orders")
+sql("ingest_merge", """
+SELECT o_orderkey, o_custkey,
+       CASE WHEN o_totalprice > 300000 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+       o_totalprice, o_orderdate, o_orderpriority
+FROM orders
+""")
+sql("copy_table_if_absent", "SELECT * FROM lineitem")
+sql("convert_format", "SELECT * FROM orders")
+sql("compact_table", "SELECT * FROM lineitem")
+
+sql("parse_log", """
+WITH e AS (
+    SELECT *, CASE WHEN event_type = 'error' THEN 'ERROR'
+                   WHEN event_type = 'purchase' THEN 'WARNING' ELSE 'INFO' END AS lvl,
+              'user ' || CAST(user_id AS VARCHAR) || ' event ' || CAST(event_id AS VARCHAR) AS msg,
+              strftime(ts, '%Y-%m-%d %H:%M:%S') || ',' ||
+                  lpad(CAST(CAST(floor(microsecond(ts) / 1000) AS INTEGER) % 1000 AS VARCHAR), 3, '0') AS stamp
+    FROM events
+)
+SELECT stamp AS Log_Date, lvl AS Level, 'app.' || event_type AS Logger, msg AS Message,
+       CASE WHEN lvl = 'ERROR' THEN msg END AS Exception_Message,
+       CASE WHEN lvl = 'ERROR' THEN 'Traceback (most recent call last):' || chr(10) ||
+                                    'ValueError: event ' || CAST(event_id AS VARCHAR) END AS Stack_Trace,
+       stamp || ' ' || lvl || ' app.' || event_type || ' ' || msg ||
+           CASE WHEN lvl = 'ERROR' THEN chr(10) || 'Traceback (most recent call last):' || chr(10) ||
+                                        'ValueError: event ' || CAST(event_id AS VARCHAR) ELSE '' END
+           AS Raw_Line
+FROM e
+""")
+
+# ------------------------------------------------------------------ streaming
+sql("session_summary_stream", """
+WITH g AS (
+    SELECT user_id, event_id, ts, LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev
+    FROM events
+), f AS (
+    SELECT *, CASE WHEN prev IS NULL OR ts - prev > INTERVAL '30 minutes' THEN 1 ELSE 0 END AS ns FROM g
+), s AS (
+    SELECT *, SUM(ns) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sid FROM f
+), sessions AS (
+    SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL '30 minutes' AS session_end,
+           COUNT(*) AS event_count
+    FROM s GROUP BY user_id, sid
+)
+SELECT * FROM sessions
+WHERE session_end <= (SELECT MAX(ts) FROM events) - INTERVAL '10 minutes'
+""")
+
+sql("merge_insert_new_stream", "SELECT * FROM events")
