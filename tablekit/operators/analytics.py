@@ -173,6 +173,11 @@ def market_basket_pairs(items: DataFrame, order: str, product: str, max_rank: in
     else:
         per = lines.groupBy("_tk_o", "_tk_p").agg(F.count(F.lit(1)).alias("_tk_m"))
 
+    # read several times below (totals, bound, pairs): cut lineage once so
+    # the item table is scanned and aggregated a single time
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(items.sparkSession)
+    per = per.checkpoint(eager=True)
     totals = per.groupBy("_tk_p").agg(F.sum("_tk_m").alias("_tk_tot"))
     max_mult = per.agg(F.max("_tk_m")).scalar()
 
