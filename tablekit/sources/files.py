@@ -16,6 +16,10 @@ from ..operators.quality import small_file_report
 from .tables import _is_path, partition_columns
 
 
+# fixed values: common encoding names Spark's CSV reader spells differently
+ENCODING_ALIASES = {"latin1": "iso-8859-1", "latin-1": "iso-8859-1", "cp1252": "windows-1252"}
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -32,6 +36,9 @@ def convert_format(spark: SparkSession, src: str, dst: str, src_fmt: str, dst_fm
     another.  Returns a DataFrame over the written output."""
     ropts = {"header": "true"} if src_fmt == "csv" else {}
     ropts.update(dict(read_options or {}))
+    enc = ropts.get("encoding")
+    if enc and enc.lower().replace("_", "-") in ENCODING_ALIASES:
+        ropts["encoding"] = ENCODING_ALIASES[enc.lower().replace("_", "-")]
     reader = spark.read.format(src_fmt).options(**ropts)
     if schema is not None:
         reader = reader.schema(schema)
