@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import days_between, duration_micros, epoch_micros, month_start, to_day
 from ..plans.ranking import global_positions, ntile_expr
+from ..plans.segments import DEFAULT_ROWS_PER_SEGMENT, seg_lag, seg_running_sum, segment, unsegment
 
 
 def _cols(cols: str | Sequence[str] | None) -> list[str]:
@@ -257,12 +258,15 @@ def activity_streaks(df: DataFrame, user: str, day: str, min_len: int = 5) -> Da
 
 
 # ---------------------------------------------------------------- A17
-def time_between_purchases(df: DataFrame, user: str, day: str,
-                           tie_break: Sequence[str] = ()) -> DataFrame:
-    """Previous purchase and whole days since it, per row."""
-    w = Window.partitionBy(user).orderBy(F.col(day), *_cols(tie_break))
-    return (df.withColumn("previous_purchase", F.lag(day).over(w))
-              .withColumn("days_between", days_between(F.col(day), F.col("previous_purchase"))))
+def time_between_purchases(df: DataFrame, user: str, day: str, tie_break: Sequence[str] = (),
+                           rows_per_segment: int = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
+    """Previous purchase and whole days since it, per row.  A user with more
+    than ``rows_per_segment`` rows is split into time segments
+    (plans.segments), so no task holds a hot user whole."""
+    seg = segment(df, [user], epoch_micros(df, day), rows_per_segment)
+    out = seg_lag(seg, [user], ["_tk_t", *_cols(tie_break)], day, "previous_purchase")
+    return unsegment(out.withColumn("days_between", days_between(F.col(day), F.col("previous_purchase"))),
+                     [user])
 
 
 # ---------------------------------------------------------------- A18
@@ -312,20 +316,21 @@ def top_customers_per_month(orders: DataFrame, customer: str = "customer_id",
 
 # ---------------------------------------------------------------- A21
 def sessionize(df: DataFrame, user: str, ts: str, gap="30 minutes",
-               tie_break: Sequence[str] = ()) -> DataFrame:
+               tie_break: Sequence[str] = (),
+               rows_per_segment: int = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
     """Session number per event: a gap strictly greater than ``gap`` opens a
     new session; ids restart at 1 per user.  Adds prev_event, new_session,
-    session_id."""
+    session_id.  Hot users are split into time segments; the previous event
+    and the session count of earlier segments cross the borders through
+    per-segment summaries (plans.segments), so the result is exact."""
     g = duration_micros(gap)
-    t = epoch_micros(df, ts)
-    w = Window.partitionBy(user).orderBy(F.col(ts), *_cols(tie_break))
-    base = df.withColumn("_tk_t", t)
-    flagged = (base.withColumn("prev_event", F.lag(ts).over(w))
-                   .withColumn("_tk_pt", F.lag("_tk_t").over(w))
-                   .withColumn("new_session",
-                               F.when(F.col("_tk_pt").isNull(), 1)
-                                .when(F.col("_tk_t") - F.col("_tk_pt") > g, 1).otherwise(0)))
-    running = Window.partitionBy(user).orderBy(F.col(ts), *_cols(tie_break)) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (flagged.withColumn("session_id", F.sum("new_session").over(running))
-                   .drop("_tk_t", "_tk_pt"))
+    order = ["_tk_t", *_cols(tie_break)]
+    seg = segment(df, [user], epoch_micros(df, ts), rows_per_segment)
+    seg = seg.withColumn("_tk_cur", F.struct(F.col(ts).alias("ts"), F.col("_tk_t").alias("t")))
+    lagged = seg_lag(seg, [user], order, "_tk_cur", "_tk_prev")
+    flagged = (lagged.withColumn("prev_event", F.col("_tk_prev.ts"))
+                     .withColumn("new_session",
+                                 F.when(F.col("_tk_prev").isNull(), 1)
+                                  .when(F.col("_tk_t") - F.col("_tk_prev.t") > g, 1).otherwise(0)))
+    out = seg_running_sum(flagged, [user], order, "new_session", "session_id")
+    return unsegment(out.drop("_tk_cur", "_tk_prev"), [user])

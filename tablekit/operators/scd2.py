@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.time import epoch_micros
 from ..plans.ranking import global_positions
+from ..plans.segments import DEFAULT_ROWS_PER_SEGMENT, seg_lag, seg_lead, seg_prefix_before, segment, unsegment
 from ._util import as_list, order_cols
 
 OPEN_END = "9999-12-31"  # fixed value: open end of a validity interval
@@ -16,51 +18,55 @@ OPEN_END = "9999-12-31"  # fixed value: open end of a validity interval
 def scd2_intervals(df: DataFrame, key: str | Sequence[str], attrs: str | Sequence[str], ts: str,
                    open_end: str = OPEN_END, tie_break: Sequence[str] = (),
                    collapse: bool = False, from_col: str = "valid_from",
-                   to_col: str = "valid_to") -> DataFrame:
+                   to_col: str = "valid_to",
+                   rows_per_segment: int = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
     """Change log -> validity intervals.  ``valid_to`` is the next change of
     the same key (touching intervals), ``open_end`` for the last one.  Equal
-    consecutive values are kept unless ``collapse=True``."""
+    consecutive values are kept unless ``collapse=True``.  Keys with more
+    than ``rows_per_segment`` changes are split into time segments
+    (plans.segments): exact, and no task holds a hot key whole."""
     keys, attrs = as_list(key), as_list(attrs)
-    order = [F.col(ts), *order_cols(tie_break)]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    src = df.select(*keys, *attrs, ts, *[c for c in as_list(tie_break) if c not in keys + attrs + [ts]])
+    extra = [c for c in as_list(tie_break) if c not in keys + attrs + [ts]]
+    order = ["_tk_t", *as_list(tie_break)]
+    src = segment(df.select(*keys, *attrs, ts, *extra), keys, epoch_micros(df, ts), rows_per_segment)
     if collapse:
+        src = seg_lag(src.withColumn("_tk_a", F.struct(*attrs)), keys, order, "_tk_a", "_tk_pa")
         same = None
         for a in attrs:
-            e = F.col(a).eqNullSafe(F.lag(a).over(w))
+            e = F.col(a).eqNullSafe(F.col(f"_tk_pa.{a}"))
             same = e if same is None else same & e
-        src = (src.withColumn("_tk_same", F.coalesce(same, F.lit(False)))
-                  .filter(~F.col("_tk_same")).drop("_tk_same"))
+        src = src.filter(~(F.col("_tk_pa").isNotNull() & same)).drop("_tk_a", "_tk_pa")
     ts_type = df.schema[ts].dataType.simpleString()
-    nxt = F.lead(ts).over(w)
-    extra = [c for c in as_list(tie_break) if c not in keys + attrs + [ts]]
-    out = src.select(*keys, *attrs, *extra, F.col(ts).alias(from_col),
-                     F.coalesce(nxt, F.lit(open_end).cast(ts_type)).alias(to_col))
-    return out
+    nxt = seg_lead(src, keys, order, ts, "_tk_next")
+    return nxt.select(*keys, *attrs, *extra, F.col(ts).alias(from_col),
+                      F.coalesce(F.col("_tk_next"), F.lit(open_end).cast(ts_type)).alias(to_col))
 
 
 def scd2_overlaps(df: DataFrame, keys: str | Sequence[str], start: str, end: str,
-                  mode: str = "adjacent", tie_break: Sequence[str] = ()) -> DataFrame:
+                  mode: str = "adjacent", tie_break: Sequence[str] = (),
+                  rows_per_segment: int = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
     """Dimension rows whose interval starts before an earlier interval of the
     same key ends (NULL end = open = infinity).  ``adjacent`` compares with
     the previous row only; ``any`` with the running maximum of all earlier
-    ends.  A start equal to the previous end is fine.  Adds ``prev_end``."""
+    ends.  A start equal to the previous end is fine.  Adds ``prev_end``.
+    Hot keys are split into segments (plans.segments)."""
     keys = as_list(keys)
-    w = Window.partitionBy(*keys).orderBy(F.col(start), *order_cols(tie_break))
+    order = ["_tk_t", *as_list(tie_break)]
+    seg = segment(df, keys, epoch_micros(df, start), rows_per_segment)
     if mode == "adjacent":
-        has_prev = F.lag(F.lit(1)).over(w).isNotNull()
-        prev_end = F.lag(end).over(w)
-        bad = has_prev & (prev_end.isNull() | (F.col(start) < prev_end))
-        return (df.withColumn("_tk_bad", bad).withColumn("prev_end", prev_end)
-                  .filter("_tk_bad").drop("_tk_bad"))
+        lagged = seg_lag(seg.withColumn("_tk_e", F.struct(F.col(end).alias("e"))), keys, order,
+                         "_tk_e", "_tk_pe")
+        prev_end = F.col("_tk_pe.e")
+        bad = F.col("_tk_pe").isNotNull() & (prev_end.isNull() | (F.col(start) < prev_end))
+        out = lagged.withColumn("prev_end", prev_end).filter(bad)
+        return unsegment(out.drop("_tk_e", "_tk_pe"), keys)
     if mode == "any":
-        before = w.rowsBetween(Window.unboundedPreceding, -1)
-        n_before = F.count(F.lit(1)).over(before)
-        n_open = F.count_if(F.col(end).isNull()).over(before)
-        max_end = F.max(end).over(before)
-        bad = (n_before > 0) & ((n_open > 0) | (F.col(start) < max_end))
-        return (df.withColumn("_tk_bad", bad).withColumn("prev_end", max_end)
-                  .filter("_tk_bad").drop("_tk_bad"))
+        pre = seg_prefix_before(seg, keys, order, {
+            "_tk_nb": ("count", F.lit(1)),
+            "_tk_open": ("sum", F.when(F.col(end).isNull(), 1).otherwise(0)),
+            "prev_end": ("max", F.col(end))})
+        bad = (F.col("_tk_nb") > 0) & ((F.col("_tk_open") > 0) | (F.col(start) < F.col("prev_end")))
+        return unsegment(pre.filter(bad).drop("_tk_nb", "_tk_open"), keys)
     raise ValueError("mode must be 'adjacent' or 'any'")
 
 
