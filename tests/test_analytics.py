@@ -111,3 +111,14 @@ def test_time_between_purchases(spark):
                                "u long, d timestamp_ntz")
     out = A.time_between_purchases(df, "u", "d").orderBy("d").collect()
     assert out[0].days_between is None and out[1].days_between == 10
+
+
+def test_market_basket_hot_basket_grid_split(spark):
+    import random
+    rnd = random.Random(3)
+    lines = [(1, p) for p in range(60)] + [(o, rnd.randrange(60)) for o in range(2, 40) for _ in range(4)]
+    df = spark.createDataFrame(lines, "o long, p long")
+    split = A.market_basket_pairs(df, "o", "p", max_rank=5, block_size=7)
+    plain = A.market_basket_pairs(df, "o", "p", max_rank=5, block_size=10**9)
+    cols = ("product_a", "product_b", "pair_count", "rank")
+    assert rows(split, *cols) == rows(plain, *cols)
