@@ -556,3 +556,25 @@ WHERE session_end <= (SELECT MAX(ts) FROM events) - INTERVAL '10 minutes'
 """)
 
 sql("merge_insert_new_stream", "SELECT * FROM events")
+
+sql("shortest_paths", """
+WITH RECURSIVE pairs AS (
+    SELECT l_partkey, l_suppkey, MIN(l_quantity) AS w FROM lineitem GROUP BY 1, 2
+), edges AS (
+    SELECT l_partkey AS src, -1 - l_suppkey AS dst, w FROM pairs
+    UNION ALL
+    SELECT -1 - l_suppkey AS src, l_partkey AS dst, w FROM pairs
+), sp(vertex, distance) USING KEY (vertex) AS (
+    SELECT CAST(0 AS BIGINT), CAST(0.0 AS DOUBLE)
+    UNION
+    (SELECT e.dst, MIN(s.distance + e.w)
+     FROM sp s JOIN edges e ON s.vertex = e.src
+     LEFT JOIN recurring.sp cur ON cur.vertex = e.dst
+     GROUP BY e.dst
+     HAVING MIN(s.distance + e.w) < COALESCE(MIN(cur.distance), CAST('inf' AS DOUBLE)))
+), vertices AS (
+    SELECT src AS vertex FROM edges UNION SELECT dst FROM edges UNION SELECT CAST(0 AS BIGINT)
+)
+SELECT v.vertex, sp.distance, FALSE AS negative_cycle
+FROM vertices v LEFT JOIN sp ON v.vertex = sp.vertex
+""")
