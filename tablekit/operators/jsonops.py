@@ -2,8 +2,10 @@
 
 JSON text is parsed once into Spark's VARIANT type; paths are read with
 ``variant_get`` and arrays expanded with ``explode`` of ``array<variant>``.
-Schema inference is a distributed aggregate over (path, type) pairs: one
-Spark job per nesting level, never a sample or a driver-side parse of rows.
+Schema inference is two distributed jobs: ``schema_of_variant_agg`` gives
+the merged structure (hence the nesting depth), then one aggregate over
+(path, kind) pairs of every value; never a sample or a driver-side parse of
+rows.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # fixed values: the JSON-to-DDL type lattice
 SQL_BOOLEAN, SQL_INT, SQL_FLOAT, SQL_TEXT = "BOOLEAN", "INT", "FLOAT", "VARCHAR(255)"
@@ -50,16 +53,34 @@ def _kind(t: Column) -> Column:
              .otherwise("text"))
 
 
-def _walk(df: DataFrame, payload: str):
-    """(level frames) of path/value pairs: level 0 are the root's fields,
-    then the fields of nested objects and the elements of arrays ('[]')."""
+def merged_schema(df: DataFrame, payload: str) -> T.DataType:
+    """Merged structure of all JSON values of the column: one aggregate job
+    (``schema_of_variant_agg``), parsed by Spark's own DDL parser."""
+    ddl = df.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(payload)))).first()[0]
+    if ddl is None:
+        return T.NullType()
+    return T.DataType.fromDDL(ddl.replace("OBJECT<", "STRUCT<"))
+
+
+def _depth(dt: T.DataType) -> int:
+    if isinstance(dt, T.StructType):
+        return 1 + max((_depth(f.dataType) for f in dt.fields), default=0)
+    if isinstance(dt, T.ArrayType):
+        return 1 + _depth(dt.elementType)
+    return 0
+
+
+def _walk(df: DataFrame, payload: str, depth: int) -> list[DataFrame]:
+    """Level frames of (path, value, kind): level 0 is the root value, then
+    the fields of objects ('a.b') and the elements of arrays ('a[]').  The
+    number of levels comes from the merged schema, so no level needs an
+    action of its own: the whole walk is one job."""
     v = F.try_parse_json(F.col(payload))
     level = df.select(F.lit("").alias("path"), v.alias("value")).filter(F.col("value").isNotNull())
     frames = []
-    while True:
+    for _ in range(depth + 1):
         typed = level.withColumn("kind", _kind(F.schema_of_variant(F.col("value"))))
         frames.append(typed)
-        # children of objects: one row per (path.key, value)
         obj_children = (typed.filter(F.col("kind") == "object")
                         .select("path", F.explode(F.try_variant_get(F.col("value"), "$", "map<string,variant>"))
                                 .alias("k", "value"))
@@ -69,10 +90,7 @@ def _walk(df: DataFrame, payload: str):
                         .select(F.concat(F.col("path"), F.lit("[]")).alias("path"),
                                 F.explode(F.try_variant_get(F.col("value"), "$", "array<variant>"))
                                 .alias("value")))
-        nxt = obj_children.unionByName(arr_children)
-        if nxt.isEmpty():
-            break
-        level = nxt
+        level = obj_children.unionByName(arr_children)
     return frames
 
 
@@ -81,7 +99,7 @@ def infer_json_columns(df: DataFrame, payload: str) -> DataFrame:
     BOOLEAN | INT | FLOAT | VARCHAR(255) (conflict or all-null -> text),
     whether kinds conflict, and how many values were seen.  Objects and
     arrays are listed as such; their members appear as ``a.b`` / ``a[]``."""
-    frames = _walk(df, payload)
+    frames = _walk(df, payload, _depth(merged_schema(df, payload)))
     allv = frames[0]
     for f in frames[1:]:
         allv = allv.unionByName(f)

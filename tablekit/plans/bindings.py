@@ -321,7 +321,7 @@ from ..streaming import sessions as SS  # noqa: E402
 ITEMS_PER_PAYLOAD = 4  # lines per JSON document of the A07 fixture
 
 
-def order_payloads(spark, d) -> DataFrame:
+def order_payloads(spark, d, with_key: bool = False) -> DataFrame:
     """JSON documents {order_id, customer:{id}, items:[{product_id, price}]}
     derived from orders + lineitem, at most ITEMS_PER_PAYLOAD items each."""
     li = t(spark, d, "lineitem")
@@ -331,7 +331,9 @@ def order_payloads(spark, d) -> DataFrame:
     o = t(spark, d, "orders")
     doc = F.to_json(F.struct(F.col("o_orderkey").alias("order_id"),
                              F.struct(F.col("o_custkey").alias("id")).alias("customer"), "items"))
-    return items.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(doc.alias("payload"))
+    key = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("_chunk").cast("string"))
+    cols = [key.alias("doc_key")] if with_key else []
+    return items.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(*cols, doc.alias("payload"))
 
 
 @binding("json_flatten")
@@ -382,6 +384,12 @@ def _t11(spark, d):
     return J.json_to_tables(ev, "props", key_col="event_id")["root"]
 
 
+@binding("json_to_tables_children")
+def _t11b(spark, d):
+    tabs = J.json_to_tables(order_payloads(spark, d, with_key=True), "payload", key_col="doc_key")
+    return tabs["items"].select("root_id", "product_id", "price")
+
+
 @binding("infer_json_columns")
 def _t12(spark, d):
     return J.infer_json_columns(t(spark, d, "events"), "props")

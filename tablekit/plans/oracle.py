@@ -578,3 +578,9 @@ WITH RECURSIVE pairs AS (
 SELECT v.vertex, sp.distance, FALSE AS negative_cycle
 FROM vertices v LEFT JOIN sp ON v.vertex = sp.vertex
 """)
+
+sql("json_to_tables_children", """
+SELECT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(CAST(CEIL(l.l_linenumber / 4) AS BIGINT) AS VARCHAR) AS root_id,
+       l.l_partkey AS product_id, l.l_extendedprice AS price
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+""")

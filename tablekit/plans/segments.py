@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SEG = "_tk_seg"
+HOT = "_tk_hot"  # only hot keys have more than one segment, so only they need border values
 DEFAULT_ROWS_PER_SEGMENT = 4_000_000
 
 
@@ -77,11 +78,12 @@ def segment(df: DataFrame, keys: Sequence[str], t: Column,
     joined = _join_back(base, hot, nk, broadcast=True)
     seg = (F.when(F.col("_tk_w").isNull(), F.lit(0))
             .otherwise(F.coalesce(F.floor((F.col("_tk_t") - F.col("_tk_lo")) / F.col("_tk_w")), F.lit(-1))))
-    return joined.withColumn(SEG, seg.cast("long")).drop("_tk_lo", "_tk_w")
+    return (joined.withColumn(SEG, seg.cast("long")).withColumn(HOT, F.col("_tk_w").isNotNull())
+                  .drop("_tk_lo", "_tk_w"))
 
 
 def unsegment(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.drop("_tk_t", SEG, *norm_keys(keys))
+    return df.drop("_tk_t", SEG, HOT, *norm_keys(keys))
 
 
 def _w(keys, order):
@@ -93,7 +95,7 @@ def seg_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str
     w = _w(keys, order)
     local = (df.withColumn("_tk_lp", F.lag(value).over(w))
                .withColumn("_tk_first", F.lag(F.lit(1)).over(w).isNull()))
-    summary = local.groupBy(*norm_keys(keys), SEG).agg(
+    summary = local.filter(HOT).groupBy(*norm_keys(keys), SEG).agg(
         F.max_by(F.col(value), F.struct(*[F.col(c) for c in order])).alias("_tk_last"))
     across = summary.select(*norm_keys(keys), SEG, F.lag("_tk_last").over(
         Window.partitionBy(*norm_keys(keys)).orderBy(SEG)).alias("_tk_prev_last"))
@@ -108,7 +110,7 @@ def seg_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: st
     w = _w(keys, order)
     local = (df.withColumn("_tk_ln", F.lead(value).over(w))
                .withColumn("_tk_lastrow", F.lead(F.lit(1)).over(w).isNull()))
-    summary = local.groupBy(*norm_keys(keys), SEG).agg(
+    summary = local.filter(HOT).groupBy(*norm_keys(keys), SEG).agg(
         F.min_by(F.col(value), F.struct(*[F.col(c) for c in order])).alias("_tk_firstv"))
     across = summary.select(*norm_keys(keys), SEG, F.lead("_tk_firstv").over(
         Window.partitionBy(*norm_keys(keys)).orderBy(SEG)).alias("_tk_next_first"))
@@ -123,7 +125,7 @@ def seg_running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], va
     """Running ``sum(value)`` (rows up to the current one) per key."""
     w = _w(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = df.withColumn("_tk_rs", F.sum(value).over(w))
-    tot = local.groupBy(*norm_keys(keys), SEG).agg(F.sum(value).alias("_tk_tot"))
+    tot = local.filter(HOT).groupBy(*norm_keys(keys), SEG).agg(F.sum(value).alias("_tk_tot"))
     before = Window.partitionBy(*norm_keys(keys)).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select(*norm_keys(keys), SEG, F.sum("_tk_tot").over(before).alias("_tk_off"))
     joined = _join_back(local, offs, norm_keys(keys) + [SEG])
@@ -149,7 +151,7 @@ def seg_prefix_before(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             seg_aggs.append(F.sum(c).alias(f"_tk_s_{name}"))
         else:
             raise ValueError(kind)
-    summary = local.groupBy(*norm_keys(keys), SEG).agg(*seg_aggs)
+    summary = local.filter(HOT).groupBy(*norm_keys(keys), SEG).agg(*seg_aggs)
     before = Window.partitionBy(*norm_keys(keys)).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
     across = summary.select(*norm_keys(keys), SEG, *[
         (F.max if kind == "max" else F.sum)(f"_tk_s_{name}").over(before).alias(f"_tk_p_{name}")
