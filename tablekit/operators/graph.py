@@ -3,7 +3,8 @@
 Iterative: the driver loops over rounds, each round is a pair of joins and
 one ``isEmpty`` action; the new frontier is cut from its lineage with a
 reliable ``checkpoint()`` in the shared checkpoint folder, so a lost
-executor recomputes at most one round.  Edges are not hash-partitioned by
+executor recomputes at most one round.  The edge table, read every round,
+is written once as Parquet in the same shared folder.  Edges are not hash-partitioned by
 source (a hub vertex would make one huge partition); AQE broadcasts a small
 frontier at run time and splits skewed partitions when it shuffles.
 """
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 
 def bfs_levels(edges: DataFrame, src: str, dst: str, start, max_hops: int | None = None,
@@ -24,8 +25,10 @@ def bfs_levels(edges: DataFrame, src: str, dst: str, start, max_hops: int | None
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     vtype = edges.schema[src].dataType
-    e = edges.select(F.col(src).alias("_tk_s"), F.col(dst).alias("_tk_d")) \
-             .filter(F.col("_tk_s").isNotNull() & F.col("_tk_d").isNotNull())
+    # every round reads the edges: materialise them once as Parquet (a derived
+    # edge table would otherwise be recomputed from its sources per round)
+    e = materialize(edges.select(F.col(src).alias("_tk_s"), F.col(dst).alias("_tk_d"))
+                         .filter(F.col("_tk_s").isNotNull() & F.col("_tk_d").isNotNull()), "bfs_edges")
     frontier = spark.range(1).select(F.lit(start).cast(vtype).alias(vertex_col),
                                      F.lit(0).alias(hop_col))
     visited = frontier
@@ -54,9 +57,9 @@ def shortest_paths(edges: DataFrame, src: str, dst: str, weight: str, start,
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     vtype = edges.schema[src].dataType
-    e = edges.select(F.col(src).alias("_tk_s"), F.col(dst).alias("_tk_d"),
-                     F.col(weight).cast("double").alias("_tk_w")) \
-             .filter(F.col("_tk_s").isNotNull() & F.col("_tk_d").isNotNull())
+    e = materialize(edges.select(F.col(src).alias("_tk_s"), F.col(dst).alias("_tk_d"),
+                                 F.col(weight).cast("double").alias("_tk_w"))
+                         .filter(F.col("_tk_s").isNotNull() & F.col("_tk_d").isNotNull()), "sp_edges")
     vertices = (e.select(F.col("_tk_s").alias(vertex_col))
                  .unionByName(e.select(F.col("_tk_d").alias(vertex_col)))
                  .unionByName(spark.range(1).select(F.lit(start).cast(vtype).alias(vertex_col)))

@@ -67,3 +67,13 @@ def local_path(path: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` as Parquet below the shared checkpoint
+    folder and reading it back: columnar, compressed, with size statistics
+    for AQE, and readable by any executor after a failure."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
