@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.time import days_between, duration_micros, epoch_micros, month_start, to_day
 from ..plans.ranking import global_positions, ntile_expr
 from ..plans.segments import DEFAULT_ROWS_PER_SEGMENT, seg_lag, seg_running_sum, segment, unsegment
+from ..session import materialize
 
 
 def _cols(cols: str | Sequence[str] | None) -> list[str]:
@@ -178,15 +179,24 @@ def market_basket_pairs(items: DataFrame, order: str, product: str, max_rank: in
     else:
         per = lines.groupBy("_tk_o", "_tk_p").agg(F.count(F.lit(1)).alias("_tk_m"))
 
-    # read several times below (totals, bound, pairs): cut lineage once so
-    # the item table is scanned and aggregated a single time
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(items.sparkSession)
-    per = per.checkpoint(eager=True)
-    totals = per.groupBy("_tk_p").agg(F.sum("_tk_m").alias("_tk_tot"))
-    max_mult = per.agg(F.max("_tk_m")).scalar()
+    # read several times below (totals, bound, pairs): written once as
+    # Parquet in the shared folder so the item table is scanned and
+    # aggregated a single time
+    per = materialize(per, "basket_lines")
+    # one row per product: line total and largest multiplicity (small,
+    # reused by the seed choice, the bound and the candidate filter)
+    totals = materialize(per.groupBy("_tk_p").agg(F.sum("_tk_m").alias("_tk_tot"),
+                                                  F.max("_tk_m").alias("_tk_mx")), "basket_totals")
+    max_mult = totals.agg(F.max("_tk_mx")).scalar()
+
+    def self_join_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+        a = left.select(*keys, F.col("_tk_p").alias("product_a"), F.col("_tk_m").alias("_tk_ma"))
+        b = right.select(*keys, F.col("_tk_p").alias("product_b"), F.col("_tk_m").alias("_tk_mb"))
+        return (a.join(b, keys).filter(F.col("product_a") < F.col("product_b"))
+                 .groupBy("product_a", "product_b")
+                 .agg(F.sum(F.col("_tk_ma") * F.col("_tk_mb")).alias("pair_count")))
 
-    def pair_counts(sub: DataFrame) -> DataFrame:
+    def grid_pairs(sub: DataFrame) -> DataFrame:
         sizes = sub.groupBy("_tk_o").agg(F.count(F.lit(1)).alias("_tk_n"))
         hot = (sizes.filter(F.col("_tk_n") > block_size)
                     .select("_tk_o", F.ceil(F.col("_tk_n") / F.lit(block_size)).cast("int").alias("_tk_g")))
@@ -194,23 +204,23 @@ def market_basket_pairs(items: DataFrame, order: str, product: str, max_rank: in
                   .withColumn("_tk_g", F.coalesce(F.col("_tk_g"), F.lit(1)))
                   .withColumn("_tk_blk", F.pmod(F.xxhash64("_tk_p"), F.col("_tk_g")).cast("int")))
         fan = F.explode(F.sequence(F.lit(0), F.col("_tk_g") - 1))
-        a = blk.select("_tk_o", F.col("_tk_p").alias("product_a"), F.col("_tk_m").alias("_tk_ma"),
-                       F.col("_tk_blk").alias("_tk_i"), fan.alias("_tk_j"))
-        b = blk.select("_tk_o", F.col("_tk_p").alias("product_b"), F.col("_tk_m").alias("_tk_mb"),
-                       F.col("_tk_blk").alias("_tk_j"), fan.alias("_tk_i"))
-        return (a.join(b, ["_tk_o", "_tk_i", "_tk_j"]).filter(F.col("product_a") < F.col("product_b"))
-                 .groupBy("product_a", "product_b")
-                 .agg(F.sum(F.col("_tk_ma") * F.col("_tk_mb")).alias("pair_count")))
-
-    # lower bound from the most frequent products (bounded candidate set)
+        # left copy of block i meets every block j, right copy of block j
+        # meets every block i: each (order, i, j) cell is one join group
+        a = blk.select("_tk_o", "_tk_p", "_tk_m", F.col("_tk_blk").alias("_tk_i"), fan.alias("_tk_j"))
+        b = blk.select("_tk_o", "_tk_p", "_tk_m", F.col("_tk_blk").alias("_tk_j"), fan.alias("_tk_i"))
+        return self_join_on(a, b, ["_tk_o", "_tk_i", "_tk_j"])
+
+    # lower bound from the most frequent products: at most seed_n products per
+    # basket, so this self-join is bounded per order and needs no grid
     seed_n = max(4 * max_rank, 64)
     seed_products = totals.orderBy(F.col("_tk_tot").desc(), F.col("_tk_p")).limit(seed_n)
-    seed_counts = pair_counts(per.join(F.broadcast(seed_products.select("_tk_p")), "_tk_p"))
+    seed_lines = per.join(F.broadcast(seed_products.select("_tk_p")), "_tk_p")
+    seed_counts = self_join_on(seed_lines, seed_lines, ["_tk_o"])
     kth = (seed_counts.select("pair_count").orderBy(F.col("pair_count").desc())
            .offset(max_rank - 1).limit(1).agg(F.max("pair_count")))
     threshold = F.coalesce(kth.scalar(), F.lit(0))
     keep = totals.filter(F.col("_tk_tot") * max_mult >= threshold).select("_tk_p")
-    pairs = pair_counts(per.join(keep, "_tk_p", "left_semi"))
+    pairs = grid_pairs(per.join(keep, "_tk_p", "left_semi"))
     w = Window.orderBy(F.col("pair_count").desc())
     return (pairs.withColumn("rank", F.rank().over(w))
                  .filter(F.col("rank") <= max_rank))

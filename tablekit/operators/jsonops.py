@@ -53,10 +53,15 @@ def _kind(t: Column) -> Column:
              .otherwise("text"))
 
 
+def _variant(df: DataFrame, payload: str) -> Column:
+    dt = df.schema[payload].dataType
+    return F.col(payload) if isinstance(dt, T.VariantType) else F.try_parse_json(F.col(payload))
+
+
 def merged_schema(df: DataFrame, payload: str) -> T.DataType:
     """Merged structure of all JSON values of the column: one aggregate job
     (``schema_of_variant_agg``), parsed by Spark's own DDL parser."""
-    ddl = df.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(payload)))).first()[0]
+    ddl = df.agg(F.schema_of_variant_agg(_variant(df, payload))).first()[0]
     if ddl is None:
         return T.NullType()
     return T.DataType.fromDDL(ddl.replace("OBJECT<", "STRUCT<"))
@@ -75,8 +80,8 @@ def _walk(df: DataFrame, payload: str, depth: int) -> list[DataFrame]:
     the fields of objects ('a.b') and the elements of arrays ('a[]').  The
     number of levels comes from the merged schema, so no level needs an
     action of its own: the whole walk is one job."""
-    v = F.try_parse_json(F.col(payload))
-    level = df.select(F.lit("").alias("path"), v.alias("value")).filter(F.col("value").isNotNull())
+    level = df.select(F.lit("").alias("path"), _variant(df, payload).alias("value")) \
+              .filter(F.col("value").isNotNull())
     frames = []
     for _ in range(depth + 1):
         typed = level.withColumn("kind", _kind(F.schema_of_variant(F.col("value"))))
@@ -132,10 +137,13 @@ def json_to_tables(df: DataFrame, payload: str, key_col: str | None = None,
     is ``key_col`` if given, else the SHA-256 of the payload (stable on
     recomputation, unlike ``uuid()``).  Only the schema (one row per path)
     reaches the driver."""
-    schema = {r["path"]: r["sql_type"] for r in infer_json_columns(df, payload).collect()}
+    from ..session import materialize
     key = key_col or "_id"
-    base = df.select((F.col(key_col) if key_col else F.sha2(F.col(payload), 256)).alias(key),
-                     F.try_parse_json(F.col(payload)).alias("_tk_v"))
+    # parsed once into VARIANT and written as Parquet: the two inference
+    # jobs and every output table read it without re-parsing the JSON text
+    base = materialize(df.select((F.col(key_col) if key_col else F.sha2(F.col(payload), 256)).alias(key),
+                                 _variant(df, payload).alias("_tk_v")), "json_parsed")
+    schema = {r["path"]: r["sql_type"] for r in infer_json_columns(base, "_tk_v").collect()}
     tables: dict[str, DataFrame] = {}
 
     def children(prefix: str) -> list[str]:
