@@ -49,3 +49,16 @@ def test_scd2_overlaps_segmented(spark):
         a = S.scd2_overlaps(iv, "o_custkey", "valid_from", "valid_to", mode, tie_break=["o_orderkey"], rows_per_segment=2)
         b = S.scd2_overlaps(iv, "o_custkey", "valid_from", "valid_to", mode, tie_break=["o_orderkey"], rows_per_segment=10**9)
         assert rows(a) == rows(b) and a.count() > 0
+
+
+def test_hot_null_key_segmented(spark):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    data = [(None if i % 3 else i % 2, t0 + dt.timedelta(minutes=7 * i), i) for i in range(300)]
+    df = spark.createDataFrame(data, "u long, t timestamp_ntz, id long")
+    a = A.sessionize(df, "u", "t", gap="10 minutes", tie_break=["id"], rows_per_segment=10)
+    b = A.sessionize(df, "u", "t", gap="10 minutes", tie_break=["id"], rows_per_segment=10**9)
+    cols = ("id", "prev_event", "new_session", "session_id")
+    assert rows(a, *cols) == rows(b, *cols)
+    sessions_null = {r.session_id for r in a.filter("u is null").collect()}
+    assert len(sessions_null) >= 1

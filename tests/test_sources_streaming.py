@@ -104,3 +104,25 @@ def test_stream_sessions_equal_batch_less_open(spark):
     max_ts = ev.agg(F.max("ts")).first()[0]
     closed = batch.filter(F.col("last") + F.expr("INTERVAL 30 MINUTES") <= F.lit(max_ts)).count()
     assert streamed == closed and batch.count() - streamed >= 1
+
+
+def test_parse_log_across_many_blocks(spark, tmp_path):
+    # ~1 MB log read in 16 KB splits: entries cross block borders
+    lines, expect = [], []
+    for i in range(6000):
+        level = "ERROR" if i % 7 == 0 else "INFO"
+        lines.append(f"2024-01-01 00:{i // 600 % 60:02d}:{i % 60:02d},{i % 1000:03d} {level} app.x message {i}")
+        trace = [f"  trace line {i}.{j}" for j in range(i % 4)] if level == "ERROR" else []
+        lines.extend(trace)
+        expect.append((f"message {i}", "\n".join(trace) if trace else None))
+    (tmp_path / "big.log").write_text("orphan\n" + "\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        raw = spark.read.text(str(tmp_path / "big.log"))
+        assert raw.rdd.getNumPartitions() > 10
+        got = LG.parse_log(spark, str(tmp_path / "big.log"), run_id="r").select("Message", "Stack_Trace").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    got = sorted(((r.Message, r.Stack_Trace) for r in got), key=repr)
+    assert got == sorted(expect + [("orphan", None)], key=repr)
