@@ -29,6 +29,10 @@ def clean_place_name(c: Column) -> Column:
 
 
 def clean_place_names(df: DataFrame, column: str, out_col: str | None = None) -> DataFrame:
+    """Add the cleaned name; a non-text column gives '' like NULL does."""
+    from pyspark.sql import types as T
+    if not isinstance(df.schema[column].dataType, T.StringType):
+        return df.withColumn(out_col or f"{column}_clean", F.lit(""))
     return spread(df).withColumn(out_col or f"{column}_clean", clean_place_name(F.col(column)))
 
 

@@ -51,3 +51,13 @@ def read_table(spark: SparkSession, name: str, partition_filters: Mapping[str, o
 def standard_table_name(name: str, prefix: str | None = None) -> str:
     base = re.sub(r"[^0-9a-zA-Z]+", "_", name.strip()).strip("_").lower()
     return f"{prefix.lower()}_{base}" if prefix else base
+
+
+def analyze_columns(spark: SparkSession, table: str, columns: list[str] | None = None) -> DataFrame:
+    """Refresh catalog statistics (row count, size and per-column min/max,
+    distinct and null counts) that the cost-based optimiser and AQE use:
+    ``ANALYZE TABLE ... COMPUTE STATISTICS [FOR COLUMNS ...]``.  Returns the
+    table-level statistics row of ``DESCRIBE TABLE EXTENDED``."""
+    quoted = ", ".join(f"`{c}`" for c in columns or [])
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS" + (f" FOR COLUMNS {quoted}" if quoted else ""))
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == "Statistics")

@@ -126,3 +126,16 @@ def test_parse_log_across_many_blocks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     got = sorted(((r.Message, r.Stack_Trace) for r in got), key=repr)
     assert got == sorted(expect + [("orphan", None)], key=repr)
+
+
+def test_analyze_columns(spark):
+    path = scratch_path(spark, "t_analyze")
+    spark.range(100).withColumn("b", F.col("id") % 7).write.parquet(path)
+    spark.sql(f"CREATE TABLE tk_analyze USING parquet LOCATION '{path}'")
+    try:
+        stats = TB.analyze_columns(spark, "tk_analyze", ["b"]).first().data_type
+        assert "100 rows" in stats
+        col = spark.sql("DESCRIBE TABLE EXTENDED tk_analyze b").collect()
+        assert any(r.info_value == "7" for r in col if r.info_name == "distinct_count")
+    finally:
+        spark.sql("DROP TABLE IF EXISTS tk_analyze")
