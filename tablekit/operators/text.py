@@ -101,13 +101,18 @@ def sentiment_label(df: DataFrame, text: str, lexicon: DataFrame, id_col: str,
     lexicon (0 when none), labelled positive (> 0.1), negative (< -0.1) or
     neutral.  Tokens are lower-case [a-z]+ runs of the whole text.
 
-    Tokens are exploded and joined to the lexicon (AQE broadcasts it when
-    small, shuffles otherwise), then averaged per text (partial aggregate).
+    Tokens are exploded and counted per (text, word) map-side, joined to the
+    lexicon (AQE broadcasts it when small, splits skew otherwise), then
+    averaged per text with the counts as weights.
     Texts with no lexicon word are kept through a left join."""
     tokens = (spread(df).select(id_col, F.explode(F.split(F.lower(F.col(text)), "[^a-z]+")).alias("_tk_w"))
                 .filter(F.col("_tk_w") != ""))
+    # pre-aggregate (text, word) counts map-side: a frequent word such as
+    # "the" reaches the lexicon join once per text, not once per occurrence
+    counts = tokens.groupBy(id_col, "_tk_w").agg(F.count(F.lit(1)).alias("_tk_n"))
     lex = lexicon.select(F.col(word_col).alias("_tk_w"), F.col(score_col).cast("double").alias("_tk_s"))
-    scores = tokens.join(lex, "_tk_w").groupBy(id_col).agg(F.avg("_tk_s").alias("_tk_p"))
+    scores = (counts.join(lex, "_tk_w").groupBy(id_col)
+                    .agg((F.sum(F.col("_tk_s") * F.col("_tk_n")) / F.sum("_tk_n")).alias("_tk_p")))
     pol = F.coalesce(F.col("_tk_p"), F.lit(0.0))
     label = (F.when(pol > pos_threshold, POSITIVE).when(pol < neg_threshold, NEGATIVE)
               .otherwise(NEUTRAL))
