@@ -3,9 +3,9 @@
 JSON text is parsed once into Spark's VARIANT type; paths are read with
 ``variant_get`` and arrays expanded with ``explode`` of ``array<variant>``.
 Schema inference is two distributed jobs: ``schema_of_variant_agg`` gives
-the merged structure (hence the nesting depth), then one aggregate over
-(path, kind) pairs of every value; never a sample or a driver-side parse of
-rows.
+the merged structure (every path), then one aggregate over the (path, kind)
+pairs of every value, read in one pass per array context; never a sample or
+a driver-side parse of rows.
 """
 
 from __future__ import annotations
@@ -67,35 +67,38 @@ def merged_schema(df: DataFrame, payload: str) -> T.DataType:
     return T.DataType.fromDDL(ddl.replace("OBJECT<", "STRUCT<"))
 
 
-def _depth(dt: T.DataType) -> int:
-    if isinstance(dt, T.StructType):
-        return 1 + max((_depth(f.dataType) for f in dt.fields), default=0)
-    if isinstance(dt, T.ArrayType):
-        return 1 + _depth(dt.elementType)
-    return 0
+def _key_path(json: str, name: str) -> str:
+    return json + "['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
 
 
-def _walk(df: DataFrame, payload: str, depth: int) -> list[DataFrame]:
-    """Level frames of (path, value, kind): level 0 is the root value, then
-    the fields of objects ('a.b') and the elements of arrays ('a[]').  The
-    number of levels comes from the merged schema, so no level needs an
-    action of its own: the whole walk is one job."""
-    level = df.select(F.lit("").alias("path"), _variant(df, payload).alias("value")) \
-              .filter(F.col("value").isNotNull())
+def _path_kinds(ctx: DataFrame, dt: T.DataType, prefix: str) -> list[DataFrame]:
+    """(path, kind) rows for every value of every path known from the
+    merged schema ``dt``, within one array context.  All paths of the
+    context are read in one select; each array opens one child context
+    (one explode), so the work is linear in the document size."""
+    cols: list[tuple[str, Column]] = []
+    arrays: list[tuple[str, Column, T.DataType]] = []
+
+    def visit(t: T.DataType, json: str, out: str) -> None:
+        if out:
+            cols.append((out, F.try_variant_get(F.col("value"), json, "variant")))
+        if isinstance(t, T.StructType):
+            for f in t.fields:
+                visit(f.dataType, _key_path(json, f.name), f"{out}.{f.name}" if out else f.name)
+        elif isinstance(t, T.ArrayType):
+            arrays.append((out, F.try_variant_get(F.col("value"), json, "array<variant>"), t.elementType))
+
+    visit(dt, "$", prefix)
     frames = []
-    for _ in range(depth + 1):
-        typed = level.withColumn("kind", _kind(F.schema_of_variant(F.col("value"))))
-        frames.append(typed)
-        obj_children = (typed.filter(F.col("kind") == "object")
-                        .select("path", F.explode(F.try_variant_get(F.col("value"), "$", "map<string,variant>"))
-                                .alias("k", "value"))
-                        .select(F.when(F.col("path") == "", F.col("k"))
-                                 .otherwise(F.concat_ws(".", "path", "k")).alias("path"), "value"))
-        arr_children = (typed.filter(F.col("kind") == "array")
-                        .select(F.concat(F.col("path"), F.lit("[]")).alias("path"),
-                                F.explode(F.try_variant_get(F.col("value"), "$", "array<variant>"))
-                                .alias("value")))
-        level = obj_children.unionByName(arr_children)
+    if cols:
+        pairs = F.array(*[F.struct(F.lit(p).alias("path"), c.alias("v")) for p, c in cols])
+        frames.append(ctx.select(F.explode(pairs).alias("_tk_pv"))
+                         .select("_tk_pv.path", F.col("_tk_pv.v").alias("value"))
+                         .filter(F.col("value").isNotNull())
+                         .select("path", _kind(F.schema_of_variant(F.col("value"))).alias("kind")))
+    for out, arr, elem in arrays:
+        child = ctx.select(F.explode(arr).alias("value"))
+        frames.extend(_path_kinds(child, elem, out + "[]"))
     return frames
 
 
@@ -104,11 +107,15 @@ def infer_json_columns(df: DataFrame, payload: str) -> DataFrame:
     BOOLEAN | INT | FLOAT | VARCHAR(255) (conflict or all-null -> text),
     whether kinds conflict, and how many values were seen.  Objects and
     arrays are listed as such; their members appear as ``a.b`` / ``a[]``."""
-    frames = _walk(df, payload, _depth(merged_schema(df, payload)))
+    dt = merged_schema(df, payload)
+    ctx = df.select(_variant(df, payload).alias("value")).filter(F.col("value").isNotNull())
+    frames = _path_kinds(ctx, dt, "")
+    if not frames:
+        return df.sparkSession.createDataFrame(
+            [], "path string, kinds string, sql_type string, conflict boolean, n_values long")
     allv = frames[0]
     for f in frames[1:]:
         allv = allv.unionByName(f)
-    allv = allv.filter(F.col("path") != "")
     per = allv.groupBy("path").agg(
         F.array_sort(F.collect_set(F.when(F.col("kind") != "null", F.col("kind")))).alias("kinds"),
         F.count(F.lit(1)).alias("n_values"))

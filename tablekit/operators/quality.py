@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,7 +81,7 @@ def number_range_violations(df: DataFrame, column: str, min_value=None, max_valu
 
 
 # ---------------------------------------------------------------- Q03
-def _as_date(df: DataFrame, column: str, fmt: str | None) -> F.Column:
+def _as_date(df: DataFrame, column: str, fmt: str | None) -> Column:
     dt = df.schema[column].dataType
     c = F.col(column)
     if isinstance(dt, T.StringType):
