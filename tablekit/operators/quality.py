@@ -20,7 +20,8 @@ from ._util import as_list
 def null_ratio_check(df: DataFrame, thresholds: Mapping[str, float]) -> DataFrame:
     """Per column: null count, total, ratio, threshold and status
     (EMPTY_DF, MISSING_COLUMN, FAIL when ratio > threshold, else OK).
-    One pass over the data for all columns; unpivoted with ``stack``."""
+    One pass over the data for all columns; unpivoted by exploding an array
+    of per-column structs."""
     present = [c for c in thresholds if c in df.columns]
     aggs = [F.count(F.lit(1)).alias("_tk_total")]
     aggs += [F.count_if(F.col(c).isNull()).alias(f"_tk_n{i}") for i, c in enumerate(present)]

@@ -9,9 +9,10 @@ bounded by the partition count, not by the data.
 
 The range partitioner samples its bounds with a seed tied to the RDD id, so
 two plans over the same input would disagree on partition boundaries.  The
-numbered rows are therefore cut from their lineage once with a reliable
-``checkpoint()`` (in the shared ``spark.checkpoint.dir``) and both the counts
-and the rows are read from it: consistent, and safe under executor loss.
+numbered rows (partition id and local index as columns) are therefore
+written once as Parquet in the shared ``spark.checkpoint.dir`` folder and
+both the counts and the rows are read from there: consistent, and safe
+under executor loss.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 
 _LOW_BITS = (1 << 33) - 1
 
@@ -37,13 +38,12 @@ def global_positions(df: DataFrame, order: list[Column], pos_col: str = "positio
     deterministic answer).  Optionally add ``total_col`` = n."""
     n = _partitions(df, num_partitions)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    mid = F.monotonically_increasing_id()
+    mid = F.monotonically_increasing_id()  # partition index << 33 | row index
     tagged = (ranged.withColumn("_tk_mid", mid)
               .withColumn("_tk_pid", F.shiftright(F.col("_tk_mid"), 33))
               .withColumn("_tk_local", F.col("_tk_mid").bitwiseAND(F.lit(_LOW_BITS)))
               .drop("_tk_mid"))
-    ensure_checkpoint_dir(df.sparkSession)
-    tagged = tagged.checkpoint(eager=True)
+    tagged = materialize(tagged, "positions")
     counts = tagged.groupBy("_tk_pid").agg(F.count(F.lit(1)).alias("_tk_n"))
     # one row per partition: a single-task window here is bounded and tiny
     before = Window.orderBy("_tk_pid").rowsBetween(Window.unboundedPreceding, -1)
