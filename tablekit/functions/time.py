@@ -46,7 +46,12 @@ def epoch_micros(df: DataFrame, name: str) -> Column:
     dt = col_type(df, name)
     c = F.col(name)
     if isinstance(dt, T.TimestampNTZType):
-        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{name}`)")
+        # calendar day and time of day of an NTZ value never involve a zone
+        # (timestampdiff would cast to the session zone and bend at DST)
+        day = F.unix_date(c.cast("date")).cast("long") * F.lit(86_400_000_000)
+        tod = ((F.hour(c) * 3600 + F.minute(c) * 60).cast("long") * F.lit(1_000_000)
+               + (F.expr(f"extract(SECOND FROM `{name}`)") * 1_000_000).cast("long"))
+        return day + tod
     if isinstance(dt, T.TimestampType):
         return F.unix_micros(c)
     if isinstance(dt, T.DateType):
@@ -69,3 +74,22 @@ def month_start(c: Column | str, like_ntz: bool = True) -> Column:
 def days_between(later: Column | str, earlier: Column | str) -> Column:
     """Whole days from ``earlier`` to ``later`` on calendar days (INT)."""
     return F.datediff(to_day(later), to_day(earlier))
+
+
+def ntz_from_micros(micros: Column) -> Column:
+    """Inverse of ``epoch_micros`` for NTZ: wall-clock TIMESTAMP_NTZ built
+    from calendar components, independent of the session time zone."""
+    day_us = F.lit(86_400_000_000)
+    days = F.floor(micros / day_us).cast("int")
+    tod = micros - days.cast("long") * day_us
+    date = F.date_add(F.lit("1970-01-01").cast("date"), days)
+    secs = (tod % 60_000_000).cast("decimal(18,0)") / F.lit(1_000_000)
+    return F.make_timestamp_ntz(F.year(date), F.month(date), F.dayofmonth(date),
+                                (tod / 3_600_000_000).cast("int"), ((tod / 60_000_000) % 60).cast("int"),
+                                secs.cast("decimal(16,6)"))
+
+
+def bucket_of(micros: Column, width: int) -> Column:
+    """floor(micros / width) in exact integer arithmetic (negatives too)."""
+    w = F.lit(int(width))
+    return (micros - F.pmod(micros, w)).cast("long") / w

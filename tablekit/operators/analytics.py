@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.time import days_between, duration_micros, epoch_micros, month_start, to_day
+from ..functions.time import bucket_of, days_between, duration_micros, epoch_micros, month_start, to_day
 from ..plans.ranking import global_positions, ntile_expr
 from ..plans.segments import DEFAULT_ROWS_PER_SEGMENT, seg_lag, seg_running_sum, segment, unsegment
 from ..session import materialize
@@ -40,7 +40,7 @@ def burst_events(df: DataFrame, user: str, ts: str, window="1 minute", min_count
     if b < w:
         raise ValueError("bucket must be >= window")
     base = (df.withColumn("_tk_t", epoch_micros(df, ts))
-              .withColumn("_tk_b", F.floor(F.col("_tk_t") / F.lit(b))))
+              .withColumn("_tk_b", bucket_of(F.col("_tk_t"), b).cast("long")))
     own = base.withColumn("_tk_own", F.lit(True))
     ctx = (base.filter(F.col("_tk_t") >= (F.col("_tk_b") + 1) * F.lit(b) - F.lit(w))
                .withColumn("_tk_b", F.col("_tk_b") + 1)

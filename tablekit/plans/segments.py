@@ -70,14 +70,14 @@ def segment(df: DataFrame, keys: Sequence[str], t: Column,
     nk = norm_keys(keys)
     stats = base.groupBy(*nk).agg(F.count(F.lit(1)).alias("_tk_n"), F.min("_tk_t").alias("_tk_lo"),
                                     F.max("_tk_t").alias("_tk_hi"))
-    pieces = F.ceil(F.col("_tk_n") / F.lit(rows_per_segment))
     hot = (stats.filter(F.col("_tk_n") > rows_per_segment)
                 .select(*nk, "_tk_lo",
-                        (F.floor((F.col("_tk_hi") - F.col("_tk_lo")) / pieces) + 1).alias("_tk_w")))
+                        (F.expr("(_tk_hi - _tk_lo) div ceil(_tk_n / {0})".format(int(rows_per_segment))) + 1)
+                        .alias("_tk_w")))
     # at most total_rows / rows_per_segment hot keys: a proven broadcast bound
     joined = _join_back(base, hot, nk, broadcast=True)
     seg = (F.when(F.col("_tk_w").isNull(), F.lit(0))
-            .otherwise(F.coalesce(F.floor((F.col("_tk_t") - F.col("_tk_lo")) / F.col("_tk_w")), F.lit(-1))))
+            .otherwise(F.coalesce(F.expr("(_tk_t - _tk_lo) div _tk_w"), F.lit(-1))))
     return (joined.withColumn(SEG, seg.cast("long")).withColumn(HOT, F.col("_tk_w").isNotNull())
                   .drop("_tk_lo", "_tk_w"))
 

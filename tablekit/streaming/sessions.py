@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.time import duration_sql, epoch_micros
+from ..functions.time import duration_sql, epoch_micros, ntz_from_micros
 
 
 def _as_instant(df: DataFrame, ts: str):
@@ -16,7 +16,7 @@ def _as_instant(df: DataFrame, ts: str):
 
 
 def _to_ntz(c):
-    return F.expr(f"timestampadd(MICROSECOND, {c}, TIMESTAMP_NTZ'1970-01-01 00:00:00')")
+    return ntz_from_micros(F.expr(c))
 
 
 def session_summary_stream(stream: DataFrame, user: str, ts: str, gap="30 minutes",

@@ -122,3 +122,17 @@ def test_market_basket_hot_basket_grid_split(spark):
     plain = A.market_basket_pairs(df, "o", "p", max_rank=5, block_size=10**9)
     cols = ("product_a", "product_b", "pair_count", "rank")
     assert rows(split, *cols) == rows(plain, *cols)
+
+
+def test_sessionize_ignores_session_time_zone_at_dst(spark):
+    # NTZ wall clock 01:50 -> 03:10 across the US spring-forward: 80 minutes
+    # of wall clock (a new session), whatever the session time zone says
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(1, dt.datetime(2024, 3, 10, 1, 50)), (1, dt.datetime(2024, 3, 10, 3, 10))],
+                                   "u long, t timestamp_ntz")
+        got = [r.session_id for r in A.sessionize(df, "u", "t", gap="70 minutes").orderBy("t").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [1, 2]
