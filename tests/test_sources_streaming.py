@@ -139,3 +139,30 @@ def test_analyze_columns(spark):
         assert any(r.info_value == "7" for r in col if r.info_name == "distinct_count")
     finally:
         spark.sql("DROP TABLE IF EXISTS tk_analyze")
+
+
+def test_stream_sessions_across_batches_and_late_data(spark):
+    import time as _time
+    t0 = dt.datetime(2024, 1, 1)
+    schema = "user_id long, ts timestamp_ntz, event_id long"
+    batches = [[(1, t0 + dt.timedelta(minutes=m), m) for m in ms] for ms in ([0, 10, 20], [35, 100], [200, 300])]
+    late = [(1, t0 + dt.timedelta(minutes=5), 999)]            # older than the watermark by then
+    src = scratch_path(spark, "t_stream_multi")
+    sink, ck = scratch_path(spark, "t_sink_multi"), scratch_path(spark, "t_ck_multi")
+
+    def start():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+        return (SS.session_summary_stream(stream, "user_id", "ts", "30 minutes", "0 seconds").writeStream
+                .format("parquet").option("path", sink).option("checkpointLocation", ck)
+                .trigger(availableNow=True).start())
+
+    for b in batches:                       # files written in event-time order
+        spark.createDataFrame(b, schema).coalesce(1).write.mode("append").parquet(src)
+        _time.sleep(1.1)
+    start().awaitTermination()
+    spark.createDataFrame(late, schema).coalesce(1).write.mode("append").parquet(src)
+    start().awaitTermination()              # restart from the checkpoint: state and watermark kept
+    got = sorted((r.session_start.minute + 60 * r.session_start.hour, r.event_count)
+                 for r in spark.read.parquet(sink).collect())
+    # sessions: [0,10,20,35] (4 events, 35 - 20 < 30), [100], [200]; [300] is still open
+    assert got == [(0, 4), (100, 1), (200, 1)]
