@@ -1,7 +1,7 @@
 """Customer, sales and event analytics.
 
 All operators are lazy DataFrame -> DataFrame functions.  Column names and
-thresholds are parameters; the reference literals are the defaults.
+thresholds are parameters; the documented literals are the defaults.
 """
 
 from __future__ import annotations

@@ -2,7 +2,7 @@
 
 Each check is one distributed aggregate returning a small metrics
 DataFrame; where rows can offend, a second function returns them.  A
-reference ``bool`` result is ``status == 'OK'`` in the metrics.
+pass/fail answer is ``status == 'OK'`` in the metrics.
 """
 
 from __future__ import annotations
