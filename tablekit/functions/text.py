@@ -5,6 +5,7 @@ normalisation function) and the partial-ratio scorer."""
 from __future__ import annotations
 
 import unicodedata
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Column
@@ -95,18 +96,37 @@ BEST_MATCH = T.StructType([T.StructField("match", T.StringType()),
                            T.StructField("ord", T.LongType())])
 
 
+def ratio_upper_bound(a: str, b: str, counts: dict) -> float:
+    """An upper bound of ``partial_ratio(a, b)``: the LCS of the shorter
+    string with any window is at most the size of the multiset intersection
+    of their characters, so 100 * overlap / len(shorter) bounds the score."""
+    short, long_ = (a, b) if len(a) <= len(b) else (b, a)
+    if not short:
+        return 0.0
+    cs = counts.get(short) or counts.setdefault(short, Counter(short))
+    cl = counts.get(long_) or counts.setdefault(long_, Counter(long_))
+    overlap = sum(min(n, cl.get(ch, 0)) for ch, n in cs.items())
+    return 100.0 * overlap / len(short)
+
+
 @F.pandas_udf(BEST_MATCH)
 def best_partial_match(values: pd.Series, candidates: pd.Series) -> pd.DataFrame:
     """For each value, the candidate (struct ord, value) with the highest
-    partial ratio; ties keep the smallest ``ord``."""
+    partial ratio; ties keep the smallest ``ord``.  Exact branch and bound:
+    a candidate whose upper bound cannot beat the best so far is not scored
+    (every candidate is still considered)."""
     out_m, out_s, out_o = [], [], []
+    counts: dict = {}
     for v, cands in zip(values, candidates):
         best_m, best_s, best_o = None, -1.0, None
         if v and cands is not None:
             for c in sorted(cands, key=lambda r: r["ord"]):
-                s = partial_ratio(v, c["value"] or "")
+                cv = c["value"] or ""
+                if best_o is not None and (best_s >= 100.0 or ratio_upper_bound(v, cv, counts) <= best_s):
+                    continue
+                s = partial_ratio(v, cv)
                 if s > best_s:
-                    best_m, best_s, best_o = c["value"], s, c["ord"]
+                    best_m, best_s, best_o = cv, s, c["ord"]
         out_m.append(best_m)
         out_s.append(best_s if best_o is not None else None)
         out_o.append(best_o)

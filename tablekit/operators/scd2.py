@@ -121,7 +121,11 @@ def scd2_merge(new: DataFrame, current: DataFrame, keys: str | Sequence[str],
         differs = e if differs is None else differs | e
     status = (F.when(F.col("_tk_hit").isNull(), "NEW")
                .when(differs, "CHANGED").otherwise("UNCHANGED"))
-    classified = joined.withColumn("_tk_status", status)
+    # used three times below (changed keys twice, new versions): written
+    # once as Parquet in the shared folder instead of re-running the join
+    from ..session import materialize
+    classified = materialize(joined.withColumn("_tk_status", status).select(*keys, *attrs, "_tk_status"),
+                             "scd2_classified")
     changed_keys = classified.filter(F.col("_tk_status") == "CHANGED").select(*keys)
 
     expired = (active.join(changed_keys, keys, "left_semi")

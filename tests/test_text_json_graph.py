@@ -140,3 +140,13 @@ def test_shortest_paths_brute_force_on_fixture(spark):
                 heapq.heappush(heap, (d + w, u))
     got = {r.vertex: r.distance for r in G.shortest_paths(e, "src", "dst", "w", 0).collect()}
     assert {k: v for k, v in got.items() if v is not None} == dist
+
+
+def test_upper_bound_never_below_score():
+    import random
+    from tablekit.functions.text import ratio_upper_bound
+    rnd = random.Random(11)
+    for _ in range(500):
+        a = "".join(rnd.choice("abcde ") for _ in range(rnd.randint(1, 10)))
+        b = "".join(rnd.choice("abcdef") for _ in range(rnd.randint(1, 20)))
+        assert ratio_upper_bound(a, b, {}) >= partial_ratio(a, b) - 1e-9
