@@ -34,9 +34,20 @@ def test_dedup_partition_leaves_other_partitions(spark):
     df = spark.createDataFrame([(1, 1, "a", 1), (1, 2, "b", 1), (2, 1, "c", 2), (2, 1, "d", 2)],
                                "k long, o long, v string, p int")
     df.write.partitionBy("p").parquet(path)
+    import hashlib
+    import os
+    from tablekit.session import local_path
+
+    def other_files():
+        root = os.path.join(local_path(path), "p=2")
+        return {f: hashlib.sha256(open(os.path.join(root, f), "rb").read()).hexdigest()
+                for f in os.listdir(root)}
+
+    before = other_files()
     D.dedup_partition(spark, path, "p", 1, "k", ["o"], staging_path=scratch_path(spark, "t_stage"))
     back = spark.read.parquet(path)
     assert rows(back, "k", "v", "p") == [(1, "a", 1), (2, "c", 2), (2, "d", 2)]
+    assert other_files() == before          # other partitions untouched, byte for byte
 
 
 def test_scd2_intervals_open_end(spark):
