@@ -220,7 +220,10 @@ def market_basket_pairs(items: DataFrame, order: str, product: str, max_rank: in
            .offset(max_rank - 1).limit(1).agg(F.max("pair_count")))
     threshold = F.coalesce(kth.scalar(), F.lit(0))
     keep = totals.filter(F.col("_tk_tot") * max_mult >= threshold).select("_tk_p")
-    pairs = grid_pairs(per.join(keep, "_tk_p", "left_semi"))
+    # the pruned lines feed four plan branches below: written once, so the
+    # bound's subqueries run a single time
+    candidates = materialize(per.join(keep, "_tk_p", "left_semi"), "basket_candidates")
+    pairs = grid_pairs(candidates)
     w = Window.orderBy(F.col("pair_count").desc())
     return (pairs.withColumn("rank", F.rank().over(w))
                  .filter(F.col("rank") <= max_rank))
