@@ -96,26 +96,41 @@ POSITIVE, NEGATIVE, NEUTRAL = "positive", "negative", "neutral"
 
 def sentiment_label(df: DataFrame, text: str, lexicon: DataFrame, id_col: str,
                     word_col: str = "word", score_col: str = "polarity",
-                    pos_threshold: float = 0.1, neg_threshold: float = -0.1) -> DataFrame:
+                    pos_threshold: float = 0.1, neg_threshold: float = -0.1,
+                    max_map_words: int = 2_000_000) -> DataFrame:
     """Polarity per text = mean lexicon score of its tokens found in the
     lexicon (0 when none), labelled positive (> 0.1), negative (< -0.1) or
-    neutral.  Tokens are lower-case [a-z]+ runs of the whole text.
-
-    Tokens are exploded and counted per (text, word) map-side, joined to the
-    lexicon (AQE broadcasts it when small, splits skew otherwise), then
-    averaged per text with the counts as weights.
-    Texts with no lexicon word are kept through a left join."""
-    tokens = (spread(df).select(id_col, F.explode(F.split(F.lower(F.col(text)), "[^a-z]+")).alias("_tk_w"))
-                .filter(F.col("_tk_w") != ""))
-    # pre-aggregate (text, word) counts map-side: a frequent word such as
-    # "the" reaches the lexicon join once per text, not once per occurrence
-    counts = tokens.groupBy(id_col, "_tk_w").agg(F.count(F.lit(1)).alias("_tk_n"))
-    lex = lexicon.select(F.col(word_col).alias("_tk_w"), F.col(score_col).cast("double").alias("_tk_s"))
-    scores = (counts.join(lex, "_tk_w").groupBy(id_col)
-                    .agg((F.sum(F.col("_tk_s") * F.col("_tk_n")) / F.sum("_tk_n")).alias("_tk_p")))
-    pol = F.coalesce(F.col("_tk_p"), F.lit(0.0))
+    neutral.  Tokens are lower-case [a-z]+ runs of the whole text; a word
+    listed twice in the lexicon scores its mean.
+
+    A lexicon of at most ``max_map_words`` words (checked) becomes one map
+    value built by a scalar subquery; each text is then scored by
+    higher-order functions on its own row: no shuffle, no join, the text
+    never moves.  A larger lexicon is joined instead: (text, word) counts
+    are pre-aggregated map-side, joined (AQE picks the strategy and splits
+    skew), averaged with the counts as weights, and joined back on the id."""
+    lex = (lexicon.groupBy(F.col(word_col).alias("_tk_w"))
+                  .agg(F.avg(F.col(score_col).cast("double")).alias("_tk_s")))
+    tokens = F.split(F.lower(F.col(text)), "[^a-z]+")
+    if lex.count() <= max_map_words:
+        # the map is one value of a scalar subquery (a subquery may not sit
+        # inside a lambda, so it is bound to a column the lambda reads)
+        m = lex.agg(F.map_from_entries(F.collect_list(F.struct("_tk_w", "_tk_s")))).scalar()
+        hits = F.filter(F.transform(tokens, lambda w: F.try_element_at(F.col("_tk_m"), w)),
+                        lambda x: x.isNotNull())
+        total = F.aggregate(F.col("_tk_h"), F.lit(0.0), lambda acc, x: acc + x)
+        pol = F.coalesce(F.try_divide(total, F.size("_tk_h").cast("double")), F.lit(0.0))
+        scored = (spread(df).withColumn("_tk_m", m).withColumn("_tk_h", hits)
+                    .withColumn("_tk_p", pol).drop("_tk_m", "_tk_h"))
+    else:
+        words = (spread(df).select(id_col, F.explode(tokens).alias("_tk_w"))
+                           .filter(F.col("_tk_w") != ""))
+        counts = words.groupBy(id_col, "_tk_w").agg(F.count(F.lit(1)).alias("_tk_n"))
+        scores = (counts.join(lex, "_tk_w").groupBy(id_col)
+                        .agg((F.sum(F.col("_tk_s") * F.col("_tk_n")) / F.sum("_tk_n")).alias("_tk_p")))
+        scored = df.join(scores, id_col, "left").withColumn("_tk_p", F.coalesce(F.col("_tk_p"), F.lit(0.0)))
+    pol = F.col("_tk_p")
     label = (F.when(pol > pos_threshold, POSITIVE).when(pol < neg_threshold, NEGATIVE)
               .otherwise(NEUTRAL))
-    return (df.join(scores, id_col, "left")
-              .withColumn("polarity", F.round(pol, 6)).withColumn("sentiment", label)
-              .drop("_tk_p"))
+    return (scored.withColumn("polarity", F.round(pol, 6)).withColumn("sentiment", label)
+                  .drop("_tk_p"))

@@ -150,3 +150,13 @@ def test_upper_bound_never_below_score():
         a = "".join(rnd.choice("abcde ") for _ in range(rnd.randint(1, 10)))
         b = "".join(rnd.choice("abcdef") for _ in range(rnd.randint(1, 20)))
         assert ratio_upper_bound(a, b, {}) >= partial_ratio(a, b) - 1e-9
+
+
+def test_sentiment_map_and_join_paths_agree(spark):
+    df = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    lex = spark.createDataFrame([("the", 0.25), ("of", -0.375), ("and", 0.5), ("to", -0.625), ("to", 0.125)],
+                                "word string, polarity double")
+    a = TX.sentiment_label(df, "text", lex, "doc_id")
+    b = TX.sentiment_label(df, "text", lex, "doc_id", max_map_words=0)
+    cols = ("doc_id", "polarity", "sentiment")
+    assert rows(a, *cols) == rows(b, *cols)
