@@ -187,7 +187,7 @@ def market_basket_pairs(items: DataFrame, order: str, product: str, max_rank: in
     # reused by the seed choice, the bound and the candidate filter)
     totals = materialize(per.groupBy("_tk_p").agg(F.sum("_tk_m").alias("_tk_tot"),
                                                   F.max("_tk_m").alias("_tk_mx")), "basket_totals")
-    max_mult = totals.agg(F.max("_tk_mx")).scalar()
+    max_mult = totals.agg(F.max("_tk_mx")).first()[0] or 1
 
     def self_join_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
         a = left.select(*keys, F.col("_tk_p").alias("product_a"), F.col("_tk_m").alias("_tk_ma"))
@@ -217,13 +217,12 @@ def market_basket_pairs(items: DataFrame, order: str, product: str, max_rank: in
     seed_lines = per.join(F.broadcast(seed_products.select("_tk_p")), "_tk_p")
     seed_counts = self_join_on(seed_lines, seed_lines, ["_tk_o"])
     kth = (seed_counts.select("pair_count").orderBy(F.col("pair_count").desc())
-           .offset(max_rank - 1).limit(1).agg(F.max("pair_count")))
-    threshold = F.coalesce(kth.scalar(), F.lit(0))
-    keep = totals.filter(F.col("_tk_tot") * max_mult >= threshold).select("_tk_p")
-    # the pruned lines feed four plan branches below: written once, so the
-    # bound's subqueries run a single time
-    candidates = materialize(per.join(keep, "_tk_p", "left_semi"), "basket_candidates")
-    pairs = grid_pairs(candidates)
+           .offset(max_rank - 1).limit(1).first())
+    threshold = kth[0] if kth is not None else 0
+    # both bounds are plain numbers now: the candidate filter is a literal
+    # predicate and the plan below carries no subquery
+    keep = totals.filter(F.col("_tk_tot") * F.lit(max_mult) >= F.lit(threshold)).select("_tk_p")
+    pairs = grid_pairs(per.join(keep, "_tk_p", "left_semi"))
     w = Window.orderBy(F.col("pair_count").desc())
     return (pairs.withColumn("rank", F.rank().over(w))
                  .filter(F.col("rank") <= max_rank))
