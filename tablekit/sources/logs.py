@@ -3,8 +3,9 @@
 Lines are numbered per file without a single-task window: inside each file
 block (bounded by ``maxPartitionBytes``) a running count of entry starts is
 taken, and the starts of earlier blocks of the same file are added from a
-small per-block table.  Entries are then assembled by a group-by on
-(file, entry number); each group is one log entry.
+small per-block table.  Entries are then assembled per (file, block, entry)
+on the same partitioning; a group is one log entry, plus the lines that
+continue it in the next block.
 """
 
 from __future__ import annotations
@@ -25,25 +26,45 @@ AUDIT_COLUMNS = ["Env", "Log_Date", "Level", "Logger", "Message", "Run_ID", "Not
 
 def log_entries(lines: DataFrame, pattern: str = ENTRY_START) -> DataFrame:
     """``lines`` has columns line, file, block, seq (seq increasing within a
-    block).  Returns file, entry_key, lines (array in file order)."""
+    block).  Returns file, entry_key, lines (array in file order).
+
+    After the numbering window the rows are hash-partitioned by (file,
+    block); grouping by (file, block, entry) reuses that partitioning, so
+    the lines are shuffled once.  Only the lines at the top of a block that
+    continue an entry begun in an earlier block are grouped apart and joined
+    to their entry (one row per entry; normally a handful of lines)."""
     starts = lines.withColumn("_tk_start", F.col("line").rlike(pattern).cast("int"))
     in_block = Window.partitionBy("file", "block").orderBy("seq") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = starts.withColumn("_tk_local", F.sum("_tk_start").over(in_block))
-    per_block = starts.groupBy("file", "block").agg(F.sum("_tk_start").alias("_tk_n"))
+    per_block = local.groupBy("file", "block").agg(F.sum("_tk_start").alias("_tk_n"))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_block.select("file", "block",
-                               F.coalesce(F.sum("_tk_n").over(earlier), F.lit(0)).alias("_tk_off"))
-    numbered = local.join(offsets, ["file", "block"]) \
-        .withColumn("_tk_entry", F.col("_tk_off") + F.col("_tk_local"))
-    # lines before the first entry of a file are entries of their own
-    key = F.when(F.col("_tk_entry") == 0, F.concat(F.lit("o"), F.col("block").cast("string"),
-                                                   F.lit(":"), F.col("seq").cast("string"))) \
+    blocks = per_block.select(
+        "file", "block",
+        F.coalesce(F.sum("_tk_n").over(earlier), F.lit(0)).alias("_tk_off"),
+        # the block whose last entry continues into this one
+        F.last(F.when(F.col("_tk_n") > 0, F.col("block")), ignorenulls=True).over(earlier).alias("_tk_from"))
+    numbered = (local.join(blocks, ["file", "block"])
+                     .withColumn("_tk_entry", F.col("_tk_off") + F.col("_tk_local")))
+    orphan = F.col("_tk_entry") == 0                     # before the file's first entry
+    carried = (F.col("_tk_local") == 0) & ~orphan          # continues an earlier block's entry
+    key = F.when(orphan, F.concat(F.lit("o"), F.col("block").cast("string"), F.lit(":"),
+                                  F.col("seq").cast("string"))) \
            .otherwise(F.col("_tk_entry").cast("string"))
-    grouped = (numbered.withColumn("entry_key", key)
-               .groupBy("file", "entry_key")
-               .agg(F.array_sort(F.collect_list(F.struct("block", "seq", "line"))).alias("_tk_l")))
-    return grouped.select("file", "entry_key", F.transform("_tk_l", lambda s: s["line"]).alias("lines"))
+    keyed = numbered.withColumn("entry_key", key)
+    main = (keyed.filter(~carried)
+                 .groupBy("file", "block", "entry_key")
+                 .agg(F.array_sort(F.collect_list(F.struct("seq", "line"))).alias("_tk_l")))
+    # at most one carried entry per source block: its last one
+    cont = (keyed.filter(carried)
+                 .groupBy("file", F.col("_tk_from").alias("block"))
+                 .agg(F.first("entry_key").alias("_tk_ckey"),
+                      F.array_sort(F.collect_list(F.struct("block", "seq", "line"))).alias("_tk_c")))
+    joined = main.join(cont, ["file", "block"], "left")
+    tail = F.when(F.col("_tk_ckey") == F.col("entry_key"), F.transform("_tk_c", lambda s: s["line"]))
+    lines_out = F.concat(F.transform("_tk_l", lambda s: s["line"]),
+                         F.coalesce(tail, F.array().cast("array<string>")))
+    return joined.select("file", "entry_key", lines_out.alias("lines"))
 
 
 def parse_entries(entries: DataFrame) -> DataFrame:
