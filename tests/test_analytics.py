@@ -1,7 +1,6 @@
 import datetime as dt
 
 from conftest import rows
-from pyspark.sql import functions as F
 
 from tablekit.operators import analytics as A
 

@@ -2,7 +2,6 @@ import datetime as dt
 
 from conftest import rows
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tablekit.operators import dedup as D
 from tablekit.operators import scd2 as S

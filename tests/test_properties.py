@@ -2,7 +2,6 @@
 examples: each example is a Spark job)."""
 
 import datetime as dt
-import math
 from collections import Counter, defaultdict
 
 from hypothesis import HealthCheck, given, settings

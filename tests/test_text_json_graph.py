@@ -3,7 +3,6 @@ import json
 import random
 
 from conftest import SF_SMALL, rows
-from pyspark.sql import functions as F
 
 from tablekit.functions.text import lcs_length, partial_ratio
 from tablekit.operators import graph as G
