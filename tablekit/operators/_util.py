@@ -13,11 +13,13 @@ def as_list(cols: str | Sequence[str] | None) -> list[str]:
 
 
 def order_cols(cols: Sequence[str | Column] | str | None) -> list[Column]:
+    """Order columns; names sort ascending with NULLs last (the SQL
+    default the operators follow; Spark's own default is NULLS FIRST)."""
     if cols is None:
         return []
     if isinstance(cols, (str, Column)):
         cols = [cols]
-    return [F.col(c) if isinstance(c, str) else c for c in cols]
+    return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in cols]
 
 
 def null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str],

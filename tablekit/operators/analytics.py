@@ -238,7 +238,7 @@ def monthly_revenue_growth(df: DataFrame, ts: str, amount: str, round_to: int |
     if round_to is not None:
         rev = F.round(rev, round_to)
     monthly = df.groupBy(month_start(ts).alias("month")).agg(rev.alias("revenue"))
-    w = Window.orderBy("month")
+    w = Window.orderBy(F.col("month").asc_nulls_last())
     prev = F.lag("revenue").over(w)
     growth = F.round(F.try_divide(F.col("revenue") - F.col("previous_month"),
                                   F.col("previous_month")) * 100, 2)
@@ -273,7 +273,7 @@ def activity_streaks(df: DataFrame, user: str, day: str, min_len: int = 5) -> Da
     rows are then bounded by the number of calendar days, whatever the event
     volume of a hot user."""
     days = df.select(F.col(user), to_day(day).alias("_tk_d")).filter(F.col("_tk_d").isNotNull()).distinct()
-    w = Window.partitionBy(user).orderBy("_tk_d")
+    w = Window.partitionBy(user).orderBy(F.col("_tk_d").asc_nulls_last())
     islands = days.withColumn("_tk_g", F.date_sub(F.col("_tk_d"), F.row_number().over(w)))
     return (islands.groupBy(user, "_tk_g")
                    .agg(F.min("_tk_d").alias("start_streak"), F.max("_tk_d").alias("end_streak"),

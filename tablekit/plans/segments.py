@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SEG = "_tk_seg"
+NULL_SEG = 1 << 62  # hot keys' NULL times form the last segment (NULLS LAST)
 HOT = "_tk_hot"  # only hot keys have more than one segment, so only they need border values
 DEFAULT_ROWS_PER_SEGMENT = 4_000_000
 
@@ -62,7 +63,8 @@ def _join_back(df: DataFrame, small: DataFrame, keys: Sequence[str], broadcast:
 def segment(df: DataFrame, keys: Sequence[str], t: Column,
             rows_per_segment: int = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
     """Add ``_tk_t`` (numeric order) and ``_tk_seg`` (segment number; 0 for
-    ordinary keys, -1 for NULL times of hot keys so they sort first)."""
+    ordinary keys; NULL times of hot keys form the last segment, matching
+    the ascending NULLS LAST order of the windows)."""
     base = df.withColumn("_tk_t", t)
     for i, k in enumerate(keys):
         base = (base.withColumn(f"_tk_kv{i}", F.coalesce(F.col(k), _default(df.schema[k].dataType)))
@@ -77,7 +79,7 @@ def segment(df: DataFrame, keys: Sequence[str], t: Column,
     # at most total_rows / rows_per_segment hot keys: a proven broadcast bound
     joined = _join_back(base, hot, nk, broadcast=True)
     seg = (F.when(F.col("_tk_w").isNull(), F.lit(0))
-            .otherwise(F.coalesce(F.expr("(_tk_t - _tk_lo) div _tk_w"), F.lit(-1))))
+            .otherwise(F.coalesce(F.expr("(_tk_t - _tk_lo) div _tk_w"), F.lit(NULL_SEG))))
     return (joined.withColumn(SEG, seg.cast("long")).withColumn(HOT, F.col("_tk_w").isNotNull())
                   .drop("_tk_lo", "_tk_w"))
 
@@ -87,7 +89,7 @@ def unsegment(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _w(keys, order):
-    return Window.partitionBy(*norm_keys(keys), SEG).orderBy(*order)
+    return Window.partitionBy(*norm_keys(keys), SEG).orderBy(*[F.col(c).asc_nulls_last() for c in order])
 
 
 def seg_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:

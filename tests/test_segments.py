@@ -62,3 +62,19 @@ def test_hot_null_key_segmented(spark):
     assert rows(a, *cols) == rows(b, *cols)
     sessions_null = {r.session_id for r in a.filter("u is null").collect()}
     assert len(sessions_null) >= 1
+
+
+def test_null_times_sort_last_segmented_or_not(spark):
+    import datetime as dt
+    from pyspark.sql import Window
+    from tablekit.operators import dedup as D
+    t0 = dt.datetime(2024, 1, 1)
+    data = [(i % 2, None if i % 9 == 0 else t0 + dt.timedelta(minutes=i), i) for i in range(60)]
+    df = spark.createDataFrame(data, "u long, t timestamp_ntz, id long")
+    w = Window.partitionBy("u").orderBy(F.col("t").asc_nulls_last(), F.col("id"))
+    plain = df.withColumn("previous_purchase", F.lag("t").over(w))
+    for rps in (4, 10**9):
+        seg = A.time_between_purchases(df, "u", "t", ["id"], rows_per_segment=rps)
+        assert rows(seg, "id", "previous_purchase") == rows(plain, "id", "previous_purchase")
+    first = D.dedup_keep_first(df.withColumn("k", F.lit(1)), "k", ["t", "id"]).first()
+    assert first.t == t0 + dt.timedelta(minutes=1)      # a NULL time is never "earliest"
