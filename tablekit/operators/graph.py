@@ -1,10 +1,11 @@
 """Graph jobs over an edge table.
 
 Iterative: the driver loops over rounds, each round is a pair of joins and
-one ``isEmpty`` action; the new frontier is cut from its lineage with a
-reliable ``checkpoint()`` in the shared checkpoint folder, so a lost
-executor recomputes at most one round.  The edge table, read every round,
-is written once as Parquet in the same shared folder.  Edges are not hash-partitioned by
+one ``isEmpty`` action.  The edge table (read every round) and each round's
+frontier / distance table are written as Parquet in the shared checkpoint
+folder: lineage is cut, a lost executor recomputes at most one round, and
+the planner sees real sizes, so a small frontier is broadcast and the edge
+table is only scanned, never shuffled, in that round.  Edges are not hash-partitioned by
 source (a hub vertex would make one huge partition); AQE broadcasts a small
 frontier at run time and splits skewed partitions when it shuffles.
 """
@@ -35,10 +36,10 @@ def bfs_levels(edges: DataFrame, src: str, dst: str, start, max_hops: int | None
     hop = 0
     while max_hops is None or hop < max_hops:
         hop += 1
-        nxt = (frontier.join(e, frontier[vertex_col] == e["_tk_s"])
-               .select(F.col("_tk_d").alias(vertex_col)).distinct()
-               .join(visited.select(vertex_col), vertex_col, "left_anti")
-               .withColumn(hop_col, F.lit(hop))).checkpoint(eager=True)
+        nxt = materialize(frontier.join(e, frontier[vertex_col] == e["_tk_s"])
+                          .select(F.col("_tk_d").alias(vertex_col)).distinct()
+                          .join(visited.select(vertex_col), vertex_col, "left_anti")
+                          .withColumn(hop_col, F.lit(hop)), "bfs_frontier")
         if nxt.isEmpty():
             break
         visited = visited.unionByName(nxt)
@@ -63,10 +64,11 @@ def shortest_paths(edges: DataFrame, src: str, dst: str, weight: str, start,
     vertices = (e.select(F.col("_tk_s").alias(vertex_col))
                  .unionByName(e.select(F.col("_tk_d").alias(vertex_col)))
                  .unionByName(spark.range(1).select(F.lit(start).cast(vtype).alias(vertex_col)))
-                 .distinct()).checkpoint(eager=True)
+                 .distinct())
+    vertices = materialize(vertices, "sp_vertices")
     limit = max_rounds if max_rounds is not None else max(vertices.count() - 1, 0)
-    dist = spark.range(1).select(F.lit(start).cast(vtype).alias(vertex_col),
-                                 F.lit(0.0).alias(dist_col)).checkpoint(eager=True)
+    dist = materialize(spark.range(1).select(F.lit(start).cast(vtype).alias(vertex_col),
+                                             F.lit(0.0).alias(dist_col)), "sp_dist")
     changed = dist
     negative = False
     rounds = 0
@@ -74,17 +76,17 @@ def shortest_paths(edges: DataFrame, src: str, dst: str, weight: str, start,
         cand = (changed.join(e, changed[vertex_col] == e["_tk_s"])
                 .groupBy(F.col("_tk_d").alias(vertex_col))
                 .agg(F.min(F.col(dist_col) + F.col("_tk_w")).alias("_tk_nd")))
-        improved = (cand.join(dist, vertex_col, "left")
-                    .filter(F.col(dist_col).isNull() | (F.col("_tk_nd") < F.col(dist_col)))
-                    .select(vertex_col, F.col("_tk_nd").alias(dist_col))).checkpoint(eager=True)
+        improved = materialize(cand.join(dist, vertex_col, "left")
+                               .filter(F.col(dist_col).isNull() | (F.col("_tk_nd") < F.col(dist_col)))
+                               .select(vertex_col, F.col("_tk_nd").alias(dist_col)), "sp_improved")
         if improved.isEmpty():
             break
         if rounds >= limit:
             negative = True
             break
         rounds += 1
-        dist = (dist.join(improved.select(vertex_col), vertex_col, "left_anti")
-                    .unionByName(improved)).checkpoint(eager=True)
+        dist = materialize(dist.join(improved.select(vertex_col), vertex_col, "left_anti")
+                           .unionByName(improved), "sp_dist")
         changed = improved
     return (vertices.join(dist, vertex_col, "left")
                     .withColumn("negative_cycle", F.lit(negative)))
