@@ -5,9 +5,10 @@ one ``isEmpty`` action.  The edge table (read every round) and each round's
 frontier / distance table are written as Parquet in the shared checkpoint
 folder: lineage is cut, a lost executor recomputes at most one round, and
 the planner sees real sizes, so a small frontier is broadcast and the edge
-table is only scanned, never shuffled, in that round.  Edges are not hash-partitioned by
-source (a hub vertex would make one huge partition); AQE broadcasts a small
-frontier at run time and splits skewed partitions when it shuffles.
+table is only scanned, never shuffled, in that round.  Edges are not
+hash-partitioned or bucketed by source (a hub vertex would make one huge
+partition); when a frontier is too large to broadcast, AQE splits skewed
+partitions of the shuffled join.
 """
 
 from __future__ import annotations
