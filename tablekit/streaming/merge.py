@@ -18,7 +18,8 @@ def merge_insert_new_stream(stream: DataFrame, target_path: str, keys: str | Seq
     """Duplicate keys within the watermark are dropped in the stream
     (``dropDuplicatesWithinWatermark``, state bounded by the watermark); each
     micro-batch then inserts only rows whose key is absent from the target
-    (anti join), so late duplicates and a replayed batch insert nothing.
+    (anti join, reading only target keys within the batch's key range), so
+    late duplicates and a replayed batch insert nothing.
     Returns the started ``StreamingQuery``."""
     keys = as_list(keys)
     spark = stream.sparkSession
@@ -30,7 +31,14 @@ def merge_insert_new_stream(stream: DataFrame, target_path: str, keys: str | Seq
     def insert_batch(batch: DataFrame, _epoch: int) -> None:
         b = batch.dropDuplicates(keys)
         if path_exists(spark, target_path):
-            b = b.join(spark.read.parquet(target_path).select(*keys), keys, "left_anti")
+            # only target keys inside the batch's key range can match: the
+            # range predicate reaches the Parquet scan, whose row-group
+            # min/max statistics skip the rest of the target
+            lo_hi = b.agg(F.min(keys[0]).alias("lo"), F.max(keys[0]).alias("hi")).first()
+            existing = spark.read.parquet(target_path).select(*keys)
+            if lo_hi["lo"] is not None:
+                existing = existing.filter(F.col(keys[0]).between(F.lit(lo_hi["lo"]), F.lit(lo_hi["hi"])))
+            b = b.join(existing, keys, "left_anti")
         b.write.mode("append").parquet(target_path)
 
     w = deduped.writeStream.foreachBatch(insert_batch)

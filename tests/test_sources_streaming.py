@@ -166,3 +166,23 @@ def test_stream_sessions_across_batches_and_late_data(spark):
                  for r in spark.read.parquet(sink).collect())
     # sessions: [0,10,20,35] (4 events, 35 - 20 < 30), [100], [200]; [300] is still open
     assert got == [(0, 4), (100, 1), (200, 1)]
+
+
+def test_stream_insert_only_across_batches(spark):
+    import time as _time
+    from tablekit.streaming import merge as SM
+    schema = "event_id long, ts timestamp_ntz, v string"
+    t0 = dt.datetime(2024, 1, 1)
+    first = [(i, t0 + dt.timedelta(minutes=i), "a") for i in range(20)]
+    second = [(i, t0 + dt.timedelta(minutes=i), "b") for i in range(10, 30)]   # 10..19 repeat
+    src = scratch_path(spark, "t_ins_src")
+    for rows_ in (first, second):
+        spark.createDataFrame(rows_, schema).coalesce(1).write.mode("append").parquet(src)
+        _time.sleep(1.1)
+    target, ck = scratch_path(spark, "t_ins_target"), scratch_path(spark, "t_ins_ck")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    SM.merge_insert_new_stream(stream, target, "event_id", "ts", watermark="1 minute",
+                               checkpoint=ck).awaitTermination()
+    got = {r.event_id: r.v for r in spark.read.parquet(target).collect()}
+    assert sorted(got) == list(range(30))
+    assert all(got[i] == "a" for i in range(20)) and all(got[i] == "b" for i in range(20, 30))
