@@ -111,8 +111,8 @@ def ratio_upper_bound(a: str, b: str, counts: dict) -> float:
 
 @F.pandas_udf(BEST_MATCH)
 def best_partial_match(values: pd.Series, candidates: pd.Series) -> pd.DataFrame:
-    """For each value, the candidate (struct ord, value) with the highest
-    partial ratio; ties keep the smallest ``ord``.  Exact branch and bound:
+    """For each value, the candidate (struct ord, value; sorted by ord) with
+    the highest partial ratio; ties keep the smallest ``ord``.  Exact branch and bound:
     a candidate whose upper bound cannot beat the best so far is not scored
     (every candidate is still considered)."""
     out_m, out_s, out_o = [], [], []
@@ -120,7 +120,7 @@ def best_partial_match(values: pd.Series, candidates: pd.Series) -> pd.DataFrame
     for v, cands in zip(values, candidates):
         best_m, best_s, best_o = None, -1.0, None
         if v and cands is not None:
-            for c in sorted(cands, key=lambda r: r["ord"]):
+            for c in cands:
                 cv = c["value"] or ""
                 if best_o is not None and (best_s >= 100.0 or ratio_upper_bound(v, cv, counts) <= best_s):
                     continue

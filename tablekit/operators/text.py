@@ -66,8 +66,8 @@ def fuzzy_match(dirty: DataFrame, ref: DataFrame, column: str, ref_column: str,
     numbered = global_positions(refs, [F.col("_tk_o"), F.col("_tk_v")], pos_col="_tk_ord")
     chunks = (numbered.withColumn("_tk_chunk", F.floor((F.col("_tk_ord") - 1) / chunk_size))
                       .groupBy("_tk_chunk")
-                      .agg(F.collect_list(F.struct(F.col("_tk_ord").alias("ord"),
-                                                   F.col("_tk_v").alias("value"))).alias("_tk_cands")))
+                      .agg(F.array_sort(F.collect_list(F.struct(F.col("_tk_ord").alias("ord"),
+                                                                F.col("_tk_v").alias("value")))).alias("_tk_cands")))
     n_chunks = chunks.agg(F.count(F.lit(1))).scalar()
     values = dirty.select(F.col(column).cast("string").alias(column)).distinct()
     fanned = values.withColumn("_tk_chunk", F.explode(F.sequence(F.lit(0).cast("long"),
