@@ -107,3 +107,27 @@ def test_customer_tiers_is_ntile(spark, amounts, parts):
             expect[c] = labels[tile]
         pos += size
     assert got == expect
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 8), st.sampled_from(["a", "b", None])), max_size=12),
+       st.lists(st.tuples(st.integers(0, 8), st.sampled_from(["a", "b", "c", None])), max_size=12))
+def test_scd2_merge_output_passes_checks(spark, current_rows, new_rows):
+    from pyspark.sql import functions as F
+    from tablekit.operators import scd2 as S
+    t0 = dt.datetime(2020, 1, 1)
+    seen, cur = set(), []
+    for i, (k, a) in enumerate(current_rows):
+        if k not in seen:                                   # a valid dimension: one current row per key
+            seen.add(k)
+            cur.append((i + 1, k, a, t0, None, True))
+    current = spark.createDataFrame(cur, "SurrogateKey long, k long, a string, Start_Date timestamp_ntz, "
+                                         "End_Date timestamp_ntz, Flg_Is_Current boolean")
+    new = spark.createDataFrame([(k, a, i) for i, (k, a) in enumerate(new_rows)], "k long, a string, n long")
+    out = S.scd2_merge(new, current, "k", ["a"], now=F.lit("2024-01-01").cast("timestamp_ntz"),
+                       tie_break=["n"])
+    assert S.scd2_single_current(out, "k", "Flg_Is_Current").count() == 0
+    assert S.scd2_overlaps(out, "k", "Start_Date", "End_Date", mode="any").count() == 0
+    keys = [r.SurrogateKey for r in out.collect()]
+    assert len(keys) == len(set(keys))                       # surrogate keys stay unique
+    assert out.filter("Flg_Is_Current").count() == len(seen | {k for k, _ in new_rows})
