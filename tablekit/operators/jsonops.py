@@ -151,6 +151,14 @@ def json_to_tables(df: DataFrame, payload: str, key_col: str | None = None,
     base = materialize(df.select((F.col(key_col) if key_col else F.sha2(F.col(payload), 256)).alias(key),
                                  _variant(df, payload).alias("_tk_v")), "json_parsed")
     schema = {r["path"]: r["sql_type"] for r in infer_json_columns(base, "_tk_v").collect()}
+    if schema.get("[]") == "OBJECT":
+        # documents that are arrays of records: one record per element,
+        # keyed by the document key and the element position
+        base = (base.select(key, F.posexplode(F.try_variant_get(F.col("_tk_v"), "$", "array<variant>"))
+                                 .alias("_tk_pos", "_tk_e"))
+                    .select(F.concat_ws(":", F.col(key).cast("string"), F.col("_tk_pos").cast("string")).alias(key),
+                            F.col("_tk_e").alias("_tk_v")))
+        schema = {p[3:]: t for p, t in schema.items() if p.startswith("[].")}
     tables: dict[str, DataFrame] = {}
 
     def children(prefix: str) -> list[str]:

@@ -159,3 +159,11 @@ def test_sentiment_map_and_join_paths_agree(spark):
     b = TX.sentiment_label(df, "text", lex, "doc_id", max_map_words=0)
     cols = ("doc_id", "polarity", "sentiment")
     assert rows(a, *cols) == rows(b, *cols)
+
+
+def test_json_to_tables_top_level_array(spark):
+    df = spark.createDataFrame([("doc1", json.dumps(PEOPLE[:2]))], "k string, payload string")
+    tabs = J.json_to_tables(df, "payload", key_col="k")
+    assert rows(tabs["root"], "k", "id", "nome") == [("doc1:0", 1, "Alice"), ("doc1:1", 2, "Bob")]
+    assert rows(tabs["telefones"], "root_id", "value") == [("doc1:0", "1234-5678"), ("doc1:0", "9876-5432")]
+    assert tabs["endereco"].count() == 2
