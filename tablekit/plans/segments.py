@@ -8,8 +8,8 @@ holds a third of the table, that task holds a third of the table.  Here:
    rows_per_segment of them, so their (key, min, width) table has a proven
    size bound and is broadcast;
 2. each hot key's rows are cut into consecutive time segments of about
-   ``rows_per_segment`` rows (equal-width slices of the key's own time
-   span); other keys form a single segment;
+   ``rows_per_segment`` rows (equal-count, from a histogram of fine time
+   slices); other keys form a single segment;
 3. the window runs per (key, segment) - one shuffle, balanced tasks;
 4. the values that cross a segment border (last value of the previous
    segment, first value of the next, prefix sums of earlier segments) come
@@ -30,6 +30,8 @@ from pyspark.sql import types as T
 
 SEG = "_tk_seg"
 NULL_SEG = 1 << 62  # hot keys' NULL times form the last segment (NULLS LAST)
+FINE_PER_SEGMENT = 16  # histogram slices per intended segment of a hot key
+SUB_MAX = 1 << 20      # most sub-slices of one heavy slice (level 2)
 HOT = "_tk_hot"  # only hot keys have more than one segment, so only they need border values
 DEFAULT_ROWS_PER_SEGMENT = 4_000_000
 
@@ -62,9 +64,15 @@ def _join_back(df: DataFrame, small: DataFrame, keys: Sequence[str], broadcast:
 
 def segment(df: DataFrame, keys: Sequence[str], t: Column,
             rows_per_segment: int = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
-    """Add ``_tk_t`` (numeric order) and ``_tk_seg`` (segment number; 0 for
-    ordinary keys; NULL times of hot keys form the last segment, matching
-    the ascending NULLS LAST order of the windows)."""
+    """Add ``_tk_t`` (numeric order), ``_tk_seg`` (segment number) and
+    ``_tk_hot``.  Ordinary keys form segment 0.  A hot key's time span is cut
+    into ``FINE_PER_SEGMENT`` fine equal-width slices per intended segment;
+    a map-side aggregated histogram of those slices (one row per non-empty
+    slice) gives each slice the number of earlier rows of its key, and
+    consecutive slices are grouped into segments of about
+    ``rows_per_segment`` rows - equal-count, even when a key's rows crowd
+    into a short stretch of its span.  NULL times of hot keys form the last
+    segment (the windows order NULLs last)."""
     base = df.withColumn("_tk_t", t)
     for i, k in enumerate(keys):
         base = (base.withColumn(f"_tk_kv{i}", F.coalesce(F.col(k), _default(df.schema[k].dataType)))
@@ -72,16 +80,37 @@ def segment(df: DataFrame, keys: Sequence[str], t: Column,
     nk = norm_keys(keys)
     stats = base.groupBy(*nk).agg(F.count(F.lit(1)).alias("_tk_n"), F.min("_tk_t").alias("_tk_lo"),
                                     F.max("_tk_t").alias("_tk_hi"))
+    slices = f"ceil(_tk_n / {int(rows_per_segment)}) * {FINE_PER_SEGMENT}"
     hot = (stats.filter(F.col("_tk_n") > rows_per_segment)
-                .select(*nk, "_tk_lo",
-                        (F.expr("(_tk_hi - _tk_lo) div ceil(_tk_n / {0})".format(int(rows_per_segment))) + 1)
-                        .alias("_tk_w")))
+                .select(*nk, "_tk_lo", (F.expr(f"(_tk_hi - _tk_lo) div ({slices})") + 1).alias("_tk_w")))
     # at most total_rows / rows_per_segment hot keys: a proven broadcast bound
     joined = _join_back(base, hot, nk, broadcast=True)
-    seg = (F.when(F.col("_tk_w").isNull(), F.lit(0))
-            .otherwise(F.coalesce(F.expr("(_tk_t - _tk_lo) div _tk_w"), F.lit(NULL_SEG))))
-    return (joined.withColumn(SEG, seg.cast("long")).withColumn(HOT, F.col("_tk_w").isNotNull())
-                  .drop("_tk_lo", "_tk_w"))
+    fine = F.when(F.col("_tk_w").isNotNull(),
+                  F.coalesce(F.expr("(_tk_t - _tk_lo) div _tk_w"), F.lit(NULL_SEG)))
+    sliced = joined.withColumn("_tk_f1", fine).withColumn(HOT, F.col("_tk_w").isNotNull())
+    # level 2: a slice that alone holds more than rows_per_segment rows (at
+    # most rows / rows_per_segment such slices: broadcast-bounded) is cut
+    # again, so rows crowding into a short stretch still split evenly
+    counts1 = sliced.filter(HOT).groupBy(*nk, "_tk_f1").agg(
+        F.count(F.lit(1)).alias("_tk_c1"), F.min("_tk_t").alias("_tk_b2"), F.max("_tk_t").alias("_tk_e2"))
+    sub = F.least(F.ceil(F.col("_tk_c1") / F.lit(rows_per_segment)) * FINE_PER_SEGMENT, F.lit(SUB_MAX))
+    # sub-slices span the rows' own time range inside the slice
+    heavy = (counts1.filter((F.col("_tk_c1") > rows_per_segment) & (F.col("_tk_f1") != NULL_SEG))
+                    .select(*nk, "_tk_f1", "_tk_b2",
+                            (F.floor((F.col("_tk_e2") - F.col("_tk_b2")) / sub).cast("long") + 1).alias("_tk_w2")))
+    two = _join_back(sliced, heavy, nk + ["_tk_f1"], broadcast=True)
+    f2 = F.when(F.col("_tk_w2").isNotNull(), F.expr("(_tk_t - _tk_b2) div _tk_w2")).otherwise(F.lit(0))
+    fs = F.when(F.col("_tk_f1") == NULL_SEG, F.lit(NULL_SEG)).otherwise(F.col("_tk_f1") * SUB_MAX + f2)
+    keyed = two.withColumn("_tk_fs", fs).drop("_tk_b2", "_tk_w2", "_tk_f1")
+    # histogram of the hot keys' slices: partial aggregate, one row per
+    # non-empty slice; a prefix count over it assigns slices to segments
+    hist = keyed.filter(HOT).groupBy(*nk, "_tk_fs").agg(F.count(F.lit(1)).alias("_tk_c"))
+    before = Window.partitionBy(*nk).orderBy("_tk_fs").rowsBetween(Window.unboundedPreceding, -1)
+    seg_of = hist.select(*nk, "_tk_fs", F.when(F.col("_tk_fs") == NULL_SEG, F.lit(NULL_SEG)).otherwise(
+        F.floor(F.coalesce(F.sum("_tk_c").over(before), F.lit(0)) / F.lit(rows_per_segment))).alias("_tk_sg"))
+    out = keyed.join(seg_of, nk + ["_tk_fs"], "left")
+    return (out.withColumn(SEG, F.coalesce(F.col("_tk_sg"), F.lit(0)).cast("long"))
+               .drop("_tk_lo", "_tk_w", "_tk_fs", "_tk_sg"))
 
 
 def unsegment(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -78,3 +78,21 @@ def test_null_times_sort_last_segmented_or_not(spark):
         assert rows(seg, "id", "previous_purchase") == rows(plain, "id", "previous_purchase")
     first = D.dedup_keep_first(df.withColumn("k", F.lit(1)), "k", ["t", "id"]).first()
     assert first.t == t0 + dt.timedelta(minutes=1)      # a NULL time is never "earliest"
+
+
+def test_hot_key_segments_are_equal_count_when_rows_crowd(spark):
+    import datetime as dt
+    from tablekit.functions.time import epoch_micros
+    from tablekit.plans.segments import SEG, segment
+    t0 = dt.datetime(2024, 1, 1)
+    # 1 row a day for a year, plus 2000 rows within one hour of one day
+    data = [(1, t0 + dt.timedelta(days=d)) for d in range(365)]
+    data += [(1, t0 + dt.timedelta(days=200, seconds=s)) for s in range(2000)]
+    df = spark.createDataFrame(data, "u long, t timestamp_ntz")
+    seg = segment(df, ["u"], epoch_micros(df, "t"), rows_per_segment=100)
+    sizes = [r["count"] for r in seg.groupBy(SEG).count().collect()]
+    assert len(sizes) >= 20 and max(sizes) <= 300      # equal-width slices would put ~2000 in one
+    a = A.time_between_purchases(df.withColumn("id", F.monotonically_increasing_id()), "u", "t", ["id"],
+                                 rows_per_segment=100)
+    b = A.time_between_purchases(df.withColumn("id", F.monotonically_increasing_id()), "u", "t", ["id"])
+    assert rows(a, "t", "previous_purchase") == rows(b, "t", "previous_purchase")
