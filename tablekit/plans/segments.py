@@ -83,7 +83,11 @@ def segment(df: DataFrame, keys: Sequence[str], t: Column,
     slices = f"ceil(_tk_n / {int(rows_per_segment)}) * {FINE_PER_SEGMENT}"
     hot = (stats.filter(F.col("_tk_n") > rows_per_segment)
                 .select(*nk, "_tk_lo", (F.expr(f"(_tk_hi - _tk_lo) div ({slices})") + 1).alias("_tk_w")))
-    # at most total_rows / rows_per_segment hot keys: a proven broadcast bound
+    # at most total_rows / rows_per_segment hot keys: a proven broadcast bound.
+    # One aggregate job decides: with no hot key the frame gets constant
+    # segment 0 and every border fix-up is pruned while planning.
+    if hot.isEmpty():
+        return base.withColumn(SEG, F.lit(0).cast("long")).withColumn(HOT, F.lit(False))
     joined = _join_back(base, hot, nk, broadcast=True)
     fine = F.when(F.col("_tk_w").isNotNull(),
                   F.coalesce(F.expr("(_tk_t - _tk_lo) div _tk_w"), F.lit(NULL_SEG)))
