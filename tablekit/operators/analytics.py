@@ -25,31 +25,53 @@ def _cols(cols: str | Sequence[str] | None) -> list[str]:
 
 # ---------------------------------------------------------------- A01
 def burst_events(df: DataFrame, user: str, ts: str, window="1 minute", min_count: int = 5,
-                 count_col: str = "events_in_window", bucket=None) -> DataFrame:
+                 count_col: str = "events_in_window", bucket=None,
+                 rows_per_segment: int = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
     """Rows whose user has >= ``min_count`` events in the trailing ``window``
     (inclusive at both ends, equal timestamps count each other).
 
-    Scale: instead of one window partition per user (a hot user would be one
-    task) rows are split into (user, time bucket) partitions; each bucket also
-    receives, as context, the rows of the previous bucket that lie within
-    ``window`` of its start.  Exact for any bucket >= window; the copy factor
-    is window/bucket (1/64 by default).
-    """
+    Scale: a user with more than ``rows_per_segment`` rows (decided by one
+    aggregate job; at most rows / rows_per_segment such users, so their
+    table is broadcast) is split into time buckets of its own width
+    (span * rows_per_segment / rows, never narrower than ``window``); each
+    bucket also receives, as context, the rows of the previous bucket that
+    lie within ``window`` of its start, which makes the RANGE count exact.
+    With no hot user this is the plain per-user RANGE window.  An explicit
+    ``bucket`` width splits every user that way instead."""
     w = duration_micros(window)
-    b = duration_micros(bucket) if bucket is not None else max(64 * w, 3_600_000_000)
-    if b < w:
-        raise ValueError("bucket must be >= window")
-    base = (df.withColumn("_tk_t", epoch_micros(df, ts))
-              .withColumn("_tk_b", bucket_of(F.col("_tk_t"), b).cast("long")))
-    own = base.withColumn("_tk_own", F.lit(True))
-    ctx = (base.filter(F.col("_tk_t") >= (F.col("_tk_b") + 1) * F.lit(b) - F.lit(w))
-               .withColumn("_tk_b", F.col("_tk_b") + 1)
-               .withColumn("_tk_own", F.lit(False)))
+    base = df.withColumn("_tk_t", epoch_micros(df, ts))
+    if bucket is not None:
+        b = duration_micros(bucket)
+        if b < w:
+            raise ValueError("bucket must be >= window")
+        keyed = base.withColumn("_tk_lo", F.lit(0).cast("long")).withColumn("_tk_bw", F.lit(b).cast("long"))
+    else:
+        stats = base.groupBy(user).agg(F.count(F.lit(1)).alias("_tk_n"), F.min("_tk_t").alias("_tk_lo"),
+                                       F.max("_tk_t").alias("_tk_hi"))
+        width = F.greatest(F.lit(w), F.floor((F.col("_tk_hi") - F.col("_tk_lo")) * F.lit(rows_per_segment)
+                                             / F.col("_tk_n"))).cast("long") + 1
+        hot = stats.filter(F.col("_tk_n") > rows_per_segment).select(
+            F.col(user).alias("_tk_u"), "_tk_lo", width.alias("_tk_bw"))
+        if hot.isEmpty():
+            frame = Window.partitionBy(user).orderBy("_tk_t").rangeBetween(-w, Window.currentRow)
+            return (base.withColumn(count_col, F.count(F.lit(1)).over(frame))
+                        .filter(F.col(count_col) >= min_count).drop("_tk_t"))
+        keyed = (base.join(F.broadcast(hot), base[user].eqNullSafe(hot["_tk_u"]), "left").drop("_tk_u")
+                     .withColumn("_tk_lo", F.coalesce("_tk_lo", F.lit(0).cast("long"))))
+    rel = F.col("_tk_t") - F.col("_tk_lo")
+    bucket_id = F.when(F.col("_tk_bw").isNull(), F.lit(0).cast("long")).otherwise(
+        ((rel - F.pmod(rel, F.col("_tk_bw"))) / F.col("_tk_bw")).cast("long"))
+    keyed = keyed.withColumn("_tk_b", bucket_id)
+    own = keyed.withColumn("_tk_own", F.lit(True))
+    ctx = (keyed.filter(F.col("_tk_bw").isNotNull()
+                        & (rel >= (F.col("_tk_b") + 1) * F.col("_tk_bw") - F.lit(w)))
+                .withColumn("_tk_b", F.col("_tk_b") + 1)
+                .withColumn("_tk_own", F.lit(False)))
     frame = (Window.partitionBy(user, "_tk_b").orderBy("_tk_t")
              .rangeBetween(-w, Window.currentRow))
     counted = own.unionByName(ctx).withColumn(count_col, F.count(F.lit(1)).over(frame))
     return (counted.filter(F.col("_tk_own") & (F.col(count_col) >= min_count))
-            .drop("_tk_t", "_tk_b", "_tk_own"))
+            .drop("_tk_t", "_tk_b", "_tk_own", "_tk_lo", "_tk_bw"))
 
 
 # ---------------------------------------------------------------- A02

@@ -135,3 +135,11 @@ def test_sessionize_ignores_session_time_zone_at_dst(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [1, 2]
+
+
+def test_burst_hot_user_split_matches_plain(spark):
+    data = [(1, ts(s)) for s in range(0, 7200, 3)] + [(2, ts(s)) for s in range(0, 600, 60)] + [(None, ts(5))]
+    df = spark.createDataFrame(data, "u long, t timestamp_ntz")
+    split = A.burst_events(df, "u", "t", window="1 minute", min_count=1, rows_per_segment=50)
+    plain = A.burst_events(df, "u", "t", window="1 minute", min_count=1)
+    assert rows(split, "u", "t", "events_in_window") == rows(plain, "u", "t", "events_in_window")
