@@ -60,3 +60,9 @@ def test_segmented_scan_with_hot_keys_shuffles_rows_once(spark):
                      if "Exchange hashpartitioning(_tk_kv0" in l and "_tk_seg" in l and "_tk_fs" not in l}
     # the row shuffle on (key, segment) plus the hot-key-only summary on the same keys
     assert 1 <= len(rows_shuffles) <= 2
+
+
+def test_burst_without_hot_users_is_one_window(spark):
+    p = plan(spark, "burst_events")
+    assert "Union" not in p and "BroadcastExchange" not in p
+    assert sum("Exchange hashpartitioning(user_id" in l for l in p.split("\n")) == 1
