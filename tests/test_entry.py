@@ -13,3 +13,26 @@ def test_every_query_runs_on_smallest_fixture(spark):
     for name, fn in qs.items():
         df = fn(spark, SF_SMALL)
         assert df.count() >= 0, name
+
+
+def test_every_query_matches_its_oracle_on_smallest_fixture(spark):
+    import os
+    import sys
+
+    import duckdb
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+    from check_oracle import TABLES, canon
+
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    qs, oracle = E.queries(), E.oracle_sql()
+    bad = []
+    for name, text in oracle.items():
+        df = qs[name](spark, SF_SMALL)
+        srows, scols = [tuple(r) for r in df.collect()], df.columns
+        rel = con.execute(text)
+        ocols, orows = [d[0] for d in rel.description], rel.fetchall()
+        if sorted(scols) != sorted(ocols) or canon(srows, scols) != canon(orows, ocols):
+            bad.append(name)
+    assert bad == []
