@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, materialize
 
+COMPACT_EVERY = 16  # rounds of frontiers kept as a union before folding them into one table
+
 
 def bfs_levels(edges: DataFrame, src: str, dst: str, start, max_hops: int | None = None,
                vertex_col: str = "vertex", hop_col: str = "hops") -> DataFrame:
@@ -44,6 +46,8 @@ def bfs_levels(edges: DataFrame, src: str, dst: str, start, max_hops: int | None
         if nxt.isEmpty():
             break
         visited = visited.unionByName(nxt)
+        if hop % COMPACT_EVERY == 0:         # long walks: keep the plan small
+            visited = materialize(visited, "bfs_visited")
         frontier = nxt
     return visited
 

@@ -167,3 +167,9 @@ def test_json_to_tables_top_level_array(spark):
     assert rows(tabs["root"], "k", "id", "nome") == [("doc1:0", 1, "Alice"), ("doc1:1", 2, "Bob")]
     assert rows(tabs["telefones"], "root_id", "value") == [("doc1:0", "1234-5678"), ("doc1:0", "9876-5432")]
     assert tabs["endereco"].count() == 2
+
+
+def test_bfs_long_chain_compacts_visited(spark):
+    e = spark.createDataFrame([(i, i + 1) for i in range(40)], "s long, d long")
+    got = rows(G.bfs_levels(e, "s", "d", 0), "vertex", "hops")
+    assert got == sorted([(i, i) for i in range(41)], key=repr)
