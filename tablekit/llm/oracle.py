@@ -74,7 +74,7 @@ WITH body AS (
   SELECT doc_id, coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS t
   FROM documents
 ), ws AS (
-  SELECT doc_id, t, list_filter(regexp_split_to_array(t, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+  SELECT doc_id, t, list_filter(regexp_split_to_array(t, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
   FROM body
 ), phrases AS (SELECT * FROM (VALUES ('mit license', 'mit'), ('apache license', 'apache'),
                                      ('general public license', 'gpl')) AS p(phrase, label)),
