@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm import license_scan, line_dedup, packing, url_filter
+from tablekit.llm import decontaminate, license_scan, line_dedup, packing, quality, simhash_dedup, suffix_dedup, url_filter
 from tablekit.llm.common import table
 
 
@@ -21,12 +21,40 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "n_lines", "n_removed", F.col("text").alias("kept_text"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from labels that are not held out."""
+    scored = quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token pieces in sequences of at most 2048 tokens."""
     packed = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), 2048)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document: 3-word shingles, 3 bits."""
+    found = simhash_dedup.fingerprint_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) match, with its best window."""
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.col("start").alias("start_word"), "n_words", "similarity")
+
+
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 100-byte strings that start earlier."""
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), width=100)
+    removed = F.aggregate(F.zip_with("ends", "starts", lambda b, a: b - a), F.lit(0).cast("long"), lambda x, y: x + y)
+    return cut.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+                      removed.alias("n_removed"), F.size("starts").cast("long").alias("n_spans"),
+                      F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 # The rules of the contract, and words that mark spam hosts.
 URL_RULES = [
     ("net", "/", "block"),
@@ -62,7 +90,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_quality_classifier": op2_quality_classifier,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_license_scan": op10_license_scan,
 }

@@ -1,0 +1,19 @@
+import random
+
+import pytest
+
+
+@pytest.fixture(scope="session")
+def words():
+    rnd = random.Random(5)
+    return ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 7))) for _ in range(400)]
+
+
+@pytest.fixture(scope="session")
+def prose(words):
+    """prose(seed, n): n words of invented text."""
+    def make(seed: int, n: int) -> str:
+        rnd = random.Random(seed)
+        return " ".join(rnd.choice(words) for _ in range(n))
+
+    return make
