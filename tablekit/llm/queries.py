@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm import decontaminate, license_scan, line_dedup, packing, quality, simhash_dedup, suffix_dedup, url_filter
+from tablekit.llm import (decontaminate, license_scan, line_dedup, merkle, packing, quality, simhash_dedup,
+                          suffix_dedup, tool_calls, url_filter)
 from tablekit.llm.common import table
 
 
@@ -28,6 +29,11 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op3_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every call of every conversation, linked, ordered, validated, as canonical JSON."""
+    return tool_calls.link_tool_calls(tool_calls.events_from_chat(table(spark, sf_dir, "conversations")), tool_calls.REPLY_SCHEMA)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token pieces in sequences of at most 2048 tokens."""
     packed = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), 2048)
@@ -40,6 +46,11 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle fingerprint of every document, its edit, and both likenesses."""
+    return merkle.compare_neighbours(table(spark, sf_dir, "documents"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) match, with its best window."""
     found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -91,8 +102,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_tool_call_linking": op3_tool_call_linking,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_merkle_fingerprints": op6_merkle_fingerprints,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_url_filter": op9_url_filter,
