@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter
 
+from llm_corpus import prose  # noqa: F401
+
 from tablekit.llm import decontaminate as D
 
 

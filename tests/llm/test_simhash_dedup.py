@@ -4,6 +4,8 @@ import random
 
 import xxhash
 
+from llm_corpus import prose  # noqa: F401
+
 from tablekit.llm import simhash_dedup as S
 
 SCHEMA = "doc_id long, text string"

@@ -6,6 +6,8 @@ import random
 
 import pytest
 
+from llm_corpus import prose  # noqa: F401
+
 from tablekit.llm import suffix_dedup as S
 
 SCHEMA = "doc_id long, text string"
