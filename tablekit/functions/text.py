@@ -75,22 +75,54 @@ def indel_ratio(a: str, b: str) -> float:
 
 
 def partial_ratio(a: str, b: str) -> float:
-    """Best Indel similarity of the shorter string against every window of
-    its length in the longer one (first best wins)."""
+    """Best Indel similarity of the shorter string with any window of the
+    longer one: windows of its length, and the shorter ones at both ends."""
     if not a or not b:
         return 0.0
     short, long_ = (a, b) if len(a) <= len(b) else (b, a)
-    m = len(short)
+    m, n = len(short), len(long_)
+    windows = [long_[i:i + m] for i in range(n - m + 1)]
+    windows += [w for k in range(1, m) for w in (long_[:k], long_[n - k:])]
     best = 0.0
-    for i in range(len(long_) - m + 1):
-        r = indel_ratio(short, long_[i:i + m])
-        if r > best:
-            best = r
-            if best == 100.0:
-                break
+    for w in windows:
+        if 200.0 * min(m, len(w)) / (m + len(w)) <= best:  # even a full match is no better
+            continue
+        best = max(best, indel_ratio(short, w))
+        if best == 100.0:
+            break
     return best
 
 
+def sorted_words(s: str | None) -> str:
+    return " ".join(sorted((s or "").split()))
+
+
+def token_sort_ratio(a: str, b: str) -> float:
+    """Indel similarity of the words of both strings in sorted order."""
+    x, y = sorted_words(a), sorted_words(b)
+    return indel_ratio(x, y) if x and y else 0.0
+
+
+@F.pandas_udf(T.DoubleType())
+def best_token_sort(values: pd.Series, candidates: pd.Series) -> pd.Series:
+    """For each value, the highest token-sort ratio to any candidate (0 without)."""
+    counts: dict = {}
+    out = []
+    for v, cands in zip(values, candidates):
+        x = sorted_words(v)
+        best = 0.0
+        for c in cands if x and cands is not None else ():
+            y = sorted_words(c["value"])
+            if not y:
+                continue
+            cx = counts.get(x) or counts.setdefault(x, Counter(x))
+            cy = counts.get(y) or counts.setdefault(y, Counter(y))
+            if 200.0 * sum(min(n, cy.get(ch, 0)) for ch, n in cx.items()) / (len(x) + len(y)) > best:
+                best = max(best, indel_ratio(x, y))
+        out.append(best)
+    return pd.Series(out, dtype="float64")
+
+
 BEST_MATCH = T.StructType([T.StructField("match", T.StringType()),
                            T.StructField("score", T.DoubleType()),
                            T.StructField("ord", T.LongType())])
@@ -98,15 +130,15 @@ BEST_MATCH = T.StructType([T.StructField("match", T.StringType()),
 
 def ratio_upper_bound(a: str, b: str, counts: dict) -> float:
     """An upper bound of ``partial_ratio(a, b)``: the LCS of the shorter
-    string with any window is at most the size of the multiset intersection
-    of their characters, so 100 * overlap / len(shorter) bounds the score."""
+    string with any window is at most the size k of the multiset intersection
+    of their characters, and the shortest window that holds k is k long."""
     short, long_ = (a, b) if len(a) <= len(b) else (b, a)
     if not short:
         return 0.0
     cs = counts.get(short) or counts.setdefault(short, Counter(short))
     cl = counts.get(long_) or counts.setdefault(long_, Counter(long_))
     overlap = sum(min(n, cl.get(ch, 0)) for ch, n in cs.items())
-    return 100.0 * overlap / len(short)
+    return 200.0 * overlap / (len(short) + overlap)
 
 
 @F.pandas_udf(BEST_MATCH)

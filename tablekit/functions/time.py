@@ -88,8 +88,3 @@ def ntz_from_micros(micros: Column) -> Column:
                                 (tod / 3_600_000_000).cast("int"), ((tod / 60_000_000) % 60).cast("int"),
                                 secs.cast("decimal(16,6)"))
 
-
-def bucket_of(micros: Column, width: int) -> Column:
-    """floor(micros / width) in exact integer arithmetic (negatives too)."""
-    w = F.lit(int(width))
-    return (micros - F.pmod(micros, w)).cast("long") / w

@@ -11,10 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.time import bucket_of, days_between, duration_micros, epoch_micros, month_start, to_day
+from ..functions.time import days_between, duration_micros, epoch_micros, month_start, to_day
 from ..plans.ranking import global_positions, ntile_expr
 from ..plans.segments import DEFAULT_ROWS_PER_SEGMENT, seg_lag, seg_running_sum, segment, unsegment
 from ..session import materialize
+from ._util import ranked_values
 
 
 def _cols(cols: str | Sequence[str] | None) -> list[str]:
@@ -31,8 +32,8 @@ def burst_events(df: DataFrame, user: str, ts: str, window="1 minute", min_count
     (inclusive at both ends, equal timestamps count each other).
 
     Scale: a user with more than ``rows_per_segment`` rows (decided by one
-    aggregate job; at most rows / rows_per_segment such users, so their
-    table is broadcast) is split into time buckets of its own width
+    aggregate job; at most rows / rows_per_segment such users; AQE
+    broadcasts their table while it is small) is split into time buckets of its own width
     (span * rows_per_segment / rows, never narrower than ``window``); each
     bucket also receives, as context, the rows of the previous bucket that
     lie within ``window`` of its start, which makes the RANGE count exact.
@@ -56,7 +57,7 @@ def burst_events(df: DataFrame, user: str, ts: str, window="1 minute", min_count
             frame = Window.partitionBy(user).orderBy("_tk_t").rangeBetween(-w, Window.currentRow)
             return (base.withColumn(count_col, F.count(F.lit(1)).over(frame))
                         .filter(F.col(count_col) >= min_count).drop("_tk_t"))
-        keyed = (base.join(F.broadcast(hot), base[user].eqNullSafe(hot["_tk_u"]), "left").drop("_tk_u")
+        keyed = (base.join(hot, base[user].eqNullSafe(hot["_tk_u"]), "left").drop("_tk_u")
                      .withColumn("_tk_lo", F.coalesce("_tk_lo", F.lit(0).cast("long"))))
     rel = F.col("_tk_t") - F.col("_tk_lo")
     bucket_id = F.when(F.col("_tk_bw").isNull(), F.lit(0).cast("long")).otherwise(
@@ -182,18 +183,16 @@ def market_basket_pairs(items: DataFrame, order: str, product: str, max_rank: in
 
     Exact pruning instead of enumerating every pair of every basket:
       1. lines collapse to (order, product, multiplicity m);
-      2. count(a, b) = sum_o m_a*m_b <= total_a * M where total_a is the
-         product's line count and M the largest multiplicity anywhere;
+      2. count(a, b) = sum_o m_a * m_b, at most the sum over a's baskets of
+         m_a times the basket's largest multiplicity;
       3. a lower bound T of the ``max_rank``-th best count comes from exact
          counts of pairs among the most frequent products;
-      4. only products with total * M >= T can be in the answer, so pairs are
-         enumerated among those alone.
+      4. only products whose bound reaches T can be in the answer, so pairs
+         are enumerated among those alone.
     Hot baskets: an order with more than ``block_size`` candidate products
-    (at most lines / block_size such orders: a bounded broadcast) has its
-    products hashed into g blocks and its self-join runs as g*g tasks of
-    (order, block_i, block_j), so no task holds a hot basket's pairs whole.
-    The final global RANK is planned as a partial WindowGroupLimit, so each
-    map task keeps only its own top rows."""
+    has its products hashed into g blocks and its self-join runs as g*g tasks
+    of (order, block_i, block_j), so no task holds a hot basket's pairs
+    whole.  Ranks are taken over the distinct counts, so ties stay spread."""
     lines = items.select(F.col(order).alias("_tk_o"), F.col(product).alias("_tk_p")) \
                  .filter(F.col("_tk_o").isNotNull() & F.col("_tk_p").isNotNull())
     if distinct_lines:
@@ -201,15 +200,14 @@ def market_basket_pairs(items: DataFrame, order: str, product: str, max_rank: in
     else:
         per = lines.groupBy("_tk_o", "_tk_p").agg(F.count(F.lit(1)).alias("_tk_m"))
 
-    # read several times below (totals, bound, pairs): written once as
-    # Parquet in the shared folder so the item table is scanned and
-    # aggregated a single time
+    # read several times below (bounds, pairs): written once as Parquet in the
+    # shared folder so the item table is scanned and aggregated a single time
     per = materialize(per, "basket_lines")
-    # one row per product: line total and largest multiplicity (small,
-    # reused by the seed choice, the bound and the candidate filter)
-    totals = materialize(per.groupBy("_tk_p").agg(F.sum("_tk_m").alias("_tk_tot"),
-                                                  F.max("_tk_m").alias("_tk_mx")), "basket_totals")
-    max_mult = totals.agg(F.max("_tk_mx")).first()[0] or 1
+    bounded = per
+    if (per.agg(F.max("_tk_m")).first()[0] or 1) > 1:
+        largest = per.groupBy("_tk_o").agg(F.max("_tk_m").alias("_tk_mx")).filter("_tk_mx > 1")
+        bounded = per.join(largest, "_tk_o", "left").withColumn("_tk_m", F.col("_tk_m") * F.coalesce("_tk_mx", F.lit(1)))
+    totals = materialize(bounded.groupBy("_tk_p").agg(F.sum("_tk_m").alias("_tk_tot")), "basket_totals")
 
     def self_join_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
         a = left.select(*keys, F.col("_tk_p").alias("product_a"), F.col("_tk_m").alias("_tk_ma"))
@@ -222,7 +220,9 @@ def market_basket_pairs(items: DataFrame, order: str, product: str, max_rank: in
         sizes = sub.groupBy("_tk_o").agg(F.count(F.lit(1)).alias("_tk_n"))
         hot = (sizes.filter(F.col("_tk_n") > block_size)
                     .select("_tk_o", F.ceil(F.col("_tk_n") / F.lit(block_size)).cast("int").alias("_tk_g")))
-        blk = (sub.join(F.broadcast(hot), "_tk_o", "left")
+        if hot.isEmpty():
+            return self_join_on(sub, sub, ["_tk_o"])
+        blk = (sub.join(hot, "_tk_o", "left")
                   .withColumn("_tk_g", F.coalesce(F.col("_tk_g"), F.lit(1)))
                   .withColumn("_tk_blk", F.pmod(F.xxhash64("_tk_p"), F.col("_tk_g")).cast("int")))
         fan = F.explode(F.sequence(F.lit(0), F.col("_tk_g") - 1))
@@ -236,18 +236,24 @@ def market_basket_pairs(items: DataFrame, order: str, product: str, max_rank: in
     # basket, so this self-join is bounded per order and needs no grid
     seed_n = max(4 * max_rank, 64)
     seed_products = totals.orderBy(F.col("_tk_tot").desc(), F.col("_tk_p")).limit(seed_n)
+    # at most seed_n rows
     seed_lines = per.join(F.broadcast(seed_products.select("_tk_p")), "_tk_p")
     seed_counts = self_join_on(seed_lines, seed_lines, ["_tk_o"])
     kth = (seed_counts.select("pair_count").orderBy(F.col("pair_count").desc())
            .offset(max_rank - 1).limit(1).first())
     threshold = kth[0] if kth is not None else 0
-    # both bounds are plain numbers now: the candidate filter is a literal
+    # the bound is a plain number now: the candidate filter is a literal
     # predicate and the plan below carries no subquery
-    keep = totals.filter(F.col("_tk_tot") * F.lit(max_mult) >= F.lit(threshold)).select("_tk_p")
-    pairs = grid_pairs(per.join(keep, "_tk_p", "left_semi"))
-    w = Window.orderBy(F.col("pair_count").desc())
-    return (pairs.withColumn("rank", F.rank().over(w))
-                 .filter(F.col("rank") <= max_rank))
+    keep = totals.filter(F.col("_tk_tot") >= F.lit(threshold)).select("_tk_p")
+    pairs = grid_pairs(per.join(keep, "_tk_p", "left_semi")).filter(F.col("pair_count") >= F.lit(threshold))
+    # distinct counts with their number of pairs; RANK <= max_rank lies within the max_rank highest
+    counts = pairs.groupBy("pair_count").agg(F.count(F.lit(1)).alias("_tk_c"))
+    top = counts.orderBy(F.col("pair_count").desc()).limit(max_rank)
+    before = Window.orderBy(F.col("pair_count").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = (top.select("pair_count", (F.coalesce(F.sum("_tk_c").over(before), F.lit(0)) + 1).cast("int").alias("rank"))
+                .filter(F.col("rank") <= max_rank))
+    # at most max_rank rows
+    return pairs.join(F.broadcast(ranks), "pair_count").select("product_a", "product_b", "pair_count", "rank")
 
 
 # ---------------------------------------------------------------- A09
@@ -320,9 +326,8 @@ def time_between_purchases(df: DataFrame, user: str, day: str, tie_break: Sequen
 def top_n_dense_rank(df: DataFrame, group: str | Sequence[str], measure: str, n: int = 3,
                      rank_col: str = "rank") -> DataFrame:
     """Rows whose measure is among the ``n`` highest distinct values of their
-    group (ties kept).  Planned as a partial + final WindowGroupLimit."""
-    w = Window.partitionBy(*_cols(group)).orderBy(F.col(measure).desc())
-    return df.withColumn(rank_col, F.dense_rank().over(w)).filter(F.col(rank_col) <= n)
+    group (ties kept, however many)."""
+    return ranked_values(df, _cols(group), measure, n, rank_col, dense=True)
 
 
 # ---------------------------------------------------------------- A19
@@ -337,11 +342,8 @@ def top_products_by_category(items: DataFrame, products: DataFrame, product: str
     size of the aggregated side at run time."""
     ip = item_product or product
     sold = items.groupBy(F.col(ip).alias(product)).agg(F.sum(quantity).alias("total_sold"))
-    joined = sold.join(products.select(product, category), product)
-    w = Window.partitionBy(category).orderBy(F.col("total_sold").desc())
-    return (joined.withColumn("rank_in_category", F.rank().over(w))
-                  .filter(F.col("rank_in_category") <= n)
-                  .select(category, product, "total_sold", "rank_in_category"))
+    joined = sold.join(products.select(product, category), product).select(category, product, "total_sold")
+    return ranked_values(joined, [category], "total_sold", n, "rank_in_category", dense=False)
 
 
 # ---------------------------------------------------------------- A20
@@ -349,16 +351,13 @@ def top_customers_per_month(orders: DataFrame, customer: str = "customer_id",
                             ts: str = "order_date", amount: str = "amount", n: int = 5,
                             round_to: int | None = 2) -> DataFrame:
     """Spend per customer and month, RANK <= ``n`` within the month, ordered
-    by month and rank.  Rank filter is a WindowGroupLimit (map-side top-n)."""
+    by month and rank."""
     spent = F.sum(amount)
     if round_to is not None:
         spent = F.round(spent, round_to)
     monthly = (orders.groupBy(month_start(ts).alias("month"), F.col(customer))
                      .agg(spent.alias("total_spent")))
-    w = Window.partitionBy("month").orderBy(F.col("total_spent").desc())
-    return (monthly.withColumn("rank", F.rank().over(w))
-                   .filter(F.col("rank") <= n)
-                   .orderBy("month", "rank", customer))
+    return ranked_values(monthly, ["month"], "total_spent", n, "rank", dense=False).orderBy("month", "rank", customer)
 
 
 # ---------------------------------------------------------------- A21

@@ -28,20 +28,24 @@ def dedup_keep_first(df: DataFrame, keys: str | Sequence[str],
 
 def find_duplicates(df: DataFrame, keys: str | Sequence[str],
                     order_by: Sequence[str | Column] | str) -> DataFrame:
-    """Every row after the first per key.
-
-    The first rows (map-side limited, see ``dedup_keep_first``) are removed
-    with an anti join on keys *plus* the order columns, so a hot key is
-    spread over the shuffle by its order values instead of landing in one
-    window task.  ``order_by`` must be unique within a key."""
+    """Every row after the first per key, exact copies included (the rows with
+    ``row_number() > 1``).  Ties of ``order_by`` go by the other columns.
+
+    Identical rows are first counted (map-side), so a flood of copies is one
+    row; the first row of each key (a map-side limit, see
+    ``dedup_keep_first``) then gives one copy away, and the rest come back as
+    often as counted.  A hot key is spread by the whole row, never gathered
+    in one window task."""
     keys = as_list(keys)
-    ocols = [c for c in as_list(order_by) if isinstance(c, str)]
-    if len(ocols) != len(as_list(order_by)):
-        raise ValueError("find_duplicates needs order_by as column names")
-    ident = list(dict.fromkeys(keys + ocols))
-    firsts = _first_rows(df.select(*ident), keys, ocols)
-    renamed, cond = null_safe_on(df, firsts, ident)
-    return df.join(renamed, cond, "left_anti")
+    by = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in ([order_by] if isinstance(order_by, (str, Column)) else order_by)]
+    rest = [F.col(c).asc_nulls_last() for c in df.columns]
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_tk_n"))
+    w = Window.partitionBy(*keys).orderBy(*by, *rest)
+    firsts = counted.withColumn("_tk_rn", F.row_number().over(w)).filter("_tk_rn = 1").select(*df.columns)
+    renamed, cond = null_safe_on(counted, firsts.withColumn("_tk_one", F.lit(1)), df.columns, extra=["_tk_one"])
+    left = counted.join(renamed, cond, "left").withColumn("_tk_n", F.col("_tk_n") - F.coalesce(F.col("_tk_one"), F.lit(0)))
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_tk_n")))
+    return left.filter("_tk_n > 0").select(*df.columns, copies.alias("_tk_copy")).drop("_tk_copy")
 
 
 def dedup_partition(spark: SparkSession, path: str, partition_col: str, value,

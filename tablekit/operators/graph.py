@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, materialize
+from ..session import discard, materialize
 
 COMPACT_EVERY = 16  # rounds of frontiers kept as a union before folding them into one table
 
@@ -27,7 +27,6 @@ def bfs_levels(edges: DataFrame, src: str, dst: str, start, max_hops: int | None
     distance; cycles end through the visited set (left anti join); stops
     on an empty frontier or after ``max_hops``."""
     spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
     vtype = edges.schema[src].dataType
     # every round reads the edges: materialise them once as Parquet (a derived
     # edge table would otherwise be recomputed from its sources per round)
@@ -53,15 +52,16 @@ def bfs_levels(edges: DataFrame, src: str, dst: str, start, max_hops: int | None
 
 
 def shortest_paths(edges: DataFrame, src: str, dst: str, weight: str, start,
-                   max_rounds: int | None = None, vertex_col: str = "vertex",
-                   dist_col: str = "distance") -> DataFrame:
+                   vertex_col: str = "vertex", dist_col: str = "distance") -> DataFrame:
     """Least total weight from ``start`` to every vertex of the edge table
     (Bellman-Ford; negative weights allowed).  Only vertices improved in the
-    previous round are relaxed.  Unreachable vertices have NULL distance.
-    At most V-1 rounds; an improvement after that means a reachable negative
-    cycle, reported in the boolean column ``negative_cycle``."""
+    previous round are relaxed, and a round writes only its improvements: the
+    known distance of a vertex is the least over the improvements so far,
+    folded into one table every ``COMPACT_EVERY`` rounds.  Unreachable
+    vertices have NULL distance.  V-1 rounds settle every path, so an
+    improvement after that means a reachable negative cycle, reported in the
+    boolean column ``negative_cycle``."""
     spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
     vtype = edges.schema[src].dataType
     e = materialize(edges.select(F.col(src).alias("_tk_s"), F.col(dst).alias("_tk_d"),
                                  F.col(weight).cast("double").alias("_tk_w"))
@@ -71,27 +71,37 @@ def shortest_paths(edges: DataFrame, src: str, dst: str, weight: str, start,
                  .unionByName(spark.range(1).select(F.lit(start).cast(vtype).alias(vertex_col)))
                  .distinct())
     vertices = materialize(vertices, "sp_vertices")
-    limit = max_rounds if max_rounds is not None else max(vertices.count() - 1, 0)
-    dist = materialize(spark.range(1).select(F.lit(start).cast(vtype).alias(vertex_col),
-                                             F.lit(0.0).alias(dist_col)), "sp_dist")
-    changed = dist
+    limit = max(vertices.count() - 1, 0)
+    parts = [materialize(spark.range(1).select(F.lit(start).cast(vtype).alias(vertex_col),
+                                               F.lit(0.0).alias(dist_col)), "sp_dist")]
+
+    def known() -> DataFrame:
+        union = parts[0]
+        for p in parts[1:]:
+            union = union.unionByName(p)
+        return union.groupBy(vertex_col).agg(F.min(dist_col).alias(dist_col))
+
     negative = False
     rounds = 0
     while True:
-        cand = (changed.join(e, changed[vertex_col] == e["_tk_s"])
+        cand = (parts[-1].join(e, parts[-1][vertex_col] == e["_tk_s"])
                 .groupBy(F.col("_tk_d").alias(vertex_col))
                 .agg(F.min(F.col(dist_col) + F.col("_tk_w")).alias("_tk_nd")))
-        improved = materialize(cand.join(dist, vertex_col, "left")
+        improved = materialize(cand.join(known(), vertex_col, "left")
                                .filter(F.col(dist_col).isNull() | (F.col("_tk_nd") < F.col(dist_col)))
                                .select(vertex_col, F.col("_tk_nd").alias(dist_col)), "sp_improved")
         if improved.isEmpty():
+            discard(improved)
             break
         if rounds >= limit:
             negative = True
             break
         rounds += 1
-        dist = materialize(dist.join(improved.select(vertex_col), vertex_col, "left_anti")
-                           .unionByName(improved), "sp_dist")
-        changed = improved
-    return (vertices.join(dist, vertex_col, "left")
+        if rounds % COMPACT_EVERY == 0:
+            old = parts
+            parts = [materialize(known(), "sp_dist")]
+            for p in old:
+                discard(p)
+        parts.append(improved)
+    return (vertices.join(known(), vertex_col, "left")
                     .withColumn("negative_cycle", F.lit(negative)))

@@ -3,13 +3,20 @@
 JSON text is parsed once into Spark's VARIANT type; paths are read with
 ``variant_get`` and arrays expanded with ``explode`` of ``array<variant>``.
 Schema inference is two distributed jobs: ``schema_of_variant_agg`` gives
-the merged structure (every path), then one aggregate over the (path, kind)
-pairs of every value, read in one pass per array context; never a sample or
-a driver-side parse of rows.
+the merged structure (every path), then one pass emits the (path, kind) pair
+of every value, arrays included, and counts them; never a sample or a
+driver-side parse of rows.
+
+A path is a tuple of steps: a field name, or ``None`` for the elements of an
+array.  Written as text, steps join with dots, elements add ``[]``, and names
+that are not plain words stand in back quotes (``a.`p.q`[]``).  The driver
+holds one row per path: documents whose keys are data (ids as field names)
+need a map column, not this.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -64,42 +71,74 @@ def merged_schema(df: DataFrame, payload: str) -> T.DataType:
     ddl = df.agg(F.schema_of_variant_agg(_variant(df, payload))).first()[0]
     if ddl is None:
         return T.NullType()
-    return T.DataType.fromDDL(ddl.replace("OBJECT<", "STRUCT<"))
+    # quoted field names stay as they are
+    parts = re.split(r"(`(?:[^`]|``)*`)", ddl)
+    parts[::2] = [x.replace("OBJECT<", "STRUCT<") for x in parts[::2]]
+    return T.DataType.fromDDL("".join(parts))
 
 
-def _key_path(json: str, name: str) -> str:
-    return json + "['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
+Path = tuple[str | None, ...]
 
 
-def _path_kinds(ctx: DataFrame, dt: T.DataType, prefix: str) -> list[DataFrame]:
-    """(path, kind) rows for every value of every path known from the
-    merged schema ``dt``, within one array context.  All paths of the
-    context are read in one select; each array opens one child context
-    (one explode), so the work is linear in the document size."""
-    cols: list[tuple[str, Column]] = []
-    arrays: list[tuple[str, Column, T.DataType]] = []
+def path_text(path: Path) -> str:
+    """A path as text (see the module's docstring)."""
+    out = ""
+    for step in path:
+        if step is None:
+            out += "[]"
+        else:
+            name = step if re.fullmatch(r"\w+", step) else "`" + step.replace("`", "``") + "`"
+            out += ("." if out else "") + name
+    return out
 
-    def visit(t: T.DataType, json: str, out: str) -> None:
-        if out:
-            cols.append((out, F.try_variant_get(F.col("value"), json, "variant")))
-        if isinstance(t, T.StructType):
-            for f in t.fields:
-                visit(f.dataType, _key_path(json, f.name), f"{out}.{f.name}" if out else f.name)
-        elif isinstance(t, T.ArrayType):
-            arrays.append((out, F.try_variant_get(F.col("value"), json, "array<variant>"), t.elementType))
-
-    visit(dt, "$", prefix)
-    frames = []
-    if cols:
-        pairs = F.array(*[F.struct(F.lit(p).alias("path"), c.alias("v")) for p, c in cols])
-        frames.append(ctx.select(F.explode(pairs).alias("_tk_pv"))
-                         .select("_tk_pv.path", F.col("_tk_pv.v").alias("value"))
-                         .filter(F.col("value").isNotNull())
-                         .select("path", _kind(F.schema_of_variant(F.col("value"))).alias("kind")))
-    for out, arr, elem in arrays:
-        child = ctx.select(F.explode(arr).alias("value"))
-        frames.extend(_path_kinds(child, elem, out + "[]"))
-    return frames
+
+def _field(v: Column, name: str) -> Column:
+    if re.search(r"""['"\\\[\]]""", name):  # variant paths have no escapes: look the name up in a map
+        return F.try_element_at(F.try_variant_get(v, "$", "map<string,variant>"), F.lit(name))
+    return F.try_variant_get(v, f"$['{name}']", "variant")
+
+
+def _elements(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "array<variant>")
+
+
+_PAIRS = "array<struct<path:int,kind:string>>"
+
+
+def _pairs(dt: T.DataType, v: Column, path: Path, paths: list[Path]) -> Column:
+    """The (path number, kind) pairs of one value and all values inside it."""
+    paths.append(path)
+    me = F.struct(F.lit(len(paths) - 1).alias("path"), _kind(F.schema_of_variant(v)).alias("kind"))
+    found = [F.when(v.isNotNull(), F.array(me))]
+    if isinstance(dt, T.StructType):
+        found += [_pairs(f.dataType, _field(v, f.name), (*path, f.name), paths) for f in dt.fields]
+    elif isinstance(dt, T.ArrayType):
+        found.append(F.flatten(F.transform(_elements(v), lambda e: _pairs(dt.elementType, e, (*path, None), paths))))
+    return F.concat(*[F.coalesce(x, F.array().cast(_PAIRS)) for x in found])
+
+
+def _infer(df: DataFrame, payload: str) -> tuple[T.DataType, list[Path], DataFrame]:
+    """Merged structure, the paths in order, and per path number: kinds, n_values."""
+    dt = merged_schema(df, payload)
+    paths: list[Path] = []
+    value = df.select(_variant(df, payload).alias("value")).filter(F.col("value").isNotNull())
+    pairs = value.select(F.explode(_pairs(dt, F.col("value"), (), paths)).alias("p")).select("p.path", "p.kind")
+    # a lambda's body may be built more than once: the first number of a path stands for all
+    first = {p: i for i, p in reversed(list(enumerate(paths)))}
+    number = F.lit([first[p] for p in paths])
+    kinds = (pairs.withColumn("path", F.get(number, F.col("path"))).groupBy("path").agg(
+        F.array_sort(F.collect_set(F.when(F.col("kind") != "null", F.col("kind")))).alias("kinds"),
+        F.count(F.lit(1)).alias("n_values")))
+    return dt, paths, kinds
+
+
+def _sql_type(kinds: Column) -> Column:
+    n, single = F.size(kinds), F.get(kinds, F.lit(0))
+    return (F.when(n != 1, SQL_TEXT)
+             .when(single == "boolean", SQL_BOOLEAN).when(single == "int", SQL_INT)
+             .when(single == "float", SQL_FLOAT)
+             .when(single == "object", "OBJECT").when(single == "array", "ARRAY")
+             .otherwise(SQL_TEXT))
 
 
 def infer_json_columns(df: DataFrame, payload: str) -> DataFrame:
@@ -107,104 +146,99 @@ def infer_json_columns(df: DataFrame, payload: str) -> DataFrame:
     BOOLEAN | INT | FLOAT | VARCHAR(255) (conflict or all-null -> text),
     whether kinds conflict, and how many values were seen.  Objects and
     arrays are listed as such; their members appear as ``a.b`` / ``a[]``."""
-    dt = merged_schema(df, payload)
-    ctx = df.select(_variant(df, payload).alias("value")).filter(F.col("value").isNotNull())
-    frames = _path_kinds(ctx, dt, "")
-    if not frames:
-        return df.sparkSession.createDataFrame(
-            [], "path string, kinds string, sql_type string, conflict boolean, n_values long")
-    allv = frames[0]
-    for f in frames[1:]:
-        allv = allv.unionByName(f)
-    per = allv.groupBy("path").agg(
-        F.array_sort(F.collect_set(F.when(F.col("kind") != "null", F.col("kind")))).alias("kinds"),
-        F.count(F.lit(1)).alias("n_values"))
-    n_kinds = F.size("kinds")
-    single = F.element_at("kinds", 1)
-    sql_type = (F.when(n_kinds != 1, SQL_TEXT)
-                 .when(single == "boolean", SQL_BOOLEAN).when(single == "int", SQL_INT)
-                 .when(single == "float", SQL_FLOAT)
-                 .when(single == "object", "OBJECT").when(single == "array", "ARRAY")
-                 .otherwise(SQL_TEXT))
-    return per.select("path", F.array_join("kinds", ",").alias("kinds"), sql_type.alias("sql_type"),
-                      (n_kinds > 1).alias("conflict"), "n_values")
+    _, paths, kinds = _infer(df, payload)
+    names = F.lit([path_text(p) for p in paths])
+    return kinds.filter(F.get(names, F.col("path")) != "").select(
+        F.get(names, F.col("path")).alias("path"), F.array_join("kinds", ",").alias("kinds"),
+        _sql_type(F.col("kinds")).alias("sql_type"), (F.size("kinds") > 1).alias("conflict"), "n_values")
 
 
 _SPARK_TYPE = {SQL_BOOLEAN: "boolean", SQL_INT: "bigint", SQL_FLOAT: "double", SQL_TEXT: "string"}
 
 
-def json_to_tables(df: DataFrame, payload: str, key_col: str | None = None,
-                   root: str = "root") -> dict[str, DataFrame]:
-    """Split a JSON column into a parent table and child tables.
-
-    Objects become a child table linked by the parent key; arrays become a
-    child table with one row per element (``pos``), scalar arrays with a
-    ``value`` column; nested levels recurse with ``<parent>_id`` links.
-    Types follow ``infer_json_columns`` (conflicts widen to text).  The key
-    is ``key_col`` if given, else the SHA-256 of the payload (stable on
-    recomputation, unlike ``uuid()``).  Only the schema (one row per path)
-    reaches the driver."""
+def _own_names(wanted: list[str], taken: list[str]) -> list[str]:
+    """Column names without clashes (compared without case): a number is added."""
+    used = {t.lower() for t in taken}
+    out = []
+    for name in wanted:
+        new, k = name, 2
+        while new.lower() in used:
+            new, k = f"{name}_{k}", k + 1
+        used.add(new.lower())
+        out.append(new)
+    return out
+
+
+def json_to_tables(df: DataFrame, payload: str, key_col: str | None = None) -> dict[Path, DataFrame]:
+    """Split a JSON column into a parent table and child tables, keyed by the
+    path they come from (``()`` is the parent; ``("a", "items")`` the objects
+    or elements at ``a.items``; ``("m", None)`` the inner arrays of ``m``).
+
+    The parent has the key and the scalar fields.  Each object field is a
+    child table, each array a child table with one row per element; both
+    carry the document's key as ``root_id`` and the positions in all arrays
+    around them as ``pos_1``, ``pos_2``, ...  Elements that are no objects
+    are in ``value``; arrays inside arrays are tables of their own.  Types
+    follow ``infer_json_columns``: what conflicts becomes text (objects as
+    their JSON).  A document that is an array of records gives one record per
+    element, keyed ``key:position``.  The key is ``key_col`` if given, else
+    the SHA-256 of the payload (stable on recomputation, unlike ``uuid()``)."""
     from ..session import materialize
     key = key_col or "_id"
     # parsed once into VARIANT and written as Parquet: the two inference
     # jobs and every output table read it without re-parsing the JSON text
     base = materialize(df.select((F.col(key_col) if key_col else F.sha2(F.col(payload), 256)).alias(key),
                                  _variant(df, payload).alias("_tk_v")), "json_parsed")
-    schema = {r["path"]: r["sql_type"] for r in infer_json_columns(base, "_tk_v").collect()}
-    if schema.get("[]") == "OBJECT":
-        # documents that are arrays of records: one record per element,
-        # keyed by the document key and the element position
-        base = (base.select(key, F.posexplode(F.try_variant_get(F.col("_tk_v"), "$", "array<variant>"))
-                                 .alias("_tk_pos", "_tk_e"))
+    dt, paths, kinds = _infer(base, "_tk_v")
+    types = {paths[r["path"]]: r["t"] for r in kinds.select("path", _sql_type(F.col("kinds")).alias("t")).collect()}
+    if isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.StructType):
+        base = (base.select(key, F.posexplode(_elements(F.col("_tk_v"))).alias("_tk_pos", "_tk_e"))
                     .select(F.concat_ws(":", F.col(key).cast("string"), F.col("_tk_pos").cast("string")).alias(key),
                             F.col("_tk_e").alias("_tk_v")))
-        schema = {p[3:]: t for p, t in schema.items() if p.startswith("[].")}
-    tables: dict[str, DataFrame] = {}
-
-    def children(prefix: str) -> list[str]:
-        out = []
-        for p in schema:
-            rest = p[len(prefix):] if prefix and p.startswith(prefix + ".") else (p if not prefix else None)
-            if rest is None:
-                continue
-            rest = rest[1:] if prefix else rest
-            if rest and "." not in rest and "[]" not in rest:
-                out.append(rest)
-        return out
-
-    def build(name: str, frame: DataFrame, prefix: str, id_cols: list[str], value: Column) -> None:
-        fields = children(prefix)
-        cols = [F.col(c) for c in id_cols]
-        for f in fields:
-            path = f"{prefix}.{f}" if prefix else f
-            t = schema[path]
-            if t in _SPARK_TYPE:
-                cols.append(F.try_variant_get(value, "$." + _q(f), _SPARK_TYPE[t]).alias(f))
-        tables[name] = frame.select(*cols)
-        for f in fields:
-            path = f"{prefix}.{f}" if prefix else f
-            t = schema[path]
-            sub = F.try_variant_get(value, "$." + _q(f), "variant")
-            link = f"{name}_id" if name != root else f"{root}_id"
-            if t == "OBJECT":
-                child = frame.select(*[F.col(c) for c in id_cols], sub.alias("_tk_v"))
-                child = child.filter(F.col("_tk_v").isNotNull())
-                child = child.withColumnRenamed(id_cols[0], link) if id_cols[0] != link else child
-                build(f, child, path, [link] + id_cols[1:], F.col("_tk_v"))
-            elif t == "ARRAY":
-                arr = F.try_variant_get(sub, "$", "array<variant>")
-                child = frame.select(*[F.col(c) for c in id_cols], F.posexplode(arr).alias("pos", "_tk_v"))
-                child = child.withColumnRenamed(id_cols[0], link) if id_cols[0] != link else child
-                elem = schema.get(path + "[]")
-                if elem in _SPARK_TYPE:
-                    tables[f] = child.select(link, *id_cols[1:], "pos",
-                                             F.try_variant_get(F.col("_tk_v"), "$", _SPARK_TYPE[elem]).alias("value"))
-                else:
-                    build(f, child, path + "[]", [link] + id_cols[1:] + ["pos"], F.col("_tk_v"))
-
-    build(root, base, "", [key], F.col("_tk_v"))
-    return tables
+        dt, types = dt.elementType, {p[1:]: t for p, t in types.items() if p[:1] == (None,)}
+    tables: dict[Path, DataFrame] = {}
+    value = F.col("_tk_v")
+
+    def scalar(v: Column, path: Path) -> Column:
+        return F.try_variant_get(v, "$", _SPARK_TYPE[types.get(path, SQL_TEXT)])
 
+    def nested(t: T.DataType) -> bool:
+        return isinstance(t, T.StructType | T.ArrayType)
 
-def _q(field: str) -> str:
-    return field if field.replace("_", "a").isalnum() else "['" + field.replace("'", "\\'") + "']"
+    def build(frame: DataFrame, t: T.DataType, path: Path, ids: list[str]) -> None:
+        """The table of the values in ``_tk_v`` at ``path``, and those inside it."""
+        if isinstance(t, T.StructType):
+            plain = [f for f in t.fields if not nested(f.dataType)]
+            names = _own_names([f.name for f in plain], ids)
+            tables[path] = frame.select(*ids, *[scalar(_field(value, f.name), (*path, f.name)).alias(n)
+                                                for f, n in zip(plain, names)])
+            for f in t.fields:
+                if nested(f.dataType):
+                    child(frame.select(*ids, _field(value, f.name).alias("_tk_v")), f.dataType, (*path, f.name), ids)
+        elif isinstance(t, T.ArrayType):
+            child(frame, t, path, ids)
+        else:
+            tables[path] = frame.select(*ids, scalar(value, path).alias("value"))
+
+    def child(frame: DataFrame, t: T.DataType, path: Path, ids: list[str]) -> None:
+        if ids[0] == key:
+            frame, ids = frame.withColumnRenamed(key, "root_id"), ["root_id", *ids[1:]]
+        if isinstance(t, T.StructType):
+            build(frame.filter(value.isNotNull()), t, path, ids)
+            return
+        pos = f"pos_{len(ids)}"
+        rows = frame.select(*ids, F.posexplode(_elements(value)).alias(pos, "_tk_v"))
+        inner = (*path, None)
+        if isinstance(t.elementType, T.ArrayType):
+            child(rows, t.elementType, inner, [*ids, pos])
+        elif isinstance(t.elementType, T.StructType):
+            before = set(tables)
+            build(rows, t.elementType, inner, [*ids, pos])
+            # the records of an array are named by the array itself
+            for p in [p for p in tables if p not in before and p[:len(inner)] == inner]:
+                tables[path + p[len(inner):]] = tables.pop(p)
+        else:
+            tables[path] = rows.select(*ids, pos, scalar(value, inner).alias("value"))
+
+    build(base, dt, (), [key])
+    return tables

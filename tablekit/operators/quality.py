@@ -7,6 +7,7 @@ pass/fail answer is ``status == 'OK'`` in the metrics.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -152,18 +153,19 @@ def table_freshness(df: DataFrame, as_of: str, ts: str | None = None) -> DataFra
 
 
 # ---------------------------------------------------------------- Q08
-def small_file_report(df: DataFrame, target_mb: float = 128.0, max_files: int = 5000,
-                      by: str | Sequence[str] | None = None) -> DataFrame:
-    """Files, bytes and average MB of the files behind a file-based
-    DataFrame (optionally per partition column), with two independent
-    recommendations: average below ``target_mb`` and more than
-    ``max_files`` files.  Distributed over ``_metadata``; no listing on the
-    driver."""
+def small_file_report(spark: SparkSession, path: str, target_mb: float = 128.0, max_files: int = 5000,
+                      by: str | Sequence[str] | None = None, suffix: str = ".parquet") -> DataFrame:
+    """Files, bytes and average MB of the data files below ``path`` (optionally
+    per partition column of a ``k=v`` layout), with two independent
+    recommendations: average below ``target_mb`` and more than ``max_files``
+    files.  Files are listed, not read (the ``binaryFile`` source gives path
+    and length without content), so empty files count too."""
     by = as_list(by)
-    files = df.select(*by, F.col("_metadata.file_path").alias("_tk_path"),
-                      F.col("_metadata.file_size").alias("_tk_size")).distinct()
-    m = files.groupBy(*by).agg(F.count(F.lit(1)).alias("num_files"),
-                               F.sum("_tk_size").alias("total_bytes"))
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", f"*{suffix}").load(path).select("path", "length"))
+    parts = [F.regexp_extract("path", f"/{re.escape(c)}=([^/]*)/", 1).alias(c) for c in by]
+    m = files.select(*parts, "length").groupBy(*by).agg(F.count(F.lit(1)).alias("num_files"),
+                                                        F.sum("length").alias("total_bytes"))
     avg_mb = F.coalesce(F.try_divide(F.col("total_bytes").cast("double"),
                                      F.col("num_files") * F.lit(1024.0 * 1024.0)), F.lit(0.0))
     return (m.withColumn("avg_file_mb", avg_mb)

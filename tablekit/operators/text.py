@@ -6,25 +6,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import ASCII_NON_LETTERS, ASCII_SPACE, best_partial_match, fold_accents, strip_controls
-from ..plans.ranking import global_positions, spread
+from ..functions.text import ASCII_NON_LETTERS, ASCII_SPACE, best_partial_match, best_token_sort, fold_accents, strip_controls
+from ..plans.ranking import global_positions
 from ._util import as_list
 
 # fixed value: place-name stop words removed by the cleaner (Portuguese
 # administrative words: union, of the, parish(es), municipality)
-PLACE_STOP_WORDS = r"(?i)\b(Uni[oã]o|das|dos|de|da|do|freguesia|freguesias|municipio)\b"
+PLACE_STOP_WORDS = r"(?i)\b(uniao|das|dos|de|da|do|freguesia|freguesias|municipio)\b"
 
 
 def clean_place_name(c: Column) -> Column:
     """NFKD fold + ASCII only, non-letters to blank, hyphen to blank,
-    squeeze blanks, drop stop words, title case, trim.  NULL gives ''."""
+    drop stop words, squeeze blanks, title case, trim.  NULL gives ''."""
     s = fold_accents(c)
     # after folding only ASCII remains: non-letters and '-' become blanks in
     # one translate pass (same result as the character-class regex)
     s = F.translate(s, ASCII_NON_LETTERS + "-", " " * (len(ASCII_NON_LETTERS) + 1))
-    s = F.trim(F.regexp_replace(s, f"{ASCII_SPACE}+", " "))
     s = F.regexp_replace(s, PLACE_STOP_WORDS, "")
-    s = F.trim(F.initcap(s))
+    s = F.regexp_replace(s, f"{ASCII_SPACE}+", " ")
+    s = F.initcap(F.trim(s))
     return F.coalesce(s, F.lit(""))
 
 
@@ -33,7 +33,7 @@ def clean_place_names(df: DataFrame, column: str, out_col: str | None = None) ->
     from pyspark.sql import types as T
     if not isinstance(df.schema[column].dataType, T.StringType):
         return df.withColumn(out_col or f"{column}_clean", F.lit(""))
-    return spread(df).withColumn(out_col or f"{column}_clean", clean_place_name(F.col(column)))
+    return df.withColumn(out_col or f"{column}_clean", clean_place_name(F.col(column)))
 
 
 def strip_control_chars(df: DataFrame, cols) -> DataFrame:
@@ -45,20 +45,11 @@ def strip_control_chars(df: DataFrame, cols) -> DataFrame:
     return out
 
 
-def fuzzy_match(dirty: DataFrame, ref: DataFrame, column: str, ref_column: str,
-                cutoff: float = 60.0, chunk_size: int = 2000, ref_order: str | None = None,
-                out_col: str = "matched", score_col: str = "score") -> DataFrame:
-    """Best reference value per distinct dirty value by partial ratio; below
-    ``cutoff`` (or empty input) the match is ''.  The match is upper-cased
-    with control characters removed.  Ties go to the first reference value
-    in ``ref_order`` (default: the value itself).
-
-    Plan: only *distinct* dirty values are scored.  Reference values are
-    numbered and packed into chunks of at most ``chunk_size`` values (each
-    chunk row is bounded); every dirty value meets every chunk through an
-    equi-join on the chunk id, is scored by an Arrow UDF, and the best over
-    chunks is a ``max_by`` aggregate.  All candidates are scored: exact, with
-    memory bounded by the chunk size at any reference size."""
+def _with_reference(dirty: DataFrame, ref: DataFrame, column: str, ref_column: str, chunk_size: int,
+                    ref_order: str | None) -> DataFrame:
+    """Each distinct dirty value with each chunk (``_tk_cands``) of at most
+    ``chunk_size`` numbered reference values.  An empty reference leaves one
+    empty chunk, so no value is lost."""
     refs = (ref.select(F.col(ref_column).cast("string").alias("_tk_v"),
                        F.col(ref_order or ref_column).alias("_tk_o"))
                .filter(F.col("_tk_v").isNotNull())
@@ -70,11 +61,28 @@ def fuzzy_match(dirty: DataFrame, ref: DataFrame, column: str, ref_column: str,
                                                                 F.col("_tk_v").alias("value")))).alias("_tk_cands")))
     n_chunks = chunks.agg(F.count(F.lit(1))).scalar()
     values = dirty.select(F.col(column).cast("string").alias(column)).distinct()
-    fanned = values.withColumn("_tk_chunk", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                                 (n_chunks - 1).cast("long"))))
-    scored = (fanned.join(chunks, "_tk_chunk")
-                    .withColumn("_tk_best", best_partial_match(F.col(column), F.col("_tk_cands")))
-                    .select(column, "_tk_best"))
+    fanned = values.withColumn("_tk_chunk", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.greatest(n_chunks - 1, F.lit(0)).cast("long"))))
+    return fanned.join(chunks, "_tk_chunk", "left").drop("_tk_chunk")
+
+
+def fuzzy_match(dirty: DataFrame, ref: DataFrame, column: str, ref_column: str,
+                cutoff: float = 60.0, chunk_size: int = 2000, ref_order: str | None = None,
+                out_col: str = "matched", score_col: str = "score") -> DataFrame:
+    """Best reference value per distinct dirty value by partial ratio; below
+    ``cutoff`` (or empty input) the match is ''.  The match is upper-cased
+    with control characters removed.  Ties go to the first reference value
+    in ``ref_order`` (default: the value itself).
+
+    Plan: only *distinct* dirty values are scored.  They are a query set that
+    meets the whole reference in blocks: reference values are numbered and
+    packed into chunks of at most ``chunk_size`` values (each chunk row is
+    bounded), every dirty value meets every chunk, is scored by an Arrow UDF
+    that skips candidates whose exact upper bound is too low, and the best
+    over chunks is a ``max_by`` aggregate."""
+    scored = (_with_reference(dirty, ref, column, ref_column, chunk_size, ref_order)
+              .withColumn("_tk_best", best_partial_match(F.col(column), F.col("_tk_cands")))
+              .select(column, "_tk_best"))
     best = scored.groupBy(column).agg(
         F.max_by("_tk_best", F.struct(F.coalesce(F.col("_tk_best.score"), F.lit(-1.0)),
                                       -F.col("_tk_best.ord"))).alias("_tk_b"))
@@ -84,53 +92,52 @@ def fuzzy_match(dirty: DataFrame, ref: DataFrame, column: str, ref_column: str,
                        F.coalesce(F.col("_tk_b.score"), F.lit(0.0)).alias(score_col))
 
 
-def match_quality(matched: DataFrame, out_col: str = "matched", score_col: str = "score") -> DataFrame:
-    """Average and maximum best score, matched and unmatched counts."""
-    return matched.agg(F.avg(score_col).alias("avg_score"), F.max(score_col).alias("max_score"),
-                       F.count_if(F.col(out_col) != "").alias("matched_count"),
-                       F.count_if(F.col(out_col) == "").alias("unmatched_count"))
+def match_quality(dirty: DataFrame, ref: DataFrame, column: str, ref_column: str, cutoff: float = 60.0,
+                  chunk_size: int = 2000) -> DataFrame:
+    """Quality of a fuzzy match over all distinct values: the average and the
+    maximum of each value's best token-sort ratio to the reference, and how
+    many values found and did not find a match at ``cutoff``.  Empty values
+    count as unmatched with ratio 0."""
+    best = (_with_reference(dirty, ref, column, ref_column, chunk_size, None)
+            .select(column, best_token_sort(F.col(column), F.col("_tk_cands")).alias("_tk_q"))
+            .groupBy(column).agg(F.max("_tk_q").alias("_tk_q")))
+    scores = best.agg(F.avg("_tk_q").alias("avg_score"), F.max("_tk_q").alias("max_score"))
+    hits = fuzzy_match(dirty, ref, column, ref_column, cutoff, chunk_size).agg(
+        F.count_if(F.col("matched") != "").alias("matched_count"),
+        F.count_if(F.col("matched") == "").alias("unmatched_count"))
+    # one row each
+    return scores.crossJoin(hits)
 
 
-POSITIVE, NEGATIVE, NEUTRAL = "positive", "negative", "neutral"
+POSITIVE, NEGATIVE, NEUTRAL = "positive", "negative", "neutral"  # fixed values: labels
 
 
-def sentiment_label(df: DataFrame, text: str, lexicon: DataFrame, id_col: str,
+def sentiment_label(df: DataFrame, text: str, lexicon: DataFrame,
                     word_col: str = "word", score_col: str = "polarity",
-                    pos_threshold: float = 0.1, neg_threshold: float = -0.1,
-                    max_map_words: int = 2_000_000) -> DataFrame:
+                    pos_threshold: float = 0.1, neg_threshold: float = -0.1) -> DataFrame:
     """Polarity per text = mean lexicon score of its tokens found in the
     lexicon (0 when none), labelled positive (> 0.1), negative (< -0.1) or
     neutral.  Tokens are lower-case [a-z]+ runs of the whole text; a word
     listed twice in the lexicon scores its mean.
 
-    A lexicon of at most ``max_map_words`` words (checked) becomes one map
-    value built by a scalar subquery; each text is then scored by
-    higher-order functions on its own row: no shuffle, no join, the text
-    never moves.  A larger lexicon is joined instead: (text, word) counts
-    are pre-aggregated map-side, joined (AQE picks the strategy and splits
-    skew), averaged with the counts as weights, and joined back on the id."""
+    The score depends on the text alone, so texts are keyed by a 128-bit hash
+    of themselves: repeated or missing ids cannot mix rows.  (text, word)
+    counts are aggregated map-side, joined to the lexicon whatever its size
+    (AQE picks the strategy and splits skew), averaged with the counts as
+    weights, and joined back on the hash.  Texts themselves never move but
+    for that last join."""
     lex = (lexicon.groupBy(F.col(word_col).alias("_tk_w"))
                   .agg(F.avg(F.col(score_col).cast("double")).alias("_tk_s")))
+    key = {"_tk_k1": F.xxhash64(F.col(text)), "_tk_k2": F.xxhash64(F.lit(1), F.col(text))}
     tokens = F.split(F.lower(F.col(text)), "[^a-z]+")
-    if lex.count() <= max_map_words:
-        # the map is one value of a scalar subquery (a subquery may not sit
-        # inside a lambda, so it is bound to a column the lambda reads)
-        m = lex.agg(F.map_from_entries(F.collect_list(F.struct("_tk_w", "_tk_s")))).scalar()
-        hits = F.filter(F.transform(tokens, lambda w: F.try_element_at(F.col("_tk_m"), w)),
-                        lambda x: x.isNotNull())
-        total = F.aggregate(F.col("_tk_h"), F.lit(0.0), lambda acc, x: acc + x)
-        pol = F.coalesce(F.try_divide(total, F.size("_tk_h").cast("double")), F.lit(0.0))
-        scored = (spread(df).withColumn("_tk_m", m).withColumn("_tk_h", hits)
-                    .withColumn("_tk_p", pol).drop("_tk_m", "_tk_h"))
-    else:
-        words = (spread(df).select(id_col, F.explode(tokens).alias("_tk_w"))
-                           .filter(F.col("_tk_w") != ""))
-        counts = words.groupBy(id_col, "_tk_w").agg(F.count(F.lit(1)).alias("_tk_n"))
-        scores = (counts.join(lex, "_tk_w").groupBy(id_col)
-                        .agg((F.sum(F.col("_tk_s") * F.col("_tk_n")) / F.sum("_tk_n")).alias("_tk_p")))
-        scored = df.join(scores, id_col, "left").withColumn("_tk_p", F.coalesce(F.col("_tk_p"), F.lit(0.0)))
-    pol = F.col("_tk_p")
+    words = (df.select(*[c.alias(k) for k, c in key.items()], F.explode(tokens).alias("_tk_w"))
+               .filter(F.col("_tk_w") != ""))
+    counts = words.groupBy(*key, "_tk_w").agg(F.count(F.lit(1)).alias("_tk_n"))
+    scores = (counts.join(lex, "_tk_w").groupBy(*key)
+                    .agg((F.sum(F.col("_tk_s") * F.col("_tk_n")) / F.sum("_tk_n")).alias("_tk_p")))
+    scored = df.withColumns(key).join(scores, list(key), "left")
+    pol = F.coalesce(F.col("_tk_p"), F.lit(0.0))
     label = (F.when(pol > pos_threshold, POSITIVE).when(pol < neg_threshold, NEGATIVE)
               .otherwise(NEUTRAL))
     return (scored.withColumn("polarity", F.round(pol, 6)).withColumn("sentiment", label)
-                  .drop("_tk_p"))
+                  .drop("_tk_p", *key))

@@ -65,7 +65,7 @@ def _a04(spark, d):
 
 @binding("purchase_funnel")
 def _a05(spark, d):
-    ev = t(spark, d, "events").filter(F.col("ts") < F.lit("2024-01-03").cast("timestamp_ntz"))
+    ev = t(spark, d, "events")
     stage = lambda kind: ev.filter(F.col("event_type") == kind)
     return A.purchase_funnel([("visits", stage("view"), "user_id"),
                               ("cart", stage("click"), "user_id"),
@@ -106,7 +106,10 @@ LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey"]
 
 @binding("find_duplicates")
 def _a12(spark, d):
-    return D.find_duplicates(t(spark, d, "lineitem"), LINE_KEYS, LINE_ORDER)
+    li = t(spark, d, "lineitem")
+    first = li.filter(F.col("l_linenumber") == 1)          # exact copies: one more, or two more
+    copies = li.unionByName(first).unionByName(first.filter(F.col("l_orderkey") % 3 == 0))
+    return D.find_duplicates(copies, LINE_KEYS, LINE_ORDER)
 
 
 @binding("dedup_keep_first")
@@ -227,7 +230,11 @@ def _q07(spark, d):
 
 @binding("small_file_report")
 def _q08(spark, d):
-    return Q.small_file_report(t(spark, d, "lineitem"))
+    path = scratch_path(spark, "lineitem_files")
+    t(spark, d, "lineitem").coalesce(1).write.partitionBy("l_returnflag").parquet(path)
+    return (Q.small_file_report(spark, path, by="l_returnflag")
+            .select("l_returnflag", "num_files", (F.col("total_bytes") > 0).alias("has_bytes"), "small_files",
+                    "too_many_files", "needs_compaction"))
 
 
 @binding("duplicate_check")
@@ -365,29 +372,77 @@ def _t08(spark, d):
 
 @binding("match_quality")
 def _t09(spark, d):
-    return TX.match_quality(_t07(spark, d))
+    return TX.match_quality(_dirty_names(spark, d), t(spark, d, "part"), "name", "p_name", cutoff=60)
 
 
-SENTIMENT_LEXICON = [("the", 0.25), ("of", -0.375), ("and", 0.5), ("to", -0.625)]  # fixture lexicon
+def _document_lexicon(docs: DataFrame) -> DataFrame:
+    """A polarity for every word of the documents (tens of thousands), from
+    the word's own hash: multiples of 1/8 between -1 and 1."""
+    words = docs.select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word")).filter("word <> ''").distinct()
+    number = F.conv(F.substring(F.md5("word"), 1, 4), 16, 10).cast("int")
+    return words.withColumn("polarity", (number % 17 - 8) / F.lit(8.0))
 
 
 @binding("sentiment_label")
 def _t10(spark, d):
-    docs = t(spark, d, "documents").filter(F.col("lang") == "en").select("doc_id", "text")
-    lex = spark.createDataFrame(SENTIMENT_LEXICON, "word string, polarity double")
-    return TX.sentiment_label(docs, "text", lex, "doc_id").select("doc_id", "polarity", "sentiment")
+    docs = t(spark, d, "documents").select("doc_id", "text")
+    return TX.sentiment_label(docs, "text", _document_lexicon(docs)).select("doc_id", "polarity", "sentiment")
 
 
 @binding("json_to_tables")
 def _t11(spark, d):
     ev = t(spark, d, "events").select("event_id", "props")
-    return J.json_to_tables(ev, "props", key_col="event_id")["root"]
+    return J.json_to_tables(ev, "props", key_col="event_id")[()]
 
 
 @binding("json_to_tables_children")
 def _t11b(spark, d):
     tabs = J.json_to_tables(order_payloads(spark, d, with_key=True), "payload", key_col="doc_key")
-    return tabs["items"].select("root_id", "product_id", "price")
+    return tabs[("items",)].select("root_id", "product_id", "price")
+
+
+def nested_payloads(spark, d) -> DataFrame:
+    """A JSON document per order and 4 lines with what trips schema readers:
+    equal child names, a dotted and a quoted key, a field named root, arrays
+    in arrays in objects, names that differ in case only, a type conflict."""
+    li = t(spark, d, "lineitem")
+    line = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    chunks = (li.groupBy(F.col("l_orderkey").alias("o"), F.ceil(F.col("l_linenumber") / ITEMS_PER_PAYLOAD).alias("c"))
+                .agg(F.array_sort(F.collect_list(line)).alias("lines")))
+    pair = lambda x: F.array(x["l_suppkey"], x["l_linenumber"].cast("long"))
+    even = F.col("o") % 2 == 0
+    return chunks.select(
+        F.concat_ws("-", F.col("o").cast("string"), F.col("c").cast("string")).alias("doc_key"),
+        F.concat(
+            F.lit('{"id":'), F.col("o").cast("string"), F.lit(',"p.q":"x'), F.col("c").cast("string"),
+            F.lit('","it\'s":'), F.col("c").cast("string"), F.lit(',"Id":'), (F.col("o") * 2).cast("string"),
+            F.lit(',"root":{"even":'), even.cast("string"), F.lit('},"mixed":'),
+            F.when(even, F.col("o").cast("string")).otherwise(F.concat(F.lit('{"n":'), F.col("o").cast("string"), F.lit("}"))),
+            F.lit(',"a":{"items":'), F.to_json(F.transform("lines", lambda x: x["l_partkey"])),
+            F.lit('},"b":{"items":'),
+            F.to_json(F.transform("lines", lambda x: F.struct(x["l_extendedprice"].alias("price"), F.array(pair(x), pair(x)).alias("tags")))),
+            F.lit("}}")).alias("payload"))
+
+
+def _nested_table(path: tuple, columns: list[str]):
+    def run(spark, d):
+        return J.json_to_tables(nested_payloads(spark, d), "payload", key_col="doc_key")[path].toDF(*columns)
+
+    return run
+
+
+for _name, _path, _columns in (
+        ("json_nested_root", (), ["doc_key", "twice", "id", "quoted", "mixed", "dotted"]),
+        ("json_nested_field_root", ("root",), ["root_id", "even"]),
+        ("json_nested_a_items", ("a", "items"), ["root_id", "pos_1", "value"]),
+        ("json_nested_b_items", ("b", "items"), ["root_id", "pos_1", "price"]),
+        ("json_nested_tags", ("b", "items", "tags", None), ["root_id", "pos_1", "pos_2", "pos_3", "value"])):
+    BINDINGS[_name] = _nested_table(_path, _columns)
+
+
+@binding("infer_json_columns_nested")
+def _t12b(spark, d):
+    return J.infer_json_columns(nested_payloads(spark, d), "payload")
 
 
 @binding("infer_json_columns")
@@ -409,7 +464,7 @@ def part_supplier_edges(spark, d) -> DataFrame:
 
 @binding("bfs_levels")
 def _g01(spark, d):
-    return G.bfs_levels(part_supplier_edges(spark, d), "src", "dst", start=0, max_hops=8)
+    return G.bfs_levels(part_supplier_edges(spark, d), "src", "dst", start=0)
 
 
 @binding("shortest_paths")
@@ -446,30 +501,41 @@ def _i04(spark, d):
 
 @binding("ingest_compare")
 def _i05(spark, d):
+    """The reports of two runs: counts differ from a stale load (reload), then agree (skip)."""
     cust = t(spark, d, "customer")
     target = scratch_path(spark, IN.target_name("customer", "crm"))
-    IN.ingest_full(cust.filter(F.col("c_nationkey") < 10), target)   # a stale earlier load
-    IN.ingest_compare(cust, target, source="crm", table="customer")    # counts differ: reload
-    return spark.read.parquet(target)
+    IN.ingest_full(cust.filter(F.col("c_nationkey") < 10), target)
+    reports = [IN.ingest_compare(cust, target, source="crm", table="customer").withColumn("run", F.lit(k)) for k in (1, 2)]
+    return reports[0].unionByName(reports[1]).select("run", "status", "records")
 
 
 @binding("ingest_incremental")
 def _i06(spark, d):
-    o = t(spark, d, "orders")
+    """Two runs over a target that holds half of the rows at its mark and half of those without one."""
+    o = t(spark, d, "orders").select("o_orderkey", "o_totalprice",
+                                     F.when(F.col("o_orderkey") % 50 != 0, F.col("o_orderdate")).alias("changed_at"))
+    mark = F.lit("1998-01-02").cast("timestamp_ntz")
+    w = F.col("changed_at")
+    old = o.filter((w < mark) | ((w == mark) & (F.col("o_orderkey") % 2 == 0)) | (w.isNull() & (F.col("o_orderkey") % 100 == 0)))
     target = scratch_path(spark, IN.target_name("orders", "erp"))
-    IN.ingest_full(o.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")), target)
-    IN.ingest_incremental(o, target, "o_orderdate", source="erp", table="orders")
+    IN.ingest_full(old, target)
+    for _ in range(2):  # the second run finds nothing new
+        IN.ingest_incremental(o, target, "changed_at", source="erp", table="orders")
     return spark.read.parquet(target)
 
 
 @binding("ingest_merge")
 def _i07(spark, d):
+    """Changed orders arrive twice (the later status loses) and some move to another partition."""
     o = t(spark, d, "orders")
     target = scratch_path(spark, IN.target_name("orders", "merge"))
-    IN.ingest_full(o, target)
-    changed = o.filter(F.col("o_totalprice") > 300000).withColumn("o_orderstatus", F.lit("X"))
-    IN.ingest_merge(changed, target, "o_orderkey", staging=scratch_path(spark, "merge_staging"))
-    return spark.read.parquet(target)
+    IN.ingest_full(o, target, partition_by=["o_orderpriority"])
+    moved = F.when(F.col("o_totalprice") > 400000, "1-URGENT").otherwise(F.col("o_orderpriority"))
+    changed = o.filter(F.col("o_totalprice") > 300000).withColumn("o_orderpriority", moved)
+    incoming = changed.withColumn("o_orderstatus", F.lit("Z")).unionByName(changed.withColumn("o_orderstatus", F.lit("X")))
+    IN.ingest_merge(incoming, target, "o_orderkey", staging=scratch_path(spark, "merge_staging"),
+                    partition_by=["o_orderpriority"], tie_break="o_orderstatus")
+    return spark.read.parquet(target).select(*o.columns)
 
 
 @binding("copy_table_if_absent")
@@ -527,18 +593,12 @@ def _i11(spark, d):
 
 
 # ------------------------------------------------------------- streaming
-def _events_source(spark, d, copies: int = 1) -> tuple[str, object]:
-    src = scratch_path(spark, "events_stream_src")
-    ev = t(spark, d, "events")
-    for _ in range(copies):
-        ev.write.mode("append").parquet(src)
-    return src, ev.schema
-
-
 @binding("session_summary_stream")
 def _a22(spark, d):
-    src, schema = _events_source(spark, d)
-    stream = spark.readStream.schema(schema).parquet(src)
+    src = scratch_path(spark, "events_stream_src")
+    ev = t(spark, d, "events")
+    ev.write.parquet(src)
+    stream = spark.readStream.schema(ev.schema).parquet(src)
     sink, ckpt = scratch_path(spark, "sessions_sink"), scratch_path(spark, "sessions_ckpt")
     q = (SS.session_summary_stream(stream, "user_id", "ts", gap="30 minutes", watermark="10 minutes")
          .writeStream.format("parquet").option("path", sink).option("checkpointLocation", ckpt)
@@ -549,9 +609,18 @@ def _a22(spark, d):
 
 @binding("merge_insert_new_stream")
 def _a23(spark, d):
-    src, schema = _events_source(spark, d, copies=2)
-    stream = spark.readStream.schema(schema).parquet(src)
-    target, ckpt = scratch_path(spark, "events_target"), scratch_path(spark, "events_merge_ckpt")
-    q = SM.merge_insert_new_stream(stream, target, "event_id", "ts", watermark="1 hour", checkpoint=ckpt)
-    q.awaitTermination()
+    """Two runs.  The first has other, earlier rows of some keys; the second
+    repeats every key and brings new ones, some of them nine days late."""
+    ev = t(spark, d, "events").select("event_id", "user_id", "ts", "value")
+    k, shift = F.col("event_id"), lambda by: (F.col("ts") + F.expr(by)).alias("ts")
+    first = ev.filter(k % 3 != 0)
+    earlier = first.filter(k % 5 == 0).withColumn("ts", shift("INTERVAL '-1' HOUR")).withColumn("value", F.col("value") - 1)
+    again = ev.withColumn("value", F.col("value") + 1000)
+    late = again.filter((k % 3 == 0) & (k % 2 == 0)).withColumn("ts", shift("INTERVAL '-9' DAY"))
+    src, target = scratch_path(spark, "events_stream_src"), scratch_path(spark, "events_target")
+    ckpt = scratch_path(spark, "events_merge_ckpt")
+    for rows in (first.unionByName(earlier), again.withColumn("ts", shift("INTERVAL '1' DAY")).unionByName(late)):
+        rows.write.mode("append").parquet(src)
+        stream = spark.readStream.schema(ev.schema).parquet(src)
+        SM.merge_insert_new_stream(stream, target, "event_id", "ts", checkpoint=ckpt).awaitTermination()
     return spark.read.parquet(target)

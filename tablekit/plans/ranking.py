@@ -69,13 +69,3 @@ def ntile_expr(pos: Column, total: Column, k: int) -> Column:
             .when(pos <= big, F.ceil(pos / (q + 1)))
             .otherwise(r + F.ceil((pos - big) / q))).cast("int")
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition only when the input has fewer partitions than
-    the cluster has cores (e.g. one large row group ahead of per-row Python
-    work).  On a large input this is a no-op: no extra shuffle."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df

@@ -5,8 +5,7 @@ holds a third of the table, that task holds a third of the table.  Here:
 
 1. one partial aggregate finds the *hot* keys, those with more than
    ``rows_per_segment`` rows.  There are at most total_rows /
-   rows_per_segment of them, so their (key, min, width) table has a proven
-   size bound and is broadcast;
+   rows_per_segment of them; AQE broadcasts their table while it is small;
 2. each hot key's rows are cut into consecutive time segments of about
    ``rows_per_segment`` rows (equal-count, from a histogram of fine time
    slices); other keys form a single segment;
@@ -55,11 +54,15 @@ def norm_keys(keys: Sequence[str]) -> list[str]:
     return [f"_tk_kv{i}" for i in range(len(keys))] + [f"_tk_kn{i}" for i in range(len(keys))]
 
 
-def _join_back(df: DataFrame, small: DataFrame, keys: Sequence[str], broadcast: bool = False) -> DataFrame:
+def _join_back(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left equi-join on never-NULL columns (plain ``=`` keeps the join on
     the same hash partitioning as the window before it)."""
-    r = F.broadcast(small) if broadcast else small
-    return df.join(r, list(keys), "left")
+    return df.join(small, list(keys), "left")
+
+
+def _nulls_last(order: Sequence[str]) -> Column:
+    """The order as one comparable value; NULLs sort last, as in the windows."""
+    return F.struct(*[x for c in order for x in (F.col(c).isNull(), F.col(c))])
 
 
 def segment(df: DataFrame, keys: Sequence[str], t: Column,
@@ -83,17 +86,15 @@ def segment(df: DataFrame, keys: Sequence[str], t: Column,
     slices = f"ceil(_tk_n / {int(rows_per_segment)}) * {FINE_PER_SEGMENT}"
     hot = (stats.filter(F.col("_tk_n") > rows_per_segment)
                 .select(*nk, "_tk_lo", (F.expr(f"(_tk_hi - _tk_lo) div ({slices})") + 1).alias("_tk_w")))
-    # at most total_rows / rows_per_segment hot keys: a proven broadcast bound.
     # One aggregate job decides: with no hot key the frame gets constant
     # segment 0 and every border fix-up is pruned while planning.
     if hot.isEmpty():
         return base.withColumn(SEG, F.lit(0).cast("long")).withColumn(HOT, F.lit(False))
-    joined = _join_back(base, hot, nk, broadcast=True)
+    joined = _join_back(base, hot, nk)
     fine = F.when(F.col("_tk_w").isNotNull(),
                   F.coalesce(F.expr("(_tk_t - _tk_lo) div _tk_w"), F.lit(NULL_SEG)))
     sliced = joined.withColumn("_tk_f1", fine).withColumn(HOT, F.col("_tk_w").isNotNull())
-    # level 2: a slice that alone holds more than rows_per_segment rows (at
-    # most rows / rows_per_segment such slices: broadcast-bounded) is cut
+    # level 2: a slice that alone holds more than rows_per_segment rows is cut
     # again, so rows crowding into a short stretch still split evenly
     counts1 = sliced.filter(HOT).groupBy(*nk, "_tk_f1").agg(
         F.count(F.lit(1)).alias("_tk_c1"), F.min("_tk_t").alias("_tk_b2"), F.max("_tk_t").alias("_tk_e2"))
@@ -102,7 +103,7 @@ def segment(df: DataFrame, keys: Sequence[str], t: Column,
     heavy = (counts1.filter((F.col("_tk_c1") > rows_per_segment) & (F.col("_tk_f1") != NULL_SEG))
                     .select(*nk, "_tk_f1", "_tk_b2",
                             (F.floor((F.col("_tk_e2") - F.col("_tk_b2")) / sub).cast("long") + 1).alias("_tk_w2")))
-    two = _join_back(sliced, heavy, nk + ["_tk_f1"], broadcast=True)
+    two = _join_back(sliced, heavy, nk + ["_tk_f1"])
     f2 = F.when(F.col("_tk_w2").isNotNull(), F.expr("(_tk_t - _tk_b2) div _tk_w2")).otherwise(F.lit(0))
     fs = F.when(F.col("_tk_f1") == NULL_SEG, F.lit(NULL_SEG)).otherwise(F.col("_tk_f1") * SUB_MAX + f2)
     keyed = two.withColumn("_tk_fs", fs).drop("_tk_b2", "_tk_w2", "_tk_f1")
@@ -131,7 +132,7 @@ def seg_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str
     local = (df.withColumn("_tk_lp", F.lag(value).over(w))
                .withColumn("_tk_first", F.lag(F.lit(1)).over(w).isNull()))
     summary = local.filter(HOT).groupBy(*norm_keys(keys), SEG).agg(
-        F.max_by(F.col(value), F.struct(*[F.col(c) for c in order])).alias("_tk_last"))
+        F.max_by(F.col(value), _nulls_last(order)).alias("_tk_last"))
     across = summary.select(*norm_keys(keys), SEG, F.lag("_tk_last").over(
         Window.partitionBy(*norm_keys(keys)).orderBy(SEG)).alias("_tk_prev_last"))
     joined = _join_back(local, across, norm_keys(keys) + [SEG])
@@ -146,7 +147,7 @@ def seg_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: st
     local = (df.withColumn("_tk_ln", F.lead(value).over(w))
                .withColumn("_tk_lastrow", F.lead(F.lit(1)).over(w).isNull()))
     summary = local.filter(HOT).groupBy(*norm_keys(keys), SEG).agg(
-        F.min_by(F.col(value), F.struct(*[F.col(c) for c in order])).alias("_tk_firstv"))
+        F.min_by(F.col(value), _nulls_last(order)).alias("_tk_firstv"))
     across = summary.select(*norm_keys(keys), SEG, F.lead("_tk_firstv").over(
         Window.partitionBy(*norm_keys(keys)).orderBy(SEG)).alias("_tk_next_first"))
     joined = _join_back(local, across, norm_keys(keys) + [SEG])

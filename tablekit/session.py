@@ -8,11 +8,16 @@ executors and survives the loss of one.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+_own_roots: dict[str, str] = {}       # application id -> folder made for a local session
+_written: dict[str, list[str]] = {}   # application id -> scratch paths handed out
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -37,27 +42,46 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set one only where the session has none."""
+    """The shared checkpoint folder the session names.  A session on one
+    machine (``local[...]``) may name none and gets a folder of its own,
+    removed when the process ends; any other master without one is an error,
+    because executors could not see each other's files."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        # Only reached in local runs/tests with no cluster-provided folder.
-        conf_dir = tempfile.mkdtemp(prefix="tablekit-ckpt-")
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
+    named = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if named:
+        return named
+    if sc.master != "local" and not sc.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if sc.applicationId not in _own_roots:
+        _own_roots[sc.applicationId] = tempfile.mkdtemp(prefix="tablekit-ckpt-")
+        atexit.register(shutil.rmtree, _own_roots[sc.applicationId], ignore_errors=True)
+    return _own_roots[sc.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path below the shared checkpoint folder."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/tablekit-{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark).rstrip('/')}/tablekit-{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete all scratch data of this session.  Call it once the results
+    that read from it are written or collected."""
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        _delete(spark, path)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    checkpoint_root(spark)
+def discard(df: DataFrame | None) -> None:
+    """Delete one materialised table that nothing reads any more."""
+    path = getattr(df, "_tk_path", None)
+    if path:
+        _delete(df.sparkSession, path)
 
 
 def local_path(path: str) -> str:
@@ -69,11 +93,13 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def materialize(df, name: str):
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by writing ``df`` as Parquet below the shared checkpoint
     folder and reading it back: columnar, compressed, with size statistics
     for AQE, and readable by any executor after a failure."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._tk_path = path
+    return out

@@ -27,6 +27,48 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` holds a finished Spark write (its ``_SUCCESS`` marker)."""
+    return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+
+
+def publish(spark: SparkSession, staging: str, target: str) -> None:
+    """Rename a finished ``staging`` directory to ``target``, which must not exist."""
+    src, fs = _hadoop(spark, staging)
+    dst, _ = _hadoop(spark, target)
+    if dst.getParent() is not None:
+        fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise OSError(f"could not rename {staging} to {target}")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
+def layout_columns(spark: SparkSession, path: str) -> list[str]:
+    """Partition columns of a ``k=v`` directory layout, in order, found by
+    looking down one directory per level (never by listing all files)."""
+    out: list[str] = []
+    p, fs = _hadoop(spark, path)
+    while True:
+        names = [s.getPath() for s in fs.globStatus(type_path(spark, p, "*=*")) or []]
+        if not names:
+            return out
+        out.append(names[0].getName().split("=", 1)[0])
+        p = names[0]
+
+
+def type_path(spark: SparkSession, parent, child: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(parent, child)
+
+
 def convert_format(spark: SparkSession, src: str, dst: str, src_fmt: str, dst_fmt: str,
                    read_options: Mapping[str, str] | None = None,
                    write_options: Mapping[str, str] | None = None, schema=None,
@@ -55,18 +97,25 @@ def convert_format(spark: SparkSession, src: str, dst: str, src_fmt: str, dst_fm
 def copy_table_if_absent(spark: SparkSession, source: str, target_path: str,
                          fmt: str = "parquet") -> DataFrame:
     """Physical copy of a table (catalog name or path) keeping its partition
-    layout, only when the target does not exist (an existing target is never
-    overwritten).  Returns a one-row report (status COPIED or EXISTS)."""
-    if path_exists(spark, target_path):
+    layout, only when no finished copy exists (one with ``_SUCCESS``; it is
+    never overwritten).  The copy is written beside the target and renamed
+    when done; what an aborted copy left at the target is replaced.  Returns
+    a one-row report (status COPIED, REPLACED or EXISTS)."""
+    if is_complete(spark, target_path):
         status = "EXISTS"
     else:
         df = spark.table(source) if not _is_path(source) else spark.read.format(fmt).load(source)
-        parts = partition_columns(spark, source, df)
-        w = df.write.format(fmt).mode("errorifexists")
+        parts = partition_columns(spark, source)
+        staging = f"{target_path.rstrip('/')}__copying"
+        w = df.write.format(fmt).mode("overwrite")
         if parts:
             w = w.partitionBy(*parts)
-        w.save(target_path)
+        w.save(staging)
         status = "COPIED"
+        if path_exists(spark, target_path):
+            remove_path(spark, target_path)
+            status = "REPLACED"
+        publish(spark, staging, target_path)
     return spark.range(1).select(F.lit(source).alias("source"), F.lit(target_path).alias("target"),
                                  F.lit(status).alias("status"))
 
@@ -122,24 +171,46 @@ def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 8,
 def compact_table(spark: SparkSession, path: str, out: str, target_mb: float = 128.0,
                   where: str | None = None, cluster_by: Sequence[str] | None = None,
                   zorder: bool = False, fmt: str = "parquet") -> DataFrame:
-    """Rewrite a directory (or the rows matching ``where``) into files near
-    ``target_mb``, optionally range-clustered on ``cluster_by`` or on their
-    Z-order key, into ``out``.  Returns before/after file metrics."""
+    """Rewrite a directory into files near ``target_mb`` in ``out``, optionally
+    range-clustered on ``cluster_by`` or on their Z-order key, keeping its
+    partition layout.  With ``where`` (on partition columns) only the matching
+    partitions are rewritten, in place: they are staged in ``out`` and put
+    back by dynamic partition overwrite, the others stay untouched.  Returns
+    before/after file metrics of what was rewritten."""
+    parts = layout_columns(spark, path)
     df = spark.read.format(fmt).load(path)
     if where:
+        if not parts:
+            raise ValueError("where selects partitions; the directory has none")
         df = df.filter(F.expr(where))
-    before = small_file_report(df, target_mb=target_mb).first()
-    n = max(1, math.ceil((before["total_bytes"] or 0) / (target_mb * 1024 * 1024)))
-    data = df.drop("_metadata") if "_metadata" in df.columns else df
+    suffix = f".{fmt}"
+    sizes = df.select("_metadata.file_path", "_metadata.file_size").distinct() if where else None
+    before = (sizes.agg(F.count(F.lit(1)).alias("num_files"), F.sum("file_size").alias("total_bytes")) if where
+              else small_file_report(spark, path, target_mb, suffix=suffix)).first()
+    total = (before["total_bytes"] if before else 0) or 0
+    n = max(1, math.ceil(total / (target_mb * 1024 * 1024)))
     if cluster_by and zorder:
-        data = data.withColumn("_tk_z", zorder_key(data, cluster_by))
-        data = data.repartitionByRange(n, "_tk_z").sortWithinPartitions("_tk_z").drop("_tk_z")
+        data = df.withColumn("_tk_z", zorder_key(df, cluster_by))
+        data = data.repartitionByRange(n, *parts, "_tk_z").sortWithinPartitions(*parts, "_tk_z").drop("_tk_z")
     elif cluster_by:
-        data = data.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
+        data = df.repartitionByRange(n, *parts, *cluster_by).sortWithinPartitions(*parts, *cluster_by)
+    elif parts:
+        # whole partitions side by side; a partition larger than a share is cut by a hash of the row
+        others = [c for c in df.columns if c not in parts]
+        data = df.repartitionByRange(n, *parts, F.xxhash64(*others) if others else F.lit(0))
     else:
-        data = data.repartition(n)
-    data.write.format(fmt).mode("errorifexists").save(out)
-    after = small_file_report(spark.read.format(fmt).load(out), target_mb=target_mb).first()
-    rows = [("before", before["num_files"], before["total_bytes"], float(before["avg_file_mb"])),
-            ("after", after["num_files"], after["total_bytes"], float(after["avg_file_mb"]))]
-    return spark.createDataFrame(rows, "stage string, num_files long, total_bytes long, avg_file_mb double")
+        data = df.repartition(n)
+    w = data.write.format(fmt).mode("errorifexists")
+    (w.partitionBy(*parts) if parts else w).save(out)
+    after = small_file_report(spark, out, target_mb, suffix=suffix).first()
+    if where:
+        staged = spark.read.format(fmt).load(out)
+        (staged.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy(*parts).save(path))
+
+    def row(stage: str, r) -> tuple:
+        files, size = (r["num_files"], r["total_bytes"] or 0) if r else (0, 0)
+        return stage, files, size, size / files / (1024.0 * 1024.0) if files else 0.0
+
+    return spark.createDataFrame([row("before", before), row("after", after)],
+                                 "stage string, num_files long, total_bytes long, avg_file_mb double")

@@ -16,18 +16,13 @@ def _is_path(name: str) -> bool:
     return "/" in name or name.startswith(("file:", "s3", "abfss:", "gs:", "hdfs:"))
 
 
-def partition_columns(spark: SparkSession, name: str, df: DataFrame | None = None) -> list[str]:
-    """Partition columns of a catalog table, or of a ``k=v`` directory
-    layout (read from the file index Spark already listed)."""
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    """Partition columns of a catalog table, or of a ``k=v`` directory layout
+    (one directory a level is looked at, files are not listed)."""
     if not _is_path(name):
         return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-    df = df if df is not None else spark.read.parquet(name)
-    files = df.inputFiles()
-    if not files:
-        return []
-    root = name.rstrip("/")
-    rel = files[0].split(root.split(":", 1)[-1], 1)[-1]
-    return [seg.split("=", 1)[0] for seg in rel.strip("/").split("/")[:-1] if "=" in seg]
+    from .files import layout_columns
+    return layout_columns(spark, name)
 
 
 def read_table(spark: SparkSession, name: str, partition_filters: Mapping[str, object] | None = None,
@@ -37,7 +32,7 @@ def read_table(spark: SparkSession, name: str, partition_filters: Mapping[str, o
     warning) and an optional SQL predicate."""
     df = spark.table(name) if not _is_path(name) else spark.read.format(fmt).load(name)
     if partition_filters:
-        parts = set(partition_columns(spark, name, df))
+        parts = set(partition_columns(spark, name))
         for col, value in partition_filters.items():
             if col in parts:
                 df = df.filter(F.col(col) == F.lit(value))

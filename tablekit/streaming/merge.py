@@ -4,44 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.time import duration_sql, epoch_micros
-from ..operators._util import as_list
+from ..operators._util import as_list, null_safe_on
+from ..operators.dedup import dedup_keep_first
 from ..sources.files import path_exists
 
 
 def merge_insert_new_stream(stream: DataFrame, target_path: str, keys: str | Sequence[str],
-                            ts: str, watermark="1 hour", checkpoint: str | None = None,
+                            order_by: Sequence[str | Column] | str, checkpoint: str | None = None,
                             trigger_available_now: bool = True):
-    """Duplicate keys within the watermark are dropped in the stream
-    (``dropDuplicatesWithinWatermark``, state bounded by the watermark); each
-    micro-batch then inserts only rows whose key is absent from the target
-    (anti join, reading only target keys within the batch's key range), so
-    late duplicates and a replayed batch insert nothing.
+    """Each micro-batch inserts the rows whose key is absent from the target,
+    the first of a key by ``order_by`` (then by all columns).  The anti join
+    against the target makes the insert exact, however late a row is and
+    whether or not a batch is replayed, so no watermark drops rows; NULL keys
+    count as equal and are inserted once.
+
+    The batch is deduplicated once and persisted for its two uses: the range
+    of its keys, which prunes the target's row groups, and the insert.
     Returns the started ``StreamingQuery``."""
     keys = as_list(keys)
     spark = stream.sparkSession
-    cols = stream.columns
-    deduped = (stream.withColumn("_tk_et", F.timestamp_micros(epoch_micros(stream, ts)))
-                     .withWatermark("_tk_et", duration_sql(watermark))
-                     .dropDuplicatesWithinWatermark(keys).select(*cols))
+    order = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
 
     def insert_batch(batch: DataFrame, _epoch: int) -> None:
-        b = batch.dropDuplicates(keys)
-        if path_exists(spark, target_path):
-            # only target keys inside the batch's key range can match: the
-            # range predicate reaches the Parquet scan, whose row-group
-            # min/max statistics skip the rest of the target
-            lo_hi = b.agg(F.min(keys[0]).alias("lo"), F.max(keys[0]).alias("hi")).first()
-            existing = spark.read.parquet(target_path).select(*keys)
-            if lo_hi["lo"] is not None:
-                existing = existing.filter(F.col(keys[0]).between(F.lit(lo_hi["lo"]), F.lit(lo_hi["hi"])))
-            b = b.join(existing, keys, "left_anti")
-        b.write.mode("append").parquet(target_path)
-
-    w = deduped.writeStream.foreachBatch(insert_batch)
+        b = dedup_keep_first(batch, keys, [*order, *batch.columns]).persist()
+        try:
+            new = b
+            if path_exists(spark, target_path):
+                k = F.col(keys[0])
+                lo_hi = b.agg(F.min(k).alias("lo"), F.max(k).alias("hi"), F.count_if(k.isNull()).alias("nulls")).first()
+                there = spark.read.parquet(target_path).select(*keys)
+                near = F.lit(False) if lo_hi["lo"] is None else k.between(F.lit(lo_hi["lo"]), F.lit(lo_hi["hi"]))
+                there = there.filter(near | k.isNull() if lo_hi["nulls"] else near)
+                renamed, cond = null_safe_on(b, there, keys)
+                new = b.join(renamed, cond, "left_anti")
+            new.write.mode("append").parquet(target_path)
+        finally:
+            b.unpersist()
+
+    w = stream.writeStream.foreachBatch(insert_batch)
     if checkpoint:
         w = w.option("checkpointLocation", checkpoint)
     if trigger_available_now:

@@ -181,8 +181,7 @@ def test_stream_insert_only_across_batches(spark):
         _time.sleep(1.1)
     target, ck = scratch_path(spark, "t_ins_target"), scratch_path(spark, "t_ins_ck")
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
-    SM.merge_insert_new_stream(stream, target, "event_id", "ts", watermark="1 minute",
-                               checkpoint=ck).awaitTermination()
+    SM.merge_insert_new_stream(stream, target, "event_id", "ts", checkpoint=ck).awaitTermination()
     got = {r.event_id: r.v for r in spark.read.parquet(target).collect()}
     assert sorted(got) == list(range(30))
     assert all(got[i] == "a" for i in range(20)) and all(got[i] == "b" for i in range(20, 30))

@@ -4,7 +4,7 @@ import random
 
 from conftest import SF_SMALL, rows
 
-from tablekit.functions.text import lcs_length, partial_ratio
+from tablekit.functions.text import lcs_length, partial_ratio, token_sort_ratio
 from tablekit.operators import graph as G
 from tablekit.operators import jsonops as J
 from tablekit.operators import text as TX
@@ -48,15 +48,31 @@ def test_fuzzy_match_against_brute_force(spark):
                 best, score = r, s
         expect = best.upper() if d and score >= 60 else ""
         assert got[d] == expect, (d, got[d], expect)
-    q = TX.match_quality(TX.fuzzy_match(ddf, rdf, "city", "name")).first()
+    q = TX.match_quality(ddf, rdf, "city", "name", chunk_size=2).first()
+    assert q.matched_count == sum(v != "" for v in got.values())
     assert q.matched_count + q.unmatched_count == len(set(dirty))
+    best = [max(token_sort_ratio(d, r) for r in ref) for d in dirty]
+    assert abs(q.avg_score - sum(best) / len(best)) < 1e-9 and abs(q.max_score - max(best)) < 1e-9
+
+
+def test_fuzzy_match_without_reference_keeps_every_value(spark):
+    rdf = spark.createDataFrame([], "name string")
+    ddf = spark.createDataFrame([("Lisbo",), (None,), ("",)], "city string")
+    assert sorted(((r.city, r.matched, r.score) for r in TX.fuzzy_match(ddf, rdf, "city", "name").collect()), key=repr) == \
+        sorted([("Lisbo", "", 0.0), (None, "", 0.0), ("", "", 0.0)], key=repr)
+    assert TX.match_quality(ddf, rdf, "city", "name").first().unmatched_count == 3
+
+
+def test_partial_ratio_scores_shorter_windows_at_both_ends():
+    assert abs(partial_ratio("abcd", "cdxxxxx") - 200 * 2 / 6) < 1e-9
+    assert abs(partial_ratio("xxxxxab", "abcd") - 200 * 2 / 6) < 1e-9
 
 
 def test_clean_place_names(spark):
     df = spark.createDataFrame([("União das Freguesias de São-João",), (None,), ("  Vila  do Conde 2 ",)], "c string")
     out = [r.c_clean for r in TX.clean_place_names(df, "c").collect()]
-    assert out[1] == "" and out[2] == "Vila  Conde"
-    assert "Sao Joao" in out[0]
+    assert out[1] == "" and out[2] == "Vila Conde"
+    assert out[0] == "Sao Joao"
 
 
 def test_strip_control_chars(spark):
@@ -67,28 +83,43 @@ def test_strip_control_chars(spark):
 def test_sentiment(spark):
     df = spark.createDataFrame([(1, "good good bad"), (2, "nothing here"), (3, "bad")], "id long, t string")
     lex = spark.createDataFrame([("good", 0.5), ("bad", -0.5)], "word string, polarity double")
-    out = {r.id: r.sentiment for r in TX.sentiment_label(df, "t", lex, "id").collect()}
+    out = {r.id: r.sentiment for r in TX.sentiment_label(df, "t", lex).collect()}
     assert out == {1: "positive", 2: "neutral", 3: "negative"}
 
 
-PEOPLE = [
-    {"id": 1, "nome": "Alice", "endereco": {"rua": "Rua A", "cidade": "Cidade X"},
-     "telefones": ["1234-5678", "9876-5432"]},
-    {"id": 2, "nome": "Bob", "endereco": {"rua": "Rua B", "cidade": "Cidade Y", "complemento": "Apto 101"}},
-    {"id": "3", "nome": "Eve"},
+SHIPS = [
+    {"hull": 7, "class": "cutter", "yard": {"port": "Aveiro", "dock": "north"}, "masts": ["main", "mizzen"]},
+    {"hull": 8, "class": "sloop", "yard": {"port": "Viana", "dock": "south", "crane": "K2"}},
+    {"hull": "9b", "class": "ketch"},
 ]
 
 
 def test_json_inference_and_tables(spark):
-    df = spark.createDataFrame([(json.dumps(p),) for p in PEOPLE], "payload string")
+    df = spark.createDataFrame([(json.dumps(p),) for p in SHIPS], "payload string")
     cols = {r.path: (r.sql_type, r.conflict) for r in J.infer_json_columns(df, "payload").collect()}
-    assert cols["id"] == ("VARCHAR(255)", True)          # INT against text widens
-    assert cols["endereco.complemento"][0] == "VARCHAR(255)"
-    assert cols["telefones[]"][0] == "VARCHAR(255)"
+    assert cols["hull"] == ("VARCHAR(255)", True)          # INT against text widens
+    assert cols["yard.crane"][0] == "VARCHAR(255)"
+    assert cols["masts[]"][0] == "VARCHAR(255)"
     tabs = J.json_to_tables(df, "payload")
-    assert set(tabs) == {"root", "endereco", "telefones"}
-    assert set(tabs["endereco"].columns) == {"root_id", "rua", "cidade", "complemento"}   # union of fields
-    assert tabs["telefones"].count() == 2 and tabs["root"].count() == 3
+    assert set(tabs) == {(), ("yard",), ("masts",)}
+    assert set(tabs[("yard",)].columns) == {"root_id", "port", "dock", "crane"}   # union of fields
+    assert tabs[("masts",)].count() == 2 and tabs[()].count() == 3
+
+
+def test_json_tables_lose_nothing(spark):
+    docs = [{"a": {"items": [1]}, "b": {"items": [2]}, "root": {"x": 1}, "p.q": 5, "m": [[1, 2], [3]],
+             "o": [{"in": [{"z": 1}, {"z": 2}]}, {"in": []}], "OBJECT<": 3, "n": 1, "N": 2, "pos_1": 4},
+            {"n": {"deep": True}, "m": []}]
+    df = spark.createDataFrame([(str(i), json.dumps(d)) for i, d in enumerate(docs)], "k string, payload string")
+    tabs = J.json_to_tables(df, "payload", key_col="k")
+    assert rows(tabs[("a", "items")], "value") == [(1,)] and rows(tabs[("b", "items")], "value") == [(2,)]
+    assert rows(tabs[("root",)], "x") == [(1,)]
+    assert rows(tabs[("m", None)]) == [("0", 0, 0, 1), ("0", 0, 1, 2), ("0", 1, 0, 3)]
+    assert rows(tabs[("o", "in")]) == [("0", 0, 0, 1), ("0", 0, 1, 2)]
+    first = [r for r in tabs[()].collect() if r["k"] == "0"][0].asDict()
+    assert first["p.q"] == 5 and first["OBJECT<"] == 3 and first["pos_1"] == 4 and {str(first["N"]), str(first["n_2"])} == {"1", "2"}
+    second = [r for r in tabs[()].collect() if r["k"] == "1"][0].asDict()
+    assert second["n_2"] == '{"deep":true}'                # a type conflict keeps the object as its JSON
 
 
 def test_json_flatten_outer(spark):
@@ -106,15 +137,21 @@ def test_bfs_cycle(spark):
     assert rows(G.bfs_levels(e, "s", "d", 1), "vertex", "hops") == [(1, 0), (2, 1), (3, 2), (4, 3)]
 
 
-GRAPH = {"A": {"B": 1, "C": 4}, "B": {"A": 1, "C": 2, "D": 5}, "C": {"A": 4, "B": 2, "D": 1},
-         "D": {"B": 5, "C": 1}}
+ROADS = {"p": {"q": 7, "r": 2}, "r": {"q": 3, "s": 9, "t": 4}, "q": {"s": 2}, "t": {"s": 1, "u": 6}, "v": {"p": 1}}
 
 
 def test_shortest_paths_literal_graph(spark):
-    e = spark.createDataFrame([(a, b, float(w)) for a, nb in GRAPH.items() for b, w in nb.items()],
+    e = spark.createDataFrame([(a, b, float(w)) for a, nb in ROADS.items() for b, w in nb.items()],
                               "s string, d string, w double")
-    got = {r.vertex: r.distance for r in G.shortest_paths(e, "s", "d", "w", "A").collect()}
-    assert got == {"A": 0.0, "B": 1.0, "C": 3.0, "D": 4.0}
+    got = {r.vertex: r.distance for r in G.shortest_paths(e, "s", "d", "w", "p").collect()}
+    assert got == {"p": 0.0, "r": 2.0, "q": 5.0, "t": 6.0, "s": 7.0, "u": 12.0, "v": None}
+
+
+def test_shortest_paths_long_chain_is_no_cycle(spark):
+    e = spark.createDataFrame([(i, i + 1, 1.0) for i in range(40)], "s long, d long, w double")
+    got = G.shortest_paths(e, "s", "d", "w", 0).collect()
+    assert {r.vertex: r.distance for r in got} == {i: float(i) for i in range(41)}
+    assert not any(r.negative_cycle for r in got)
 
 
 def test_shortest_paths_negative_cycle(spark):
@@ -151,22 +188,20 @@ def test_upper_bound_never_below_score():
         assert ratio_upper_bound(a, b, {}) >= partial_ratio(a, b) - 1e-9
 
 
-def test_sentiment_map_and_join_paths_agree(spark):
-    df = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
-    lex = spark.createDataFrame([("the", 0.25), ("of", -0.375), ("and", 0.5), ("to", -0.625), ("to", 0.125)],
-                                "word string, polarity double")
-    a = TX.sentiment_label(df, "text", lex, "doc_id")
-    b = TX.sentiment_label(df, "text", lex, "doc_id", max_map_words=0)
-    cols = ("doc_id", "polarity", "sentiment")
-    assert rows(a, *cols) == rows(b, *cols)
+def test_sentiment_does_not_mix_rows_of_one_id(spark):
+    df = spark.createDataFrame([(1, "good"), (1, "bad"), (None, "good"), (None, None), (2, "")], "id long, t string")
+    lex = spark.createDataFrame([("good", 0.5), ("bad", -0.5), ("bad", -0.25)], "word string, polarity double")
+    got = rows(TX.sentiment_label(df, "t", lex), "id", "t", "polarity", "sentiment")
+    assert got == sorted([(1, "good", 0.5, "positive"), (1, "bad", -0.375, "negative"), (None, "good", 0.5, "positive"),
+                          (None, None, 0.0, "neutral"), (2, "", 0.0, "neutral")], key=repr)
 
 
 def test_json_to_tables_top_level_array(spark):
-    df = spark.createDataFrame([("doc1", json.dumps(PEOPLE[:2]))], "k string, payload string")
+    df = spark.createDataFrame([("doc1", json.dumps(SHIPS[:2]))], "k string, payload string")
     tabs = J.json_to_tables(df, "payload", key_col="k")
-    assert rows(tabs["root"], "k", "id", "nome") == [("doc1:0", 1, "Alice"), ("doc1:1", 2, "Bob")]
-    assert rows(tabs["telefones"], "root_id", "value") == [("doc1:0", "1234-5678"), ("doc1:0", "9876-5432")]
-    assert tabs["endereco"].count() == 2
+    assert rows(tabs[()], "k", "hull", "class") == [("doc1:0", 7, "cutter"), ("doc1:1", 8, "sloop")]
+    assert rows(tabs[("masts",)], "root_id", "value") == [("doc1:0", "main"), ("doc1:0", "mizzen")]
+    assert tabs[("yard",)].count() == 2
 
 
 def test_bfs_long_chain_compacts_visited(spark):
