@@ -40,7 +40,7 @@ def boilerplate_lines(pages: DataFrame, host: str = "source", text: str = "text"
     """(host, lines array<struct<a,b>>): the hashes of each host's boilerplate lines."""
     rows = pages.select(col(host).alias("host"), col(text).alias("text")).where(F.col("host").isNotNull())
     totals = rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    lines = rows.select("host", F.explode(F.array_distinct(F.transform(F.split("text", "\n", -1), F.trim))).alias("line"))
+    lines = rows.select("host", F.explode(F.array_distinct(F.transform(F.split("text", "\n", -1), lambda x: F.trim(x)))).alias("line"))
     counts = (lines.where(F.col("line") != "")
               .groupBy("host", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b"))
               .agg(F.count(F.lit(1)).alias("n"))
