@@ -33,3 +33,9 @@ def col(name: str) -> Column:
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(c, UPPER, UPPER.lower())
+
+
+def computed(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` plus ``value``, computed once a row.  A plain column would be
+    copied into every later expression that uses it; a generator's is not."""
+    return df.select("*", F.explode(F.array(value)).alias(name))

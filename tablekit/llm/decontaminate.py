@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablekit.llm.common import col, fresh
+from tablekit.llm.common import col, computed, fresh
 from tablekit.session import materialize
 
 SHINGLE = 5
@@ -55,23 +55,23 @@ def _grams(words: Column, k: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.size(words) - k), lambda i: _gram(words, i, k))
 
 
-def _simhash(grams: Column) -> Column:
-    """64-bit SimHash of an array of hashes: a bit is 1 if set in over half of
-    them.  Two 32-bit counters share each of 32 running sums."""
-    pair = F.lit(0x0000000100000001).cast("long")
+def _with_simhash(rows: DataFrame, grams: str, name: str) -> DataFrame:
+    """``rows`` plus the 64-bit SimHash of an array of hashes: a bit is 1 if set
+    in over half of them.  Two 32-bit counters share each of 32 running sums."""
+    zero, pair = F.lit(0).cast("long"), F.lit(0x0000000100000001).cast("long")
     low = F.lit(0xFFFFFFFF).cast("long")
-    one = F.lit(1).cast("long")
-    n = F.size(grams).cast("long")
-    out = F.lit(0).cast("long")
-    for b in range(32):
-        both = F.aggregate(_lanes(grams, b, pair), F.lit(0).cast("long"), lambda a, x: a + x)
-        for count, at in ((both.bitwiseAND(low), b), (F.shiftrightunsigned(both, 32), b + 32)):
-            out = out.bitwiseOR(F.when(count * 2 > n, F.shiftleft(one, at)).otherwise(F.lit(0).cast("long")))
-    return out
+    places = F.sequence(F.lit(0), F.lit(31))
+    shifted = lambda h, b: F.call_function("shiftrightunsigned", h, b)
+    sums = F.transform(places, lambda b: F.aggregate(
+        F.col(grams), zero, lambda a, h: a + shifted(h, b).bitwiseAND(pair)))
+    one, n = F.lit(1).cast("long"), F.size(grams)
 
+    def bits(count: Column, place: Column) -> Column:
+        return F.when(count * 2 > n, F.call_function("shiftleft", one, place)).otherwise(zero)
 
-def _lanes(grams: Column, b: int, pair: Column) -> Column:
-    return F.transform(grams, lambda h: F.shiftrightunsigned(h, b).bitwiseAND(pair))
+    word = F.aggregate(F.arrays_zip(places.alias("b"), F.col("__sums").alias("s")), zero, lambda a, x: a.bitwiseOR(
+        bits(x["s"].bitwiseAND(low), x["b"])).bitwiseOR(bits(F.shiftrightunsigned(x["s"], 32), x["b"] + 32)))
+    return computed(computed(rows, "__sums", sums), name, word).drop("__sums")
 
 
 def _numbered(grams: Column) -> Column:
@@ -88,7 +88,8 @@ def _blocks(fp: Column, radius: int) -> Column:
 
 def _items(benchmark: DataFrame, item_id: str, text: str, k: int, similarity: float) -> DataFrame:
     """(item_id, size, words_n, k, need, grams): items with their shingles."""
-    words = benchmark.select(col(item_id).alias("item_id"), _words(col(text)).alias("words")).where(F.size("words") > 0)
+    texts = benchmark.select(col(item_id).alias("item_id"), col(text).alias("text"))
+    words = computed(texts, "words", _words(F.col("text"))).drop("text").where(F.size("words") > 0)
     short = [words.where(F.size("words") == j).withColumn("k", F.lit(j)).withColumn("grams", _grams(F.col("words"), j))
              for j in range(1, k)]
     out = words.where(F.size("words") >= k).withColumn("k", F.lit(k)).withColumn("grams", _grams(F.col("words"), k))
@@ -101,7 +102,7 @@ def _items(benchmark: DataFrame, item_id: str, text: str, k: int, similarity: fl
 
 def _windows(docs: DataFrame, anchors: DataFrame, k: int, broadcast: bool) -> DataFrame:
     """(doc_id, text_key, item_id, m, start, grams): each window that holds an anchor of its item."""
-    rows = docs.select("doc_id", "text_key", _words(F.col("text")).alias("words"))
+    rows = computed(docs, "words", _words(F.col("text"))).select("doc_id", "text_key", "words")
     n = F.size("words") - (k - 1)
     at = rows.where(n > 0).select("doc_id", "text_key", "words", F.explode(F.sequence(F.lit(0), n - 1)).alias("i"))
     gram = _gram(F.col("words"), F.col("i"), k).alias("gram")
@@ -125,7 +126,7 @@ def _windows(docs: DataFrame, anchors: DataFrame, k: int, broadcast: bool) -> Da
             .select("doc_id", "text_key", "item_id", "m", size.alias("size"), "first", "words", F.explode(starts).alias("start")))
     grams = F.transform(F.sequence(F.col("start") - F.col("first"), F.col("start") - F.col("first") + F.col("size") - 1),
                         lambda i: _gram(F.col("words"), i, k))
-    return each.select("doc_id", "text_key", "m", "start", grams.alias("grams"))
+    return computed(each, "grams", grams).select("doc_id", "text_key", "m", "start", "grams")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -152,19 +153,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     windows = parts[0]
     for p in parts[1:]:
         windows = windows.unionByName(p)
-    windows = windows.withColumn("fp", _simhash(F.col("grams")))
-    known = items.select("item_id", F.col("k").alias("i_k"), F.col("m").alias("i_m"), "n_words", F.col("grams").alias("i_grams"),
-                         _simhash(F.col("grams")).alias("i_fp"))
+    windows = _with_simhash(windows, "grams", "fp")
+    known = materialize(_with_simhash(items, "grams", "i_fp").select(
+        "item_id", F.col("k").alias("i_k"), F.col("m").alias("i_m"), "n_words", F.col("grams").alias("i_grams"), "i_fp"), "item-hashes")
+    index = known.select("item_id", "i_k", "i_m", "i_fp", F.posexplode(_blocks(F.col("i_fp"), radius)).alias("i_block", "i_value"))
+    if sum(sizes.values()) * (radius + 1) <= max_broadcast:  # an item has an anchor at least, so this bounds the index
+        index = F.broadcast(index)
     keyed = windows.select("*", F.posexplode(_blocks(F.col("fp"), radius)).alias("block", "value"))
-    index = known.select("*", F.posexplode(_blocks(F.col("i_fp"), radius)).alias("i_block", "i_value"))
     pairs = keyed.join(index, (F.col("k") == F.col("i_k")) & (F.col("m") == F.col("i_m"))
                        & (F.col("block") == F.col("i_block")) & (F.col("value") == F.col("i_value")))
     xor = F.col("fp").bitwiseXOR(F.col("i_fp"))
+    near = pairs.where(F.bit_count(xor) <= radius)
     first = F.array_position(_blocks(xor, radius), F.lit(0).cast("long")) - 1 == F.col("block")
-    shared = F.size(F.array_intersect(_numbered(F.col("grams")), _numbered(F.col("i_grams"))))
-    exact = shared / (F.size("grams") + F.size("i_grams") - shared)
-    verified = (pairs.where((F.bit_count(xor) <= radius) & first)
-                .select("doc_id", "text_key", "item_id", "start", "n_words", exact.alias("similarity"))
+    near = near.where(first).select("doc_id", "text_key", "item_id", "start", "grams")
+    both = near.join(known.select("item_id", "n_words", "i_grams").distinct(), "item_id")
+    both = computed(both, "shared", F.size(F.array_intersect(_numbered(F.col("grams")), _numbered(F.col("i_grams")))))
+    exact = F.col("shared") / (F.size("grams") + F.size("i_grams") - F.col("shared"))
+    verified = (both.select("doc_id", "text_key", "item_id", "start", "n_words", exact.alias("similarity"))
                 .where(F.col("similarity") >= similarity))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "n_words"))
     return (verified.groupBy("doc_id", "text_key", "item_id").agg(best.alias("b"))
