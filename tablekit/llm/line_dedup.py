@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tablekit.llm.common import col, fresh
 from tablekit.session import materialize
 
-MAX_RATIO = 0.05
+MAX_RATIO = 0.1
 MIN_PAGES = 5
 
 

@@ -15,7 +15,7 @@ bad AS (
   FROM (SELECT DISTINCT doc_id, source, trim(line) AS line FROM lines) JOIN pages USING (source)
   WHERE line <> ''
   GROUP BY source, line, pages
-  HAVING count(*) >= 5 AND count(*) / pages > 0.05::DOUBLE
+  HAVING count(*) >= 5 AND count(*) / pages > 0.1::DOUBLE
 ), kept AS (
   SELECT l.doc_id, l.source, count(*) AS n_lines, count(*) FILTER (b.line IS NOT NULL) AS n_removed,
          coalesce(string_agg(l.line, chr(10) ORDER BY l.at) FILTER (b.line IS NULL), '') AS kept_text

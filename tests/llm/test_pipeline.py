@@ -26,7 +26,7 @@ def test_every_stage_equals_brute_force(spark):
     good = {r["doc_id"] for r in op2_quality_classifier(spark, SF_SMALL).collect() if r["predicted"]}
     for (name, stage), expect in zip(corpus_pipeline.STAGES[:-1], (
             lambda: {d: v for d, v in want.items() if d in good},
-            lambda: {d: (t, s) for d, t, s, _ in lines([(d, t, s, "") for d, (t, s) in want.items()], 0.05, 5)},
+            lambda: {d: (t, s) for d, t, s, _ in lines([(d, t, s, "") for d, (t, s) in want.items()], 0.1, 5)},
             lambda: {d: want[d] for d, _, c in near([(d, t) for d, (t, _) in want.items()]) if d == c},
             lambda: {d: v for d, v in want.items() if d not in {k for k, _ in leaks([(d, t) for d, (t, _) in want.items()], bench)}})):
         docs = corpus_pipeline.materialize(stage(spark, docs, SF_SMALL), "t-stage")
