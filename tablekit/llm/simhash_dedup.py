@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablekit.llm.common import col, fresh
-from tablekit.session import materialize
+from tablekit.session import discard, materialize
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -260,7 +260,8 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
                                             F.col("m").alias("v"))
         extra = low.select("u", F.col("m").alias("v"))
-        cur = materialize(small.unionByName(extra).where("u <> v").distinct(), "stars")
+        old, cur = cur, materialize(small.unionByName(extra).where("u <> v").distinct(), "stars")
+        discard(old)
     return cur.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         cur.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
@@ -278,7 +279,8 @@ def fingerprint_components(docs: DataFrame, doc_id: str = "doc_id", text: str =
     lowest = ids.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of = ids.select("fp", "root").join(lowest, "root").select("fp", "component_id")
     found = nodes.join(of, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
-    return marked.join(found, "fp")
+    # written, so that the last join has a shuffle on both sides and AQE can split a fingerprint of very many copies
+    return marked.join(materialize(found, "fingerprint-components"), "fp")
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,

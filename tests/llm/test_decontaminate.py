@@ -27,6 +27,8 @@ def brute(docs, items, limit=0.8):
                 continue
             k = min(5, len(us))
             a, b = grams(ws, k), grams(us, k)
+            if not set(a) & set(b):
+                continue  # every window has similarity 0
             want = Counter(b)
             size = min(len(a), len(b))
             for s in range(len(a) - size + 1 if size else 0):
