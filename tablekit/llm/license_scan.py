@@ -1,17 +1,23 @@
 """License scans: exact set-similarity join of text blocks with license
 templates (DataFrame functions only).
 
-A block is a line, as a set of words; a template is a set of words too.  A
-block meets a template when it holds at least ``threshold`` of the template's
-words.  Words of no template can never count, so each block is reduced to its
-template words first (lossless); both sides order them by how often the whole
-corpus has them, rarest first, and three filters run before verification:
+A block is a line; with ``wrapped`` also any run of as many consecutive words
+of the text as the template has, whatever line breaks lie in it, so a wrapped
+notice counts like one on a single line.  Blocks and templates are sets of
+words.  A block meets
+a template when it holds at least ``threshold`` of the template's words.
+Words of no template can never count, so each line is reduced to its template
+words first (lossless); both sides order them by how often the whole corpus
+has them, rarest first, and three filters run before verification:
 
 * length: a block with fewer than ceil(threshold * |T|) template words fails;
 * prefix: it must hold one of the |T| - need + 1 rarest words of T, which is
   the join key;
 * positional: the words from the first shared one on must still suffice.
 
+Runs of words are made only around a word of the prefix, and only where the
+words within reach of it suffice; a run within a line adds nothing to it.
+
 Independently, phrases (consecutive words) give the base labels with places.
 
 The template vocabulary is fixed and small, so its corpus counts (one row a
@@ -33,7 +39,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablekit.llm.common import ascii_lower, col
+from tablekit.llm.common import ascii_lower, col, computed
 
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 RAW_SEPARATORS = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"  # before lower-casing
@@ -105,8 +111,9 @@ def phrase_places(text: Column, phrases: dict[str, str] = PHRASES) -> Column:
 
 
 def template_hits(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD,
-                  doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text_hash, line, label, containment): every block that meets a template."""
+                  doc_id: str = "doc_id", text: str = "text", wrapped: bool = False) -> DataFrame:
+    """(doc_id, text_hash, line, label, containment): every block that meets a
+    template; runs of words have no line."""
     spark = docs.sparkSession
     vocabulary = sorted({w for t in templates for w in t.split(" ")})
     rows = docs.select(col(doc_id).alias("doc_id"), col(text).alias("text")).where(F.col("text").isNotNull())
@@ -115,12 +122,12 @@ def template_hits(docs: DataFrame, templates: dict[str, str] = TEMPLATES, thresh
               .groupBy(F.lower("w").alias("w")).agg(F.count(F.lit(1)).alias("n")).collect())
     often = {r["w"]: r["n"] for r in counts}  # at most one row per template word
     order = sorted(vocabulary, key=lambda w: (often.get(w, 0), w))
-    sets = [(label, sorted(set(t.split(" ")), key=order.index)) for t, label in templates.items()]
-    need = [math.ceil(threshold * len(s) - 1e-9) for _, s in sets]
+    sets = [(label, sorted(set(t.split(" ")), key=order.index), len(t.split(" "))) for t, label in templates.items()]
+    need = [math.ceil(threshold * len(s) - 1e-9) for _, s, _ in sets]
     index = spark.createDataFrame(
-        [(k, label, w, at, len(s), need[k], s) for k, (label, s) in enumerate(sets)
+        [(k, label, w, at, len(s), need[k], s, run) for k, (label, s, run) in enumerate(sets)
          for at, w in enumerate(s[:len(s) - need[k] + 1])],
-        "template int, label string, word string, at int, size int, need int, words array<string>")
+        "template int, label string, word string, at int, size int, need int, words array<string>, run int")
     in_order = F.array(*[F.lit(w) for w in order])
     lines = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n", -1)).alias("line", "block"))
     # blocks as their template words, rarest first
@@ -134,15 +141,41 @@ def template_hits(docs: DataFrame, templates: dict[str, str] = TEMPLATES, thresh
                   .where(F.least(F.col("size") - F.col("at"), F.size("held") - F.col("pos"))     # positional:
                          + F.least(F.col("at"), F.col("pos")) >= F.col("need")))                 # shared words left
     shared = F.size(F.array_intersect("held", "words"))
-    return (candidates.where(shared >= F.col("need"))
-            .select("doc_id", "text_hash", "line", "label", (shared / F.col("size")).alias("containment")))
+    met = (candidates.where(shared >= F.col("need"))
+           .select("doc_id", "text_hash", "line", "label", (shared / F.col("size")).alias("containment")))
+    if not wrapped:
+        return met
+    prefixes = sorted({w for k, (_, s, _) in enumerate(sets) for w in s[:len(s) - need[k] + 1]})
+    return met.unionByName(_runs_met(rows, index, prefixes, max(run for _, _, run in sets)))
+
+
+def _runs_met(rows: DataFrame, index: DataFrame, prefixes: list[str], reach: int) -> DataFrame:
+    """Hits of runs of words, from the words within ``reach`` of each prefix word."""
+    several = rows.where(F.col("text").contains("\n")).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    body = computed(several, "ws", words(F.col("text"))).drop("text")
+
+    def around(w: Column, i: Column) -> Column:
+        first = F.greatest(i - (reach - 1), F.lit(0))
+        near = F.transform(F.slice("ws", first + 1, i - first + reach), ascii_lower)
+        return F.when(F.lower(w).isin(prefixes) & _ascii(w),
+                      F.struct(F.lower(w).alias("word"), (i - first).alias("pos"), near.alias("near")))
+
+    places = F.filter(F.transform("ws", around), lambda x: x.isNotNull())
+    probes = body.select("doc_id", "text_hash", F.explode(places).alias("p")).select("doc_id", "text_hash", "p.*")
+    candidates = (probes.join(F.broadcast(index), "word")
+                  .where(F.size(F.array_intersect("near", "words")) >= F.col("need")))
+    starts = F.sequence(F.greatest(F.col("pos") - F.col("run") + 1, F.lit(0)), F.col("pos"))
+    best = F.array_max(F.transform(starts, lambda s: F.size(F.array_intersect(F.slice("near", s + 1, F.col("run")), "words"))))
+    return (computed(candidates, "shared", best).where(F.col("shared") >= F.col("need"))
+            .select("doc_id", "text_hash", F.lit(None).cast("int").alias("line"), "label",
+                    (F.col("shared") / F.col("size")).alias("containment")))
 
 
 def scan_licenses(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str, str] = TEMPLATES,
-                  threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+                  threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text", wrapped: bool = False) -> DataFrame:
     """Per document: doc_id, n_words, places (of phrases), hits (labels of
     templates), containment (the highest)."""
-    hits = (template_hits(docs, templates, threshold, doc_id, text)
+    hits = (template_hits(docs, templates, threshold, doc_id, text, wrapped)
             .groupBy("doc_id", "text_hash")
             .agg(F.collect_set("label").alias("hits"), F.max("containment").alias("containment")))
     body = F.coalesce(col(text), F.lit(""))

@@ -86,8 +86,8 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """License phrases and template notices of every document."""
-    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    """License phrases and template notices, wrapped or not, of every document."""
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"), wrapped=True)
     n = F.size("places")
     starts = F.transform("places", lambda p: p["at"])
     base = F.transform("places", lambda p: p["label"])

@@ -54,3 +54,34 @@ def test_equals_brute_force(spark):
 
 def test_empty_table(spark):
     assert L.scan_licenses(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def runs(t):
+    """Labels and containment of lines and of runs of a template's length, over the words of the whole text."""
+    _, _, hits, best = brute(t)
+    hits, ws = set(hits), words(t)
+    for template, label in L.TEMPLATES.items():
+        s, n = set(template.split()), len(template.split())
+        share = max((len(s & set(ws[i:i + n])) / len(s) for i in range(len(ws))), default=0)
+        if share >= L.THRESHOLD - 1e-9:
+            hits.add(label)
+            best = max(best, share)
+    return sorted(hits), best
+
+
+def test_wrapped_notices(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted"
+    mpl = "This file is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy"
+    filler = "zebra " * 40
+    cases = [bsd, mpl, filler + bsd + filler, "/*\n * " + mpl.replace("\n", "\n * "), bsd.replace(" ", "\n"), "all\r\nRIGHTS\n\nreserved",
+             "Redistribution and use in source" + "\n" + filler + "\nand binary forms with or without modification are permitted"]
+    rnd = random.Random(12)
+    for template in L.TEMPLATES:
+        ws = template.split()
+        for _ in range(6):
+            held = [w for w in ws if rnd.random() < 0.92]
+            held.insert(rnd.randint(0, len(held)), rnd.choice(["zebra", "#", "the"]))
+            cases.append(" ".join(["zebra"] * rnd.randint(0, 20)) + " " + "".join(w + rnd.choice([" ", " ", "\n", ",\n// "]) for w in held) + "zebra\n")
+    got = {r["doc_id"]: r for r in L.scan_licenses(spark.createDataFrame([(i, t, 0) for i, t in enumerate(cases)], SCHEMA), wrapped=True).collect()}
+    assert {i: (sorted(r["hits"]), r["containment"]) for i, r in got.items()} == {i: runs(t) for i, t in enumerate(cases)}
+    assert [got[i]["hits"] for i in range(7)] == [["bsd"], ["mpl"], ["bsd"], ["mpl"], ["bsd"], ["reserved"], []]
