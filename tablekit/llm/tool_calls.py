@@ -21,8 +21,10 @@ payload), repeated results the first by (turn, payload); a call without a
 result has status ``unanswered``, a result without a call stays as an
 ``orphan``; ``after`` naming no call of the conversation counts as none;
 arguments that are no JSON object, or break the schema, get the errors'
-text; unknown tools get ``unknown tool``; null ids link nothing; empty texts
-are values like others; extra columns are ignored; empty tables work.
+text; unknown tools get ``unknown tool``; null ids (of conversation or call)
+link nothing and repeat nothing, so each such call stays, ``unanswered`` at
+best, and each such result stays as an ``orphan``; empty texts are values like
+others; extra columns are ignored; empty tables work.
 """
 
 from __future__ import annotations
@@ -135,18 +137,27 @@ def link_tool_calls(events: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     call_id, name, status, errors, json.  (level, turn, call_id) is a
     topological order of each conversation."""
     events = events.select("conv_id", "turn", "kind", "call_id", "name", "payload", "after")
-    calls = _first(events.where("kind = 'call'"), [F.col("turn"), F.col("name"), F.col("payload")]).drop("kind")
-    results = (_first(events.where("kind = 'result'"), [F.col("turn"), F.col("payload")])
-               .select("conv_id", "call_id", F.col("turn").alias("r_turn"), F.col("payload").alias("result")))
-    named = calls.where(F.col("conv_id").isNotNull() & F.col("call_id").isNotNull())
-    levels = topological_levels(named.select("conv_id", "call_id", "after"))
-    linked = (calls.join(results, ["conv_id", "call_id"], "full")
+    has_id = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
+    named = events.where(has_id)
+    calls = _first(named.where("kind = 'call'"), [F.col("turn"), F.col("name"), F.col("payload")]).drop("kind")
+    results = (_first(named.where("kind = 'result'"), [F.col("turn"), F.col("payload")])
+               .select("conv_id", "call_id", F.col("turn").alias("r_turn"), F.col("payload").alias("result"), F.lit(True).alias("has_result")))
+    levels = topological_levels(calls.select("conv_id", "call_id", "after"))
+    linked = (calls.withColumn("is_call", F.lit(True)).join(results, ["conv_id", "call_id"], "full")
               .join(levels, ["conv_id", "call_id"], "left")
-              .withColumn("is_call", F.col("turn").isNotNull() | F.col("name").isNotNull() | F.col("payload").isNotNull()))
+              .withColumn("is_call", F.coalesce("is_call", F.lit(False)))
+              .withColumn("has_result", F.coalesce("has_result", F.lit(False))))
+    # rows without ids meet nothing, so they pass the windows and joins by
+    call = F.col("kind") == "call"
+    alone = events.where(~has_id & F.col("kind").isin("call", "result")).select(
+        "conv_id", "call_id", *[F.when(call, F.col(c)).alias(c) for c in ("turn", "name", "payload", "after")],
+        call.alias("is_call"), F.when(~call, F.col("turn")).alias("r_turn"), F.when(~call, F.col("payload")).alias("result"),
+        (~call).alias("has_result"), F.lit(None).cast("long").alias("level"))
+    linked = linked.unionByName(alone)
     linked = linked.withColumn("checked", _checked(schemas)(F.col("name"), F.col("payload")))
     errors = F.when(F.col("is_call"), F.col("checked.errors"))
     status = (F.when(~F.col("is_call"), "orphan").when(F.col("level") == -1, "cycle").when(errors.isNotNull(), "invalid")
-              .when(F.col("r_turn").isNull(), "unanswered").otherwise("ok"))
+              .when(~F.col("has_result"), "unanswered").otherwise("ok"))
     return _written(linked.withColumn("errors", errors).withColumn("status", status))
 
 

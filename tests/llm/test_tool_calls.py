@@ -2,6 +2,7 @@
 
 import json
 import random
+from collections import Counter
 
 from tablekit.llm import tool_calls as T
 
@@ -88,3 +89,20 @@ def test_plain_chat_and_edges(spark):
     assert got[2, 0]["status"] == "invalid" and got[None, 0]["status"] == "unanswered"
     empty = T.events_from_chat(chat.limit(0))
     assert T.link_tool_calls(empty, T.REPLY_SCHEMA).count() == 0
+
+
+def test_rows_without_ids_all_stay(spark):
+    rows = [(None, 2 * k, "call", f"c{k % 2}", "f", '{"x":1}', None, 0) for k in range(5)]
+    rows += [(None, None, "result", None, None, f"r{k}", None, 0) for k in range(4)]
+    rows += [(7, None, "call", None, "f", '{"x":-1}', "c0", 0)] * 3 + [(7, None, "result", None, None, "same", None, 0)] * 2
+    rows += [(7, 0, "call", "c0", "f", '{"x":1}', None, 0), (7, None, "result", "c0", None, "late", None, 0), (8, None, "call", "c", None, None, None, 0)]
+    got = T.link_tool_calls(spark.createDataFrame(rows, SCHEMA), TOOLS).collect()
+    assert Counter((r["conv_id"], r["call_id"], r["status"]) for r in got) == {
+        (None, "c0", "unanswered"): 3, (None, "c1", "unanswered"): 2, (None, None, "orphan"): 4,
+        (7, None, "invalid"): 3, (7, None, "orphan"): 2, (7, "c0", "ok"): 1, (8, "c", "invalid"): 1}
+    assert sorted(r["turn"] for r in got if r["conv_id"] is None and r["call_id"]) == [0, 2, 4, 6, 8]
+    assert sorted(json.loads(r["json"])["result"] for r in got if r["status"] == "orphan") == ["r0", "r1", "r2", "r3", "same", "same"]
+    chat = spark.createDataFrame([(None, k, "user" if k % 2 else "assistant", f"t{k}") for k in range(6)] + [(1, None, "user", "a"), (1, None, "user", "b")],
+                                 "conv_id long, turn long, role string, text string")
+    linked = T.link_tool_calls(T.events_from_chat(chat), T.REPLY_SCHEMA)
+    assert Counter((r["conv_id"], r["status"]) for r in linked.collect()) == {(None, "unanswered"): 3, (None, "orphan"): 3, (1, "unanswered"): 2}
