@@ -6,9 +6,11 @@ the item's word shingles with weighted (multiset) similarity of at least
 
 1. Anchors.  A window of m shingles that reaches similarity s shares
    need = ceil(2 m s / (1 + s)) of the item's m shingle occurrences, so it
-   holds at least one of any m - need + 1 of them.  Documents meet only these
+   holds at least one of any m - need + 1 of them.  A document of fewer than
+   m shingles is one window that may qualify with ceil(m s) shared, so such
+   documents meet m - ceil(m s) + 1 anchors.  Documents meet only these
    anchors; windows without one cannot qualify.  Each window around an
-   anchor is made once, by its first anchor.
+   anchor is made once for each item, by its first anchor.
 2. SimHash of each item-sized window and of each item (64 bits over the
    shingle hashes), and multi-index Hamming blocks: the 64 bits are cut into
    ``radius + 1`` blocks; fingerprints within ``radius`` bits agree on one
@@ -22,7 +24,8 @@ shorter than an item is one window.  The anchor table is broadcast only up
 to ``max_broadcast`` rows; beyond, document shingles are shuffled to it.
 
 Defined results: null and empty texts and items match nothing; rows with
-equal id and text are one document; items with equal text are all reported;
+equal id and text are one document; items with equal text are all reported,
+rows that share an item id count each for itself, and the best one is given;
 ties of similarity keep the first window; extra columns are left alone;
 empty tables give no matches and leave all documents.
 """
@@ -87,7 +90,7 @@ def _blocks(fp: Column, radius: int) -> Column:
 
 
 def _items(benchmark: DataFrame, item_id: str, text: str, k: int, similarity: float) -> DataFrame:
-    """(item_id, size, words_n, k, need, grams): items with their shingles."""
+    """(item_id, k, m, n_words, grams, need, least): items with their shingles."""
     texts = benchmark.select(col(item_id).alias("item_id"), col(text).alias("text"))
     words = computed(texts, "words", _words(F.col("text"))).drop("text").where(F.size("words") > 0)
     short = [words.where(F.size("words") == j).withColumn("k", F.lit(j)).withColumn("grams", _grams(F.col("words"), j))
@@ -97,7 +100,8 @@ def _items(benchmark: DataFrame, item_id: str, text: str, k: int, similarity: fl
         out = out.unionByName(s)
     m = F.size("grams")
     return out.select("item_id", "k", m.alias("m"), F.size("words").alias("n_words"), "grams",
-                      F.ceil(F.lit(2 * similarity / (1 + similarity)) * m - 1e-9).cast("int").alias("need"))
+                      F.ceil(F.lit(2 * similarity / (1 + similarity)) * m - 1e-9).cast("int").alias("need"),
+                      F.ceil(F.lit(similarity) * m - 1e-9).cast("int").alias("least"))
 
 
 def _windows(docs: DataFrame, anchors: DataFrame, k: int, broadcast: bool) -> DataFrame:
@@ -111,13 +115,15 @@ def _windows(docs: DataFrame, anchors: DataFrame, k: int, broadcast: bool) -> Da
     reach = F.slice("words", first + 1, 2 * F.col("m") + k - 2)
     if broadcast:
         hits = (at.select("doc_id", "text_key", "words", "i", gram).join(F.broadcast(anchors), "gram")
-                .select("doc_id", "text_key", "item_id", "m", "i", n.alias("n"), first.alias("first"), reach.alias("words")))
+                .where(~F.col("short") | (n < F.col("m")))
+                .select("doc_id", "text_key", "item_id", "row", "m", "i", n.alias("n"), first.alias("first"), reach.alias("words")))
     else:
         found = at.select("doc_id", "text_key", "i", gram).join(anchors, "gram").drop("gram").distinct()
         mine = rows.withColumnRenamed("doc_id", "d").withColumnRenamed("text_key", "t")
         hits = (found.join(mine, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t")))
-                .select("doc_id", "text_key", "item_id", "m", "i", n.alias("n"), first.alias("first"), reach.alias("words")))
-    before = F.lag("i").over(Window.partitionBy("doc_id", "text_key", "item_id").orderBy("i"))
+                .where(~F.col("short") | (n < F.col("m")))
+                .select("doc_id", "text_key", "item_id", "row", "m", "i", n.alias("n"), first.alias("first"), reach.alias("words")))
+    before = F.lag("i").over(Window.partitionBy("doc_id", "text_key", "item_id", "m", "row").orderBy("i"))
     size = F.least("m", "n")
     lo = F.greatest(F.col("i") - size + 1, F.coalesce(F.col("before") + 1, F.lit(0)), F.lit(0))
     hi = F.least(F.col("i"), F.col("n") - size)
@@ -137,10 +143,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     items = materialize(_items(benchmark, item_id, item_text, shingle, similarity), "items")
     often = items.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("often"))
     rarity = Window.partitionBy("item_id", "k", "m", "need", "row").orderBy("often", "gram")
-    numbered = items.withColumn("row", F.xxhash64("grams"))
-    anchors = (numbered.select("item_id", "k", "m", "need", "row", F.explode("grams").alias("gram")).join(often, "gram")
-               .withColumn("rank", F.row_number().over(rarity)).where(F.col("rank") <= F.col("m") - F.col("need") + 1)
-               .select("k", "gram", "item_id", "m").distinct())
+    numbered = items.withColumn("row", F.xxhash64("grams")).dropDuplicates(["item_id", "k", "m", "row"])
+    anchors = (numbered.select("item_id", "k", "m", "need", "least", "row", F.explode("grams").alias("gram")).join(often, "gram")
+               .withColumn("rank", F.row_number().over(rarity)).where(F.col("rank") <= F.col("m") - F.col("least") + 1)
+               # anchors that only documents shorter than the item need
+               .groupBy("k", "gram", "item_id", "m", "row").agg(F.min(F.col("rank") > F.col("m") - F.col("need") + 1).alias("short")))
     anchors = materialize(anchors, "anchors")
     sizes = {r["k"]: r["n"] for r in anchors.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `shingle` rows
     rows = docs.select(col(doc_id).alias("doc_id"), F.xxhash64(col(text)).alias("text_key"), col(text).alias("text"))

@@ -104,3 +104,23 @@ def test_empty_tables(spark):
     assert D.contaminated(d, i).count() == 0
     assert D.drop_contaminated(full, i).count() == 1
     assert D.drop_contaminated(d, full.withColumnRenamed("doc_id", "item_id")).count() == 0
+
+
+def test_truncated_items_and_repeated_ids(spark, prose):
+    """Documents that are an item without some words at either end, and items that share an id."""
+    items = [(i, prose(300 + i, n)) for i, n in enumerate((9, 15, 20, 29, 40, 57))]
+    items += [items[3], (2, items[4][1]), (2, prose(320, 20)), (1, items[1][1] + " zebra")]
+    short = [(20 + i, prose(500 + i, 9)) for i in range(16)]
+    items += short
+    docs = []
+    for _, u in items[:6] + items[8:9] + short:
+        ws = u.split(" ")
+        cuts = len(ws) // 4 + 1
+        docs += [" ".join(ws[a:len(ws) - b]) for a in range(cuts) for b in range(cuts - a)]
+    docs += [prose(400, 30) + " " + t + " " + prose(401, 30) for t in (items[2][1], items[8][1], items[2][1] + " " + items[4][1])]
+    docs = list(enumerate(docs))
+    want = brute(docs, items)
+    for options in ({}, {"max_broadcast": 0}):
+        got = run(spark, docs, items, **options)[2].collect()
+        assert {(r["doc_id"], r["item_id"]): (round(r["similarity"], 9), r["start"]) for r in got} == want
+        assert len(got) == len(want)
