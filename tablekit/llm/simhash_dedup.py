@@ -270,15 +270,18 @@ def components(edges: DataFrame) -> DataFrame:
 
 def fingerprint_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                            max_bits: int = MAX_BITS, max_group: int = MAX_GROUP) -> DataFrame:
-    """One row per row of ``docs``: doc_id, text_key, fp, component_id."""
+    """One row per row of ``docs``: doc_id, text_key, fp, component_id, root.
+    The root is a fingerprint of the component and its own in each of them;
+    components that share their smallest id, or have none, differ in it."""
     marked = materialize(docs.select(col(doc_id).alias("doc_id"), F.xxhash64(col(text)).alias("text_key"),
                                      fingerprint_udf(shingle)(col(text)).alias("fp")), "fingerprints")
     nodes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
     linked = components(trie_links(nodes.select("fp"), max_bits, max_group))
     ids = nodes.join(linked, F.col("fp") == F.col("node")).select("fp", "root", "first_id")
     lowest = ids.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of = ids.select("fp", "root").join(lowest, "root").select("fp", "component_id")
-    found = nodes.join(of, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
+    of = ids.select("fp", "root").join(lowest, "root").select("fp", "root", "component_id")
+    found = nodes.join(of, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"),
+                                                F.coalesce("root", "fp").alias("root"))
     # written, so that the last join has a shuffle on both sides and AQE can split a fingerprint of very many copies
     return marked.join(materialize(found, "fingerprint-components"), "fp")
 
@@ -289,8 +292,7 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
     ids last; among rows with equal id, the smallest text key)."""
     key, mine, other, at = fresh(docs, "key", "id", "text", "at")
     marked = fingerprint_components(docs, doc_id, text, shingle, max_bits, max_group)
-    group = F.when(F.col("component_id").isNull(), F.col("fp"))
-    first = marked.groupBy("component_id", group.alias("g")).agg(
+    first = marked.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key"))).alias("k"))
     first = first.select(F.col("k.doc_id").alias(mine), F.col("k.text_key").alias(other))
     held = docs.withColumn(key, F.xxhash64(col(text))).join(

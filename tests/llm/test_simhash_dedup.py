@@ -120,3 +120,22 @@ def test_empty(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert S.fingerprint_components(empty).count() == 0
     assert S.keep_first(empty).count() == 0
+
+
+def near_copy(text):
+    """``text`` with one word changed, and a fingerprint 1 to 3 bits away."""
+    ws = text.split(" ")
+    for k in range(len(ws)):
+        other = " ".join(ws[:k] + ["changed"] + ws[k + 1:])
+        if 1 <= (fingerprint(text) ^ fingerprint(other)).bit_count() <= 3:
+            return other
+    raise AssertionError("no near copy")
+
+
+def test_keep_first_tells_components_apart(spark, prose):
+    """Unrelated texts under one id all stay; near copies without ids are one group."""
+    a, b, c, d = (prose(900 + k, 300) for k in range(4))
+    rows = [(1, a), (1, b), (2, near_copy(a)), (3, near_copy(b)), (1, a), (None, c), (None, near_copy(c)), (None, c), (None, d)]
+    kept = [(r["doc_id"], r["text"]) for r in S.keep_first(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert len(kept) == 4
+    assert {(1, a), (1, b), (None, d)} <= set(kept) and ((None, c) in kept) != ((None, near_copy(c)) in kept)
