@@ -102,3 +102,67 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, las
        CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(containment, 0) END::DOUBLE AS score
 FROM ws LEFT JOIN base USING (doc_id) LEFT JOIN method USING (doc_id)
 """
+
+# DuckDB has no CRC-32: a table of 256 values, then one look-up a digit of the id.
+ORACLE["op13_merkle_manifest"] = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(list_prepend(i, [0,0,0,0,0,0,0,0]::BIGINT[]),
+                          lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS crc
+  FROM range(256) AS r(i)
+), docs AS (
+  SELECT row_number() OVER () AS rid, *,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                         lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) AS id_crc
+  FROM documents, crc_table
+), hashed AS (
+  SELECT rid, doc_id, source, head,
+         sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(strlen(altered) || ':' || altered, '-')) AS tampered
+  FROM (
+    SELECT rid, doc_id, source, text,
+           CASE WHEN id_crc % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS altered,
+           coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head
+    FROM docs)
+), ranked AS (
+  SELECT rid, doc_id, leaf, tampered, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS grp,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS rank,
+         count(*) OVER (PARTITION BY source) AS n
+  FROM hashed
+), nodes(level, grp, idx, n, digest) AS (
+  SELECT 0, grp, rank, n, leaf FROM ranked
+  UNION ALL
+  SELECT level + 1, grp, idx // 3, (max(n) + 2) // 3, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM nodes WHERE n > 1 GROUP BY level, grp, idx // 3
+), subs AS (SELECT level AS depth, grp, digest FROM nodes WHERE n = 1),
+upper(level, idx, n, digest) AS (
+  SELECT 0, grp, (SELECT count(*) FROM subs), digest FROM subs
+  UNION ALL
+  SELECT level + 1, idx // 3, (max(n) + 2) // 3, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM upper WHERE n > 1 GROUP BY level, idx // 3
+), top AS (SELECT level AS height, digest AS root FROM upper WHERE n = 1),
+steps AS (
+  SELECT l.rid, k.level AS level, (l.rank // (3 ** k.level)::BIGINT) AS own, s.idx, s.digest
+  FROM ranked l JOIN subs d USING (grp), range(40) AS k(level), nodes s
+  WHERE k.level < d.depth AND s.level = k.level AND s.grp = l.grp
+    AND s.idx // 3 = (l.rank // (3 ** (k.level + 1))::BIGINT)
+  UNION ALL
+  SELECT l.rid, d.depth + k.level, (l.grp // (3 ** k.level)::BIGINT), s.idx, s.digest
+  FROM ranked l JOIN subs d USING (grp), top t, range(40) AS k(level), upper s
+  WHERE k.level < t.height AND s.level = k.level AND s.idx // 3 = (l.grp // (3 ** (k.level + 1))::BIGINT)
+), sides AS (
+  SELECT rid, level, coalesce(string_agg(digest, '' ORDER BY idx) FILTER (idx < own), '') AS l,
+         coalesce(string_agg(digest, '' ORDER BY idx) FILTER (idx > own), '') AS r
+  FROM steps GROUP BY rid, level
+), proofs AS (
+  SELECT rid, list({'l': l, 'r': r} ORDER BY level) AS path, string_agg(l || r, '' ORDER BY level) AS proof FROM sides GROUP BY rid
+), folds(rid, step, cur, path) AS (
+  SELECT rid, 1, tampered, path FROM ranked LEFT JOIN proofs USING (rid)
+  UNION ALL
+  SELECT rid, step + 1, sha256(path[step].l || cur || path[step].r), path FROM folds WHERE step <= len(path)
+)
+SELECT k.doc_id, k.leaf, d.digest AS subroot, t.root, sha256(coalesce(p.proof, '')) AS proof_sha256,
+       f.cur AS folded_root, f.cur = t.root AS verified
+FROM ranked k JOIN subs d USING (grp) LEFT JOIN proofs p USING (rid), top t, folds f
+WHERE f.rid = k.rid AND f.step = coalesce(len(f.path), 0) + 1
+"""

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm import (decontaminate, license_scan, line_dedup, merkle, packing, quality, simhash_dedup,
-                          suffix_dedup, tool_calls, url_filter)
+from tablekit.llm import (decontaminate, license_scan, line_dedup, manifest, merkle, packing, quality, sharding,
+                          simhash_dedup, suffix_dedup, tool_calls, url_filter, whitening)
 from tablekit.llm.common import table
 
 
@@ -99,6 +99,24 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(n > 0, 1.0).otherwise(F.col("containment")).alias("score"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of about equal bytes."""
+    sharded = sharding.shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=24)
+    return sharded.select("doc_id", "size", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+                          F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable embedding on the first 16 whitened components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=16)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a leaf of the dataset's Merkle tree, with its proof checked."""
+    found = manifest.verify_documents(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -110,4 +128,7 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_license_scan": op10_license_scan,
+    "op11_sharding": op11_sharding,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
