@@ -97,6 +97,12 @@ def sorted_words(s: str | None) -> str:
     return " ".join(sorted((s or "").split()))
 
 
+@F.pandas_udf(T.StringType())
+def sort_words(s: pd.Series) -> pd.Series:
+    """The words of each text in sorted order; NULL stays."""
+    return s.map(lambda v: None if v is None else sorted_words(v))
+
+
 def token_sort_ratio(a: str, b: str) -> float:
     """Indel similarity of the words of both strings in sorted order."""
     x, y = sorted_words(a), sorted_words(b)

@@ -6,9 +6,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import ASCII_NON_LETTERS, ASCII_SPACE, best_partial_match, best_token_sort, fold_accents, strip_controls
+from ..functions.text import ASCII_NON_LETTERS, ASCII_SPACE, best_partial_match, best_token_sort, fold_accents, sort_words, strip_controls
 from ..plans.ranking import global_positions
 from ._util import as_list
+from .similarity import BLOCK_PAIRS, best_references
 
 # fixed value: place-name stop words removed by the cleaner (Portuguese
 # administrative words: union, of the, parish(es), municipality)
@@ -45,64 +46,74 @@ def strip_control_chars(df: DataFrame, cols) -> DataFrame:
     return out
 
 
-def _with_reference(dirty: DataFrame, ref: DataFrame, column: str, ref_column: str, chunk_size: int,
-                    ref_order: str | None) -> DataFrame:
-    """Each distinct dirty value with each chunk (``_tk_cands``) of at most
-    ``chunk_size`` numbered reference values.  An empty reference leaves one
-    empty chunk, so no value is lost."""
-    refs = (ref.select(F.col(ref_column).cast("string").alias("_tk_v"),
+def _references(ref: DataFrame, ref_column: str, ref_order: str | None) -> DataFrame:
+    """Distinct reference values, numbered (``ord``) in their order."""
+    refs = (ref.select(F.col(ref_column).cast("string").alias("ref_key"),
                        F.col(ref_order or ref_column).alias("_tk_o"))
-               .filter(F.col("_tk_v").isNotNull())
-               .groupBy("_tk_v").agg(F.min("_tk_o").alias("_tk_o")))
-    numbered = global_positions(refs, [F.col("_tk_o"), F.col("_tk_v")], pos_col="_tk_ord")
-    chunks = (numbered.withColumn("_tk_chunk", F.floor((F.col("_tk_ord") - 1) / chunk_size))
-                      .groupBy("_tk_chunk")
-                      .agg(F.array_sort(F.collect_list(F.struct(F.col("_tk_ord").alias("ord"),
-                                                                F.col("_tk_v").alias("value")))).alias("_tk_cands")))
-    n_chunks = chunks.agg(F.count(F.lit(1))).scalar()
-    values = dirty.select(F.col(column).cast("string").alias(column)).distinct()
+               .filter(F.col("ref_key").isNotNull())
+               .groupBy("ref_key").agg(F.min("_tk_o").alias("_tk_o")))
+    return global_positions(refs, [F.col("_tk_o"), F.col("ref_key")], pos_col="ord").select("ord", "ref_key")
+
+
+def _in_blocks(values: DataFrame, refs: DataFrame, chunk_size: int) -> DataFrame:
+    """Each value (``key``) with each chunk (``_tk_cands``) of at most
+    ``chunk_size`` numbered reference values."""
+    chunks = (refs.withColumn("_tk_chunk", F.floor((F.col("ord") - 1) / chunk_size))
+                  .groupBy("_tk_chunk")
+                  .agg(F.array_sort(F.collect_list(F.struct("ord", F.col("ref_key").alias("value")))).alias("_tk_cands")))
+    n_chunks = refs.agg(F.ceil(F.count(F.lit(1)) / chunk_size).cast("long")).scalar()
     fanned = values.withColumn("_tk_chunk", F.explode(F.sequence(
         F.lit(0).cast("long"), F.greatest(n_chunks - 1, F.lit(0)).cast("long"))))
-    return fanned.join(chunks, "_tk_chunk", "left").drop("_tk_chunk")
+    return fanned.join(chunks, "_tk_chunk").drop("_tk_chunk")
 
 
 def fuzzy_match(dirty: DataFrame, ref: DataFrame, column: str, ref_column: str,
                 cutoff: float = 60.0, chunk_size: int = 2000, ref_order: str | None = None,
-                out_col: str = "matched", score_col: str = "score") -> DataFrame:
+                out_col: str = "matched", score_col: str = "score", block_pairs: int = BLOCK_PAIRS) -> DataFrame:
     """Best reference value per distinct dirty value by partial ratio; below
     ``cutoff`` (or empty input) the match is ''.  The match is upper-cased
     with control characters removed.  Ties go to the first reference value
     in ``ref_order`` (default: the value itself).
 
-    Plan: only *distinct* dirty values are scored.  They are a query set that
-    meets the whole reference in blocks: reference values are numbered and
-    packed into chunks of at most ``chunk_size`` values (each chunk row is
-    bounded), every dirty value meets every chunk, is scored by an Arrow UDF
-    that skips candidates whose exact upper bound is too low, and the best
-    over chunks is a ``max_by`` aggregate."""
-    scored = (_with_reference(dirty, ref, column, ref_column, chunk_size, ref_order)
-              .withColumn("_tk_best", best_partial_match(F.col(column), F.col("_tk_cands")))
-              .select(column, "_tk_best"))
-    best = scored.groupBy(column).agg(
-        F.max_by("_tk_best", F.struct(F.coalesce(F.col("_tk_best.score"), F.lit(-1.0)),
-                                      -F.col("_tk_best.ord"))).alias("_tk_b"))
-    ok = F.col("_tk_b.score") >= F.lit(cutoff)
-    match = F.when(ok, F.upper(strip_controls(F.col("_tk_b.match")))).otherwise(F.lit(""))
-    return best.select(column, match.alias(out_col),
-                       F.coalesce(F.col("_tk_b.score"), F.lit(0.0)).alias(score_col))
+    Plan: the top-1 similarity join of ``operators.similarity`` brings each
+    *distinct* value only the references that may beat what a cheap first
+    pass found.  Values that resemble no reference (too little to force a
+    shared bigram) are a query set that meets the whole reference in blocks of
+    at most ``chunk_size`` values, scored by an Arrow UDF that skips
+    candidates whose exact upper bound is too low; so are all values when there
+    are no more than ``block_pairs`` pairs."""
+    refs = _references(ref, ref_column, ref_order)
+    values = dirty.select(F.col(column).cast("string").alias("v")).distinct()
+    found, rest = best_references(values.withColumn("key", F.col("v")), refs, partial=True, block_pairs=block_pairs)
+    blocks = (_in_blocks(rest, refs, chunk_size).select("v", best_partial_match(F.col("key"), F.col("_tk_cands")).alias("b"))
+              .select("v", "b.score", "b.ord").where("score is not null"))
+    best = (found.unionByName(blocks).groupBy("v")
+            .agg(F.max_by(F.struct("score", "ord"), F.struct("score", -F.col("ord"))).alias("b"))
+            .select("v", "b.score", "b.ord").join(refs, "ord", "left"))
+    all_values = values.join(best.withColumnRenamed("v", "_tk_v"), F.col("v").eqNullSafe(F.col("_tk_v")), "left")
+    match = F.when(F.col("score") >= F.lit(cutoff), F.upper(strip_controls(F.col("ref_key")))).otherwise(F.lit(""))
+    return all_values.select(F.col("v").alias(column), match.alias(out_col),
+                             F.coalesce(F.col("score"), F.lit(0.0)).alias(score_col))
 
 
 def match_quality(dirty: DataFrame, ref: DataFrame, column: str, ref_column: str, cutoff: float = 60.0,
-                  chunk_size: int = 2000) -> DataFrame:
+                  chunk_size: int = 2000, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
     """Quality of a fuzzy match over all distinct values: the average and the
     maximum of each value's best token-sort ratio to the reference, and how
     many values found and did not find a match at ``cutoff``.  Empty values
-    count as unmatched with ratio 0."""
-    best = (_with_reference(dirty, ref, column, ref_column, chunk_size, None)
-            .select(column, best_token_sort(F.col(column), F.col("_tk_cands")).alias("_tk_q"))
-            .groupBy(column).agg(F.max("_tk_q").alias("_tk_q")))
-    scores = best.agg(F.avg("_tk_q").alias("avg_score"), F.max("_tk_q").alias("max_score"))
-    hits = fuzzy_match(dirty, ref, column, ref_column, cutoff, chunk_size).agg(
+    count as unmatched with ratio 0.  Values meet the reference as in
+    ``fuzzy_match``, by their words in sorted order."""
+    refs = _references(ref.select(sort_words(F.col(ref_column).cast("string")).alias("_tk_r")), "_tk_r", None)
+    values = dirty.select(F.col(column).cast("string").alias("v")).distinct()
+    keys = values.select(F.coalesce(sort_words("v"), F.lit("")).alias("key")).distinct().select(F.col("key").alias("v"), "key")
+    found, rest = best_references(keys, refs, partial=False, block_pairs=block_pairs)
+    blocks = (_in_blocks(rest, refs, chunk_size).select("v", best_token_sort(F.col("key"), F.col("_tk_cands")).alias("score"))
+              .groupBy("v").agg(F.max("score").alias("score")))
+    best = found.select("v", "score").unionByName(blocks).withColumnRenamed("v", "_tk_key")
+    scored = (values.withColumn("key", F.coalesce(sort_words("v"), F.lit("")))
+              .join(best, F.col("key") == F.col("_tk_key"), "left").select(F.coalesce("score", F.lit(0.0)).alias("_tk_q")))
+    scores = scored.agg(F.avg("_tk_q").alias("avg_score"), F.max("_tk_q").alias("max_score"))
+    hits = fuzzy_match(dirty, ref, column, ref_column, cutoff, chunk_size, block_pairs=block_pairs).agg(
         F.count_if(F.col("matched") != "").alias("matched_count"),
         F.count_if(F.col("matched") == "").alias("unmatched_count"))
     # one row each

@@ -1,0 +1,102 @@
+"""Top-1 similarity joins (T07, T09) against all pairs."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablekit.functions.text import indel_ratio, partial_ratio, sorted_words, token_sort_ratio
+from tablekit.operators import similarity as S
+from tablekit.operators import text as TX
+
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def word(rnd, a, b):
+    return "".join(rnd.choice(LETTERS) for _ in range(rnd.randint(a, b)))
+
+
+def spoil(rnd, s, n):
+    for _ in range(n):
+        i = rnd.randrange(len(s) + 1)
+        kind = rnd.random()
+        s = s[:i] + (rnd.choice(LETTERS) if kind < 0.6 else "") + s[i + (kind > 0.3):]
+    return s
+
+
+@pytest.fixture(scope="module")
+def names():
+    rnd = random.Random(4)
+    refs = [word(rnd, 3, 9) + " " + word(rnd, 4, 10) for _ in range(160)] + [word(rnd, 1, 6) for _ in range(40)]
+    refs += ["rua " + refs[i] for i in range(20)] + ["aaaa", "aaaaaa", "é ç", ""]
+    dirty = [spoil(rnd, refs[i % 200], rnd.randint(0, 3)) for i in range(200)]
+    dirty += [word(rnd, 1, 12) for _ in range(40)] + [r.split(" ")[0] for r in refs[:20]] + [" ".join(r.split(" ")[::-1]) for r in refs[:20]]
+    dirty += [refs[k] + " " + refs[k + 1] for k in range(10)] + ["a" * 9, "é", "", "x y z"]
+    return sorted(set(dirty)), sorted(set(refs))
+
+
+def test_best_match_equals_all_pairs(spark, names):
+    dirty, refs = names
+    ddf = spark.createDataFrame([(d,) for d in dirty] + [(None,)] * 2, "city string")
+    rdf = spark.createDataFrame([(r,) for r in refs] + [(None,)], "name string")
+    got = {r.city: (r.matched, r.score) for r in TX.fuzzy_match(ddf, rdf, "city", "name", chunk_size=50, block_pairs=0).collect()}
+    assert len(got) == len(dirty) + 1 and got[None] == ("", 0.0)
+    for d in dirty:
+        best, score = None, -1.0
+        for r in refs:
+            if (x := partial_ratio(d, r)) > score:
+                best, score = r, x
+        want = (best.strip().upper() if d and score >= 60 else "", score if d else 0.0)
+        assert got[d][0] == want[0] and abs(got[d][1] - want[1]) < 1e-9, (d, got[d], want)
+
+
+def test_quality_equals_all_pairs(spark, names):
+    dirty, refs = names
+    ddf = spark.createDataFrame([(d,) for d in dirty], "city string")
+    rdf = spark.createDataFrame([(r,) for r in refs], "name string")
+    q = TX.match_quality(ddf, rdf, "city", "name", chunk_size=50, block_pairs=0).first()
+    best = [max(token_sort_ratio(d, r) for r in refs) for d in dirty]
+    assert abs(q.avg_score - sum(best) / len(best)) < 1e-9 and abs(q.max_score - max(best)) < 1e-9
+
+
+def test_forced_grams_are_there():
+    rnd = random.Random(8)
+    for _ in range(3000):
+        s = "".join(rnd.choice("abcd") for _ in range(rnd.randint(1, 14)))
+        other = spoil(rnd, s, rnd.randint(0, 4)).lower() or "a"
+        for partial in (True, False):
+            if partial:
+                s, other = (s, other) if len(s) <= len(other) else (other, s)
+                score = partial_ratio(s, other)
+            else:
+                score = indel_ratio(s, other)
+            for band in S.BANDS:
+                if score >= band:
+                    for q in S.GRAM_SIZES:
+                        pool = [other[i:i + q] for i in range(len(other) - q + 1)]
+                        shared = 0
+                        for i in range(len(s) - q + 1):
+                            if s[i:i + q] in pool:
+                                pool.remove(s[i:i + q])
+                                shared += 1
+                        assert shared >= S.shared_grams(q, len(s), band, partial), (s, other, band, q)
+
+
+def test_few_pairs_are_scored(spark):
+    rnd = random.Random(6)
+    refs = [word(rnd, 5, 9) + " " + word(rnd, 6, 10) for _ in range(1500)]
+    dirty = [spoil(rnd, r, rnd.randint(0, 2)) for r in refs]
+    values = spark.createDataFrame([(d, d) for d in sorted(set(dirty))], "v string, key string")
+    numbered = spark.createDataFrame(list(enumerate(sorted(refs), 1)), "ord long, ref_key string").withColumn("l", F.length("ref_key"))
+    tokens = values.select("v", F.explode(S.grams("key")).alias("g")).select("v", "g.*").cache()
+    postings = (numbered.select("ord", "l", F.explode(S.grams("ref_key")).alias("g")).where("g.q > 1")
+                .select("ord", "l", F.col("g.gram").alias("gram")).cache())
+    freq = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).cache()
+    bounds = S.first_bounds(values, tokens, postings, freq, numbered, True)
+    band = F.coalesce(*[F.when(F.col("bound") >= b, F.lit(b)) for b in S.BANDS])
+    strong = (bounds.withColumn("band", band).where("band is not null").withColumn("p", S._plan_udf(True, (3, 2))("m", "band"))
+              .where("p.q > 0").select("v", "key", "m", "bound", "ord", "band", "p.*").cache())
+    assert strong.count() > 0.95 * values.count()   # few are left to the blocks
+    pairs = S.candidates(strong, tokens, postings, freq, numbered, True).count()
+    assert pairs < 0.1 * values.count() * len(refs)
+    assert sorted_words("b a") == "a b"
