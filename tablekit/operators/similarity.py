@@ -163,9 +163,10 @@ def best_references(values: DataFrame, refs: DataFrame, partial: bool,
     """``values`` (v, key) are distinct, ``refs`` (ord, ref_key) numbered.  Two
     frames: (v, score, ord) of the best reference, the first of equals, for each
     value with a forced gram; and the (v, key) left over."""
-    values = materialize(values.where(F.length("key") > 0).select("v", "key"), "values")
+    values = values.where(F.length("key") > 0).select("v", "key")
     if values.count() * refs.count() <= block_pairs:
-        return values.limit(0).select("v", F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("ord")), values
+        return values.where(F.lit(False)).select("v", F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("ord")), values
+    values = materialize(values, "values")
     refs = refs.withColumn("l", F.length("ref_key"))
     tokens = materialize(values.select("v", F.explode(grams("key")).alias("g")).select("v", "g.*"), "grams")
     postings = materialize(refs.select("ord", "l", F.explode(grams("ref_key")).alias("g"))
