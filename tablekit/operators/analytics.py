@@ -31,48 +31,63 @@ def burst_events(df: DataFrame, user: str, ts: str, window="1 minute", min_count
     """Rows whose user has >= ``min_count`` events in the trailing ``window``
     (inclusive at both ends, equal timestamps count each other).
 
-    Scale: a user with more than ``rows_per_segment`` rows (decided by one
-    aggregate job; at most rows / rows_per_segment such users; AQE
-    broadcasts their table while it is small) is split into time buckets of its own width
-    (span * rows_per_segment / rows, never narrower than ``window``); each
-    bucket also receives, as context, the rows of the previous bucket that
-    lie within ``window`` of its start, which makes the RANGE count exact.
-    With no hot user this is the plain per-user RANGE window.  An explicit
-    ``bucket`` width splits every user that way instead."""
+    Scale: users with more than ``rows_per_segment`` rows (decided by one
+    aggregate job; at most rows / rows_per_segment such users) are counted by
+    differences of prefix positions: their distinct instants, with row counts,
+    and their window starts are sorted together in segments (plans.segments),
+    the running count at an instant less the one before its window start is
+    the count, and rows meet it by (user, instant).  So neither a hot user nor
+    a burst denser than any bucket is one task.  Other users have the plain
+    RANGE window.  An explicit ``bucket`` width instead splits every user into
+    time buckets, each with the last ``window`` of the one before as context."""
     w = duration_micros(window)
     base = df.withColumn("_tk_t", epoch_micros(df, ts))
-    if bucket is not None:
-        b = duration_micros(bucket)
-        if b < w:
-            raise ValueError("bucket must be >= window")
-        keyed = base.withColumn("_tk_lo", F.lit(0).cast("long")).withColumn("_tk_bw", F.lit(b).cast("long"))
-    else:
-        stats = base.groupBy(user).agg(F.count(F.lit(1)).alias("_tk_n"), F.min("_tk_t").alias("_tk_lo"),
-                                       F.max("_tk_t").alias("_tk_hi"))
-        width = F.greatest(F.lit(w), F.floor((F.col("_tk_hi") - F.col("_tk_lo")) * F.lit(rows_per_segment)
-                                             / F.col("_tk_n"))).cast("long") + 1
-        hot = stats.filter(F.col("_tk_n") > rows_per_segment).select(
-            F.col(user).alias("_tk_u"), "_tk_lo", width.alias("_tk_bw"))
+    if bucket is None:
+        plain = Window.partitionBy(user).orderBy("_tk_t").rangeBetween(-w, Window.currentRow)
+        hot = base.groupBy(user).agg(F.count(F.lit(1)).alias("_tk_n")).filter(F.col("_tk_n") > rows_per_segment)
+        hot = hot.select(F.col(user).alias("_tk_u"))
         if hot.isEmpty():
-            frame = Window.partitionBy(user).orderBy("_tk_t").rangeBetween(-w, Window.currentRow)
-            return (base.withColumn(count_col, F.count(F.lit(1)).over(frame))
-                        .filter(F.col(count_col) >= min_count).drop("_tk_t"))
-        keyed = (base.join(hot, base[user].eqNullSafe(hot["_tk_u"]), "left").drop("_tk_u")
-                     .withColumn("_tk_lo", F.coalesce("_tk_lo", F.lit(0).cast("long"))))
-    rel = F.col("_tk_t") - F.col("_tk_lo")
-    bucket_id = F.when(F.col("_tk_bw").isNull(), F.lit(0).cast("long")).otherwise(
-        ((rel - F.pmod(rel, F.col("_tk_bw"))) / F.col("_tk_bw")).cast("long"))
-    keyed = keyed.withColumn("_tk_b", bucket_id)
+            counted = base.withColumn(count_col, F.count(F.lit(1)).over(plain))
+        else:
+            hot = materialize(hot, "hot-users")
+            same = base[user].eqNullSafe(hot["_tk_u"])
+            counted = (base.join(hot, same, "left_anti").withColumn(count_col, F.count(F.lit(1)).over(plain))
+                       .unionByName(_counts_by_prefix(base.join(hot, same, "left_semi"), user, w, count_col, rows_per_segment)))
+        return counted.filter(F.col(count_col) >= min_count).drop("_tk_t")
+    b = duration_micros(bucket)
+    if b < w:
+        raise ValueError("bucket must be >= window")
+    bucket_id = ((F.col("_tk_t") - F.pmod(F.col("_tk_t"), F.lit(b))) / b).cast("long")
+    keyed = base.withColumn("_tk_b", bucket_id)
     own = keyed.withColumn("_tk_own", F.lit(True))
-    ctx = (keyed.filter(F.col("_tk_bw").isNotNull()
-                        & (rel >= (F.col("_tk_b") + 1) * F.col("_tk_bw") - F.lit(w)))
+    ctx = (keyed.filter(F.col("_tk_t") >= (F.col("_tk_b") + 1) * F.lit(b) - F.lit(w))
                 .withColumn("_tk_b", F.col("_tk_b") + 1)
                 .withColumn("_tk_own", F.lit(False)))
     frame = (Window.partitionBy(user, "_tk_b").orderBy("_tk_t")
              .rangeBetween(-w, Window.currentRow))
     counted = own.unionByName(ctx).withColumn(count_col, F.count(F.lit(1)).over(frame))
     return (counted.filter(F.col("_tk_own") & (F.col(count_col) >= min_count))
-            .drop("_tk_t", "_tk_b", "_tk_own", "_tk_lo", "_tk_bw"))
+            .drop("_tk_t", "_tk_b", "_tk_own"))
+
+
+def _counts_by_prefix(rows: DataFrame, user: str, w: int, count_col: str, rows_per_segment: int) -> DataFrame:
+    """``rows`` (with ``_tk_t``) plus the rows of their user in [t - w, t]; rows
+    without a time count each other, as in a RANGE frame."""
+    instants = materialize(rows.groupBy(F.col(user).alias("_tk_u"), F.col("_tk_t").alias("_tk_at"))
+                           .agg(F.count(F.lit(1)).alias("_tk_n")), "instants")
+    timed = instants.filter(F.col("_tk_at").isNotNull())
+    # at one place in time a window start comes before the rows there
+    places = (timed.select("_tk_u", "_tk_at", F.col("_tk_at").alias("_tk_p"), F.lit(1).alias("_tk_kind"), "_tk_n")
+              .unionByName(timed.select("_tk_u", "_tk_at", (F.col("_tk_at") - w).alias("_tk_p"), F.lit(0).alias("_tk_kind"),
+                                        F.lit(0).cast("long").alias("_tk_n"))))
+    seg = segment(places, ["_tk_u"], F.col("_tk_p"), rows_per_segment, ["_tk_kind", "_tk_at"])
+    run = unsegment(seg_running_sum(seg, ["_tk_u"], ["_tk_t", "_tk_kind", "_tk_at"], "_tk_n", "_tk_run"), ["_tk_u"])
+    counts = (run.groupBy("_tk_u", "_tk_at")
+              .agg(F.sum(F.when(F.col("_tk_kind") == 1, F.col("_tk_run")).otherwise(-F.col("_tk_run"))).alias(count_col))
+              .unionByName(instants.filter(F.col("_tk_at").isNull()).select("_tk_u", "_tk_at", F.col("_tk_n").alias(count_col))))
+    counts = counts.withColumnRenamed(count_col, "_tk_count")
+    return (rows.join(counts, rows[user].eqNullSafe(counts["_tk_u"]) & rows["_tk_t"].eqNullSafe(counts["_tk_at"]))
+            .withColumn(count_col, F.col("_tk_count")).drop("_tk_u", "_tk_at", "_tk_count"))
 
 
 # ---------------------------------------------------------------- A02
@@ -316,7 +331,7 @@ def time_between_purchases(df: DataFrame, user: str, day: str, tie_break: Sequen
     """Previous purchase and whole days since it, per row.  A user with more
     than ``rows_per_segment`` rows is split into time segments
     (plans.segments), so no task holds a hot user whole."""
-    seg = segment(df, [user], epoch_micros(df, day), rows_per_segment)
+    seg = segment(df, [user], epoch_micros(df, day), rows_per_segment, _cols(tie_break))
     out = seg_lag(seg, [user], ["_tk_t", *_cols(tie_break)], day, "previous_purchase")
     return unsegment(out.withColumn("days_between", days_between(F.col(day), F.col("previous_purchase"))),
                      [user])
@@ -371,7 +386,7 @@ def sessionize(df: DataFrame, user: str, ts: str, gap="30 minutes",
     per-segment summaries (plans.segments), so the result is exact."""
     g = duration_micros(gap)
     order = ["_tk_t", *_cols(tie_break)]
-    seg = segment(df, [user], epoch_micros(df, ts), rows_per_segment)
+    seg = segment(df, [user], epoch_micros(df, ts), rows_per_segment, _cols(tie_break))
     seg = seg.withColumn("_tk_cur", F.struct(F.col(ts).alias("ts"), F.col("_tk_t").alias("t")))
     lagged = seg_lag(seg, [user], order, "_tk_cur", "_tk_prev")
     flagged = (lagged.withColumn("prev_event", F.col("_tk_prev.ts"))

@@ -28,7 +28,7 @@ def scd2_intervals(df: DataFrame, key: str | Sequence[str], attrs: str | Sequenc
     keys, attrs = as_list(key), as_list(attrs)
     extra = [c for c in as_list(tie_break) if c not in keys + attrs + [ts]]
     order = ["_tk_t", *as_list(tie_break)]
-    src = segment(df.select(*keys, *attrs, ts, *extra), keys, epoch_micros(df, ts), rows_per_segment)
+    src = segment(df.select(*keys, *attrs, ts, *extra), keys, epoch_micros(df, ts), rows_per_segment, as_list(tie_break))
     if collapse:
         src = seg_lag(src.withColumn("_tk_a", F.struct(*attrs)), keys, order, "_tk_a", "_tk_pa")
         same = None
@@ -52,7 +52,7 @@ def scd2_overlaps(df: DataFrame, keys: str | Sequence[str], start: str, end: str
     Hot keys are split into segments (plans.segments)."""
     keys = as_list(keys)
     order = ["_tk_t", *as_list(tie_break)]
-    seg = segment(df, keys, epoch_micros(df, start), rows_per_segment)
+    seg = segment(df, keys, epoch_micros(df, start), rows_per_segment, as_list(tie_break))
     if mode == "adjacent":
         lagged = seg_lag(seg.withColumn("_tk_e", F.struct(F.col(end).alias("e"))), keys, order,
                          "_tk_e", "_tk_pe")

@@ -3,17 +3,18 @@
 ``Window.partitionBy(key)`` sends every row of a key to one task; if one key
 holds a third of the table, that task holds a third of the table.  Here:
 
-1. one partial aggregate finds the *hot* keys, those with more than
-   ``rows_per_segment`` rows.  There are at most total_rows /
-   rows_per_segment of them; AQE broadcasts their table while it is small;
-2. each hot key's rows are cut into consecutive time segments of about
-   ``rows_per_segment`` rows (equal-count, from a histogram of fine time
-   slices); other keys form a single segment;
-3. the window runs per (key, segment) - one shuffle, balanced tasks;
+1. one partial aggregate looks for *hot* keys, those with more than
+   ``rows_per_segment`` rows.  Without any, the scans are plain windows;
+2. otherwise the rows are cut into segments of about ``rows_per_segment``
+   rows along the whole order (key, time, tie-breaks, row number): Spark's
+   range partitioner samples that order, so neither a hot key nor a flood of
+   its rows at one instant, nor equal rows, ever form one segment.  The
+   segmented rows are written once, with their segment and row number;
+3. the window runs per (key, segment) - balanced tasks;
 4. the values that cross a segment border (last value of the previous
    segment, first value of the next, prefix sums of earlier segments) come
-   from a per-(key, segment) summary, aggregated on the already
-   co-partitioned rows (no extra shuffle of the data) and joined back.
+   from a per-(key, segment) summary of the few keys at segment ends (at most
+   two a segment), aggregated on the already co-partitioned rows and joined back.
 
 The result is exactly the unsegmented window's, for ascending orders whose
 first column is the numeric time ``t`` used for segmenting.
@@ -27,11 +28,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 SEG = "_tk_seg"
-NULL_SEG = 1 << 62  # hot keys' NULL times form the last segment (NULLS LAST)
-FINE_PER_SEGMENT = 16  # histogram slices per intended segment of a hot key
-SUB_MAX = 1 << 20      # most sub-slices of one heavy slice (level 2)
-HOT = "_tk_hot"  # only hot keys have more than one segment, so only they need border values
+ROW = "_tk_row"  # last tie-break of segmented rows: all segments agree on one order
+HOT = "_tk_hot"  # only keys at segment ends have more than one segment, so only they need border values
 DEFAULT_ROWS_PER_SEGMENT = 4_000_000
 
 
@@ -65,61 +66,40 @@ def _nulls_last(order: Sequence[str]) -> Column:
     return F.struct(*[x for c in order for x in (F.col(c).isNull(), F.col(c))])
 
 
+def _full(df: DataFrame, order: Sequence[str]) -> list[str]:
+    return [*order, ROW] if ROW in df.columns else list(order)
+
+
 def segment(df: DataFrame, keys: Sequence[str], t: Column,
-            rows_per_segment: int = DEFAULT_ROWS_PER_SEGMENT) -> DataFrame:
+            rows_per_segment: int = DEFAULT_ROWS_PER_SEGMENT, tie_break: Sequence[str] = ()) -> DataFrame:
     """Add ``_tk_t`` (numeric order), ``_tk_seg`` (segment number) and
-    ``_tk_hot``.  Ordinary keys form segment 0.  A hot key's time span is cut
-    into ``FINE_PER_SEGMENT`` fine equal-width slices per intended segment;
-    a map-side aggregated histogram of those slices (one row per non-empty
-    slice) gives each slice the number of earlier rows of its key, and
-    consecutive slices are grouped into segments of about
-    ``rows_per_segment`` rows - equal-count, even when a key's rows crowd
-    into a short stretch of its span.  NULL times of hot keys form the last
-    segment (the windows order NULLs last)."""
+    ``_tk_hot``.  Without a key of more than ``rows_per_segment`` rows there is
+    one segment; otherwise segments are consecutive ranges of (keys, time,
+    ``tie_break``, row), NULL times last, of about ``rows_per_segment`` rows."""
     base = df.withColumn("_tk_t", t)
     for i, k in enumerate(keys):
         base = (base.withColumn(f"_tk_kv{i}", F.coalesce(F.col(k), _default(df.schema[k].dataType)))
                     .withColumn(f"_tk_kn{i}", F.col(k).isNull()))
     nk = norm_keys(keys)
-    stats = base.groupBy(*nk).agg(F.count(F.lit(1)).alias("_tk_n"), F.min("_tk_t").alias("_tk_lo"),
-                                    F.max("_tk_t").alias("_tk_hi"))
-    slices = f"ceil(_tk_n / {int(rows_per_segment)}) * {FINE_PER_SEGMENT}"
-    hot = (stats.filter(F.col("_tk_n") > rows_per_segment)
-                .select(*nk, "_tk_lo", (F.expr(f"(_tk_hi - _tk_lo) div ({slices})") + 1).alias("_tk_w")))
+    counts = base.groupBy(*nk).agg(F.count(F.lit(1)).alias("_tk_n"))
     # One aggregate job decides: with no hot key the frame gets constant
     # segment 0 and every border fix-up is pruned while planning.
-    if hot.isEmpty():
+    most, total = counts.agg(F.max("_tk_n"), F.sum("_tk_n")).first()
+    if (most or 0) <= rows_per_segment:
         return base.withColumn(SEG, F.lit(0).cast("long")).withColumn(HOT, F.lit(False))
-    joined = _join_back(base, hot, nk)
-    fine = F.when(F.col("_tk_w").isNotNull(),
-                  F.coalesce(F.expr("(_tk_t - _tk_lo) div _tk_w"), F.lit(NULL_SEG)))
-    sliced = joined.withColumn("_tk_f1", fine).withColumn(HOT, F.col("_tk_w").isNotNull())
-    # level 2: a slice that alone holds more than rows_per_segment rows is cut
-    # again, so rows crowding into a short stretch still split evenly
-    counts1 = sliced.filter(HOT).groupBy(*nk, "_tk_f1").agg(
-        F.count(F.lit(1)).alias("_tk_c1"), F.min("_tk_t").alias("_tk_b2"), F.max("_tk_t").alias("_tk_e2"))
-    sub = F.least(F.ceil(F.col("_tk_c1") / F.lit(rows_per_segment)) * FINE_PER_SEGMENT, F.lit(SUB_MAX))
-    # sub-slices span the rows' own time range inside the slice
-    heavy = (counts1.filter((F.col("_tk_c1") > rows_per_segment) & (F.col("_tk_f1") != NULL_SEG))
-                    .select(*nk, "_tk_f1", "_tk_b2",
-                            (F.floor((F.col("_tk_e2") - F.col("_tk_b2")) / sub).cast("long") + 1).alias("_tk_w2")))
-    two = _join_back(sliced, heavy, nk + ["_tk_f1"])
-    f2 = F.when(F.col("_tk_w2").isNotNull(), F.expr("(_tk_t - _tk_b2) div _tk_w2")).otherwise(F.lit(0))
-    fs = F.when(F.col("_tk_f1") == NULL_SEG, F.lit(NULL_SEG)).otherwise(F.col("_tk_f1") * SUB_MAX + f2)
-    keyed = two.withColumn("_tk_fs", fs).drop("_tk_b2", "_tk_w2", "_tk_f1")
-    # histogram of the hot keys' slices: partial aggregate, one row per
-    # non-empty slice; a prefix count over it assigns slices to segments
-    hist = keyed.filter(HOT).groupBy(*nk, "_tk_fs").agg(F.count(F.lit(1)).alias("_tk_c"))
-    before = Window.partitionBy(*nk).orderBy("_tk_fs").rowsBetween(Window.unboundedPreceding, -1)
-    seg_of = hist.select(*nk, "_tk_fs", F.when(F.col("_tk_fs") == NULL_SEG, F.lit(NULL_SEG)).otherwise(
-        F.floor(F.coalesce(F.sum("_tk_c").over(before), F.lit(0)) / F.lit(rows_per_segment))).alias("_tk_sg"))
-    out = keyed.join(seg_of, nk + ["_tk_fs"], "left")
-    return (out.withColumn(SEG, F.coalesce(F.col("_tk_sg"), F.lit(0)).cast("long"))
-               .drop("_tk_lo", "_tk_w", "_tk_fs", "_tk_sg"))
+    order = [*[F.col(c).asc() for c in nk], *[F.col(c).asc_nulls_last() for c in ("_tk_t", *tie_break, ROW)]]
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // rows_per_segment))
+    ranged = (base.withColumn(ROW, F.monotonically_increasing_id()).repartitionByRange(parts, *order)
+              .withColumn(SEG, F.spark_partition_id().cast("long")))
+    held = materialize(ranged, "segments")
+    key = F.struct(*nk)
+    ends = (held.groupBy(SEG).agg(F.min(key).alias("a"), F.max(key).alias("b"))   # one row a segment
+            .select(F.explode(F.array("a", "b")).alias("k")).select("k.*").distinct().withColumn(HOT, F.lit(True)))
+    return _join_back(held, ends, nk).withColumn(HOT, F.coalesce(HOT, F.lit(False)))
 
 
 def unsegment(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.drop("_tk_t", SEG, HOT, *norm_keys(keys))
+    return df.drop("_tk_t", SEG, HOT, ROW, *norm_keys(keys))
 
 
 def _w(keys, order):
@@ -128,6 +108,7 @@ def _w(keys, order):
 
 def seg_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
     """``lag(value)`` over (keys, order) on a segmented frame."""
+    order = _full(df, order)
     w = _w(keys, order)
     local = (df.withColumn("_tk_lp", F.lag(value).over(w))
                .withColumn("_tk_first", F.lag(F.lit(1)).over(w).isNull()))
@@ -143,6 +124,7 @@ def seg_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str
 
 def seg_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
     """``lead(value)`` over (keys, order) on a segmented frame."""
+    order = _full(df, order)
     w = _w(keys, order)
     local = (df.withColumn("_tk_ln", F.lead(value).over(w))
                .withColumn("_tk_lastrow", F.lead(F.lit(1)).over(w).isNull()))
@@ -159,7 +141,7 @@ def seg_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: st
 def seg_running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
                     out: str) -> DataFrame:
     """Running ``sum(value)`` (rows up to the current one) per key."""
-    w = _w(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w = _w(keys, _full(df, order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = df.withColumn("_tk_rs", F.sum(value).over(w))
     tot = local.filter(HOT).groupBy(*norm_keys(keys), SEG).agg(F.sum(value).alias("_tk_tot"))
     before = Window.partitionBy(*norm_keys(keys)).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
@@ -174,7 +156,7 @@ def seg_prefix_before(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """Aggregates over all *earlier* rows of the key (rows unbounded
     preceding to -1).  ``aggs`` maps an output name to (kind, column) with
     kind in {'max', 'sum', 'count'} (all associative)."""
-    w = _w(keys, order).rowsBetween(Window.unboundedPreceding, -1)
+    w = _w(keys, _full(df, order)).rowsBetween(Window.unboundedPreceding, -1)
     local = df
     seg_aggs = []
     for name, (kind, col) in aggs.items():

@@ -96,3 +96,44 @@ def test_hot_key_segments_are_equal_count_when_rows_crowd(spark):
                                  rows_per_segment=100)
     b = A.time_between_purchases(df.withColumn("id", F.monotonically_increasing_id()), "u", "t", ["id"])
     assert rows(a, "t", "previous_purchase") == rows(b, "t", "previous_purchase")
+
+
+def test_one_instant_spreads_over_segments(spark):
+    """A key whose rows all share one time, some of them whole: several
+    segments, and the same chain of values as one window over (time, id)."""
+    import datetime as dt
+    from tablekit.functions.time import epoch_micros
+    from tablekit.plans.segments import SEG, segment
+    t0 = dt.datetime(2024, 1, 1)
+    data = [(1, t0, i // 5) for i in range(3000)] + [(2, t0 + dt.timedelta(hours=i), i) for i in range(20)] + [(1, None, 7)] * 400
+    df = spark.createDataFrame(data, "u long, t timestamp_ntz, id long").repartition(6)
+    seg = segment(df, ["u"], epoch_micros(df, "t"), 100, ["id"])
+    sizes = [r["count"] for r in seg.filter("u = 1").groupBy(SEG).count().collect()]
+    assert len(sizes) >= 20 and max(sizes) <= 300 and sum(sizes) == 3400
+    a = A.sessionize(df, "u", "t", tie_break=["id"], rows_per_segment=100)
+    b = A.sessionize(df, "u", "t", tie_break=["id"], rows_per_segment=10**9)
+    cols = ("u", "t", "id", "prev_event", "new_session", "session_id")
+    assert rows(a, *cols) == rows(b, *cols)
+    iv = spark.createDataFrame([(1, i % 7, t0, t0 + dt.timedelta(days=i % 3), i) for i in range(900)],
+                               "k long, a long, f timestamp_ntz, e timestamp_ntz, id long")
+    for mode in ("adjacent", "any"):
+        x = S.scd2_overlaps(iv, "k", "f", "e", mode, tie_break=["id"], rows_per_segment=50)
+        y = S.scd2_overlaps(iv, "k", "f", "e", mode, tie_break=["id"], rows_per_segment=10**9)
+        assert rows(x) == rows(y) and x.count() > 0
+    x = S.scd2_intervals(iv, "k", "a", "f", tie_break=["id"], collapse=True, rows_per_segment=50)
+    y = S.scd2_intervals(iv, "k", "a", "f", tie_break=["id"], collapse=True, rows_per_segment=10**9)
+    assert rows(x) == rows(y)
+
+
+def test_a_burst_inside_one_window_spreads(spark):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    ms = dt.timedelta(milliseconds=1)
+    data = [(1, t0 + (i % 700) * ms, i) for i in range(2500)]                    # all inside a second, many ties
+    data += [(None, t0 + i * 40_000 * ms, i) for i in range(300)] + [(2, t0, i) for i in range(30)]
+    data += [(1, None, i) for i in range(40)] + [(3, None, 1)]
+    df = spark.createDataFrame(data, "u long, t timestamp_ntz, events_in_window long").repartition(5)
+    for window, least in (("1 second", 1), ("100 milliseconds", 300), ("2 minutes", 3)):
+        a = A.burst_events(df, "u", "t", window=window, min_count=least, count_col="n", rows_per_segment=100)
+        b = A.burst_events(df, "u", "t", window=window, min_count=least, count_col="n")
+        assert rows(a) == rows(b) and a.count() > 0
