@@ -56,14 +56,18 @@ def dedup_partition(spark: SparkSession, path: str, partition_col: str, value,
     The partition is read with partition pruning, deduplicated and written to
     ``staging_path`` first (never read and overwrite one path in a single
     plan), then written back with dynamic partition overwrite, which replaces
-    only the partition present in the data.  Returns the re-read partition."""
-    part = spark.read.parquet(path).filter(F.col(partition_col) == F.lit(value))
+    only the partition present in the data.  ``value`` is compared as the
+    text of the partition's folder (``01`` is not ``1``; None is the default
+    partition).  Returns the re-read partition, its column as text."""
+    from ..sources.tables import as_partition_text, read_layout
+    here = F.col(partition_col).eqNullSafe(as_partition_text(F.lit(value)))
+    part = read_layout(spark, path).filter(here)
     clean = dedup_keep_first(part, keys, order_by)
     clean.write.mode("overwrite").parquet(staging_path)
-    staged = spark.read.parquet(staging_path)
+    staged = spark.read.schema(part.schema).parquet(staging_path)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition_col).parquet(path))
-    return spark.read.parquet(path).filter(F.col(partition_col) == F.lit(value))
+    return read_layout(spark, path).filter(here)
 
 
 def merge_insert_new(target: DataFrame, staging: DataFrame, keys: str | Sequence[str],

@@ -55,7 +55,7 @@ def shortest_paths(edges: DataFrame, src: str, dst: str, weight: str, start,
                    vertex_col: str = "vertex", dist_col: str = "distance") -> DataFrame:
     """Least total weight from ``start`` to every vertex of the edge table
     (Bellman-Ford; negative weights allowed).  Only vertices improved in the
-    previous round are relaxed, and a round writes only its improvements: the
+    previous round are relaxed (an edge without a weight is none), and a round writes only its improvements: the
     known distance of a vertex is the least over the improvements so far,
     folded into one table every ``COMPACT_EVERY`` rounds.  Unreachable
     vertices have NULL distance.  V-1 rounds settle every path, so an
@@ -66,8 +66,9 @@ def shortest_paths(edges: DataFrame, src: str, dst: str, weight: str, start,
     e = materialize(edges.select(F.col(src).alias("_tk_s"), F.col(dst).alias("_tk_d"),
                                  F.col(weight).cast("double").alias("_tk_w"))
                          .filter(F.col("_tk_s").isNotNull() & F.col("_tk_d").isNotNull()), "sp_edges")
-    vertices = (e.select(F.col("_tk_s").alias(vertex_col))
-                 .unionByName(e.select(F.col("_tk_d").alias(vertex_col)))
+    ends, e = e, e.filter(F.col("_tk_w").isNotNull())
+    vertices = (ends.select(F.col("_tk_s").alias(vertex_col))
+                 .unionByName(ends.select(F.col("_tk_d").alias(vertex_col)))
                  .unionByName(spark.range(1).select(F.lit(start).cast(vtype).alias(vertex_col)))
                  .distinct())
     vertices = materialize(vertices, "sp_vertices")

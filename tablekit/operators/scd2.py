@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,7 +90,8 @@ def scd2_merge(new: DataFrame, current: DataFrame, keys: str | Sequence[str],
 
     Incoming rows (deduplicated per key by ``tie_break``) are NEW when no
     current row matches, CHANGED when an attribute differs (null-safe), else
-    UNCHANGED.  CHANGED current rows are expired (``end`` = now, flag false);
+    UNCHANGED.  All current rows of a CHANGED key (also where a damaged dimension
+    has several) are expired (``end`` = now, flag false);
     NEW and CHANGED rows are appended as current versions with surrogate keys
     max(sk) + 1.. in key order (distributed positions, not one task).  History
     rows and keys absent from the input pass through.  ``now`` is one value
@@ -115,17 +117,16 @@ def scd2_merge(new: DataFrame, current: DataFrame, keys: str | Sequence[str],
 
     cur = active.select(*keys, *[F.col(a).alias("_tk_c_" + a) for a in attrs], F.lit(1).alias("_tk_hit"))
     joined = incoming.join(cur, keys, "left")
-    differs = None
-    for a in attrs:
-        e = ~F.col(a).eqNullSafe(F.col("_tk_c_" + a))
-        differs = e if differs is None else differs | e
+    differs = reduce(Column.__or__, [~F.col(a).eqNullSafe(F.col("_tk_c_" + a)) for a in attrs])
     status = (F.when(F.col("_tk_hit").isNull(), "NEW")
                .when(differs, "CHANGED").otherwise("UNCHANGED"))
+    # a key with several current rows is one incoming row: CHANGED when any of them differs
+    once = (joined.withColumn("_tk_status", status).groupBy(*keys)
+            .agg(F.min("_tk_status").alias("_tk_status"), F.any_value(F.struct(*attrs)).alias("_tk_a")))
     # used three times below (changed keys twice, new versions): written
     # once as Parquet in the shared folder instead of re-running the join
     from ..session import materialize
-    classified = materialize(joined.withColumn("_tk_status", status).select(*keys, *attrs, "_tk_status"),
-                             "scd2_classified")
+    classified = materialize(once.select(*keys, "_tk_a.*", "_tk_status"), "scd2_classified")
     changed_keys = classified.filter(F.col("_tk_status") == "CHANGED").select(*keys)
 
     expired = (active.join(changed_keys, keys, "left_semi")

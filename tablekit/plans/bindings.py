@@ -231,7 +231,9 @@ def _q07(spark, d):
 @binding("small_file_report")
 def _q08(spark, d):
     path = scratch_path(spark, "lineitem_files")
-    t(spark, d, "lineitem").coalesce(1).write.partitionBy("l_returnflag").parquet(path)
+    # one file a (flag, month), each written by a task of its own
+    li = t(spark, d, "lineitem").withColumn("ship_month", F.date_format("l_shipdate", "yyyyMM"))
+    li.repartition("l_returnflag", "ship_month").write.partitionBy("l_returnflag", "ship_month").parquet(path)
     return (Q.small_file_report(spark, path, by="l_returnflag")
             .select("l_returnflag", "num_files", (F.col("total_bytes") > 0).alias("has_bytes"), "small_files",
                     "too_many_files", "needs_compaction"))
@@ -567,13 +569,74 @@ def event_log_lines(spark, d) -> DataFrame:
 @binding("parse_log")
 def _i09(spark, d):
     path = scratch_path(spark, "app_log")
-    (event_log_lines(spark, d).repartition(4, "user_id").sortWithinPartitions("ts")
-        .select("value").write.text(path))
+    event_log_lines(spark, d).repartitionByRange("user_id", "ts").sortWithinPartitions("user_id", "ts").select("value").write.text(path)
     out = LG.parse_log(spark, path, run_id="r1", env="test", notebook="events")
     return out.select("Log_Date", "Level", "Logger", "Message", "Exception_Message", "Stack_Trace",
                       "Raw_Line")
 
 
+def _audited(lines) -> dict:
+    """A caller's own parser: users and events as numbers; purchases by user 0
+    modulo 7 cannot be parsed."""
+    first = F.element_at(lines, 1)
+    number = lambda word: F.regexp_extract(first, word + r" (\d+)", 1)
+    bad = first.contains(" app.purchase ") & (number("user").cast("long") % 7 == 0)
+    return {"Level": F.lower(F.split(first, " ")[2]), "Logger": F.concat(F.lit("user-"), number("user")),
+            "Message": number("event"), "parse_error": F.when(bad, F.concat(F.lit("event "), number("event")))}
+
+
+@binding("persist_log")
+def _i09b(spark, d):
+    """Two runs over one log, the first of them repeated."""
+    path, target = scratch_path(spark, "app_log"), scratch_path(spark, "app_audit")
+    event_log_lines(spark, d).repartitionByRange("user_id", "ts").sortWithinPartitions("user_id", "ts").select("value").write.text(path)
+    for run in ("01", "a:b/c", "01"):
+        LG.persist_log(spark, path, target, run, env="test", parser=_audited)
+    return LG.read_audit(spark, target).select("Env", "Run_ID", "Log_Date", "Level", "Logger", "Message", "Raw_Line")
+
+
+# ------------------------------------- partition values that are no plain words
+def _odd_partitions(df: DataFrame, k) -> DataFrame:
+    """``p``: numbers with a leading zero, characters that paths escape, NULL;
+    ``q``: nothing but numbers with a leading zero."""
+    names = ["01", "1", "a:b", "x/y", "a=b", "2024-01-02", None]
+    p = F.element_at(F.array(*[F.lit(x) for x in names]), (k % 7 + 1).cast("int"))
+    return df.withColumns({"p": p, "q": F.lpad((k % 3).cast("string"), 2, "0")})
+
+
+@binding("dedup_partition_values")
+def _a14b(spark, d):
+    path = scratch_path(spark, "orders_odd")
+    _odd_partitions(t(spark, d, "orders"), F.col("o_orderkey")).write.partitionBy("q").parquet(path)
+    D.dedup_partition(spark, path, "q", "01", "o_custkey", ["o_orderdate", "o_orderkey"], staging_path=scratch_path(spark, "odd_staging"))
+    return TB.read_layout(spark, path).select("o_orderkey", "o_custkey", "p", "q")
+
+
+@binding("ingest_merge_values")
+def _i07b(spark, d):
+    """Dear orders move to the partitions of the next key, the others of their partition stay."""
+    o = t(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    target = scratch_path(spark, "orders_odd")
+    IN.ingest_full(_odd_partitions(o, F.col("o_orderkey")), target, partition_by=["p", "q"])
+    dear = _odd_partitions(o.filter("o_totalprice > 300000"), F.col("o_orderkey") + 1).withColumn("o_orderstatus", F.lit("M"))
+    # all of one partition leaves it
+    left = _odd_partitions(o.filter("o_orderkey % 21 = 3"), F.lit(0)).withColumn("o_orderstatus", F.lit("L"))
+    IN.ingest_merge(dear.filter("o_orderkey % 21 <> 3").unionByName(left), target, "o_orderkey",
+                    staging=scratch_path(spark, "odd_merge"), partition_by=["p", "q"])
+    return TB.read_layout(spark, target).select("o_orderkey", "o_orderstatus", "p", "q")
+
+
+@binding("compact_table_values")
+def _i11b(spark, d):
+    """A copy, one partition of it compacted in place, and all values of its folders."""
+    src, copy = scratch_path(spark, "orders_odd"), scratch_path(spark, "orders_odd_copy")
+    o = t(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    _odd_partitions(o, F.col("o_orderkey")).write.partitionBy("q", "p").parquet(src)
+    FS.copy_table_if_absent(spark, src, copy)
+    FS.compact_table(spark, copy, scratch_path(spark, "odd_compact"), target_mb=64, where="q = '01' AND p = 'x/y'")
+    return TB.read_layout(spark, copy).select("o_orderkey", "o_totalprice", "p", "q")
+
+
 @binding("convert_format")
 def _i10(spark, d):
     as_json = scratch_path(spark, "orders_json")

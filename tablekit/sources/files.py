@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.quality import small_file_report
-from .tables import _is_path, partition_columns
+from .tables import _is_path, partition_columns, read_layout
 
 
 # fixed values: common encoding names Spark's CSV reader spells differently
@@ -61,7 +61,8 @@ def layout_columns(spark: SparkSession, path: str) -> list[str]:
         names = [s.getPath() for s in fs.globStatus(type_path(spark, p, "*=*")) or []]
         if not names:
             return out
-        out.append(names[0].getName().split("=", 1)[0])
+        escaped = names[0].getName().split("=", 1)[0]
+        out.append(spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(escaped))
         p = names[0]
 
 
@@ -69,13 +70,22 @@ def type_path(spark: SparkSession, parent, child: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(parent, child)
 
 
+# CSV that gives every text back: NULL and '' apart, blanks, quotes and line breaks kept.
+# A text that is the marker itself is the one that cannot be told from NULL.
+CSV_NULL = "\\N"
+CSV_WRITE = {"header": "true", "nullValue": CSV_NULL, "emptyValue": '""', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+             "ignoreTrailingWhiteSpace": "false"}
+CSV_READ_BACK = CSV_WRITE | {"emptyValue": "", "multiLine": "true"}
+
+
 def convert_format(spark: SparkSession, src: str, dst: str, src_fmt: str, dst_fmt: str,
                    read_options: Mapping[str, str] | None = None,
                    write_options: Mapping[str, str] | None = None, schema=None,
                    mode: str = "errorifexists") -> DataFrame:
     """Read ``src`` in one format (csv, json, parquet, text, orc; CSV with
     header and an ``encoding`` option such as latin1) and write ``dst`` in
-    another.  Returns a DataFrame over the written output."""
+    another.  A CSV target keeps every row and text (``CSV_WRITE``; write
+    options override it).  Returns a DataFrame over the written output."""
     ropts = {"header": "true"} if src_fmt == "csv" else {}
     ropts.update(dict(read_options or {}))
     enc = ropts.get("encoding")
@@ -85,10 +95,10 @@ def convert_format(spark: SparkSession, src: str, dst: str, src_fmt: str, dst_fm
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.load(src)
-    wopts = {"header": "true"} if dst_fmt == "csv" else {}
-    wopts.update(dict(write_options or {}))
+    given = dict(write_options or {})
+    wopts = (CSV_WRITE if dst_fmt == "csv" else {}) | given
     df.write.format(dst_fmt).options(**wopts).mode(mode).save(dst)
-    back = spark.read.format(dst_fmt).options(**wopts)
+    back = spark.read.format(dst_fmt).options(**((CSV_READ_BACK if dst_fmt == "csv" else {}) | given))
     if dst_fmt in ("csv", "json"):
         back = back.schema(df.schema)
     return back.load(dst)
@@ -104,7 +114,7 @@ def copy_table_if_absent(spark: SparkSession, source: str, target_path: str,
     if is_complete(spark, target_path):
         status = "EXISTS"
     else:
-        df = spark.table(source) if not _is_path(source) else spark.read.format(fmt).load(source)
+        df = spark.table(source) if not _is_path(source) else read_layout(spark, source, fmt)
         parts = partition_columns(spark, source)
         staging = f"{target_path.rstrip('/')}__copying"
         w = df.write.format(fmt).mode("overwrite")
@@ -175,10 +185,11 @@ def compact_table(spark: SparkSession, path: str, out: str, target_mb: float = 1
     range-clustered on ``cluster_by`` or on their Z-order key, keeping its
     partition layout.  With ``where`` (on partition columns) only the matching
     partitions are rewritten, in place: they are staged in ``out`` and put
-    back by dynamic partition overwrite, the others stay untouched.  Returns
+    back by dynamic partition overwrite, the others stay untouched.  Partition
+    columns are text there (``p = '01'`` is not ``p = '1'``).  Returns
     before/after file metrics of what was rewritten."""
     parts = layout_columns(spark, path)
-    df = spark.read.format(fmt).load(path)
+    df = read_layout(spark, path, fmt)
     if where:
         if not parts:
             raise ValueError("where selects partitions; the directory has none")
@@ -204,7 +215,7 @@ def compact_table(spark: SparkSession, path: str, out: str, target_mb: float = 1
     (w.partitionBy(*parts) if parts else w).save(out)
     after = small_file_report(spark, out, target_mb, suffix=suffix).first()
     if where:
-        staged = spark.read.format(fmt).load(out)
+        staged = spark.read.format(fmt).schema(df.schema).load(out)
         (staged.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy(*parts).save(path))
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators._util import as_list, null_safe_on, order_cols
 from .files import path_exists, remove_path
-from .tables import standard_table_name
+from .tables import as_partition_text, partition_folder, read_layout, standard_table_name
 
 REPORT_SCHEMA = ("source string, table string, target string, mode string, records long, "
                  "status string, run_utc timestamp_ntz")
@@ -75,7 +75,7 @@ def ingest_incremental(df: DataFrame, target: str, watermark_col: str, drop_cols
     if not path_exists(spark, target):
         n = _write(out, target, "overwrite", partition_by)
         return _report(spark, source, table, target, "incremental", n, "SUCCESS")
-    known = spark.read.parquet(target)
+    known = read_layout(spark, target, declared={f.name: f.dataType for f in out.schema.fields})
     mark = known.agg(F.max(watermark_col)).scalar()
     w = F.col(watermark_col)
     at = w.isNull() | (w == mark) | mark.isNull()
@@ -107,19 +107,21 @@ def ingest_merge(incoming: DataFrame, target: str, keys: str | Sequence[str], st
 
     With ``partition_by`` only the partitions that change are rewritten (by
     dynamic partition overwrite): those that receive rows, and those that
-    lose a row because its key moved.  Without it the whole table is one
-    partition.  The report counts the rows written."""
+    lose a row because its key moved.  Partition values compare, and are
+    written, as the text of their folders (``01`` is not ``1``).  Without it the
+    whole table is one partition.  The report counts the rows written."""
     spark = incoming.sparkSession
     if not path_exists(spark, target):
         empty = incoming.limit(0)
         n = _write(upsert(empty, incoming, keys, tie_break), target, "overwrite", partition_by)
         return _report(spark, source, table, target, "merge", n, "SUCCESS")
-    known = spark.read.parquet(target)
+    known = read_layout(spark, target)
     if not partition_by:
         _write(upsert(known, incoming, keys, tie_break), staging, "overwrite", None)
         n = _write(spark.read.parquet(staging), target, "overwrite", None)
         return _report(spark, source, table, target, "merge", n, "SUCCESS")
     parts = list(partition_by)
+    incoming = incoming.withColumns({p: as_partition_text(F.col(p)) for p in parts})
     renamed, cond = null_safe_on(known, incoming, as_list(keys))
     losing = known.select(*dict.fromkeys([*as_list(keys), *parts])).join(renamed, cond, "left_semi").select(*parts)
     touched = incoming.select(*parts).unionByName(losing).distinct()
@@ -133,14 +135,10 @@ def ingest_merge(incoming: DataFrame, target: str, keys: str | Sequence[str], st
     gone = [dict(r.asDict()) for r in emptied.toLocalIterator()]
     n = _write_dynamic(staged.select(*known.columns), target, parts)
     for values in gone:
-        remove_path(spark, "/".join([target.rstrip("/"), *(f"{p}={_partition_value(values[p])}" for p in parts)]))
+        remove_path(spark, f"{target.rstrip('/')}/{partition_folder(spark, {p: values[p] for p in parts})}")
     return _report(spark, source, table, target, "merge", n, "SUCCESS")
 
 
-def _partition_value(value) -> str:
-    return "__HIVE_DEFAULT_PARTITION__" if value is None or value == "" else str(value)
-
-
 def _write_dynamic(df: DataFrame, path: str, partition_by: Sequence[str]) -> int:
     obs = Observation("tk_ingest")
     observed = df.observe(obs, F.count(F.lit(1)).alias("records"))

@@ -6,8 +6,9 @@ import logging
 import re
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 log = logging.getLogger(__name__)
 
@@ -25,6 +26,32 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return layout_columns(spark, name)
 
 
+def read_layout(spark: SparkSession, path: str, fmt: str = "parquet",
+                declared: Mapping[str, T.DataType] | None = None) -> DataFrame:
+    """A ``k=v`` directory whose partition columns have their declared type, or
+    else text.  Spark's own guess re-types them: ``01`` would become 1, and a
+    rewrite would then add ``p=1`` beside ``p=01``."""
+    df = spark.read.format(fmt).load(path)
+    parts = {c.lower() for c in partition_columns(spark, path)}
+    if not parts:
+        return df
+    declared = {k.lower(): v for k, v in (declared or {}).items()}
+    schema = T.StructType([T.StructField(f.name, declared.get(f.name.lower(), T.StringType()) if f.name.lower() in parts else f.dataType)
+                           for f in df.schema.fields])
+    return spark.read.format(fmt).schema(schema).load(path)
+
+
+def as_partition_text(c: Column) -> Column:
+    """A value as the text of its partition folder; empty text is NULL there."""
+    return F.nullif(c.cast("string"), F.lit(""))
+
+
+def partition_folder(spark: SparkSession, values: Mapping[str, object]) -> str:
+    """``k=v/...`` with Spark's own escaping of names and values."""
+    path = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return "/".join(path.getPartitionPathString(k, None if v is None else str(v)) for k, v in values.items())
+
+
 def read_table(spark: SparkSession, name: str, partition_filters: Mapping[str, object] | None = None,
                where: str | None = None, fmt: str = "parquet") -> DataFrame:
     """A table by catalog name or path, with equality filters on partition
