@@ -2,7 +2,8 @@
 
 A line is boilerplate of its host when the share of the host's pages that
 contain it exceeds ``max_ratio`` and at least ``min_pages`` pages contain it.
-Lines compare after trimming blanks; blank lines are never boilerplate.
+Lines compare after trimming blanks (a carriage return or tab tells two
+lines apart); blank lines are never boilerplate.
 
 Counts are taken over all rows: every page sends each of its distinct lines
 once, as a 128-bit hash, summed map-side before the shuffle, so a hot host or
@@ -16,7 +17,7 @@ documents in a join whose hot host AQE splits.
 Defined results: null text stays null; an empty text stays empty; a null host
 is no site, its rows pass unchanged; rows are pages, so repeated rows count
 as often as they occur; a page whose lines all go keeps an empty text; extra
-columns pass through; an empty table gives an empty table.
+columns pass through, but for those named like a report column; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -53,7 +54,8 @@ def drop_boilerplate_lines(pages: DataFrame, host: str = "source", text: str = "
                            max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES,
                            report: tuple[str, str] | None = None) -> DataFrame:
     """``pages`` with boilerplate lines cut out of ``text``.  ``report`` names
-    two more columns: the number of lines, and of those removed."""
+    two more columns: the number of lines, and of those removed; input columns
+    of those names are replaced."""
     host_key, bad, split = fresh(pages, "host", "bad", "split")
     listed = materialize(boilerplate_lines(pages, host, text, max_ratio, min_pages), "boilerplate")
     listed = listed.select(F.col("host").alias(host_key), F.col("lines").alias(bad))
@@ -62,7 +64,8 @@ def drop_boilerplate_lines(pages: DataFrame, host: str = "source", text: str = "
               .withColumn(split, F.when(F.col(bad).isNotNull(), F.filter(
                   lines, lambda x: ~F.array_contains(F.col(bad), _key(F.trim(x)))))))
     kept = F.when(F.col(bad).isNull(), col(text)).otherwise(F.array_join(F.col(split), "\n"))
-    out = [kept.alias(text) if c == text else col(c) for c in pages.columns]
+    named = {x.lower() for x in report or ()} - {text.lower()}
+    out = [kept.alias(text) if c == text else col(c) for c in pages.columns if c.lower() not in named]
     if report:
         total = F.coalesce(F.size(lines), F.lit(0))
         total = F.when(col(text).isNull(), 0).otherwise(total)

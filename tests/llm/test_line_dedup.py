@@ -43,3 +43,10 @@ def test_empty_table_and_report(spark):
     rows = [(i, "same\nown %d" % i, "s", "") for i in range(10)] + [(99, None, "s", "")]
     got = L.drop_boilerplate_lines(spark.createDataFrame(rows, SCHEMA), report=("n", "gone")).collect()
     assert {(r["n"], r["gone"]) for r in got} == {(2, 1), (0, 0)}
+
+
+def test_report_names_replace_columns_of_the_input(spark):
+    rows = [(i, "s", f"foot\nown {i}", 7, "x") for i in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string, n_lines long, N_Removed string")
+    out = L.drop_boilerplate_lines(frame, report=("n_lines", "n_removed"))
+    assert {(r["n_lines"], r["n_removed"], r["text"][:3]) for r in out.select("n_lines", "n_removed", "text").collect()} == {(2, 1, "own")}
