@@ -115,15 +115,15 @@ class RuleModel:
 
 def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
                   label_id: str = "doc_id", max_train: int = MAX_TRAIN) -> DataFrame:
-    """(label, stats) of at most ``max_train`` labelled documents that are not held out."""
+    """(label, stats, turn, id) of at most ``max_train`` labelled documents that are not held out."""
     usable = (labels.select(col(label_id).alias("id"), col(label).alias("label"))
               .where(F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("id")))
               .groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most")
               .select("id", "label", F.xxhash64("id").alias("turn")))
     # the sample has at most max_train narrow rows, so it can be broadcast
-    sample = usable.orderBy("turn", "id").limit(max_train).select("id", "label")
+    sample = usable.orderBy("turn", "id").limit(max_train)
     held = docs.select(col(doc_id).alias("doc"), col(text).alias("text")).join(F.broadcast(sample), F.col("doc") == F.col("id"))
-    return held.select(F.col("label").cast("double").alias("label"), statistics_of(F.col("text")).alias("stats"))
+    return held.select(F.col("label").cast("double").alias("label"), statistics_of(F.col("text")).alias("stats"), "turn", "id")
 
 
 def fit_rules(train: DataFrame, trees: int = TREES, depth: int = DEPTH, lasso: float = LASSO) -> RuleModel:
@@ -132,8 +132,8 @@ def fit_rules(train: DataFrame, trees: int = TREES, depth: int = DEPTH, lasso: f
     from pyspark.ml.functions import array_to_vector
 
     kinds = train.agg(F.count_if(F.col("label") == 0).alias("n0"), F.count_if(F.col("label") == 1).alias("n1")).first()
-    if not kinds["n0"] or not kinds["n1"]:
-        return RuleModel(50.0, [])
+    if not kinds["n0"] or not kinds["n1"]:  # one kind of label, or none: nothing tells texts apart
+        return RuleModel(-50.0 if kinds["n0"] else 50.0, [])
     values = array_to_vector(F.array(*[F.col(f"stats.{s}") for s in STATISTICS]))
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=17, featureSubsetStrategy="onethird", maxBins=64,
                                     minInstancesPerNode=3, labelCol="label", featuresCol="features")
@@ -153,8 +153,9 @@ def fit_rules(train: DataFrame, trees: int = TREES, depth: int = DEPTH, lasso: f
 def score_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
                   score: str = "score", max_train: int = MAX_TRAIN) -> DataFrame:
     """``docs`` plus ``score`` in 0..1; higher: label 1 is likelier."""
-    train = materialize(training_rows(docs, labels, doc_id, text, label, max_train=max_train).coalesce(1), "quality-train")
-    model = fit_rules(train)
+    # written by the scan's own tasks; the sample, at most max_train narrow rows, then makes one partition in a fixed order
+    train = materialize(training_rows(docs, labels, doc_id, text, label, max_train=max_train), "quality-train")
+    model = fit_rules(train.coalesce(1).sortWithinPartitions("turn", "id"))
     stats, = fresh(docs, "stats")
     if not model.rules:
         return docs.withColumn(score, model.score(stats))

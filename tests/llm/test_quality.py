@@ -5,6 +5,7 @@ import zlib
 
 import pytest
 from conftest import SF_SMALL
+from llm_corpus import prose  # noqa: F401
 
 from tablekit.llm import quality as Q
 from tablekit.llm.queries import op2_quality_classifier
@@ -58,3 +59,10 @@ def test_inputs_of_the_score_are_the_text_only(spark):
     rows = Q.score_quality(both.selectExpr("*", "1 as __stats", "'z' as label"), labels).collect()
     score = {r["doc_id"]: r["score"] for r in rows}
     assert all(score[d] == score[d + 1000000] for d in score if d < 1000000)
+
+
+def test_labels_of_one_kind_give_their_rate(spark, prose):
+    docs = spark.createDataFrame([(i, prose(i, 30)) for i in range(30)], "doc_id long, text string")
+    for kind in (0, 1):
+        labels = spark.createDataFrame([(i, kind) for i in range(30)], "doc_id long, quality int")
+        assert {round(r["score"], 6) for r in Q.score_quality(docs, labels).collect()} == {float(kind)}
