@@ -21,7 +21,8 @@ payload), repeated results the first by (turn, payload); a call without a
 result has status ``unanswered``, a result without a call stays as an
 ``orphan``; ``after`` naming no call of the conversation counts as none;
 arguments that are no JSON object, or break the schema, get the errors'
-text; unknown tools get ``unknown tool``; null ids (of conversation or call)
+text; NaN, Infinity and numbers beyond a double are no JSON, of keys that an
+object repeats the last counts, and lone surrogates stay escaped; unknown tools get ``unknown tool``; null ids (of conversation or call)
 link nothing and repeat nothing, so each such call stays, ``unanswered`` at
 best, and each such result stays as an ``orphan``; empty texts are values like
 others; extra columns are ignored; empty tables work.
@@ -30,12 +31,14 @@ others; extra columns are ignored; empty tables work.
 from __future__ import annotations
 
 import json
+import math
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablekit.session import materialize
+from tablekit.session import discard, materialize
 
 _TYPES = {
     "string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list, "null": type(None)}
@@ -79,8 +82,29 @@ def schema_errors(value, schema: dict, at: str = "$") -> list[str]:
     return out
 
 
+def _plain(text: str) -> str:
+    """Lone surrogates, which no UTF-8 text can hold, as escapes."""
+    return re.sub("[\ud800-\udfff]", lambda m: f"\\u{ord(m[0]):04x}", text)
+
+
 def canonical(value) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return _plain(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False))
+
+
+def _number(text: str) -> float:
+    value = float(text)
+    if not math.isfinite(value):
+        raise ValueError(f"{text} is too large")
+    return value
+
+
+def _no_json(text: str):
+    raise ValueError(f"{text} is no JSON")
+
+
+def parse(payload: str):
+    """A JSON text; NaN, Infinity and numbers beyond a double are none."""
+    return json.loads(payload, parse_constant=_no_json, parse_float=_number)
 
 
 def _checked(schemas: dict[str, dict]):
@@ -90,13 +114,13 @@ def _checked(schemas: dict[str, dict]):
         out = []
         for name, payload in zip(names, payloads):
             try:
-                value = json.loads(payload) if payload is not None else None
+                value = parse(payload) if payload is not None else None
             except (ValueError, RecursionError):
                 out.append((None, "$: no JSON"))
                 continue
             schema = schemas.get(name)
             errors = ["unknown tool"] if schema is None else schema_errors(value, schema)
-            out.append((canonical(value), "; ".join(errors) or None))
+            out.append((canonical(value), _plain("; ".join(errors)) or None))
         return pd.DataFrame(out, columns=["arguments", "errors"])
 
     return check
@@ -124,7 +148,8 @@ def topological_levels(calls: DataFrame) -> DataFrame:
         over = cur.select(F.col("conv_id").alias("c"), F.col("call_id").alias("i"), F.col("up").alias("next"), F.col("level").alias("more"))
         jumped = (open_.join(over, (F.col("conv_id") == F.col("c")) & (F.col("up") == F.col("i")))
                   .select("conv_id", "call_id", F.col("next").alias("up"), (F.col("level") + F.col("more")).alias("level")))
-        cur = materialize(cur.where(F.col("up").isNull()).unionByName(jumped), "levels")
+        done, cur = cur, materialize(cur.where(F.col("up").isNull()).unionByName(jumped), "levels")
+        discard(done)
 
 
 def _first(rows: DataFrame, order: list[Column]) -> DataFrame:

@@ -106,3 +106,16 @@ def test_rows_without_ids_all_stay(spark):
                                  "conv_id long, turn long, role string, text string")
     linked = T.link_tool_calls(T.events_from_chat(chat), T.REPLY_SCHEMA)
     assert Counter((r["conv_id"], r["status"]) for r in linked.collect()) == {(None, "unanswered"): 3, (None, "orphan"): 3, (1, "unanswered"): 2}
+
+
+def test_texts_that_are_no_json_and_lone_surrogates(spark):
+    import json
+    payloads = ['{"x": NaN}', '{"x": 1e999}', '{"x": -Infinity}', '{"x": "\\ud800"}', '{"\\udfff": 1}', '{"x": 1, "x": 2}', '{"x": "\\ud83d\\ude00"}']
+    rows = [("c", i, "call", f"id{i}", "t", p, None) for i, p in enumerate(payloads)]
+    frame = spark.createDataFrame(rows, "conv_id string, turn int, kind string, call_id string, name string, payload string, after string")
+    got = {r["turn"]: r for r in T.link_tool_calls(frame, {"t": {"type": "object", "additionalProperties": False, "properties": {"x": {}}}}).collect()}
+    assert [got[i]["errors"] for i in range(3)] == ["$: no JSON"] * 3
+    assert json.loads(got[3]["json"])["arguments"] == {"x": "\ud800"} and got[3]["errors"] is None
+    assert "\\udfff" in got[4]["errors"] and got[4]["status"] == "invalid"
+    assert json.loads(got[5]["json"])["arguments"] == {"x": 2}
+    assert "\U0001f600" in got[6]["json"]
