@@ -10,10 +10,12 @@ above them:
   under ``SHORT`` words every word is a leaf, and under 3 words every 3 bytes;
 * section: paragraphs up to one whose hash is a cut (one in 8).
 
-A fingerprint is ``root|section:paragraph.paragraph/section:...`` in hex: 128
-bits for the root, 32 for a section and for each leaf.  Equal texts have
-equal fingerprints, equal roots mean equal texts (up to hash collisions), and
-comparing from the root down finds the branches that differ.  Likeness is the
+A paragraph's node is the BLAKE2b of its leaves' bytes, a section's that of its
+paragraphs' nodes, the root that of the sections' nodes, 128 bits each.  A
+fingerprint is ``root|section:paragraph.paragraph/section:...`` in hex: the
+root, 32 bits of a section, and 32 bits of a hash of each leaf.  Equal texts have
+equal fingerprints, equal roots mean equal texts (up to collisions of BLAKE2b),
+and comparing from the root down finds the branches that differ.  Likeness is the
 share of leaves that two trees have in common (2 * common / all).
 
 Defined results: null text is empty; the empty text has a tree without
@@ -34,24 +36,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablekit.llm.common import col, fresh
+from tablekit.llm.sharding import Key, quantile_splitters, ranges_of
 
+SAMPLES, ROWS_PER_BUCKET, BUCKET_BYTES = 32, 20_000, 32 << 20
 LEAF_WORDS, LONGEST, SHORT, SECTION = 4, 12, 8, 8
 _LAST = (1 << 63) - 1
 
 _rng = np.random.default_rng(20240611)
 _TABLE = _rng.integers(0, 2**64, size=256, dtype=np.uint64)
-_BASE = np.uint64(int(_rng.integers(0, 2**63)) * 2 + 1)
+_STEP = np.uint64(int(_rng.integers(0, 2**63)) * 2 + 1)
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-_power = np.ones(1, dtype=np.uint64)
-
-
-def _powers(n: int) -> np.ndarray:
-    global _power
-    if len(_power) < n:
-        steps = np.full(max(n, 1 << 16), _BASE, dtype=np.uint64)
-        steps[0] = 1
-        _power = np.multiply.accumulate(steps)
-    return _power[:n]
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -60,11 +54,12 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def _node_hashes(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """A hash of each run of ``values`` that begins at ``starts``, in order and by length."""
-    sizes = np.diff(np.r_[starts, len(values)])
-    place = np.arange(len(values)) - np.repeat(starts, sizes)
-    return _mix(np.add.reduceat(values * _powers(int(sizes.max()))[place], starts) + _mix(sizes.astype(np.uint64)))
+def _leaf_hashes(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A hash of each run of bytes that begins at ``starts``: every (byte, place)
+    is mixed on its own, so no arithmetic of the bytes cancels out."""
+    sizes = np.diff(np.r_[starts, len(raw)])
+    place = (np.arange(len(raw)) - np.repeat(starts, sizes)).astype(np.uint64)
+    return _mix(np.add.reduceat(_mix(_TABLE[raw] ^ (place * _STEP)), starts) + _mix(sizes.astype(np.uint64)))
 
 
 def _leaf_starts(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -91,6 +86,10 @@ def _leaf_starts(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.searchsorted(starts, line)
 
 
+def _digest(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
+
+
 def fingerprint(text: str | None) -> str:
     """The tree of one text."""
     data = (text or "").encode("utf-8", "surrogatepass")
@@ -98,19 +97,17 @@ def fingerprint(text: str | None) -> str:
         return hashlib.blake2b(b"", digest_size=16).hexdigest() + "|"
     raw = np.frombuffer(data, dtype=np.uint8)
     starts, paragraphs = _leaf_starts(raw)
-    leaves = _node_hashes(_TABLE[raw], starts)
-    paragraph = _node_hashes(leaves, paragraphs)
-    ends = paragraph % np.uint64(SECTION) == 0
-    sections = np.flatnonzero(np.r_[True, ends[:-1]])
-    section = _node_hashes(paragraph, sections)
-    root = hashlib.blake2b(section.astype("<u8").tobytes() + len(data).to_bytes(8, "little"), digest_size=16).hexdigest()
-    hexed = leaves.astype(">u4").tobytes().hex()
+    hexed = _leaf_hashes(raw, starts).astype(">u4").tobytes().hex()
     edges = [*(8 * paragraphs).tolist(), len(hexed)]
     lines = [hexed[a:b] for a, b in zip(edges, edges[1:])]
-    heads = section.astype(">u4").tobytes().hex()
-    bounds = [*sections.tolist(), len(lines)]
+    cuts = [*starts[paragraphs].tolist(), len(data)]
+    nodes = [_digest(data[a:b]) for a, b in zip(cuts, cuts[1:])]
+    ends = [k + 1 for k, node in enumerate(nodes) if node[0] % SECTION == 0]
+    bounds = [0, *ends] if ends and ends[-1] == len(nodes) else [0, *ends, len(nodes)]
+    sections = [_digest(b"".join(nodes[a:b])) for a, b in zip(bounds, bounds[1:])]
+    root = _digest(b"".join(sections) + len(data).to_bytes(8, "little")).hex()
     return root + "|" + "/".join(
-        heads[8 * k:8 * k + 8] + ":" + ".".join(lines[a:b]) for k, (a, b) in enumerate(zip(bounds, bounds[1:])))
+        head[:4].hex() + ":" + ".".join(lines[a:b]) for head, a, b in zip(sections, bounds, bounds[1:]))
 
 
 def _leaves(tree: str) -> np.ndarray:
@@ -154,43 +151,50 @@ def fingerprint_udf():
 
 # ---------------------------------------------------------------- neighbours by id
 
-def _buckets(docs: DataFrame, order: str) -> tuple[list[int], dict[int, int]]:
-    """Range borders of ``order``, and the bucket before each bucket by its
-    first value.  The driver holds two numbers a bucket; the bucket count is
-    twice the session's shuffle partitions."""
-    n = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    held = docs.select(col(order).alias("k"))
-    borders = sorted(set(int(x) for x in held.approxQuantile("k", [i / n for i in range(1, n)], 1 / (4 * n))))
+def _buckets(rows: DataFrame, order: str, key: str, bucket_bytes: int) -> tuple[list[Key], dict[tuple[int, int], int]]:
+    """Range borders of (``order``, ``key``) that cut a sample, weighted by
+    bytes, into equal buckets of about ``bucket_bytes``; and the bucket before
+    each bucket by its first (order, key).  The driver holds ``SAMPLES`` keys a bucket."""
+    n_rows = rows.count()
+    least = 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rate = min(1.0, SAMPLES * max(least, n_rows / ROWS_PER_BUCKET) / max(1, n_rows))
+    drawn = F.pmod(F.xxhash64(F.lit("bucket"), order, key), F.lit(1 << 30)) < F.lit(int(rate * (1 << 30)))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)) + 64
+    sample = [((r[0], r[1], 0), float(r[2])) for r in rows.where(drawn).select(order, key, size).collect()]
+    n = max(least, -(-int(sum(w for _, w in sample) / rate) // bucket_bytes))
+    borders = quantile_splitters(sample, n)
 
     @F.pandas_udf("int")
-    def bucket(k: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(borders, k.to_numpy(), side="right").astype(np.int32))
+    def bucket(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series(ranges_of(borders, [a.to_numpy(), b.to_numpy(), np.zeros(len(a), dtype=np.int64)]).astype(np.int32))
 
-    firsts = sorted((r["b"], r["k"]) for r in held.groupBy(bucket("k").alias("b")).agg(F.min("k").alias("k")).collect())
+    firsts = sorted((r["b"], tuple(r["k"])) for r in rows.groupBy(bucket(order, key).alias("b")).agg(
+        F.min(F.struct(order, key)).alias("k")).collect())
     return borders, {k: firsts[i - 1][0] for i, (_, k) in enumerate(firsts)}
 
 
-def compare_neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def compare_neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Each document with an edit of its own (its last quarter replaced by the
     start of the next document by id; the last one's next is the first) and
     with that next document: doc_id, n_chars, edited_sha256, fingerprint,
     edited_fingerprint, near_edited, near_next.
 
-    Texts move once: to the range bucket of their id; the first document of a
-    bucket also goes to the bucket before, so every task finds its neighbours
-    while it streams.  Null ids come last; equal ids go by a hash of the text."""
+    Texts move once: to the range bucket of their id, one bucket to a task; the
+    first document of a bucket also goes to the bucket before, so every task finds
+    its neighbours while it streams.  Null ids come last; equal ids go by a hash of
+    the text, which also spreads them over buckets.  Ids are whole numbers."""
     order, key = fresh(docs, "order", "key")
     rows = docs.select(col(doc_id).alias("doc_id"), F.coalesce(col(doc_id).cast("long"), F.lit(_LAST)).alias(order),
                        F.xxhash64(col(text)).alias(key), col(text).alias("text"))
-    borders, before = _buckets(rows, order)
+    borders, before = _buckets(rows, order, key, bucket_bytes)
 
     @F.pandas_udf("array<int>")
-    def places(k: pd.Series) -> pd.Series:
-        own = np.searchsorted(borders, k.to_numpy(), side="right").tolist()
-        return pd.Series([[b, before[v]] if v in before else [b] for v, b in zip(k.tolist(), own)])
+    def places(k: pd.Series, h: pd.Series) -> pd.Series:
+        own = ranges_of(borders, [k.to_numpy(), h.to_numpy(), np.zeros(len(k), dtype=np.int64)]).tolist()
+        return pd.Series([[b, before[v]] if v in before else [b] for v, b in zip(zip(k.tolist(), h.tolist()), own)])
 
-    dealt = rows.select(F.posexplode(places(order)).alias("guest", "bucket"), "doc_id", order, key, "text")
-    near = (dealt.repartition(max(1, len(borders) + 1), "bucket").sortWithinPartitions("bucket", "guest", order, key)
+    dealt = rows.select(F.posexplode(places(order, key)).alias("guest", "bucket"), "doc_id", order, key, "text")
+    near = (dealt.repartitionById(len(borders) + 1, "bucket").sortWithinPartitions("bucket", "guest", order, key)
             .select("bucket", "guest", "doc_id", "text"))
     schema = T.StructType([
         T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("n_chars", T.LongType()),

@@ -43,10 +43,10 @@ def test_every_text_has_a_tree():
 
 
 def test_neighbours_equal_a_plain_walk(spark, prose):
-    rows = [(i * 7 % 101, prose(i, i % 40)) for i in range(101)] + [(None, "last of all"), (200, None), (201, ""), (50, "same id")]
+    rows = [(i * 7 % 101, prose(i, i % 40)) for i in range(101)] + [(None, f"last of all {i}") for i in range(40)] + [(200, None), (201, ""), (50, "same id")]
     frame = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, bucket int").repartition(6)
     got = {}
-    for r in M.compare_neighbours(frame).collect():
+    for r in M.compare_neighbours(frame, bucket_bytes=500).collect():
         got.setdefault((r["doc_id"], r["fingerprint"]), r)
     assert len(got) == len(rows)
     key = {(r["doc_id"], r["text"]): r["k"] for r in frame.selectExpr("*", "xxhash64(text) as k").collect()}
@@ -66,3 +66,14 @@ def test_one_row_and_no_row(spark):
     one = M.compare_neighbours(spark.createDataFrame([(5, "abcdefgh")], "doc_id long, text string")).first()
     assert one["near_next"] == 1 and one["edited_sha256"] == hashlib.sha256(b"abcdefab").hexdigest()
     assert M.compare_neighbours(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_different_texts_differ_in_root_and_leaves():
+    """Words whose sums agree in all powers of two (Thue-Morse and its complement)."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = word.translate(str.maketrans("ab", "ba"))
+    for before in ("", "some words in front of it ", "one\ntwo\n"):
+        x, y = M.fingerprint(before + word), M.fingerprint(before + other)
+        assert x.partition("|")[0] != y.partition("|")[0] and M.likeness(x, y) < 1
+    texts = {f"{i} paragraph\n{j}" for i in range(60) for j in range(60)}
+    assert len({M.fingerprint(t).partition("|")[0] for t in texts}) == len(texts)
