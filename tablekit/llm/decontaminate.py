@@ -14,7 +14,7 @@ the item's word shingles with weighted (multiset) similarity of at least
 2. SimHash of each item-sized window and of each item (64 bits over the
    shingle hashes), and multi-index Hamming blocks: the 64 bits are cut into
    ``radius + 1`` blocks; fingerprints within ``radius`` bits agree on one
-   block at least, so the join on (size, block, value) finds all of them; a
+   block at least, so the join on (item, block, value) finds all of them; a
    pair counts at its first agreeing block only.
 3. Verification: the exact weighted similarity.
 
@@ -23,9 +23,12 @@ case; texts with fewer words than ``shingle`` are one shingle; a document
 shorter than an item is one window.  The anchor table is broadcast only up
 to ``max_broadcast`` rows; beyond, document shingles are shuffled to it.
 
+Items are told apart by a hash of their shingles, never by their id alone.
+
 Defined results: null and empty texts and items match nothing; rows with
 equal id and text are one document; items with equal text are all reported,
 rows that share an item id count each for itself, and the best one is given;
+a null item id is an id like any other, so its items are found and dropped;
 ties of similarity keep the first window; extra columns are left alone;
 empty tables give no matches and leave all documents.
 """
@@ -105,7 +108,7 @@ def _items(benchmark: DataFrame, item_id: str, text: str, k: int, similarity: fl
 
 
 def _windows(docs: DataFrame, anchors: DataFrame, k: int, broadcast: bool) -> DataFrame:
-    """(doc_id, text_key, item_id, m, start, grams): each window that holds an anchor of its item."""
+    """(doc_id, text_key, item_id, row, m, start, grams): each window that holds an anchor of its item."""
     rows = computed(docs, "words", _words(F.col("text"))).select("doc_id", "text_key", "words")
     n = F.size("words") - (k - 1)
     at = rows.where(n > 0).select("doc_id", "text_key", "words", F.explode(F.sequence(F.lit(0), n - 1)).alias("i"))
@@ -123,16 +126,19 @@ def _windows(docs: DataFrame, anchors: DataFrame, k: int, broadcast: bool) -> Da
         hits = (found.join(mine, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t")))
                 .where(~F.col("short") | (n < F.col("m")))
                 .select("doc_id", "text_key", "item_id", "row", "m", "i", n.alias("n"), first.alias("first"), reach.alias("words")))
-    before = F.lag("i").over(Window.partitionBy("doc_id", "text_key", "item_id", "m", "row").orderBy("i"))
+    of = ["doc_id", "text_key", "item_id", "m", "row"]
+    # a fixed count: the work is in the windows to come, which the bytes of these few rows do not tell
+    hits = hits.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *of)
+    before = F.lag("i").over(Window.partitionBy(*of).orderBy("i"))
     size = F.least("m", "n")
     lo = F.greatest(F.col("i") - size + 1, F.coalesce(F.col("before") + 1, F.lit(0)), F.lit(0))
     hi = F.least(F.col("i"), F.col("n") - size)
     starts = F.when(lo <= hi, F.sequence(lo, hi))
     each = (hits.withColumn("before", before)
-            .select("doc_id", "text_key", "item_id", "m", size.alias("size"), "first", "words", F.explode(starts).alias("start")))
+            .select(*of, size.alias("size"), "first", "words", F.explode(starts).alias("start")))
     grams = F.transform(F.sequence(F.col("start") - F.col("first"), F.col("start") - F.col("first") + F.col("size") - 1),
                         lambda i: _gram(F.col("words"), i, k))
-    return computed(each, "grams", grams).select("doc_id", "text_key", "m", "start", "grams")
+    return computed(each, "grams", grams).select(*of, "start", "grams")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -161,19 +167,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     for p in parts[1:]:
         windows = windows.unionByName(p)
     windows = _with_simhash(windows, "grams", "fp")
-    known = materialize(_with_simhash(items, "grams", "i_fp").select(
-        "item_id", F.col("k").alias("i_k"), F.col("m").alias("i_m"), "n_words", F.col("grams").alias("i_grams"), "i_fp"), "item-hashes")
-    index = known.select("item_id", "i_k", "i_m", "i_fp", F.posexplode(_blocks(F.col("i_fp"), radius)).alias("i_block", "i_value"))
+    known = materialize(_with_simhash(numbered.dropDuplicates(["k", "m", "row"]), "grams", "i_fp").select(
+        F.col("k").alias("i_k"), F.col("m").alias("i_m"), F.col("row").alias("i_row"), "n_words", F.col("grams").alias("i_grams"),
+        "i_fp"), "item-hashes")
+    index = known.select("i_k", "i_m", "i_row", "i_fp", F.posexplode(_blocks(F.col("i_fp"), radius)).alias("i_block", "i_value"))
     if sum(sizes.values()) * (radius + 1) <= max_broadcast:  # an item has an anchor at least, so this bounds the index
         index = F.broadcast(index)
     keyed = windows.select("*", F.posexplode(_blocks(F.col("fp"), radius)).alias("block", "value"))
-    pairs = keyed.join(index, (F.col("k") == F.col("i_k")) & (F.col("m") == F.col("i_m"))
-                       & (F.col("block") == F.col("i_block")) & (F.col("value") == F.col("i_value")))
+    same = (F.col("k") == F.col("i_k")) & (F.col("m") == F.col("i_m")) & (F.col("row") == F.col("i_row"))
+    pairs = keyed.join(index, same & (F.col("block") == F.col("i_block")) & (F.col("value") == F.col("i_value")))
     xor = F.col("fp").bitwiseXOR(F.col("i_fp"))
     near = pairs.where(F.bit_count(xor) <= radius)
     first = F.array_position(_blocks(xor, radius), F.lit(0).cast("long")) - 1 == F.col("block")
-    near = near.where(first).select("doc_id", "text_key", "item_id", "start", "grams")
-    both = near.join(known.select("item_id", "n_words", "i_grams").distinct(), "item_id")
+    near = near.where(first).select("doc_id", "text_key", "item_id", "k", "m", "row", "start", "grams")
+    both = near.join(known.select("i_k", "i_m", "i_row", "n_words", "i_grams"), same)
     both = computed(both, "shared", F.size(F.array_intersect(_numbered(F.col("grams")), _numbered(F.col("i_grams")))))
     exact = F.col("shared") / (F.size("grams") + F.size("i_grams") - F.col("shared"))
     verified = (both.select("doc_id", "text_key", "item_id", "start", "n_words", exact.alias("similarity"))

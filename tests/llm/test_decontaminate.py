@@ -124,3 +124,12 @@ def test_truncated_items_and_repeated_ids(spark, prose):
         got = run(spark, docs, items, **options)[2].collect()
         assert {(r["doc_id"], r["item_id"]): (round(r["similarity"], 9), r["start"]) for r in got} == want
         assert len(got) == len(want)
+
+
+def test_items_without_an_id_are_found(spark, prose):
+    text = prose(77, 30)
+    docs = spark.createDataFrame([(1, prose(1, 40) + " " + text + " " + prose(2, 40)), (2, prose(3, 90)), (3, text)], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, text), (None, prose(78, 30)), (4, prose(79, 12))], "item_id long, text string")
+    found = [(r["doc_id"], r["item_id"], r["similarity"]) for r in D.contaminated(docs, bench).orderBy("doc_id").collect()]
+    assert found == [(1, None, 1.0), (3, None, 1.0)]
+    assert [r["doc_id"] for r in D.drop_contaminated(docs, bench).collect()] == [2]
