@@ -9,9 +9,10 @@ join; the rest meet the list in an exact join, so false positives never
 reach a verdict.  The longest rule that fits wins.
 
 The Bloom filter has blocks of 64 bits (one word per key, ``BITS`` bits set),
-built by Spark with ``bit_or``.  It is carried as a literal only while the
-list has at most ``max_bloom_keys`` keys (its size is then bounded: 16 bits
-a key); longer lists keep the filter as a table that is joined by block.
+built by Spark with ``bit_or``.  Tasks hold it as one array, the value of a
+scalar subquery, only while the list has at most ``max_bloom_keys`` keys (its
+size is then bounded: 16 bits a key); longer lists keep the filter as a table
+that is joined by block.
 
 Defined results: a null URL, or one without ``://``, has empty host and
 path; empty hosts meet no rule; repeated URLs are judged alike; an empty list
@@ -78,11 +79,10 @@ def possible_hits(rows: DataFrame, key: str, listed: DataFrame, listed_key: str,
     mask, (word, block) = _mask(col(key)), fresh(rows, "word", "block")
     if n <= max_bloom_keys:
         # one row whose size is bounded by max_bloom_keys * BITS_PER_KEY bits
-        packed = bloom.agg(F.map_from_entries(F.collect_list(F.struct("block", "word"))).alias("m"))
-        words = packed.select(F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)),
-                                          lambda i: F.coalesce(F.col("m")[i.cast("int")], F.lit(0).cast("long"))).alias("w"))
-        table = words.first()["w"]
-        held = rows.withColumn(word, F.get(F.lit(table).cast("array<bigint>"), _block(col(key), blocks)))
+        every = rows.sparkSession.range(blocks).join(bloom, F.col("id") == F.col("block"), "left")
+        packed = every.agg(F.array_sort(F.collect_list(F.struct("id", F.coalesce("word", F.lit(0).cast("long")).alias("word")))).alias("w"))
+        table = packed.select(F.col("w")["word"]).scalar()
+        held = rows.withColumn(word, F.get(table, _block(col(key), blocks)))
     else:
         named = bloom.select(F.col("block").alias(block), F.col("word").alias(word))
         held = rows.join(named, _block(col(key), blocks) == F.col(block)).drop(block)
