@@ -79,14 +79,18 @@ def _ascii(word: Column) -> Column:
     return F.octet_length(word) == F.length(word)
 
 
+def _is(word: Column, lower: str) -> Column:
+    return (F.lower(word) == lower) & _ascii(word)
+
+
 def _positions(ws: Column, word: str) -> Column:
-    return F.filter(F.transform(ws, lambda w, i: F.when(w == word, i)), lambda i: i.isNotNull())
+    return F.filter(F.transform(ws, lambda w, i: F.when(_is(w, word), i)), lambda i: i.isNotNull())
 
 
 def _stands(ws: Column, parts: list[str]) -> Callable[[Column], Column]:
     """Whether the words from a place on are ``parts``."""
     def test(i: Column) -> Column:
-        return F.coalesce(reduce(and_, [F.get(ws, i + k) == w for k, w in enumerate(parts)]), F.lit(False))
+        return F.coalesce(reduce(and_, [_is(F.get(ws, i + k), w) for k, w in enumerate(parts)]), F.lit(False))
     return test
 
 
@@ -94,12 +98,13 @@ def _place(label: str) -> Callable[[Column], Column]:
     return lambda i: F.struct(i.cast("long").alias("at"), F.lit(label).alias("label"))
 
 
-def phrase_places(text: Column, phrases: dict[str, str] = PHRASES) -> Column:
-    """array<struct<at, label>> of every place where a phrase's words stand consecutively."""
+def phrase_places(text: Column, ws: Column, phrases: dict[str, str] = PHRASES) -> Column:
+    """array<struct<at, label>> of every place where a phrase's words stand
+    consecutively in ``ws``, the words of ``text``: a column that is there already,
+    as every test of a place looks into it."""
     found = []
     for phrase, label in phrases.items():
         parts = phrase.split(" ")
-        ws = F.transform(words(text), ascii_lower)
         held = F.filter(_positions(ws, parts[0]), _stands(ws, parts))
         # the phrase's words in any case, anywhere: a cheap test that loses none
         maybe = F.lit(True)
@@ -179,8 +184,10 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates:
             .groupBy("doc_id", "text_hash")
             .agg(F.collect_set("label").alias("hits"), F.max("containment").alias("containment")))
     body = F.coalesce(col(text), F.lit(""))
-    base = docs.select(col(doc_id).alias("doc_id"), F.xxhash64(col(text)).alias("text_hash"),
-                       F.size(words(body)).cast("long").alias("n_words"), phrase_places(body, phrases).alias("places"))
+    split = computed(docs.select(col(doc_id).alias("doc_id"), F.xxhash64(col(text)).alias("text_hash"), body.alias("text")),
+                     "ws", words(F.col("text")))
+    base = split.select("doc_id", "text_hash", F.size("ws").cast("long").alias("n_words"),
+                        phrase_places(F.col("text"), F.col("ws"), phrases).alias("places"))
     other = hits.select(F.col("doc_id").alias("h_id"), F.col("text_hash").alias("h_hash"), "hits", "containment")
     return (base.join(other, base["doc_id"].eqNullSafe(F.col("h_id")) & (base["text_hash"] == F.col("h_hash")), "left")
             .select("doc_id", "n_words", "places",

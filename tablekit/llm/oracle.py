@@ -95,7 +95,16 @@ blocks AS (
          len(list_intersect(held, tw)) / len(list_distinct(tw)) AS containment
   FROM blocks, templates
   WHERE len(list_intersect(held, tw)) >= 0.8::DOUBLE * len(list_distinct(tw)) - 1e-9
-), method AS (SELECT doc_id, list(DISTINCT label) AS labels, max(containment) AS containment FROM met GROUP BY doc_id)
+), runs AS (
+  SELECT doc_id, label, tw, unnest(range(len(w))) AS pos, w, len(tw) AS n
+  FROM ws, templates
+  WHERE contains(t, chr(10)) AND len(list_intersect(w, tw)) >= 0.8::DOUBLE * len(list_distinct(tw)) - 1e-9
+), met_runs AS (
+  SELECT doc_id, label, len(list_intersect(list_distinct(w[pos + 1 : pos + n]), tw)) / len(list_distinct(tw)) AS containment
+  FROM runs WHERE list_contains(tw, w[pos + 1])
+), met_all AS (
+  SELECT * FROM met UNION ALL SELECT * FROM met_runs WHERE containment >= 0.8::DOUBLE - 1e-9
+), method AS (SELECT doc_id, list(DISTINCT label) AS labels, max(containment) AS containment FROM met_all GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
        coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
        coalesce(array_to_string(list_sort(list_distinct(list_concat(base.labels, method.labels))), ','), '') AS labels,

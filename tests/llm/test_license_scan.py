@@ -85,3 +85,18 @@ def test_wrapped_notices(spark):
     got = {r["doc_id"]: r for r in L.scan_licenses(spark.createDataFrame([(i, t, 0) for i, t in enumerate(cases)], SCHEMA), wrapped=True).collect()}
     assert {i: (sorted(r["hits"]), r["containment"]) for i, r in got.items()} == {i: runs(t) for i, t in enumerate(cases)}
     assert [got[i]["hits"] for i in range(7)] == [["bsd"], ["mpl"], ["bsd"], ["mpl"], ["bsd"], ["reserved"], []]
+
+
+def test_phrase_starts_cost_no_more_than_the_text(spark):
+    """Every word of a long text may begin a phrase."""
+    import time
+
+    def seconds(n):
+        frame = spark.createDataFrame([(1, "general " * n + "public license", 0)], SCHEMA)
+        t0 = time.perf_counter()
+        row = L.scan_licenses(frame).first()
+        assert row["n_words"] == n + 2 and [tuple(p) for p in row["places"]] == [(n - 1, "gpl")]
+        return time.perf_counter() - t0
+
+    seconds(100)
+    assert seconds(80_000) < 20   # a quadratic scan would take hours
