@@ -130,11 +130,31 @@ def copy_table_if_absent(spark: SparkSession, source: str, target_path: str,
                                  F.lit(status).alias("status"))
 
 
-def _morton_udf(bounds: list[list[float]], bits: int):
+TEXT_SAMPLES = 64  # sampled texts for each of the 2^bits buckets of a text column
+TEXT_PREFIX = 64   # bytes of a text that place it in a bucket (longer common beginnings share one)
+
+
+def _text_key(c: Column) -> Column:
+    """The first bytes of a text or binary value, as UTF-8 orders them."""
+    return F.substring(F.coalesce(c.cast("binary"), F.lit(b"")), 1, TEXT_PREFIX)
+
+
+def _text_bounds(df: DataFrame, c: str, n: int) -> list[bytes]:
+    """Borders that cut the values into ``n`` about equal ranges, from a sample
+    of about ``TEXT_SAMPLES * n`` of them, whatever the size of the table."""
+    rows = df.count()
+    share = min(1.0, TEXT_SAMPLES * n / max(1, rows))
+    key = df.select(_text_key(F.col(c)).alias("k"))
+    held = sorted(bytes(r["k"]) for r in (key.sample(share, seed=7) if share < 1 else key).collect())
+    return [held[len(held) * i // n] for i in range(1, n)] if held else []
+
+
+def _morton_udf(bounds: list[list], bits: int):
     """Arrow UDF: range bucket of each column by binary search in its
-    quantile bounds (numpy ``searchsorted``), bits interleaved into one
-    long.  ``bounds`` is 2^bits values per column: bounded closure size."""
-    arrs = [np.asarray(b, dtype="float64") for b in bounds]
+    quantile bounds (numpy ``searchsorted``; texts by their first bytes), bits
+    interleaved into one long.  ``bounds`` is 2^bits values per column: bounded
+    closure size."""
+    arrs = [np.array(b, dtype=object) if b and isinstance(b[0], bytes) else np.asarray(b, dtype="float64") for b in bounds]
 
     @F.arrow_udf(T.LongType())
     def morton(packed: pa.Array) -> pa.Array:
@@ -142,8 +162,11 @@ def _morton_udf(bounds: list[list[float]], bits: int):
         z = np.zeros(len(packed), dtype=np.int64)
         k = len(cols)
         for i, (c, b) in enumerate(zip(cols, arrs)):
-            v = c.to_numpy(zero_copy_only=False).astype("float64")
-            v = np.where(np.isnan(v), -np.inf, v)
+            if b.dtype == object:
+                v = np.array(c.to_pylist(), dtype=object)
+            else:
+                v = c.to_numpy(zero_copy_only=False).astype("float64")
+                v = np.where(np.isnan(v), -np.inf, v)
             bucket = np.searchsorted(b, v, side="left").astype(np.int64)
             for j in range(bits):
                 z |= ((bucket >> j) & 1) << (j * k + i)
@@ -156,25 +179,26 @@ def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 8,
                relative_error: float = 0.001) -> Column:
     """Morton (Z-order) key: each column is mapped to its range bucket
     0..2^bits-1 from approximate quantiles (one aggregate job over all
-    columns), then the bucket bits are interleaved (vectorised Arrow UDF).
-    Numeric, date and timestamp columns keep their order; strings use a
-    hash (no locality)."""
+    columns; from a sample for texts), then the bucket bits are interleaved
+    (vectorised Arrow UDF).  All columns keep their order, texts that of their
+    first ``TEXT_PREFIX`` bytes."""
     n = 1 << bits
     probs = [i / n for i in range(1, n)]
     keyed = []
     for c in cols:
         dt = df.schema[c].dataType.simpleString()
         if dt in ("string", "binary"):
-            keyed.append(F.xxhash64(F.col(c)).cast("double"))
+            keyed.append(_text_key(F.col(c)))
         elif dt.startswith("date"):
             keyed.append(F.unix_date(F.col(c)).cast("double"))
         elif dt.startswith("timestamp"):
             keyed.append(F.unix_micros(F.col(c).cast("timestamp")).cast("double"))
         else:
             keyed.append(F.col(c).cast("double"))
-    row = df.agg(*[F.percentile_approx(k, probs, int(1 / relative_error)).alias(f"b{i}")
-                   for i, k in enumerate(keyed)]).first()
-    bounds = [[float(b) for b in (row[f"b{i}"] or [])] for i in range(len(keyed))]
+    texts = {i for i, c in enumerate(cols) if df.schema[c].dataType.simpleString() in ("string", "binary")}
+    numbers = [F.percentile_approx(k, probs, int(1 / relative_error)).alias(f"b{i}") for i, k in enumerate(keyed) if i not in texts]
+    row = df.agg(*numbers).first() if numbers else None
+    bounds = [_text_bounds(df, cols[i], n) if i in texts else [float(b) for b in (row[f"b{i}"] or [])] for i in range(len(keyed))]
     return _morton_udf(bounds, bits)(F.struct(*[k.alias(f"c{i}") for i, k in enumerate(keyed)]))
 
 

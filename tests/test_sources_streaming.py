@@ -185,3 +185,47 @@ def test_stream_insert_only_across_batches(spark):
     got = {r.event_id: r.v for r in spark.read.parquet(target).collect()}
     assert sorted(got) == list(range(30))
     assert all(got[i] == "a" for i in range(20)) and all(got[i] == "b" for i in range(20, 30))
+
+
+def test_streamed_sessions_of_a_hot_user_equal_batch_sessions(spark):
+    """A user with a third of the stream, NULL users and times,
+    gaps of exactly the session gap; no session setting."""
+    import datetime as dt
+    import random
+    rnd = random.Random(5)
+    t0 = dt.datetime(2024, 1, 1)
+    data = [(1 if i % 3 == 0 else rnd.choice([None, *range(2, 30)]), t0 + dt.timedelta(seconds=rnd.randrange(30_000)), i) for i in range(6000)]
+    data += [(50, t0 + dt.timedelta(minutes=30 * i), i) for i in range(6)] + [(51, t0 + dt.timedelta(minutes=30 * i, microseconds=i), i) for i in range(6)]
+    data += [(7, None, 1), (None, t0 + dt.timedelta(days=2), 2)]
+    schema = "user_id long, ts timestamp_ntz, event_id long"
+    ev = spark.createDataFrame(data, schema)
+    src, sink, ck = (scratch_path(spark, f"t_hot_{x}") for x in ("src", "sink", "ck"))
+    ev.repartition(3).write.parquet(src)
+    q = (SS.session_summary_stream(spark.readStream.schema(schema).parquet(src), "user_id", "ts", "1 minute", "0 seconds")
+         .writeStream.format("parquet").option("path", sink).option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    batch = (A.sessionize(ev.filter("ts is not null"), "user_id", "ts", gap="1 minute", tie_break=["event_id"]).groupBy("user_id", "session_id")
+             .agg(F.min("ts").alias("s"), (F.max("ts") + F.expr("INTERVAL 1 MINUTE")).alias("e"), F.count(F.lit(1)).alias("n"))
+             .filter(F.col("e") <= F.lit(t0 + dt.timedelta(days=2))))
+    assert rows(spark.read.parquet(sink), "user_id", "session_start", "session_end", "event_count") == rows(batch, "user_id", "s", "e", "n")
+    parts = SS._combined(ev.filter("user_id = 1").select("user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at")).coalesce(1), 60_000_000)
+    assert parts.count() <= 502 and parts.agg(F.sum("n")).first()[0] == 2000   # 500 minutes
+
+
+def test_zorder_keeps_texts_together(spark):
+    """A prefix range meets few files after clustering, all after a plain rewrite."""
+    df = spark.range(20_000).select(F.concat(F.lit("customer/"), F.lpad(F.pmod(F.xxhash64("id"), F.lit(100_000)).cast("string"), 6, "0"),
+                                             F.lit(" é")).alias("name"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000)).alias("v"))
+    plain, out = scratch_path(spark, "t_plain"), scratch_path(spark, "t_z")
+    df.repartition(16).write.parquet(plain)
+    FS.compact_table(spark, plain, out, target_mb=0.005, cluster_by=["name", "v"], zorder=True)
+
+    def met(path):
+        held = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("f")).agg(F.min("name").alias("a"), F.max("name").alias("b"))
+        return held.count(), held.filter("b >= 'customer/0310' and a < 'customer/0311'").count()
+
+    files, hit = met(out)
+    assert met(plain) == (16, 16) and files >= 20 and hit <= files / 2
+    assert rows(spark.read.parquet(out)) == rows(df)
+    with_null = spark.createDataFrame([(None, 1), ("", 2), ("b", 3)], "t string, n int")
+    assert with_null.select(FS.zorder_key(with_null, ["t"]).alias("z")).count() == 3
