@@ -40,7 +40,7 @@ from tablekit.session import materialize
 
 ARITY = 3
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
-WRITE_EVERY = 6   # levels joined in one plan on the way down
+WRITE_EVERY = 3   # levels joined in one plan on the way down: few shuffles at once
 STEP = "array<struct<left:string,right:string>>"
 
 
