@@ -10,15 +10,19 @@ driver-side parse of rows.
 A path is a tuple of steps: a field name, or ``None`` for the elements of an
 array.  Written as text, steps join with dots, elements add ``[]``, and names
 that are not plain words stand in back quotes (``a.`p.q`[]``).  The driver
-holds one row per path: documents whose keys are data (ids as field names)
-need a map column, not this.
+holds one row per path.  Objects whose field names are data (ids as names) are
+found by a sketch of the distinct names at each path and read as arrays of
+``{"key": ..., "value": ...}``, so a path stands for all of them.
 """
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Mapping
+import sys
+from collections.abc import Iterator, Mapping
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,6 +81,101 @@ def merged_schema(df: DataFrame, payload: str) -> T.DataType:
     return T.DataType.fromDDL("".join(parts))
 
 
+# ---------------------------------------------------------------- names that are data
+
+MAX_FIELDS = 1_000   # an object path with about this many distinct names holds data as names
+_RSD = 0.02          # of the sketch
+
+
+class _Number(str):
+    """A number as it was written."""
+
+
+def _write(v, path: tuple[str, ...], maps: set[tuple[str, ...]], out: list[str]) -> None:
+    """``v`` as JSON text, objects at ``maps`` as arrays of keys and values."""
+    if isinstance(v, dict):
+        as_rows = path in maps
+        for i, (k, x) in enumerate(v.items()):
+            out.append("," if i else "[" if as_rows else "{")
+            name = json.dumps(k)
+            out.append(f'{{"key":{name},"value":' if as_rows else f"{name}:")
+            _write(x, (*path, "{}" if as_rows else f".{k}"), maps, out)
+            if as_rows:
+                out.append("}")
+        out.append(("]" if as_rows else "}") if v else "[]" if as_rows else "{}")
+    elif isinstance(v, list):
+        out.append("[")
+        for i, x in enumerate(v):
+            if i:
+                out.append(",")
+            _write(x, (*path, "[]"), maps, out)
+        out.append("]")
+    else:
+        out.append(v if isinstance(v, _Number) else json.dumps(v))
+
+
+def _text(df: DataFrame, payload: str) -> Column:
+    return F.to_json(F.col(payload)) if isinstance(df.schema[payload].dataType, T.VariantType) else F.col(payload)
+
+
+def data_like_objects(df: DataFrame, payload: str, max_fields: int = MAX_FIELDS) -> set[tuple[str, ...]]:
+    """Paths of the objects with more than about ``max_fields`` distinct names over
+    all documents.  Steps are ``.name``, ``[]`` for elements and ``{}`` for the
+    values of such an object.
+
+    One pass over the text counts all names by a sketch: with few, no object can
+    have many.  Otherwise the documents are taken apart level by level, one sketch
+    for each path; a level's paths stand for all names of the objects found above
+    it, so neither the aggregates nor the driver hold more than real paths."""
+    text = _text(df, payload)
+    # a name that holds a quote is seen in part only: then look closely
+    names, close = df.select(F.explode_outer(F.regexp_extract_all(text, F.lit('"([^"]*+)"\\s*+:'), 1)).alias("name"),
+                             F.coalesce(text.rlike('\\\\"[^"]*+"\\s*+:'), F.lit(False)).alias("close")).agg(
+        F.approx_count_distinct("name", _RSD), F.coalesce(F.max("close"), F.lit(False))).first()
+    if names <= max_fields * (1 - 5 * _RSD) and not close:
+        return set()
+    maps: set[tuple[str, ...]] = set()
+    path = F.array().cast("array<string>")
+    level = df.select(path.alias("path"), _variant(df, payload).alias("v"))
+    while True:
+        inside = level.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("v").outer())).select("path", "key", "value")
+        nested = F.schema_of_variant("value").startswith("OBJECT<") | F.schema_of_variant("value").startswith("ARRAY<")
+        found = (inside.groupBy("path").agg(F.approx_count_distinct("key", _RSD).alias("n"), F.max(nested).alias("deeper"))
+                 .groupBy().agg(F.collect_list(F.when(F.col("n") > max_fields, F.col("path"))).alias("maps"),
+                                F.coalesce(F.max("deeper"), F.lit(False)).alias("deeper")).first())
+        here = [list(p) for p in found["maps"]]
+        maps |= {tuple(p) for p in here}
+        if not found["deeper"]:
+            return maps
+        is_map = F.lit(False)
+        for p in here:
+            is_map = is_map | (F.col("path") == F.array(*[F.lit(x) for x in p]).cast("array<string>"))
+        step = F.when(F.col("key").isNull(), "[]").when(is_map, "{}").otherwise(F.concat(F.lit("."), F.col("key")))
+        level = inside.where(nested).select(F.concat("path", F.array(step)).alias("path"), F.col("value").alias("v"))
+
+
+def keys_as_rows(df: DataFrame, payload: str, max_fields: int = MAX_FIELDS) -> Column:
+    """The documents of the column as VARIANT, objects with data as names
+    (``data_like_objects``) as arrays of ``{"key": name, "value": value}``."""
+    maps = data_like_objects(df, payload, max_fields)
+    value = _variant(df, payload)
+    if not maps:
+        return value
+
+    @F.pandas_udf("string")
+    def rewritten(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        sys.setrecursionlimit(10_000)   # documents nest up to 1,000 levels
+        def one(text):
+            out: list[str] = []
+            _write(json.loads(text, parse_int=_Number, parse_float=_Number), (), maps, out)
+            return "".join(out)
+
+        for texts in batches:
+            yield texts.map(one, na_action="ignore")
+
+    return F.try_parse_json(rewritten(F.when(value.isNotNull(), _text(df, payload))))
+
+
 Path = tuple[str | None, ...]
 
 
@@ -141,12 +240,14 @@ def _sql_type(kinds: Column) -> Column:
              .otherwise(SQL_TEXT))
 
 
-def infer_json_columns(df: DataFrame, payload: str) -> DataFrame:
+def infer_json_columns(df: DataFrame, payload: str, max_fields: int = MAX_FIELDS) -> DataFrame:
     """Per JSON path: the kinds seen, the DDL type of the lattice
     BOOLEAN | INT | FLOAT | VARCHAR(255) (conflict or all-null -> text),
     whether kinds conflict, and how many values were seen.  Objects and
-    arrays are listed as such; their members appear as ``a.b`` / ``a[]``."""
-    _, paths, kinds = _infer(df, payload)
+    arrays are listed as such; their members appear as ``a.b`` / ``a[]``.  An
+    object with more than about ``max_fields`` distinct names over all documents
+    counts as an array of ``{"key", "value"}``."""
+    _, paths, kinds = _infer(df.select(keys_as_rows(df, payload, max_fields).alias(payload)), payload)
     names = F.lit([path_text(p) for p in paths])
     return kinds.filter(F.get(names, F.col("path")) != "").select(
         F.get(names, F.col("path")).alias("path"), F.array_join("kinds", ",").alias("kinds"),
@@ -169,7 +270,8 @@ def _own_names(wanted: list[str], taken: list[str]) -> list[str]:
     return out
 
 
-def json_to_tables(df: DataFrame, payload: str, key_col: str | None = None) -> dict[Path, DataFrame]:
+def json_to_tables(df: DataFrame, payload: str, key_col: str | None = None,
+                   max_fields: int = MAX_FIELDS) -> dict[Path, DataFrame]:
     """Split a JSON column into a parent table and child tables, keyed by the
     path they come from (``()`` is the parent; ``("a", "items")`` the objects
     or elements at ``a.items``; ``("m", None)`` the inner arrays of ``m``).
@@ -181,14 +283,16 @@ def json_to_tables(df: DataFrame, payload: str, key_col: str | None = None) -> d
     are in ``value``; arrays inside arrays are tables of their own.  Types
     follow ``infer_json_columns``: what conflicts becomes text (objects as
     their JSON).  A document that is an array of records gives one record per
-    element, keyed ``key:position``.  The key is ``key_col`` if given, else
+    element, keyed ``key:position``.  An object with more than about
+    ``max_fields`` distinct names over all documents is a child table with
+    ``key`` and ``value``.  The document's key is ``key_col`` if given, else
     the SHA-256 of the payload (stable on recomputation, unlike ``uuid()``)."""
     from ..session import materialize
     key = key_col or "_id"
     # parsed once into VARIANT and written as Parquet: the two inference
     # jobs and every output table read it without re-parsing the JSON text
     base = materialize(df.select((F.col(key_col) if key_col else F.sha2(F.col(payload), 256)).alias(key),
-                                 _variant(df, payload).alias("_tk_v")), "json_parsed")
+                                 keys_as_rows(df, payload, max_fields).alias("_tk_v")), "json_parsed")
     dt, paths, kinds = _infer(base, "_tk_v")
     types = {paths[r["path"]]: r["t"] for r in kinds.select("path", _sql_type(F.col("kinds")).alias("t")).collect()}
     if isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.StructType):

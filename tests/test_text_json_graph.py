@@ -3,6 +3,7 @@ import json
 import random
 
 from conftest import SF_SMALL, rows
+from pyspark.sql import functions as F
 
 from tablekit.functions.text import lcs_length, partial_ratio, token_sort_ratio
 from tablekit.operators import graph as G
@@ -208,3 +209,37 @@ def test_bfs_long_chain_compacts_visited(spark):
     e = spark.createDataFrame([(i, i + 1) for i in range(40)], "s long, d long")
     got = rows(G.bfs_levels(e, "s", "d", 0), "vertex", "hops")
     assert got == sorted([(i, i) for i in range(41)], key=repr)
+
+
+def test_names_that_are_data_become_rows(spark):
+    """Ids as field names, also inside each other and inside arrays; numbers keep
+    their digits, names with quotes are told apart."""
+    docs, want, deep = [], [], []
+    for d in range(60):
+        m = {f"id{d}_{i}": {"n": i, "tags": {f"t{d}-{i}-{j}": j for j in range(2)}} for i in range(3)}
+        docs.append((d, json.dumps({"name": f"d{d}", "m": m, "list": [{"x": {f'q"{d}': d}}], "big": 12345678901234567890123456})))
+        want += [(d, k, v["n"]) for k, v in m.items()]
+        deep += [(d, t, j) for v in m.values() for t, j in v["tags"].items()]
+    docs += [(100, None), (101, "no json"), (102, "{}"), (103, '{"m": {}, "list": []}')]
+    df = spark.createDataFrame(docs, "k int, p string")
+    assert J.data_like_objects(df, "p", 50) == {(".m",), (".m", "{}", ".tags"), (".list", "[]", ".x")}
+    assert J.data_like_objects(df, "p", 1000) == set()   # `close` looks at every path, and finds none
+    tabs = J.json_to_tables(df, "p", key_col="k", max_fields=50)
+    assert rows(tabs[("m",)], "root_id", "key") == sorted(((d, k) for d, k, _ in want), key=repr)
+    assert rows(tabs[("m", "value")], "root_id", "n") == sorted(((d, n) for d, _, n in want), key=repr)
+    assert rows(tabs[("m", "value", "tags")], "root_id", "key", "value") == sorted(deep, key=repr)
+    assert rows(tabs[("list", "x")], "root_id", "key", "value") == sorted(((d, f'q"{d}', d) for d in range(60)), key=repr)
+    assert tabs[()].filter("k < 60 and name = concat('d', k)").count() == 60
+    inferred = {r["path"]: (r["kinds"], r["n_values"]) for r in J.infer_json_columns(df, "p", max_fields=50).collect()}
+    assert inferred["m[].value.n"] == ("int", 180) and inferred["m[].value.tags[].key"] == ("text", 360)
+    assert inferred["list[].x[].value"] == ("int", 60) and inferred["m"] == ("array", 61) and len(inferred) < 20
+
+
+def test_a_million_names_stay_off_the_driver(spark):
+    df = spark.range(250_000).select(F.concat(*[x for i in range(4) for x in (
+        F.lit('{"m":{"' if i == 0 else '"'), F.col("id") * 4 + i, F.lit('":'), F.col("id") + i, F.lit("," if i < 3 else "}}"))]).alias("p"))
+    tabs = J.json_to_tables(df, "p")
+    assert set(tabs) == {(), ("m",)}
+    got = tabs[("m",)].select(F.col("key").cast("long").alias("k"), "value")
+    assert got.agg(F.count("k"), F.sum("k"), F.sum("value"), F.min("k"), F.max("k")).first() == (
+        1_000_000, sum(range(1_000_000)), sum(4 * i + 6 for i in range(250_000)), 0, 999_999)
