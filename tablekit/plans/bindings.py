@@ -442,6 +442,24 @@ for _name, _path, _columns in (
     BINDINGS[_name] = _nested_table(_path, _columns)
 
 
+def orders_by_key(spark, d) -> DataFrame:
+    """Documents with order numbers as field names: one per customer and stretch
+    of 64 order numbers, so none grows with a customer."""
+    o = t(spark, d, "orders")
+    once = (o.groupBy("o_custkey", "o_orderkey").agg(F.max(F.struct("o_totalprice", "o_orderstatus")).alias("v")))
+    entry = F.struct(F.col("o_orderkey").cast("string"), F.struct(F.col("v.o_totalprice").alias("total"), F.col("v.o_orderstatus").alias("status")))
+    return (once.groupBy("o_custkey", F.floor(F.col("o_orderkey") / 64).alias("stretch"))
+                .agg(F.map_from_entries(F.collect_list(entry)).alias("by_order"))
+                .select(F.concat_ws("-", "o_custkey", "stretch").alias("doc_key"), F.to_json(F.struct("by_order")).alias("payload")))
+
+
+@binding("json_data_keys")
+def _t11c(spark, d):
+    tabs = J.json_to_tables(orders_by_key(spark, d), "payload", key_col="doc_key", max_fields=100)
+    keys, values = tabs[("by_order",)], tabs[("by_order", "value")]
+    return keys.join(values, ["root_id", "pos_1"]).select("root_id", "key", "total", "status")
+
+
 @binding("infer_json_columns_nested")
 def _t12b(spark, d):
     return J.infer_json_columns(nested_payloads(spark, d), "payload")

@@ -621,6 +621,12 @@ SELECT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(CAST(CEIL(l.l_linenumber / 4
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 """)
 
+sql("json_data_keys", """
+SELECT o_custkey || '-' || CAST(floor(o_orderkey / 64) AS BIGINT) AS root_id, CAST(o_orderkey AS VARCHAR) AS key,
+       max(o_totalprice) AS total, arg_max(o_orderstatus, o_totalprice) AS status
+FROM orders GROUP BY o_custkey, o_orderkey
+""")
+
 sql("small_file_report", """
 SELECT l_returnflag, count(DISTINCT strftime(l_shipdate, '%Y%m')) AS num_files, TRUE AS has_bytes, TRUE AS small_files, FALSE AS too_many_files, TRUE AS needs_compaction
 FROM lineitem GROUP BY l_returnflag
