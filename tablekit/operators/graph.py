@@ -9,46 +9,172 @@ table is only scanned, never shuffled, in that round.  Edges are not
 hash-partitioned or bucketed by source (a hub vertex would make one huge
 partition); when a frontier is too large to broadcast, AQE splits skewed
 partitions of the shuffled join.
+
+A chain would cost one round a vertex.  A walk that is not over after
+``SHORTCUT_AFTER`` rounds therefore goes on over a smaller graph: paths through
+vertices with at most two neighbours (one-way or both ways) become one edge,
+found by pointer doubling, in a number of joins that grows with the logarithm
+of their length; dead ends go.  Vertices inside get their distance from the
+ends at the last.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import discard, materialize
 
 COMPACT_EVERY = 16  # rounds of frontiers kept as a union before folding them into one table
+SHORTCUT_AFTER = 12  # rounds before paths become single edges
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _shorten(e: DataFrame, ends: DataFrame) -> tuple[DataFrame, DataFrame, bool] | None:
+    """Edges (_tk_s, _tk_d, _tk_w) with every path through *inner* vertices as
+    one edge; (_tk_v, _tk_h, _tk_o): an inner vertex lies ``_tk_o`` behind
+    ``_tk_h`` (at most two rows a vertex); whether a large part was inner, so
+    that another call may pay.  None without inner vertices.
+
+    A vertex is inner if it is none of ``ends`` (_tk_v), has at most two
+    neighbours, no edge to itself, and no way to a neighbour and back of
+    negative weight.  A least path never turns round at an inner vertex, so an
+    edge that leaves one has a single predecessor: the edge from the other
+    neighbour.  Each edge points to it, and pointers double until they meet
+    an edge that leaves an outer vertex.  Edges without a predecessor, and
+    those behind them, lie on no least path; rings of inner vertices are not
+    reached from outside.  Both go."""
+    w = e.schema["_tk_w"].dataType
+    none = F.lit(None)
+    arcs = materialize(e.where((F.col("_tk_s") != F.col("_tk_d")) | (F.col("_tk_w") < 0))
+                        .groupBy("_tk_s", "_tk_d").agg(F.min("_tk_w").alias("_tk_w")), "graph_arcs")
+    sides = (arcs.select(F.col("_tk_s").alias("_tk_v"), F.col("_tk_d").alias("n"), F.col("_tk_w").alias("out"), none.cast(w).alias("back"))
+             .unionByName(arcs.select(F.col("_tk_d").alias("_tk_v"), F.col("_tk_s").alias("n"), none.cast(w).alias("out"), F.col("_tk_w").alias("back")))
+             .groupBy("_tk_v", "n").agg(F.min("out").alias("out"), F.min("back").alias("back")))
+    around = sides.groupBy("_tk_v").agg(
+        F.count(F.lit(1)).alias("k"), F.min("n").alias("a"), F.max("n").alias("b"),
+        F.min(F.col("out") + F.col("back")).alias("turn"), F.max(F.col("n") == F.col("_tk_v")).alias("loop"))
+    inner = materialize(around.where("k <= 2 and not loop and (turn is null or turn >= 0)")
+                        .join(ends.select("_tk_v"), "_tk_v", "left_anti").select("_tk_v", "a", "b"), "graph_inner")
+    n_inner = inner.count()
+    if not n_inner:
+        discard(arcs)
+        return None
+    other = F.when(F.col("_tk_d") == F.col("a"), F.col("b")).otherwise(F.col("a"))
+    arcs_in = materialize(
+        arcs.join(inner.select(F.col("_tk_v").alias("_tk_s"), "a", "b"), "_tk_s", "left")
+            .join(inner.select(F.col("_tk_v").alias("_tk_d"), F.lit(True).alias("into")), "_tk_d", "left")
+            .select("_tk_s", "_tk_d", F.col("_tk_w").alias("o"), F.col("a").isNotNull().alias("from_inner"),
+                    F.col("into").isNotNull().alias("into"), F.when(other != F.col("_tk_d"), other).alias("p")), "graph_sides")
+    v = arcs.schema["_tk_s"].dataType
+    done = [arcs_in.where("not from_inner and into").select(
+        "_tk_s", "_tk_d", "into", "o", F.col("_tk_s").alias("h"), none.cast(v).alias("ps"), none.cast(v).alias("pd"))]
+    todo = arcs_in.where("p is not null").select(
+        "_tk_s", "_tk_d", "into", "o", none.cast(v).alias("h"), F.col("p").alias("ps"), F.col("_tk_s").alias("pd"))
+    before, left = None, todo.count()
+    while left and left != before:           # as many as before: only rings are left
+        known = _union([*done, todo]).select(*[F.col(c).alias(f"{c}2") for c in ("_tk_s", "_tk_d", "o", "h", "ps", "pd")])
+        step = materialize(todo.join(known, (F.col("ps") == F.col("_tk_s2")) & (F.col("pd") == F.col("_tk_d2")))
+                           .select("_tk_s", "_tk_d", "into", (F.col("o2") + F.col("o")).cast(w).alias("o"),
+                                   F.col("h2").alias("h"), F.col("ps2").alias("ps"), F.col("pd2").alias("pd")), "graph_pointers")
+        done.append(step.where("h is not null"))
+        todo = step.where("h is null")
+        before, left = left, todo.count()
+    found = _union(done)
+    edges = materialize(arcs_in.where("not from_inner and not into").select("_tk_s", "_tk_d", F.col("o").alias("_tk_w"))
+                        .unionByName(found.where("not into").select(F.col("h").alias("_tk_s"), "_tk_d", F.col("o").alias("_tk_w"))),
+                        "graph_short")
+    places = materialize(found.where("into").select(F.col("_tk_d").alias("_tk_v"), F.col("h").alias("_tk_h"), F.col("o").alias("_tk_o")),
+                         "graph_places")
+    return edges, places, n_inner * 8 >= arcs.count()
+
+
+def _settle(e: DataFrame, parts: list[DataFrame], start: DataFrame, rounds: int, limit: int | None,
+            at_most=None) -> tuple[DataFrame, bool]:
+    """Least distances (_tk_v, _tk_o) over edges (_tk_s, _tk_d, _tk_w), and
+    whether a negative cycle was met.  ``parts`` are the distances known after
+    ``rounds`` rounds, the last one those of vertices not yet relaxed.  No
+    improvement is left after ``limit`` rounds unless there is such a cycle.
+    Distances over ``at_most`` are not followed."""
+    def known() -> DataFrame:
+        return _union(parts).groupBy("_tk_v").agg(F.min("_tk_o").alias("_tk_o"))
+
+    def within(df: DataFrame, c: str) -> DataFrame:
+        return df if at_most is None else df.where(F.col(c) <= at_most)
+
+    places: list[DataFrame] = []
+    due = SHORTCUT_AFTER
+    negative = False
+    while True:
+        if rounds >= due:
+            due = 2 * rounds
+            # vertices still to be relaxed stay: all others have handed on what is known of them
+            more = True
+            while more and (short := _shorten(e, start.unionByName(parts[-1].select("_tk_v")))):
+                old, (e, at, more) = e, short
+                discard(old)
+                places.append(at)
+            if limit is not None and places:
+                here = e.select("_tk_s").union(e.select("_tk_d")).distinct().count()
+                limit = min(limit, rounds + here)   # the start may have no edge
+        cand = within(parts[-1].join(e, F.col("_tk_v") == F.col("_tk_s"))
+                      .groupBy("_tk_d").agg(F.min(F.col("_tk_o") + F.col("_tk_w")).alias("_tk_n")), "_tk_n")
+        improved = materialize(cand.join(known(), F.col("_tk_d") == F.col("_tk_v"), "left")
+                               .where(F.col("_tk_o").isNull() | (F.col("_tk_n") < F.col("_tk_o")))
+                               .select(F.col("_tk_d").alias("_tk_v"), F.col("_tk_n").alias("_tk_o")), "graph_improved")
+        if improved.isEmpty():
+            discard(improved)
+            break
+        if limit is not None and rounds >= limit:
+            negative = True
+            break
+        rounds += 1
+        if rounds % COMPACT_EVERY == 0:
+            old = parts
+            parts = [materialize(known(), "graph_known")]
+            for p in old:
+                discard(p)
+        parts.append(improved)
+    for at in reversed(places):
+        heads = known().select(F.col("_tk_v").alias("_tk_h"), F.col("_tk_o").alias("_tk_n"))
+        behind = within(at.join(heads, "_tk_h").select("_tk_v", (F.col("_tk_n") + F.col("_tk_o")).alias("_tk_o")), "_tk_o")
+        parts = [materialize(_union([known(), behind]).groupBy("_tk_v").agg(F.min("_tk_o").alias("_tk_o")), "graph_known")]
+    return known(), negative
 
 
 def bfs_levels(edges: DataFrame, src: str, dst: str, start, max_hops: int | None = None,
                vertex_col: str = "vertex", hop_col: str = "hops") -> DataFrame:
     """Vertices reachable from ``start`` (directed edges) with their hop
     distance; cycles end through the visited set (left anti join); stops
-    on an empty frontier or after ``max_hops``."""
+    on an empty frontier or after ``max_hops``.  A walk of over
+    ``SHORTCUT_AFTER`` hops goes on over shortened paths."""
     spark = edges.sparkSession
     vtype = edges.schema[src].dataType
     # every round reads the edges: materialise them once as Parquet (a derived
     # edge table would otherwise be recomputed from its sources per round)
-    e = materialize(edges.select(F.col(src).alias("_tk_s"), F.col(dst).alias("_tk_d"))
+    e = materialize(edges.select(F.col(src).alias("_tk_s"), F.col(dst).alias("_tk_d"), F.lit(1).alias("_tk_w"))
                          .filter(F.col("_tk_s").isNotNull() & F.col("_tk_d").isNotNull()), "bfs_edges")
-    frontier = spark.range(1).select(F.lit(start).cast(vtype).alias(vertex_col),
-                                     F.lit(0).alias(hop_col))
-    visited = frontier
+    first = spark.range(1).select(F.lit(start).cast(vtype).alias("_tk_v"), F.lit(0).alias("_tk_o"))
+    parts = [first]
     hop = 0
     while max_hops is None or hop < max_hops:
+        if hop >= SHORTCUT_AFTER:
+            parts = [_settle(e, parts, first.select("_tk_v"), hop, None, max_hops)[0]]
+            break
         hop += 1
-        nxt = materialize(frontier.join(e, frontier[vertex_col] == e["_tk_s"])
-                          .select(F.col("_tk_d").alias(vertex_col)).distinct()
-                          .join(visited.select(vertex_col), vertex_col, "left_anti")
-                          .withColumn(hop_col, F.lit(hop)), "bfs_frontier")
+        nxt = materialize(parts[-1].join(e, F.col("_tk_v") == F.col("_tk_s"))
+                          .select(F.col("_tk_d").alias("_tk_v")).distinct()
+                          .join(_union(parts).select("_tk_v"), "_tk_v", "left_anti")
+                          .withColumn("_tk_o", F.lit(hop)), "bfs_frontier")
         if nxt.isEmpty():
             break
-        visited = visited.unionByName(nxt)
-        if hop % COMPACT_EVERY == 0:         # long walks: keep the plan small
-            visited = materialize(visited, "bfs_visited")
-        frontier = nxt
-    return visited
+        parts.append(nxt)
+    return _union(parts).select(F.col("_tk_v").alias(vertex_col), F.col("_tk_o").alias(hop_col))
 
 
 def shortest_paths(edges: DataFrame, src: str, dst: str, weight: str, start,
@@ -57,52 +183,22 @@ def shortest_paths(edges: DataFrame, src: str, dst: str, weight: str, start,
     (Bellman-Ford; negative weights allowed).  Only vertices improved in the
     previous round are relaxed (an edge without a weight is none), and a round writes only its improvements: the
     known distance of a vertex is the least over the improvements so far,
-    folded into one table every ``COMPACT_EVERY`` rounds.  Unreachable
-    vertices have NULL distance.  V-1 rounds settle every path, so an
-    improvement after that means a reachable negative cycle, reported in the
-    boolean column ``negative_cycle``."""
+    folded into one table every ``COMPACT_EVERY`` rounds.  After
+    ``SHORTCUT_AFTER`` rounds paths are shortened; the weights along one are
+    then added in another order, so the last digits of fractions may differ.
+    Unreachable vertices have NULL distance.  V-1 rounds settle every path, so
+    an improvement after that means a reachable negative cycle, reported in the
+    boolean column ``negative_cycle`` (distances then mean nothing)."""
     spark = edges.sparkSession
     vtype = edges.schema[src].dataType
     e = materialize(edges.select(F.col(src).alias("_tk_s"), F.col(dst).alias("_tk_d"),
                                  F.col(weight).cast("double").alias("_tk_w"))
                          .filter(F.col("_tk_s").isNotNull() & F.col("_tk_d").isNotNull()), "sp_edges")
-    ends, e = e, e.filter(F.col("_tk_w").isNotNull())
-    vertices = (ends.select(F.col("_tk_s").alias(vertex_col))
-                 .unionByName(ends.select(F.col("_tk_d").alias(vertex_col)))
-                 .unionByName(spark.range(1).select(F.lit(start).cast(vtype).alias(vertex_col)))
-                 .distinct())
-    vertices = materialize(vertices, "sp_vertices")
+    first = spark.range(1).select(F.lit(start).cast(vtype).alias("_tk_v"), F.lit(0.0).alias("_tk_o"))
+    vertices = materialize(e.select(F.col("_tk_s").alias(vertex_col)).union(e.select("_tk_d"))
+                            .union(first.select("_tk_v")).distinct(), "sp_vertices")
     limit = max(vertices.count() - 1, 0)
-    parts = [materialize(spark.range(1).select(F.lit(start).cast(vtype).alias(vertex_col),
-                                               F.lit(0.0).alias(dist_col)), "sp_dist")]
-
-    def known() -> DataFrame:
-        union = parts[0]
-        for p in parts[1:]:
-            union = union.unionByName(p)
-        return union.groupBy(vertex_col).agg(F.min(dist_col).alias(dist_col))
-
-    negative = False
-    rounds = 0
-    while True:
-        cand = (parts[-1].join(e, parts[-1][vertex_col] == e["_tk_s"])
-                .groupBy(F.col("_tk_d").alias(vertex_col))
-                .agg(F.min(F.col(dist_col) + F.col("_tk_w")).alias("_tk_nd")))
-        improved = materialize(cand.join(known(), vertex_col, "left")
-                               .filter(F.col(dist_col).isNull() | (F.col("_tk_nd") < F.col(dist_col)))
-                               .select(vertex_col, F.col("_tk_nd").alias(dist_col)), "sp_improved")
-        if improved.isEmpty():
-            discard(improved)
-            break
-        if rounds >= limit:
-            negative = True
-            break
-        rounds += 1
-        if rounds % COMPACT_EVERY == 0:
-            old = parts
-            parts = [materialize(known(), "sp_dist")]
-            for p in old:
-                discard(p)
-        parts.append(improved)
-    return (vertices.join(known(), vertex_col, "left")
+    known, negative = _settle(e.filter(F.col("_tk_w").isNotNull()), [materialize(first, "sp_dist")],
+                              first.select("_tk_v"), 0, limit)
+    return (vertices.join(known.select(F.col("_tk_v").alias(vertex_col), F.col("_tk_o").alias(dist_col)), vertex_col, "left")
                     .withColumn("negative_cycle", F.lit(negative)))

@@ -2,6 +2,7 @@ import heapq
 import json
 import random
 
+import pytest
 from conftest import SF_SMALL, rows
 from pyspark.sql import functions as F
 
@@ -243,3 +244,82 @@ def test_a_million_names_stay_off_the_driver(spark):
     got = tabs[("m",)].select(F.col("key").cast("long").alias("k"), "value")
     assert got.agg(F.count("k"), F.sum("k"), F.sum("value"), F.min("k"), F.max("k")).first() == (
         1_000_000, sum(range(1_000_000)), sum(4 * i + 6 for i in range(250_000)), 0, 999_999)
+
+
+def least(arcs, start, vertices):
+    """Plain Bellman-Ford on a list of (source, target, weight); None: a negative cycle."""
+    dist = {start: 0}
+    for _ in range(len(vertices) + 1):
+        better = False
+        for s, d, w in arcs:
+            if w is not None and s in dist and dist[s] + w < dist.get(d, float("inf")):
+                dist[d] = dist[s] + w
+                better = True
+        if not better:
+            return dist
+    return None
+
+
+@pytest.mark.parametrize("both_ways", [False, True])
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch, both_ways):
+    """10,000 vertices in an order that is not theirs, with a twig at every tenth."""
+    rounds = []
+    real = G.materialize
+    monkeypatch.setattr(G, "materialize", lambda df, name: rounds.append(name) or real(df, name))
+    n = 10_000
+    at = F.col("id") * 7919 % 10_007
+    e = spark.range(n - 1).select(at.alias("s"), ((F.col("id") + 1) * 7919 % 10_007).alias("d"), (F.col("id") % 5 + 1).cast("double").alias("w"))
+    e = e.unionByName(spark.range(0, n, 10).select(at.alias("s"), (F.col("id") + 20_000).alias("d"), F.lit(0.5).alias("w")))
+    if both_ways:
+        e = e.unionByName(e.select(F.col("d").alias("s"), F.col("s").alias("d"), "w"))
+    got = {r.vertex: r.distance for r in G.shortest_paths(e, "s", "d", "w", 0).collect()}
+    want, d = {}, 0.0
+    for i in range(n):
+        want[i * 7919 % 10_007] = d
+        if i % 10 == 0:
+            want[20_000 + i] = d + 0.5
+        d += i % 5 + 1
+    assert got == want
+    assert sum(r in ("graph_improved", "graph_pointers") for r in rounds) < 40
+    if not both_ways:
+        return
+    rounds.clear()
+    hops = {r.vertex: r.hops for r in G.bfs_levels(e, "s", "d", 0).collect()}
+    assert hops == {**{i * 7919 % 10_007: i for i in range(n)}, **{20_000 + i: i + 1 for i in range(0, n, 10)}}
+    assert sum(r in ("bfs_frontier", "graph_improved", "graph_pointers") for r in rounds) < 40
+    assert G.bfs_levels(e, "s", "d", 0, max_hops=5_000).agg(F.max("hops"), F.count("*")).first() == (5_000, 5_001 + 500)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_shortened_paths_equal_brute_force(spark, monkeypatch, seed):
+    """Sparse graphs with chains, rings, dead ends, twins, loops to themselves and
+    negative weights; shortened from the first or second round on."""
+    rnd = random.Random(seed)
+    monkeypatch.setattr(G, "SHORTCUT_AFTER", seed % 3)
+    n = 60
+    arcs = []
+    for i in range(1, n):
+        j = i - 1 if rnd.random() < 0.8 else rnd.randrange(n)
+        arcs.append((j, i, rnd.randint(1, 9)))
+        if rnd.random() < 0.6:
+            arcs.append((i, j, rnd.randint(1, 9)))
+    for _ in range(seed):
+        arcs.append((rnd.randrange(n), rnd.randrange(n), rnd.choice([None, 0, 3, 8])))
+    arcs += [(100 + i, 100 + (i + 1) % 5, 1) for i in range(5)] + [(rnd.randrange(n), 200, 4), (7, 7, 0)]
+    pot = {v: rnd.randint(0, 6) for v in [*range(n), *range(100, 105), 200]} if seed % 2 else {}
+    arcs = [(s, d, w if w is None else w + pot.get(s, 0) - pot.get(d, 0)) for s, d, w in arcs]  # negative, but no such cycle
+    vertices = {x for s, d, _ in arcs for x in (s, d)} | {0}
+    e = spark.createDataFrame([(s, d, None if w is None else float(w)) for s, d, w in arcs], "s long, d long, w double")
+    got = G.shortest_paths(e, "s", "d", "w", 0).collect()
+    want = least(arcs, 0, vertices)
+    assert {r.vertex: r.distance for r in got} == {v: want.get(v) for v in vertices}
+    assert not any(r.negative_cycle for r in got)
+    hops = {r.vertex: r.hops for r in G.bfs_levels(e, "s", "d", 0).collect()}
+    assert hops == least([(s, d, 1) for s, d, _ in arcs], 0, vertices)
+    assert {v for v, h in hops.items() if h <= 7} == {r.vertex for r in G.bfs_levels(e, "s", "d", 0, max_hops=7).collect()}
+
+
+@pytest.mark.parametrize("cycle", [[(30, 31, 2.0), (31, 30, -3.0)], [(30, 3, -28.0)], [(30, 30, -1.0)]])
+def test_negative_cycle_behind_a_long_chain(spark, cycle):
+    e = spark.createDataFrame([(i, i + 1, 1.0) for i in range(30)] + cycle, "s long, d long, w double")
+    assert G.shortest_paths(e, "s", "d", "w", 0).first().negative_cycle is True
