@@ -17,6 +17,7 @@ from ..operators import quality as Q
 from ..operators import scd2 as S
 from ..operators import transform as TR
 from ..session import table_path
+from .ranking import global_positions
 
 AS_OF = "2001-08-02"  # fixed value: as-of date of the bindings (day after the last order)
 
@@ -492,6 +493,20 @@ def _g02(spark, d):
     return G.shortest_paths(part_supplier_edges(spark, d), "src", "dst", "w", start=0)
 
 
+@binding("shortest_paths_chain")
+def _g02_chain(spark, d):
+    """Every order linked both ways to the next one in time; weight = days
+    between them plus one.  One chain of all orders, walked from the first."""
+    o = t(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    at = global_positions(o, [F.col("o_orderdate"), F.col("o_orderkey")])
+    to = at.select(F.col("o_orderkey").alias("dst"), F.col("o_orderdate").alias("then"), (F.col("position") - 1).alias("position"))
+    links = at.join(to, "position").select(F.col("o_orderkey").alias("src"), "dst",
+                                           (F.datediff("then", "o_orderdate") + 1).alias("w"))
+    both = links.unionByName(links.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w"))
+    first = o.agg(F.min(F.struct("o_orderdate", "o_orderkey")).alias("f")).first()["f"]
+    return G.shortest_paths(both, "src", "dst", "w", start=first and first["o_orderkey"])
+
+
 # ------------------------------------------------------------- sources
 @binding("read_table")
 def _i01(spark, d):

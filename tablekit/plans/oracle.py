@@ -615,6 +615,14 @@ SELECT v.vertex, sp.distance, FALSE AS negative_cycle
 FROM vertices v LEFT JOIN sp ON v.vertex = sp.vertex
 """)
 
+sql("shortest_paths_chain", """
+SELECT o_orderkey AS vertex,
+       CAST(date_diff('day', MIN(o_orderdate) OVER (), o_orderdate)
+            + row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS DOUBLE) AS distance,
+       FALSE AS negative_cycle
+FROM orders
+""")
+
 sql("json_to_tables_children", """
 SELECT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(CAST(CEIL(l.l_linenumber / 4) AS BIGINT) AS VARCHAR) AS root_id,
        l.l_partkey AS product_id, l.l_extendedprice AS price
