@@ -81,9 +81,10 @@ def _shorten(e: DataFrame, ends: DataFrame) -> tuple[DataFrame, DataFrame, bool]
         known = _union([*done, todo]).select(*[F.col(c).alias(f"{c}2") for c in ("_tk_s", "_tk_d", "o", "h", "ps", "pd")])
         step = materialize(todo.join(known, (F.col("ps") == F.col("_tk_s2")) & (F.col("pd") == F.col("_tk_d2")))
                            .select("_tk_s", "_tk_d", "into", (F.col("o2") + F.col("o")).cast(w).alias("o"),
-                                   F.col("h2").alias("h"), F.col("ps2").alias("ps"), F.col("pd2").alias("pd")), "graph_pointers")
-        done.append(step.where("h is not null"))
-        todo = step.where("h is null")
+                                   F.col("h2").alias("h"), F.col("ps2").alias("ps"), F.col("pd2").alias("pd"),
+                                   F.col("h2").isNotNull().alias("met")), "graph_pointers", by=("met",))
+        done.append(step.where("met").drop("met"))
+        todo = step.where("not met").drop("met")
         before, left = left, todo.count()
     found = _union(done)
     edges = materialize(arcs_in.where("not from_inner and not into").select("_tk_s", "_tk_d", F.col("o").alias("_tk_w"))

@@ -93,13 +93,14 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Cut lineage by writing ``df`` as Parquet below the shared checkpoint
     folder and reading it back: columnar, compressed, with size statistics
-    for AQE, and readable by any executor after a failure."""
+    for AQE, and readable by any executor after a failure.  A filter on the
+    columns ``by`` (few values) reads only their folders."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=list(by) or None)
     out = spark.read.schema(df.schema).parquet(path)
     out._tk_path = path
     return out

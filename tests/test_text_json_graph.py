@@ -265,7 +265,7 @@ def test_a_long_chain_takes_few_rounds(spark, monkeypatch, both_ways):
     """10,000 vertices in an order that is not theirs, with a twig at every tenth."""
     rounds = []
     real = G.materialize
-    monkeypatch.setattr(G, "materialize", lambda df, name: rounds.append(name) or real(df, name))
+    monkeypatch.setattr(G, "materialize", lambda df, name, **by: rounds.append(name) or real(df, name, **by))
     n = 10_000
     at = F.col("id") * 7919 % 10_007
     e = spark.range(n - 1).select(at.alias("s"), ((F.col("id") + 1) * 7919 % 10_007).alias("d"), (F.col("id") % 5 + 1).cast("double").alias("w"))
