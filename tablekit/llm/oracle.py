@@ -44,7 +44,7 @@ WITH parts AS (
   FROM split
 ), spam AS (
   SELECT DISTINCT canonical FROM canon
-  WHERE regexp_matches(host, '(^|[.-])(pills|casino|viagra|porn|xxx|loans|betting)([.-]|$)')
+  WHERE regexp_matches(host, '(^|[.-])(spam|pills?|casinos?|viagra|porn|xxx|loans|bets?|betting)([.-]|$)')
 ), fit AS (
   SELECT page_id, arg_max(struct_pack(r := h || p, v := v), length(h || p)) AS best
   FROM canon JOIN rules ON (host = h OR host LIKE '%.' || h) AND starts_with(path, p)

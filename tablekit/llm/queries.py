@@ -73,7 +73,7 @@ URL_RULES = [
     ("example.com", "/de/", "block"),
     ("org", "/fr/", "allow"),
 ]
-SPAM_HOST = r"(^|[.-])(pills|casino|viagra|porn|xxx|loans|betting)([.-]|$)"
+SPAM_HOST = r"(^|[.-])(spam|pills?|casinos?|viagra|porn|xxx|loans|bets?|betting)([.-]|$)"
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """URL filter against brute force over all rules, also with the Bloom filter as a table."""
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -91,3 +92,11 @@ def test_a_long_list_is_planned_at_once(spark):
     frame.explain()
     assert time.perf_counter() - t0 < 2
     assert frame.where("q <> ''").count() >= 50
+
+
+def test_words_of_spam_hosts_stand_alone():
+    from tablekit.llm.queries import SPAM_HOST
+    for host in ("free-bets.example.com", "www.spam-farm.example.com", "m.casino-win.com", "cheap-pills.org", "pill.com", "bet.net"):
+        assert re.search(SPAM_HOST, host), host
+    for host in ("alphabets.example.com", "antispamlab.org", "pillow-shop.com", "example.com", "beta.net", ""):
+        assert not re.search(SPAM_HOST, host), host
