@@ -50,3 +50,15 @@ def test_report_names_replace_columns_of_the_input(spark):
     frame = spark.createDataFrame(rows, "doc_id long, source string, text string, n_lines long, N_Removed string")
     out = L.drop_boilerplate_lines(frame, report=("n_lines", "n_removed"))
     assert {(r["n_lines"], r["n_removed"], r["text"][:3]) for r in out.select("n_lines", "n_removed", "text").collect()} == {(2, 1, "own")}
+
+
+def test_shares_on_both_sides_of_the_ratio(spark):
+    """Lines on 4, 6, 8, 10 and 12% of a host's 200 pages: the ratio alone decides, in each host by itself."""
+    planted = {f"line of {p}%": 2 * p for p in (4, 6, 8, 10, 12)}
+    rows = [(h * 1000 + d, "\n".join([f"own {h} {d}", *[x for x, n in planted.items() if (d + 17 * h) % 200 < n]]), f"h{h}", "")
+            for h in range(2) for d in range(200)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    for ratio, gone in ((L.MAX_RATIO, {"line of 12%"}), (0.05, {f"line of {p}%" for p in (6, 8, 10, 12)})):
+        left = {x for r in L.drop_boilerplate_lines(frame, max_ratio=ratio).collect() for x in r["text"].split("\n")}
+        assert set(planted) - left == gone
+        assert len(left) == 400 + len(planted) - len(gone)
