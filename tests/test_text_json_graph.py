@@ -323,3 +323,9 @@ def test_shortened_paths_equal_brute_force(spark, monkeypatch, seed):
 def test_negative_cycle_behind_a_long_chain(spark, cycle):
     e = spark.createDataFrame([(i, i + 1, 1.0) for i in range(30)] + cycle, "s long, d long, w double")
     assert G.shortest_paths(e, "s", "d", "w", 0).first().negative_cycle is True
+
+
+def test_data_keys_are_not_gathered_to_broadcast(spark, capsys):
+    from tablekit.plans.bindings import BINDINGS
+    BINDINGS["json_data_keys"](spark, SF_SMALL).explain()
+    assert "Broadcast" not in capsys.readouterr().out
