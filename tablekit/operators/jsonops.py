@@ -1,11 +1,12 @@
 """JSON flattening and JSON-to-tables.
 
-JSON text is parsed once into Spark's VARIANT type; paths are read with
+JSON text is parsed into Spark's VARIANT type, once a job; paths are read with
 ``variant_get`` and arrays expanded with ``explode`` of ``array<variant>``.
 Schema inference is two distributed jobs: ``schema_of_variant_agg`` gives
-the merged structure (every path), then one pass emits the (path, kind) pair
-of every value, arrays included, and counts them; never a sample or a
-driver-side parse of rows.
+the merged structure (every path), then one pass counts the kinds of values at
+every path; never a sample or a driver-side parse of rows.  The merged type of
+a path tells its kind, but for fractions (whole numbers may be among them) and
+conflicts: only there the values' own types are read.
 
 A path is a tuple of steps: a field name, or ``None`` for the elements of an
 array.  Written as text, steps join with dots, elements add ``[]``, and names
@@ -21,6 +22,7 @@ import json
 import re
 import sys
 from collections.abc import Iterator, Mapping
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -130,7 +132,7 @@ def data_like_objects(df: DataFrame, payload: str, max_fields: int = MAX_FIELDS)
     text = _text(df, payload)
     # a name that holds a quote is seen in part only: then look closely
     names, close = df.select(F.explode_outer(F.regexp_extract_all(text, F.lit('"([^"]*+)"\\s*+:'), 1)).alias("name"),
-                             F.coalesce(text.rlike('\\\\"[^"]*+"\\s*+:'), F.lit(False)).alias("close")).agg(
+                             F.coalesce(text.contains('\\"') & text.rlike('\\\\"[^"]*+"\\s*+:'), F.lit(False)).alias("close")).agg(
         F.approx_count_distinct("name", _RSD), F.coalesce(F.max("close"), F.lit(False))).first()
     if names <= max_fields * (1 - 5 * _RSD) and not close:
         return set()
@@ -158,10 +160,11 @@ def keys_as_rows(df: DataFrame, payload: str, max_fields: int = MAX_FIELDS) -> C
     """The documents of the column as VARIANT, objects with data as names
     (``data_like_objects``) as arrays of ``{"key": name, "value": value}``."""
     maps = data_like_objects(df, payload, max_fields)
-    value = _variant(df, payload)
-    if not maps:
-        return value
+    return F.try_parse_json(_as_rows(df, payload, maps)) if maps else _variant(df, payload)
 
+
+def _as_rows(df: DataFrame, payload: str, maps: set[tuple[str, ...]]) -> Column:
+    """The documents as JSON text, objects at ``maps`` as arrays of keys and values."""
     @F.pandas_udf("string")
     def rewritten(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         sys.setrecursionlimit(10_000)   # documents nest up to 1,000 levels
@@ -173,7 +176,25 @@ def keys_as_rows(df: DataFrame, payload: str, max_fields: int = MAX_FIELDS) -> C
         for texts in batches:
             yield texts.map(one, na_action="ignore")
 
-    return F.try_parse_json(rewritten(F.when(value.isNotNull(), _text(df, payload))))
+    return rewritten(F.when(_variant(df, payload).isNotNull(), _text(df, payload)))
+
+
+def _parsed(df: DataFrame, payload: str, max_fields: int, *keys: Column) -> DataFrame:
+    """The documents of the column as VARIANT (``_tk_v``, see ``keys_as_rows``) beside ``keys``.
+
+    Whatever makes JSON text runs once: it is written as Parquet, and all jobs
+    after read that.  Text is written and no VARIANT, as Spark's Parquet files need not keep
+    the types of VARIANT numbers (whole numbers beside fractions come back as such)."""
+    from ..session import discard, materialize
+    docs = df.select(*keys, F.col(payload).alias("_tk_t"))
+    if not isinstance(df.schema[payload].dataType, T.VariantType):
+        docs = materialize(docs, "json_documents")
+    maps = data_like_objects(docs, "_tk_t", max_fields)
+    if maps:
+        rows = materialize(docs.withColumn("_tk_t", _as_rows(docs, "_tk_t", maps)), "json_rows")
+        discard(docs)
+        docs = rows
+    return docs.withColumn("_tk_v", _variant(docs, "_tk_t")).drop("_tk_t")
 
 
 Path = tuple[str | None, ...]
@@ -191,44 +212,74 @@ def path_text(path: Path) -> str:
     return out
 
 
-def _field(v: Column, name: str) -> Column:
-    if re.search(r"""['"\\\[\]]""", name):  # variant paths have no escapes: look the name up in a map
-        return F.try_element_at(F.try_variant_get(v, "$", "map<string,variant>"), F.lit(name))
-    return F.try_variant_get(v, f"$['{name}']", "variant")
+def _get(v: Column, names: tuple[str, ...], typ: str = "variant") -> Column:
+    """The value at fields inside fields, in one look-up."""
+    path = "$"
+    for name in names:
+        if re.search(r"""['"\\\[\]]""", name):  # variant paths have no escapes: look the name up in a map
+            v, path = F.try_element_at(F.try_variant_get(v, path, "map<string,variant>"), F.lit(name)), "$"
+        else:
+            path += f"['{name}']"
+    return v if path == "$" and typ == "variant" else F.try_variant_get(v, path, typ)
 
 
-def _elements(v: Column) -> Column:
-    return F.try_variant_get(v, "$", "array<variant>")
+_FRACTIONS = (T.DecimalType, T.DoubleType, T.FloatType)
 
 
-_PAIRS = "array<struct<path:int,kind:string>>"
+def _name_of_all(t: T.DataType) -> str | None:
+    """The type name of all values (but nulls) that were merged to ``t``; None: they may differ."""
+    if isinstance(t, (*_FRACTIONS, T.VariantType)):
+        return None
+    return ("OBJECT" if isinstance(t, T.StructType) else "ARRAY" if isinstance(t, T.ArrayType)
+            else "VOID" if isinstance(t, T.NullType) else "BOOLEAN" if isinstance(t, T.BooleanType)
+            else "BIGINT" if isinstance(t, T.IntegralType) else "STRING")
 
 
-def _pairs(dt: T.DataType, v: Column, path: Path, paths: list[Path]) -> Column:
-    """The (path number, kind) pairs of one value and all values inside it."""
-    paths.append(path)
-    me = F.struct(F.lit(len(paths) - 1).alias("path"), _kind(F.schema_of_variant(v)).alias("kind"))
-    found = [F.when(v.isNotNull(), F.array(me))]
-    if isinstance(dt, T.StructType):
-        found += [_pairs(f.dataType, _field(v, f.name), (*path, f.name), paths) for f in dt.fields]
-    elif isinstance(dt, T.ArrayType):
-        found.append(F.flatten(F.transform(_elements(v), lambda e: _pairs(dt.elementType, e, (*path, None), paths))))
-    return F.concat(*[F.coalesce(x, F.array().cast(_PAIRS)) for x in found])
+def _levels(frame: DataFrame, dt: T.DataType, path: Path = ()) -> Iterator[tuple[DataFrame, list[tuple[Path, T.DataType, tuple[str, ...]]]]]:
+    """Frames of one column ``value``, the documents and then the elements of
+    each array, with the (path, type, field names) of the values in them up to
+    the next array."""
+    here = []
+
+    def visit(t: T.DataType, path: Path, names: tuple[str, ...]) -> None:
+        here.append((path, t, names))
+        if isinstance(t, T.StructType):
+            for f in t.fields:
+                visit(f.dataType, (*path, f.name), (*names, f.name))
+
+    visit(dt, path, ())
+    yield frame, here
+    for at, t, names in here:
+        if isinstance(t, T.ArrayType):
+            yield from _levels(frame.select(F.explode_outer(_get(F.col("value"), names, "array<variant>")).alias("value")),
+                               t.elementType, (*at, None))
 
 
-def _infer(df: DataFrame, payload: str) -> tuple[T.DataType, list[Path], DataFrame]:
-    """Merged structure, the paths in order, and per path number: kinds, n_values."""
+def _infer(df: DataFrame, payload: str, only: tuple = ()) -> tuple[T.DataType, list[Path], DataFrame | None]:
+    """Merged structure, the paths in order, and per path number: kinds, n_values.
+    ``only``: count just the values merged to these types (None without any)."""
     dt = merged_schema(df, payload)
     paths: list[Path] = []
-    value = df.select(_variant(df, payload).alias("value")).filter(F.col("value").isNotNull())
-    pairs = value.select(F.explode(_pairs(dt, F.col("value"), (), paths)).alias("p")).select("p.path", "p.kind")
-    # a lambda's body may be built more than once: the first number of a path stands for all
-    first = {p: i for i, p in reversed(list(enumerate(paths)))}
-    number = F.lit([first[p] for p in paths])
-    kinds = (pairs.withColumn("path", F.get(number, F.col("path"))).groupBy("path").agg(
-        F.array_sort(F.collect_set(F.when(F.col("kind") != "null", F.col("kind")))).alias("kinds"),
-        F.count(F.lit(1)).alias("n_values")))
-    return dt, paths, kinds
+    counts = []
+    for frame, here in _levels(df.select(F.col(payload).alias("value")), dt):
+        here = [x for x in here if not only or isinstance(x[1], only)]
+        if not here:
+            continue
+        # each value is taken out once, before the kinds look at it
+        values = frame.select(*[_get(F.col("value"), names).alias(f"v{i}") for i, (_, _, names) in enumerate(here)])
+        pairs = []
+        for i, (path, t, _) in enumerate(here):
+            v, name = F.col(f"v{i}"), _name_of_all(t)
+            of_all = F.regexp_extract(F.schema_of_variant(v), r"^\w+", 0) if name is None else F.when(F.is_variant_null(v), "VOID").otherwise(name)
+            pairs.append(F.struct(F.lit(len(paths)).alias("path"), F.when(v.isNotNull(), of_all).alias("name")))
+            paths.append(path)
+        counts.append(values.select(F.explode(F.array(*pairs)).alias("p")).select("p.path", "p.name")
+                      .filter("name is not null").groupBy("path", "name").agg(F.count(F.lit(1)).alias("n")))
+    if not counts:
+        return dt, paths, None
+    kind = _kind(F.col("name"))
+    return dt, paths, reduce(DataFrame.unionByName, counts).groupBy("path").agg(
+        F.array_sort(F.collect_set(F.when(kind != "null", kind))).alias("kinds"), F.sum("n").alias("n_values"))
 
 
 def _sql_type(kinds: Column) -> Column:
@@ -247,13 +298,18 @@ def infer_json_columns(df: DataFrame, payload: str, max_fields: int = MAX_FIELDS
     arrays are listed as such; their members appear as ``a.b`` / ``a[]``.  An
     object with more than about ``max_fields`` distinct names over all documents
     counts as an array of ``{"key", "value"}``."""
-    _, paths, kinds = _infer(df.select(keys_as_rows(df, payload, max_fields).alias(payload)), payload)
+    _, paths, kinds = _infer(_parsed(df, payload, max_fields), "_tk_v")
     names = F.lit([path_text(p) for p in paths])
     return kinds.filter(F.get(names, F.col("path")) != "").select(
         F.get(names, F.col("path")).alias("path"), F.array_join("kinds", ",").alias("kinds"),
         _sql_type(F.col("kinds")).alias("sql_type"), (F.size("kinds") > 1).alias("conflict"), "n_values")
 
 
+def _known_type(t: T.DataType) -> str:
+    """``_sql_type`` of values merged to ``t`` that is no fraction."""
+    return {"BOOLEAN": SQL_BOOLEAN, "BIGINT": SQL_INT}.get(_name_of_all(t), SQL_TEXT)
+
+
 _SPARK_TYPE = {SQL_BOOLEAN: "boolean", SQL_INT: "bigint", SQL_FLOAT: "double", SQL_TEXT: "string"}
 
 
@@ -287,24 +343,22 @@ def json_to_tables(df: DataFrame, payload: str, key_col: str | None = None,
     ``max_fields`` distinct names over all documents is a child table with
     ``key`` and ``value``.  The document's key is ``key_col`` if given, else
     the SHA-256 of the payload (stable on recomputation, unlike ``uuid()``)."""
-    from ..session import materialize
     key = key_col or "_id"
-    # parsed once into VARIANT and written as Parquet: the two inference
-    # jobs and every output table read it without re-parsing the JSON text
-    base = materialize(df.select((F.col(key_col) if key_col else F.sha2(F.col(payload), 256)).alias(key),
-                                 keys_as_rows(df, payload, max_fields).alias("_tk_v")), "json_parsed")
-    dt, paths, kinds = _infer(base, "_tk_v")
-    types = {paths[r["path"]]: r["t"] for r in kinds.select("path", _sql_type(F.col("kinds")).alias("t")).collect()}
+    base = _parsed(df, payload, max_fields, (F.col(key_col) if key_col else F.sha2(F.col(payload), 256)).alias(key))
+    # only fractions need a look at their values: the merged type tells all others
+    dt, paths, kinds = _infer(base, "_tk_v", only=_FRACTIONS)
+    types = {} if kinds is None else {
+        paths[r["path"]]: r["t"] for r in kinds.select("path", _sql_type(F.col("kinds")).alias("t")).collect()}
     if isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.StructType):
-        base = (base.select(key, F.posexplode(_elements(F.col("_tk_v"))).alias("_tk_pos", "_tk_e"))
+        base = (base.select(key, F.posexplode(_get(F.col("_tk_v"), (), "array<variant>")).alias("_tk_pos", "_tk_e"))
                     .select(F.concat_ws(":", F.col(key).cast("string"), F.col("_tk_pos").cast("string")).alias(key),
                             F.col("_tk_e").alias("_tk_v")))
         dt, types = dt.elementType, {p[1:]: t for p, t in types.items() if p[:1] == (None,)}
     tables: dict[Path, DataFrame] = {}
     value = F.col("_tk_v")
 
-    def scalar(v: Column, path: Path) -> Column:
-        return F.try_variant_get(v, "$", _SPARK_TYPE[types.get(path, SQL_TEXT)])
+    def scalar(v: Column, names: tuple[str, ...], t: T.DataType, path: Path) -> Column:
+        return _get(v, names, _SPARK_TYPE[types.get(path, _known_type(t))])
 
     def nested(t: T.DataType) -> bool:
         return isinstance(t, T.StructType | T.ArrayType)
@@ -314,27 +368,29 @@ def json_to_tables(df: DataFrame, payload: str, key_col: str | None = None,
         if isinstance(t, T.StructType):
             plain = [f for f in t.fields if not nested(f.dataType)]
             names = _own_names([f.name for f in plain], ids)
-            tables[path] = frame.select(*ids, *[scalar(_field(value, f.name), (*path, f.name)).alias(n)
+            tables[path] = frame.select(*ids, *[scalar(value, (f.name,), f.dataType, (*path, f.name)).alias(n)
                                                 for f, n in zip(plain, names)])
             for f in t.fields:
                 if nested(f.dataType):
-                    child(frame.select(*ids, _field(value, f.name).alias("_tk_v")), f.dataType, (*path, f.name), ids)
+                    child(frame, (f.name,), f.dataType, (*path, f.name), ids)
         elif isinstance(t, T.ArrayType):
-            child(frame, t, path, ids)
+            child(frame, (), t, path, ids)
         else:
-            tables[path] = frame.select(*ids, scalar(value, path).alias("value"))
+            tables[path] = frame.select(*ids, scalar(value, (), t, path).alias("value"))
 
-    def child(frame: DataFrame, t: T.DataType, path: Path, ids: list[str]) -> None:
+    def child(frame: DataFrame, names: tuple[str, ...], t: T.DataType, path: Path, ids: list[str]) -> None:
+        """The tables of the value at ``names`` inside ``_tk_v``."""
         if ids[0] == key:
             frame, ids = frame.withColumnRenamed(key, "root_id"), ["root_id", *ids[1:]]
         if isinstance(t, T.StructType):
-            build(frame.filter(value.isNotNull()), t, path, ids)
+            build(frame.select(*ids, _get(value, names).alias("_tk_v")).filter(value.isNotNull()), t, path, ids)
             return
         pos = f"pos_{len(ids)}"
-        rows = frame.select(*ids, F.posexplode(_elements(value)).alias(pos, "_tk_v"))
+        # outer, then filtered: an inner one has its array made twice, first for the planner's own filter on its size
+        rows = frame.select(*ids, F.posexplode_outer(_get(value, names, "array<variant>")).alias(pos, "_tk_v")).filter(F.col(pos).isNotNull())
         inner = (*path, None)
         if isinstance(t.elementType, T.ArrayType):
-            child(rows, t.elementType, inner, [*ids, pos])
+            child(rows, (), t.elementType, inner, [*ids, pos])
         elif isinstance(t.elementType, T.StructType):
             before = set(tables)
             build(rows, t.elementType, inner, [*ids, pos])
@@ -342,7 +398,7 @@ def json_to_tables(df: DataFrame, payload: str, key_col: str | None = None,
             for p in [p for p in tables if p not in before and p[:len(inner)] == inner]:
                 tables[path + p[len(inner):]] = tables.pop(p)
         else:
-            tables[path] = rows.select(*ids, pos, scalar(value, inner).alias("value"))
+            tables[path] = rows.select(*ids, pos, scalar(value, (), t.elementType, inner).alias("value"))
 
     build(base, dt, (), [key])
     return tables

@@ -329,3 +329,30 @@ def test_data_keys_are_not_gathered_to_broadcast(spark, capsys):
     from tablekit.plans.bindings import BINDINGS
     BINDINGS["json_data_keys"](spark, SF_SMALL).explain()
     assert "Broadcast" not in capsys.readouterr().out
+
+
+def test_documents_are_made_once_and_kinds_follow_merged_types(spark):
+    """Whole numbers among fractions, also in arrays in arrays; nulls; conflicts."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def document(k):
+        made.add(1)
+        return json.dumps({"whole": k, "part": k / 2 if k % 3 else k, "half": k + 0.5, "none": None, "gone": {"x": None},
+                           "big": 10 ** 20 + k, "on": k % 2 == 0 if k else None, "any": [k, "t", [k]][k % 3],
+                           "m": [[{"a.b": 1.5, "c": [0.5, k]}, None], []], "n": [[1, 2], [None]]})
+
+    df = spark.range(30).select(F.col("id").alias("k"), document("id").alias("p"))
+    tabs = J.json_to_tables(df, "p", key_col="k")
+    assert made.value == 30
+    assert dict(tabs[()].dtypes) == {"k": "bigint", "whole": "bigint", "part": "string", "half": "double", "none": "string",
+                                     "big": "double", "on": "boolean", "any": "string"}
+    assert dict(tabs[("gone",)].dtypes)["x"] == "string" and dict(tabs[("n", None)].dtypes)["value"] == "bigint"
+    assert dict(tabs[("m", None)].dtypes)["a.b"] == "double" and dict(tabs[("m", None, "c")].dtypes)["value"] == "string"
+    assert tabs[("m", None, "c")].filter("pos_1 = 0 and pos_2 = 0").groupBy("value").count().count() == 31
+    got = {r.path: (r.kinds, r.sql_type, r.n_values) for r in J.infer_json_columns(df, "p").collect()}
+    assert made.value == 60
+    assert got["part"] == ("float,int", "VARCHAR(255)", 30) and got["on"] == ("boolean", "BOOLEAN", 30)
+    assert got["gone.x"] == ("", "VARCHAR(255)", 30) and got["big"] == ("float", "FLOAT", 30)
+    assert got["any"] == ("array,int,text", "VARCHAR(255)", 30) and got["m[][]"] == ("object", "OBJECT", 60)
+    assert got["m[][].c[]"] == ("float,int", "VARCHAR(255)", 60) and got["n[][]"] == ("int", "INT", 90)
