@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import ASCII_NON_LETTERS, ASCII_SPACE, best_partial_match, best_token_sort, fold_accents, sort_words, strip_controls
 from ..plans.ranking import global_positions
+from ..session import materialize
 from ._util import as_list
 from .similarity import BLOCK_PAIRS, best_references
 
@@ -120,6 +121,7 @@ def match_quality(dirty: DataFrame, ref: DataFrame, column: str, ref_column: str
     return scores.crossJoin(hits)
 
 
+BROADCAST_WORDS = 300_000   # a lexicon of at most so many words goes to every task whole (some tens of MB)
 POSITIVE, NEGATIVE, NEUTRAL = "positive", "negative", "neutral"  # fixed values: labels
 
 
@@ -132,19 +134,23 @@ def sentiment_label(df: DataFrame, text: str, lexicon: DataFrame,
     listed twice in the lexicon scores its mean.
 
     The score depends on the text alone, so texts are keyed by a 128-bit hash
-    of themselves: repeated or missing ids cannot mix rows.  (text, word)
-    counts are aggregated map-side, joined to the lexicon whatever its size
-    (AQE picks the strategy and splits skew), averaged with the counts as
-    weights, and joined back on the hash.  Texts themselves never move but
-    for that last join."""
-    lex = (lexicon.groupBy(F.col(word_col).alias("_tk_w"))
-                  .agg(F.avg(F.col(score_col).cast("double")).alias("_tk_s")))
+    of themselves: repeated or missing ids cannot mix rows.  A lexicon of at
+    most ``BROADCAST_WORDS`` words is broadcast, so a text's words are averaged
+    where they are and one row per text is shuffled.  With a larger one, (text,
+    word) counts are aggregated map-side, joined to it (AQE picks the strategy
+    and splits skew) and averaged with the counts as weights.  Either is joined
+    back on the hash."""
+    lex = materialize(lexicon.groupBy(F.col(word_col).alias("_tk_w"))
+                             .agg(F.avg(F.col(score_col).cast("double")).alias("_tk_s")), "lexicon")
     key = {"_tk_k1": F.xxhash64(F.col(text)), "_tk_k2": F.xxhash64(F.lit(1), F.col(text))}
     tokens = F.split(F.lower(F.col(text)), "[^a-z]+")
     words = (df.select(*[c.alias(k) for k, c in key.items()], F.explode(tokens).alias("_tk_w"))
                .filter(F.col("_tk_w") != ""))
-    counts = words.groupBy(*key, "_tk_w").agg(F.count(F.lit(1)).alias("_tk_n"))
-    scores = (counts.join(lex, "_tk_w").groupBy(*key)
+    if lex.count() <= BROADCAST_WORDS:
+        counted = words.withColumn("_tk_n", F.lit(1)).join(F.broadcast(lex), "_tk_w")
+    else:
+        counted = words.groupBy(*key, "_tk_w").agg(F.count(F.lit(1)).alias("_tk_n")).join(lex, "_tk_w")
+    scores = (counted.groupBy(*key)
                     .agg((F.sum(F.col("_tk_s") * F.col("_tk_n")) / F.sum("_tk_n")).alias("_tk_p")))
     scored = df.withColumns(key).join(scores, list(key), "left")
     pol = F.coalesce(F.col("_tk_p"), F.lit(0.0))

@@ -1,6 +1,7 @@
 import heapq
 import json
 import random
+import re
 
 import pytest
 from conftest import SF_SMALL, rows
@@ -356,3 +357,16 @@ def test_documents_are_made_once_and_kinds_follow_merged_types(spark):
     assert got["gone.x"] == ("", "VARCHAR(255)", 30) and got["big"] == ("float", "FLOAT", 30)
     assert got["any"] == ("array,int,text", "VARCHAR(255)", 30) and got["m[][]"] == ("object", "OBJECT", 60)
     assert got["m[][].c[]"] == ("float,int", "VARCHAR(255)", 60) and got["n[][]"] == ("int", "INT", 90)
+
+
+def test_small_lexicon_moves_no_words(spark, monkeypatch, capsys):
+    from tablekit.plans.bindings import BINDINGS
+    df = BINDINGS["sentiment_label"](spark, SF_SMALL)
+    df.explain()
+    by_word = r"hashpartitioning\([^)]*_tk_w"
+    assert not re.search(by_word, capsys.readouterr().out)
+    monkeypatch.setattr(TX, "BROADCAST_WORDS", 0)
+    shuffled = BINDINGS["sentiment_label"](spark, SF_SMALL)
+    shuffled.explain()
+    assert re.search(by_word, capsys.readouterr().out)
+    assert rows(df) == rows(shuffled)
