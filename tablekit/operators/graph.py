@@ -14,8 +14,10 @@ A chain would cost one round a vertex.  A walk that is not over after
 ``SHORTCUT_AFTER`` rounds therefore goes on over a smaller graph: paths through
 vertices with at most two neighbours (one-way or both ways) become one edge,
 found by pointer doubling, in a number of joins that grows with the logarithm
-of their length; dead ends go.  Vertices inside get their distance from the
-ends at the last.
+of their length; dead ends go.  Doubling moves every vertex in every join, so
+over ``THIN_OVER`` such vertices are thinned out first: about a third of those
+left is spliced out per round, which moves a small multiple of the graph in
+all.  Vertices inside get their distance from the ends at the last.
 """
 
 from __future__ import annotations
@@ -29,17 +31,74 @@ from ..session import discard, materialize
 
 COMPACT_EVERY = 16  # rounds of frontiers kept as a union before folding them into one table
 SHORTCUT_AFTER = 12  # rounds before paths become single edges
+THIN_OVER = 100_000  # inner vertices left to pointer doubling
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _shorten(e: DataFrame, ends: DataFrame) -> tuple[DataFrame, DataFrame, bool] | None:
+def _thin(inner: DataFrame, outer: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Splices *inner* vertices out until at most ``THIN_OVER`` are left: the
+    edges that take their place, with those of the vertices left, and one table
+    (_tk_v, _tk_h, _tk_o) a round, for vertices of that round behind ones that
+    stayed longer.
+
+    ``inner`` has a vertex with its neighbours a and b (null: none), the
+    weights to them (oa, ob) and from them (ba, bb); ``outer`` (_tk_v) are the
+    other vertices.  In a round those go whose hash is greater than their inner
+    neighbours', so no two neighbours go together and each that stays hears of
+    at most two.  Two ways to one neighbour become one; a vertex then left with
+    a way there and back of negative weight (a cycle) stays."""
+    v, w = inner.schema["_tk_v"].dataType, inner.schema["oa"].dataType
+    mark = lambda c: outer.select(F.col("_tk_v").alias(c), F.lit(True).alias(f"{c}x"))
+    left = materialize(inner.join(mark("a"), "a", "left").join(mark("b"), "b", "left")
+                       .select("_tk_v", *[x for c in "ab" for x in (c, f"o{c}", f"b{c}", F.col(f"{c}x").isNotNull().alias(f"{c}x"))]), "graph_thin")
+    edges, places, n, rounds = [], [], left.count(), 0
+    while n > THIN_OVER:
+        rounds += 1
+        rank = lambda c: F.xxhash64(F.col(c), F.lit(rounds))  # noqa: B023, E731
+        goes = F.lit(True)
+        for c in "ab":
+            goes &= ((F.col(c).isNull() | F.col(f"{c}x") | (rank("_tk_v") > rank(c)))
+                     & (F.coalesce(F.col(f"o{c}") + F.col(f"b{c}"), F.lit(0)) >= 0))
+        gone, told = left.where(goes), []
+        for c, d in ("ab", "ba"):
+            out, back = (F.col(f"b{c}") + F.col(f"o{d}")).cast(w), (F.col(f"b{d}") + F.col(f"o{c}")).cast(w)
+            linked = F.when(out.isNotNull() | back.isNotNull(), F.col(d))
+            told.append(gone.where(F.col(c).isNotNull() & ~F.col(f"{c}x")).select(
+                F.col(c).alias("_tk_v"), linked.alias("a"), out.alias("oa"), back.alias("ba"), F.col(f"{d}x").alias("ax"), F.col("_tk_v").alias("g")))
+            edges.append(gone.where(F.col("ax") & F.col("bx") & out.isNotNull()).select(
+                F.col(c).alias("_tk_s"), F.col(d).alias("_tk_d"), out.alias("_tk_w")))
+        places.append(_union([gone.where(F.col(f"b{c}").isNotNull()).select("_tk_v", F.col(c).alias("_tk_h"), F.col(f"b{c}").alias("_tk_o")) for c in "ab"]))
+        own = F.col("g").isNull()
+        news = (left.where(~goes).withColumn("g", F.lit(None).cast(v)).unionByName(_union(told), allowMissingColumns=True)
+                .repartition("_tk_v").groupBy("_tk_v")
+                .agg(*[F.max(F.when(own, F.col(x))).alias(x) for c in "ab" for x in (c, f"o{c}", f"b{c}", f"{c}x")],
+                     *[f("g").alias(f"g{i}") for i, f in enumerate((F.min, F.max))],
+                     *[f(x, "g").alias(f"{x}{i}") for i, f in enumerate((F.min_by, F.max_by)) for x in ("a", "oa", "ba", "ax")]))
+        heard = {x: F.when(F.col(c) == F.col("g0"), F.col(f"{y}0")).when(F.col(c) == F.col("g1"), F.col(f"{y}1")).otherwise(F.col(x))
+                 for c in "ab" for x, y in ((c, "a"), (f"o{c}", "oa"), (f"b{c}", "ba"), (f"{c}x", "ax"))}
+        news = news.select("_tk_v", *[F.coalesce(e, F.lit(False)).alias(x) if x.endswith("x") else e.alias(x) for x, e in heard.items()])
+        twin = F.coalesce(F.col("a") == F.col("b"), F.lit(False))
+        news = news.select("_tk_v", "a", *[F.when(twin, F.least(F.col(f"{x}a"), F.col(f"{x}b"))).otherwise(F.col(f"{x}a")).alias(f"{x}a") for x in "ob"], "ax",
+                           *[F.when(~twin, F.col(x)).alias(x) for x in ("b", "ob", "bb")], (F.col("bx") & ~twin).alias("bx"))
+        left = materialize(news, "graph_thin")
+        before, n = n, left.count()
+        if n * 16 > before * 15:   # nearly all that are left stay
+            break
+    for c in "ab":
+        edges += [left.where(F.col(x).isNotNull()).select(F.col(s).alias("_tk_s"), F.col(d).alias("_tk_d"), F.col(x).alias("_tk_w"))
+                  for s, d, x in (("_tk_v", c, f"o{c}"), (c, "_tk_v", f"b{c}"))]
+    return _union(edges), places
+
+
+def _shorten(e: DataFrame, ends: DataFrame) -> tuple[DataFrame, list[DataFrame], bool] | None:
     """Edges (_tk_s, _tk_d, _tk_w) with every path through *inner* vertices as
-    one edge; (_tk_v, _tk_h, _tk_o): an inner vertex lies ``_tk_o`` behind
-    ``_tk_h`` (at most two rows a vertex); whether a large part was inner, so
-    that another call may pay.  None without inner vertices.
+    one edge; tables (_tk_v, _tk_h, _tk_o): an inner vertex lies ``_tk_o``
+    behind ``_tk_h`` (at most two rows a vertex), which is inner in no earlier
+    table; whether a large part was inner, so that another call may pay.  None
+    without inner vertices.
 
     A vertex is inner if it is none of ``ends`` (_tk_v), has at most two
     neighbours, no edge to itself, and no way to a neighbour and back of
@@ -58,13 +117,25 @@ def _shorten(e: DataFrame, ends: DataFrame) -> tuple[DataFrame, DataFrame, bool]
              .groupBy("_tk_v", "n").agg(F.min("out").alias("out"), F.min("back").alias("back")))
     around = sides.groupBy("_tk_v").agg(
         F.count(F.lit(1)).alias("k"), F.min("n").alias("a"), F.max("n").alias("b"),
-        F.min(F.col("out") + F.col("back")).alias("turn"), F.max(F.col("n") == F.col("_tk_v")).alias("loop"))
-    inner = materialize(around.where("k <= 2 and not loop and (turn is null or turn >= 0)")
-                        .join(ends.select("_tk_v"), "_tk_v", "left_anti").select("_tk_v", "a", "b"), "graph_inner")
+        F.min(F.col("out") + F.col("back")).alias("turn"), F.max(F.col("n") == F.col("_tk_v")).alias("loop"),
+        *[f(x, "n").alias(f"{x[0]}{c}") for c, f in (("a", F.min_by), ("b", F.max_by)) for x in ("out", "back")])
+    around = materialize(
+        around.join(ends.select("_tk_v", F.lit(True).alias("end")).distinct(), "_tk_v", "left")
+              .withColumn("inner", F.expr("k <= 2 and not loop and (turn is null or turn >= 0) and end is null"))
+              .select("_tk_v", *[F.when(F.col("inner"), F.col(x)).alias(x) for x in ("a", "b", "oa", "ba", "ob", "bb")], "inner"),
+        "graph_inner", by=("inner",))
+    inner, outer = around.where("inner"), around.where("not inner").select("_tk_v")
     n_inner = inner.count()
     if not n_inner:
         discard(arcs)
         return None
+    if n_inner > THIN_OVER:
+        spliced, places = _thin(inner.select("_tk_v", "a", "oa", "ba", *[
+            F.when(F.col("a") != F.col("b"), F.col(x)).alias(x) for x in ("b", "ob", "bb")]), outer)
+        for c in ("_tk_s", "_tk_d"):
+            arcs = arcs.join(outer.select(F.col("_tk_v").alias(c)), c, "left_semi")
+        return materialize(arcs.select("_tk_s", "_tk_d", "_tk_w").unionByName(spliced), "graph_short"), places, True
+    inner = inner.select("_tk_v", "a", "b")
     other = F.when(F.col("_tk_d") == F.col("a"), F.col("b")).otherwise(F.col("a"))
     arcs_in = materialize(
         arcs.join(inner.select(F.col("_tk_v").alias("_tk_s"), "a", "b"), "_tk_s", "left")
@@ -92,7 +163,7 @@ def _shorten(e: DataFrame, ends: DataFrame) -> tuple[DataFrame, DataFrame, bool]
                         "graph_short")
     places = materialize(found.where("into").select(F.col("_tk_d").alias("_tk_v"), F.col("h").alias("_tk_h"), F.col("o").alias("_tk_o")),
                          "graph_places")
-    return edges, places, n_inner * 8 >= arcs.count()
+    return edges, [places], n_inner * 8 >= arcs.count()
 
 
 def _settle(e: DataFrame, parts: list[DataFrame], start: DataFrame, rounds: int, limit: int | None,
@@ -119,7 +190,7 @@ def _settle(e: DataFrame, parts: list[DataFrame], start: DataFrame, rounds: int,
             while more and (short := _shorten(e, start.unionByName(parts[-1].select("_tk_v")))):
                 old, (e, at, more) = e, short
                 discard(old)
-                places.append(at)
+                places += at
             if limit is not None and places:
                 here = e.select("_tk_s").union(e.select("_tk_d")).distinct().count()
                 limit = min(limit, rounds + here)   # the start may have no edge

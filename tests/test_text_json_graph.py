@@ -320,6 +320,61 @@ def test_shortened_paths_equal_brute_force(spark, monkeypatch, seed):
     assert {v for v, h in hops.items() if h <= 7} == {r.vertex for r in G.bfs_levels(e, "s", "d", 0, max_hops=7).collect()}
 
 
+def test_a_chain_is_thinned_before_pointers_double(spark, monkeypatch):
+    """Rows moved in all are a small multiple of the vertices, whatever the length (doubling alone: 16,000 pointers)."""
+    moved = []
+    real = G.materialize
+
+    def counted(df, name, **by):
+        out = real(df, name, **by)
+        moved.append(out.count() if name in ("graph_thin", "graph_pointers") else 0)
+        return out
+
+    monkeypatch.setattr(G, "materialize", counted)
+    monkeypatch.setattr(G, "THIN_OVER", 100, raising=False)
+    n = 1_000
+    at = F.col("id") * 7919 % 1_009
+    e = spark.range(n - 1).select(at.alias("s"), ((F.col("id") + 1) * 7919 % 1_009).alias("d"), (F.col("id") % 5 + 1).cast("double").alias("w"))
+    e = e.unionByName(e.select(F.col("d").alias("s"), F.col("s").alias("d"), (F.col("w") + 1).alias("w")))
+    got = {r.vertex: r.distance for r in G.shortest_paths(e, "s", "d", "w", 0).collect()}
+    assert got == {i * 7919 % 1_009: sum(j % 5 + 1 for j in range(i)) for i in range(n)}
+    assert sum(moved) < 6 * n
+
+
+def test_thinned_graphs_equal_brute_force(spark, monkeypatch):
+    """Forty sparse graphs as in the test above, side by side, thinned until no inner vertex is left."""
+    monkeypatch.setattr(G, "SHORTCUT_AFTER", 1)
+    monkeypatch.setattr(G, "THIN_OVER", 0, raising=False)
+    arcs = []
+    for seed in range(40):
+        rnd, n, k = random.Random(seed), 40, 1_000 * (seed + 1)
+        own = [(j := i - 1 if rnd.random() < 0.85 else rnd.randrange(i), i, rnd.randint(1, 9)) for i in range(1, n)]
+        own += [(d, s, rnd.randint(1, 9)) for s, d, _ in own if rnd.random() < 0.6]
+        own += [(rnd.randrange(n), rnd.randrange(n), rnd.choice([None, 0, 3, 8])) for _ in range(seed % 4)]
+        own += [(100 + i, 100 + (i + 1) % 5, 1) for i in range(5)] + [(7, 7, 0), (n - 1, 50, 3), (50, 51, 2), (51, n - 1, 1), (51, 50, 5)]
+        pot = [rnd.randint(0, 6) * (seed % 2) for _ in range(200)]   # negative weights, but no such cycle
+        arcs += [(k + s, k + d, w if w is None else w + pot[s] - pot[d]) for s, d, w in own] + [(0, k, 1)]
+    vertices = {x for s, d, _ in arcs for x in (s, d)}
+    e = spark.createDataFrame([(s, d, None if w is None else float(w)) for s, d, w in arcs], "s long, d long, w double")
+    got = G.shortest_paths(e, "s", "d", "w", 0).collect()
+    want = least(arcs, 0, vertices)
+    assert {r.vertex: r.distance for r in got} == {v: want.get(v) for v in vertices}
+    assert not any(r.negative_cycle for r in got)
+    hops = {r.vertex: r.hops for r in G.bfs_levels(e, "s", "d", 0).collect()}
+    assert hops == least([(s, d, 1) for s, d, _ in arcs], 0, vertices)
+
+
+@pytest.mark.parametrize("weight", [-9.0, -4.0])
+def test_a_ring_at_one_vertex_is_seen_when_thinned(spark, monkeypatch, weight):
+    monkeypatch.setattr(G, "THIN_OVER", 0, raising=False)
+    arcs = [(i, i + 1, 1.0) for i in range(20)] + [(20, 30, 2.0), (30, 31, 2.0), (31, 32, weight), (32, 20, 1.0)]
+    arcs += [(30, 20, 9.0), (31, 30, 9.0), (20, 32, 9.0)]
+    got = G.shortest_paths(spark.createDataFrame(arcs, "s long, d long, w double"), "s", "d", "w", 0).collect()
+    assert {r.negative_cycle for r in got} == {weight == -9.0}
+    if weight == -4.0:
+        assert {r.vertex: r.distance for r in got} == least(arcs, 0, {x for s, d, _ in arcs for x in (s, d)})
+
+
 @pytest.mark.parametrize("cycle", [[(30, 31, 2.0), (31, 30, -3.0)], [(30, 3, -28.0)], [(30, 30, -1.0)]])
 def test_negative_cycle_behind_a_long_chain(spark, cycle):
     e = spark.createDataFrame([(i, i + 1, 1.0) for i in range(30)] + cycle, "s long, d long, w double")
