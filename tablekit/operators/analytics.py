@@ -191,6 +191,16 @@ def inactive_customers(customers: DataFrame, orders: DataFrame, as_of: str,
 
 
 # ---------------------------------------------------------------- A08
+ROWS_PER_TASK = 1_000_000  # lines, or pairs, that one task of A08 joins or counts
+
+
+def _spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` by ``keys`` in tasks of about ``ROWS_PER_TASK`` of its ``rows``, if
+    the session's number of shuffle partitions is too few for that."""
+    n = -(-rows // ROWS_PER_TASK)
+    return df.repartition(n, *keys) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def market_basket_pairs(items: DataFrame, order: str, product: str, max_rank: int = 10,
                         distinct_lines: bool = False, block_size: int = 2000) -> DataFrame:
     """Unordered product pairs bought in the same order, counted, and the
@@ -207,9 +217,14 @@ def market_basket_pairs(items: DataFrame, order: str, product: str, max_rank: in
     Hot baskets: an order with more than ``block_size`` candidate products
     has its products hashed into g blocks and its self-join runs as g*g tasks
     of (order, block_i, block_j), so no task holds a hot basket's pairs
-    whole.  Ranks are taken over the distinct counts, so ties stay spread."""
+    whole.  Ranks are taken over the distinct counts, so ties stay spread.
+    The number of tasks grows with the lines and with the pairs, so a task's
+    memory does not.  Many pairs then meet without a count before the shuffle;
+    those of the most frequent products, the only ones that could crowd one
+    task, are taken from step 3."""
     lines = items.select(F.col(order).alias("_tk_o"), F.col(product).alias("_tk_p")) \
                  .filter(F.col("_tk_o").isNotNull() & F.col("_tk_p").isNotNull())
+    lines = _spread(lines, lines.count(), "_tk_o", "_tk_p")
     if distinct_lines:
         per = lines.distinct().withColumn("_tk_m", F.lit(1).cast("long"))
     else:
@@ -219,24 +234,36 @@ def market_basket_pairs(items: DataFrame, order: str, product: str, max_rank: in
     # shared folder so the item table is scanned and aggregated a single time
     per = materialize(per, "basket_lines")
     bounded = per
-    if (per.agg(F.max("_tk_m")).first()[0] or 1) > 1:
-        largest = per.groupBy("_tk_o").agg(F.max("_tk_m").alias("_tk_mx")).filter("_tk_mx > 1")
-        bounded = per.join(largest, "_tk_o", "left").withColumn("_tk_m", F.col("_tk_m") * F.coalesce("_tk_mx", F.lit(1)))
+    n_lines, most = per.agg(F.count(F.lit(1)), F.max("_tk_m")).first()
+    if (most or 1) > 1:
+        by_order = _spread(per, n_lines, "_tk_o")
+        largest = by_order.groupBy("_tk_o").agg(F.max("_tk_m").alias("_tk_mx")).filter("_tk_mx > 1")
+        bounded = by_order.join(largest, "_tk_o", "left").withColumn("_tk_m", F.col("_tk_m") * F.coalesce("_tk_mx", F.lit(1)))
     totals = materialize(bounded.groupBy("_tk_p").agg(F.sum("_tk_m").alias("_tk_tot")), "basket_totals")
 
-    def self_join_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    def self_join_on(left: DataFrame, right: DataFrame, keys: list[str], n_rows: int, n_pairs: int = 0) -> DataFrame:
         a = left.select(*keys, F.col("_tk_p").alias("product_a"), F.col("_tk_m").alias("_tk_ma"))
         b = right.select(*keys, F.col("_tk_p").alias("product_b"), F.col("_tk_m").alias("_tk_mb"))
-        return (a.join(b, keys).filter(F.col("product_a") < F.col("product_b"))
-                 .groupBy("product_a", "product_b")
-                 .agg(F.sum(F.col("_tk_ma") * F.col("_tk_mb")).alias("pair_count")))
+        met = (_spread(a, n_rows, *keys).join(_spread(b, n_rows, *keys), keys).filter(F.col("product_a") < F.col("product_b"))
+               .select("product_a", "product_b", (F.col("_tk_ma") * F.col("_tk_mb")).alias("pair_count")))
+        spread = _spread(met, n_pairs, "product_a", "product_b")
+        if spread is met:
+            return met.groupBy("product_a", "product_b").agg(F.sum("pair_count").alias("pair_count"))
+        # no count before this shuffle: pairs of two seed products, already counted, stay out of it
+        for c in ("product_a", "product_b"):
+            met = met.join(F.broadcast(seed_products.select(F.col("_tk_p").alias(c), F.lit(True).alias(f"_tk_{c}"))), c, "left")
+        met = met.filter(F.col("_tk_product_a").isNull() | F.col("_tk_product_b").isNull()).select("product_a", "product_b", "pair_count")
+        return (_spread(met, n_pairs, "product_a", "product_b").groupBy("product_a", "product_b")
+                .agg(F.sum("pair_count").alias("pair_count")).unionByName(seed_counts))
 
     def grid_pairs(sub: DataFrame) -> DataFrame:
         sizes = sub.groupBy("_tk_o").agg(F.count(F.lit(1)).alias("_tk_n"))
         hot = (sizes.filter(F.col("_tk_n") > block_size)
                     .select("_tk_o", F.ceil(F.col("_tk_n") / F.lit(block_size)).cast("int").alias("_tk_g")))
-        if hot.isEmpty():
-            return self_join_on(sub, sub, ["_tk_o"])
+        n = F.col("_tk_n")
+        n_copies, n_pairs, largest = sizes.agg(F.sum(n * F.ceil(n / F.lit(block_size))), F.sum(F.expr("_tk_n * (_tk_n - 1) div 2")), F.max(n)).first()
+        if (largest or 0) <= block_size:
+            return self_join_on(sub, sub, ["_tk_o"], n_copies or 0, n_pairs or 0)
         blk = (sub.join(hot, "_tk_o", "left")
                   .withColumn("_tk_g", F.coalesce(F.col("_tk_g"), F.lit(1)))
                   .withColumn("_tk_blk", F.pmod(F.xxhash64("_tk_p"), F.col("_tk_g")).cast("int")))
@@ -245,15 +272,15 @@ def market_basket_pairs(items: DataFrame, order: str, product: str, max_rank: in
         # meets every block i: each (order, i, j) cell is one join group
         a = blk.select("_tk_o", "_tk_p", "_tk_m", F.col("_tk_blk").alias("_tk_i"), fan.alias("_tk_j"))
         b = blk.select("_tk_o", "_tk_p", "_tk_m", F.col("_tk_blk").alias("_tk_j"), fan.alias("_tk_i"))
-        return self_join_on(a, b, ["_tk_o", "_tk_i", "_tk_j"])
+        return self_join_on(a, b, ["_tk_o", "_tk_i", "_tk_j"], n_copies, n_pairs)
 
     # lower bound from the most frequent products: at most seed_n products per
     # basket, so this self-join is bounded per order and needs no grid
     seed_n = max(4 * max_rank, 64)
-    seed_products = totals.orderBy(F.col("_tk_tot").desc(), F.col("_tk_p")).limit(seed_n)
+    seed_products = materialize(totals.orderBy(F.col("_tk_tot").desc(), F.col("_tk_p")).limit(seed_n), "basket_seeds")
     # at most seed_n rows
     seed_lines = per.join(F.broadcast(seed_products.select("_tk_p")), "_tk_p")
-    seed_counts = self_join_on(seed_lines, seed_lines, ["_tk_o"])
+    seed_counts = materialize(self_join_on(seed_lines, seed_lines, ["_tk_o"], n_lines), "basket_seed_counts")
     kth = (seed_counts.select("pair_count").orderBy(F.col("pair_count").desc())
            .offset(max_rank - 1).limit(1).first())
     threshold = kth[0] if kth is not None else 0

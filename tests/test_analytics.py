@@ -1,6 +1,7 @@
 import datetime as dt
 
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tablekit.operators import analytics as A
 
@@ -143,3 +144,15 @@ def test_burst_hot_user_split_matches_plain(spark):
     split = A.burst_events(df, "u", "t", window="1 minute", min_count=1, rows_per_segment=50)
     plain = A.burst_events(df, "u", "t", window="1 minute", min_count=1)
     assert rows(split, "u", "t", "events_in_window") == rows(plain, "u", "t", "events_in_window")
+
+
+def test_basket_tasks_grow_with_lines_and_pairs(spark, monkeypatch):
+    """No task has over about ``ROWS_PER_TASK`` lines or pairs to meet; the answer stays."""
+    df = spark.range(4_000).select((F.col("id") % 500).alias("o"), (F.xxhash64("id") % 150).alias("p"))
+    plain = [tuple(r) for r in A.market_basket_pairs(df, "o", "p", max_rank=10).collect()]
+    monkeypatch.setattr(A, "ROWS_PER_TASK", 100, raising=False)
+    for block in (2_000, 3):
+        out = A.market_basket_pairs(df, "o", "p", max_rank=10, block_size=block)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "REPARTITION_BY_NUM" in plan
+        assert sorted(map(tuple, out.collect())) == sorted(plain)
