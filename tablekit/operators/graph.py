@@ -1,14 +1,14 @@
 """Graph jobs over an edge table.
 
 Iterative: the driver loops over rounds, each round is a pair of joins and
-one ``isEmpty`` action.  The edge table (read every round) and each round's
+one ``count`` action.  The edge table (read every round) and each round's
 frontier / distance table are written as Parquet in the shared checkpoint
-folder: lineage is cut, a lost executor recomputes at most one round, and
-the planner sees real sizes, so a small frontier is broadcast and the edge
-table is only scanned, never shuffled, in that round.  Edges are not
-hash-partitioned or bucketed by source (a hub vertex would make one huge
-partition); when a frontier is too large to broadcast, AQE splits skewed
-partitions of the shuffled join.
+folder: lineage is cut, and a lost executor recomputes at most one round.
+No round shuffles the edges.  A frontier of at most ``FRONTIER_ROWS`` is
+broadcast; the first larger one has the edges written once more, in buckets by
+source, and from then on large frontiers are shuffled to the buckets.  A hub
+vertex with over ``BUCKET_EDGES`` edges has them dealt over several buckets,
+and its row of a frontier goes to each of them.
 
 A chain would cost one round a vertex.  A walk that is not over after
 ``SHORTCUT_AFTER`` rounds therefore goes on over a smaller graph: paths through
@@ -27,17 +27,60 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import discard, materialize
+from ..session import discard, materialize, materialize_buckets
 
 COMPACT_EVERY = 16  # rounds of frontiers kept as a union before folding them into one table
 SHORTCUT_AFTER = 12  # rounds before paths become single edges
 THIN_OVER = 100_000  # inner vertices left to pointer doubling
+FRONTIER_ROWS = 100_000  # of a frontier that is broadcast
+BUCKET_EDGES = 1_000_000  # edges a bucket; a vertex with more is dealt over several
+MAX_BUCKETS = 100_000  # Spark's own limit
+HUB_SLOTS = 65_536  # groups of vertices whose edges are counted to find those
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+class _Arcs:
+    """Edges ``e`` (_tk_s, _tk_d, _tk_w) that frontiers (_tk_v, ...) are joined with."""
+
+    def __init__(self, e: DataFrame):
+        self.e = e
+        self.buckets: DataFrame | None = None
+
+    def leaving(self, frontier: DataFrame, rows: int) -> DataFrame:
+        """The ``rows`` rows of ``frontier`` with the edges that leave them."""
+        if rows <= FRONTIER_ROWS:
+            return self.e.join(F.broadcast(frontier), F.col("_tk_v") == F.col("_tk_s"))
+        if self.buckets is None:
+            self._lay_out()
+        dealt = (frontier.join(F.broadcast(self.hubs), F.col("_tk_v") == F.col("_tk_h"), "left")
+                 .withColumn("_tk_j", F.explode(F.expr("sequence(0, coalesce(_tk_n, 1) - 1)"))).drop("_tk_h", "_tk_n"))
+        # the frontier is the side kept in memory, so the edges are not sorted either
+        return (self.buckets.join(dealt.hint("shuffle_hash"), (F.col("_tk_s") == F.col("_tk_v")) & (F.col("_tk_k") == F.col("_tk_j")))
+                .drop("_tk_k", "_tk_j"))
+
+    def _lay_out(self) -> None:
+        """Hubs are looked for only where a group of vertices has as many edges:
+        counts of all sources would be about as many rows as there are edges."""
+        e = self.e.withColumn("_tk_g", F.pmod(F.xxhash64("_tk_s"), F.lit(HUB_SLOTS)))
+        many = F.col("count") > BUCKET_EDGES
+        self.hubs = materialize(e.join(F.broadcast(e.groupBy("_tk_g").count().where(many)), "_tk_g", "left_semi")
+                                 .groupBy("_tk_s").count().where(many)
+                                 .select(F.col("_tk_s").alias("_tk_h"), F.ceil(F.col("count") / BUCKET_EDGES).cast("int").alias("_tk_n")), "graph_hubs")
+        dealt = (self.e.join(F.broadcast(self.hubs), F.col("_tk_s") == F.col("_tk_h"), "left")
+                 .select("_tk_s", "_tk_d", "_tk_w", F.expr("cast(coalesce(pmod(xxhash64(_tk_d), _tk_n), 0) as int)").alias("_tk_k")))
+        n = max(int(self.e.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-self.e.count() // BUCKET_EDGES))
+        self.buckets = materialize_buckets(dealt, "graph_buckets", min(n, MAX_BUCKETS), ("_tk_s", "_tk_k"))
+        discard(self.e)
+        self.e = self.buckets.drop("_tk_k")
+
+    def discard(self) -> None:
+        discard(self.e)
+        discard(self.buckets)
+
+
 def _thin(inner: DataFrame, outer: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """Splices *inner* vertices out until at most ``THIN_OVER`` are left: the
     edges that take their place, with those of the vertices left, and one table
@@ -107,9 +150,29 @@ def _shorten(e: DataFrame, ends: DataFrame) -> tuple[DataFrame, list[DataFrame],
     neighbour.  Each edge points to it, and pointers double until they meet
     an edge that leaves an outer vertex.  Edges without a predecessor, and
     those behind them, lie on no least path; rings of inner vertices are not
-    reached from outside.  Both go."""
+    reached from outside.  Both go.
+
+    Only edges of *low* vertices are moved, if these are few: none of ``ends``,
+    and neighbours in at most two of 16 hash classes, so every inner vertex is
+    one.  The other edges are kept as they are."""
     w = e.schema["_tk_w"].dataType
     none = F.lit(None)
+    near = (e.select(F.col("_tk_s").alias("_tk_v"), F.col("_tk_d").alias("n"))
+            .unionByName(e.select(F.col("_tk_d").alias("_tk_v"), F.col("_tk_s").alias("n"))))
+    low = materialize(near.groupBy("_tk_v").agg(F.expr("bit_or(shiftleft(1, pmod(hash(n), 16)))").alias("m"))
+                          .where("bit_count(m) <= 2").select("_tk_v").join(ends.distinct(), "_tk_v", "left_anti"), "graph_low")
+    n_low = low.count()
+    if not n_low:
+        discard(low)
+        return None
+    rest, n_rest = [], 0
+    if n_low <= FRONTIER_ROWS:
+        of = lambda c: F.broadcast(low.select(F.col("_tk_v").alias(c), F.lit(True).alias(f"{c}_low")))
+        split = materialize(e.join(of("_tk_s"), "_tk_s", "left").join(of("_tk_d"), "_tk_d", "left")
+                             .select("_tk_s", "_tk_d", "_tk_w", F.coalesce("_tk_s_low", "_tk_d_low", F.lit(False)).alias("moved")), "graph_split", by=("moved",))
+        rest, e = [split.where("not moved").drop("moved")], split.where("moved").drop("moved")
+        n_rest = rest[0].count()
+        ends = e.select(F.col("_tk_s").alias("_tk_v")).union(e.select("_tk_d")).join(F.broadcast(low), "_tk_v", "left_anti")
     arcs = materialize(e.where((F.col("_tk_s") != F.col("_tk_d")) | (F.col("_tk_w") < 0))
                         .groupBy("_tk_s", "_tk_d").agg(F.min("_tk_w").alias("_tk_w")), "graph_arcs")
     sides = (arcs.select(F.col("_tk_s").alias("_tk_v"), F.col("_tk_d").alias("n"), F.col("_tk_w").alias("out"), none.cast(w).alias("back"))
@@ -134,7 +197,7 @@ def _shorten(e: DataFrame, ends: DataFrame) -> tuple[DataFrame, list[DataFrame],
             F.when(F.col("a") != F.col("b"), F.col(x)).alias(x) for x in ("b", "ob", "bb")]), outer)
         for c in ("_tk_s", "_tk_d"):
             arcs = arcs.join(outer.select(F.col("_tk_v").alias(c)), c, "left_semi")
-        return materialize(arcs.select("_tk_s", "_tk_d", "_tk_w").unionByName(spliced), "graph_short"), places, True
+        return materialize(_union([*rest, arcs.select("_tk_s", "_tk_d", "_tk_w"), spliced]), "graph_short"), places, True
     inner = inner.select("_tk_v", "a", "b")
     other = F.when(F.col("_tk_d") == F.col("a"), F.col("b")).otherwise(F.col("a"))
     arcs_in = materialize(
@@ -158,12 +221,12 @@ def _shorten(e: DataFrame, ends: DataFrame) -> tuple[DataFrame, list[DataFrame],
         todo = step.where("not met").drop("met")
         before, left = left, todo.count()
     found = _union(done)
-    edges = materialize(arcs_in.where("not from_inner and not into").select("_tk_s", "_tk_d", F.col("o").alias("_tk_w"))
-                        .unionByName(found.where("not into").select(F.col("h").alias("_tk_s"), "_tk_d", F.col("o").alias("_tk_w"))),
+    edges = materialize(_union([*rest, arcs_in.where("not from_inner and not into").select("_tk_s", "_tk_d", F.col("o").alias("_tk_w")),
+                                found.where("not into").select(F.col("h").alias("_tk_s"), "_tk_d", F.col("o").alias("_tk_w"))]),
                         "graph_short")
     places = materialize(found.where("into").select(F.col("_tk_d").alias("_tk_v"), F.col("h").alias("_tk_h"), F.col("o").alias("_tk_o")),
                          "graph_places")
-    return edges, [places], n_inner * 8 >= arcs.count()
+    return edges, [places], n_inner * 8 >= n_rest + arcs.count()
 
 
 def _settle(e: DataFrame, parts: list[DataFrame], start: DataFrame, rounds: int, limit: int | None,
@@ -180,26 +243,30 @@ def _settle(e: DataFrame, parts: list[DataFrame], start: DataFrame, rounds: int,
         return df if at_most is None else df.where(F.col(c) <= at_most)
 
     places: list[DataFrame] = []
+    arcs = _Arcs(e)
     due = SHORTCUT_AFTER
     negative = False
+    rows = parts[-1].count()
     while True:
         if rounds >= due:
             due = 2 * rounds
             # vertices still to be relaxed stay: all others have handed on what is known of them
             more = True
-            while more and (short := _shorten(e, start.unionByName(parts[-1].select("_tk_v")))):
-                old, (e, at, more) = e, short
-                discard(old)
+            while more and (short := _shorten(arcs.e, start.unionByName(parts[-1].select("_tk_v")))):
+                old, (e, at, more) = arcs, short
+                arcs = _Arcs(e)
+                old.discard()
                 places += at
             if limit is not None and places:
-                here = e.select("_tk_s").union(e.select("_tk_d")).distinct().count()
+                here = arcs.e.select("_tk_s").union(arcs.e.select("_tk_d")).distinct().count()
                 limit = min(limit, rounds + here)   # the start may have no edge
-        cand = within(parts[-1].join(e, F.col("_tk_v") == F.col("_tk_s"))
+        cand = within(arcs.leaving(parts[-1], rows)
                       .groupBy("_tk_d").agg(F.min(F.col("_tk_o") + F.col("_tk_w")).alias("_tk_n")), "_tk_n")
         improved = materialize(cand.join(known(), F.col("_tk_d") == F.col("_tk_v"), "left")
                                .where(F.col("_tk_o").isNull() | (F.col("_tk_n") < F.col("_tk_o")))
                                .select(F.col("_tk_d").alias("_tk_v"), F.col("_tk_n").alias("_tk_o")), "graph_improved")
-        if improved.isEmpty():
+        rows = improved.count()
+        if not rows:
             discard(improved)
             break
         if limit is not None and rounds >= limit:
@@ -232,18 +299,19 @@ def bfs_levels(edges: DataFrame, src: str, dst: str, start, max_hops: int | None
     e = materialize(edges.select(F.col(src).alias("_tk_s"), F.col(dst).alias("_tk_d"), F.lit(1).alias("_tk_w"))
                          .filter(F.col("_tk_s").isNotNull() & F.col("_tk_d").isNotNull()), "bfs_edges")
     first = spark.range(1).select(F.lit(start).cast(vtype).alias("_tk_v"), F.lit(0).alias("_tk_o"))
-    parts = [first]
+    parts, rows, arcs = [first], 1, _Arcs(e)
     hop = 0
     while max_hops is None or hop < max_hops:
         if hop >= SHORTCUT_AFTER:
-            parts = [_settle(e, parts, first.select("_tk_v"), hop, None, max_hops)[0]]
+            parts = [_settle(arcs.e, parts, first.select("_tk_v"), hop, None, max_hops)[0]]
             break
         hop += 1
-        nxt = materialize(parts[-1].join(e, F.col("_tk_v") == F.col("_tk_s"))
+        nxt = materialize(arcs.leaving(parts[-1], rows)
                           .select(F.col("_tk_d").alias("_tk_v")).distinct()
                           .join(_union(parts).select("_tk_v"), "_tk_v", "left_anti")
                           .withColumn("_tk_o", F.lit(hop)), "bfs_frontier")
-        if nxt.isEmpty():
+        rows = nxt.count()
+        if not rows:
             break
         parts.append(nxt)
     return _union(parts).select(F.col("_tk_v").alias(vertex_col), F.col("_tk_o").alias(hop_col))

@@ -104,3 +104,17 @@ def materialize(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame
     out = spark.read.schema(df.schema).parquet(path)
     out._tk_path = path
     return out
+
+
+def materialize_buckets(df: DataFrame, name: str, n: int, cols: tuple[str, ...]) -> DataFrame:
+    """``materialize`` in ``n`` buckets by ``cols``: a join on all of them reads
+    ``df`` without a shuffle.  Only tables have buckets; this one is known to
+    the catalog just until it is read, its files stay."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = f"tablekit_{name}_{uuid.uuid4().hex}"
+    df.repartition(n, *cols).write.format("parquet").bucketBy(n, *cols).option("path", path).saveAsTable(table)
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    out._tk_path = path
+    return out

@@ -425,3 +425,73 @@ def test_small_lexicon_moves_no_words(spark, monkeypatch, capsys):
     shuffled.explain()
     assert re.search(by_word, capsys.readouterr().out)
     assert rows(df) == rows(shuffled)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_round_shuffles_the_edges(spark, monkeypatch):
+    """Frontiers too large to broadcast go to the edges, which are dealt out once."""
+    made = []
+    real = G.materialize
+    monkeypatch.setattr(G, "materialize", lambda df, name, **by: made.append((name, plan(df))) or real(df, name, **by))
+    monkeypatch.setattr(G, "FRONTIER_ROWS", 5, raising=False)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rnd = random.Random(5)
+        arcs = [(rnd.randrange(300), 1_000 + rnd.randrange(40), rnd.randint(1, 50)) for _ in range(3_000)]
+        arcs += [(d, s, w) for s, d, w in arcs] + [(0, 1_000, 3), (0, 0, 1)]
+        e = spark.createDataFrame([(s, d, float(w)) for s, d, w in arcs], "s long, d long, w double")
+        vertices = {x for s, d, _ in arcs for x in (s, d)}
+        got = {r.vertex: r.distance for r in G.shortest_paths(e, "s", "d", "w", 0).collect()}
+        hops = {r.vertex: r.hops for r in G.bfs_levels(e, "s", "d", 0).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == least(arcs, 0, vertices)
+    assert hops == least([(s, d, 1) for s, d, _ in arcs], 0, vertices)
+    rounds = [p for name, p in made if name in ("graph_improved", "bfs_frontier")]
+    assert len(rounds) > 4 and not any("hashpartitioning(_tk_s" in p for p in rounds)
+
+
+def test_edges_of_a_hub_are_dealt_over_buckets(spark, monkeypatch):
+    monkeypatch.setattr(G, "FRONTIER_ROWS", 2, raising=False)
+    monkeypatch.setattr(G, "BUCKET_EDGES", 50, raising=False)
+    laid, real = [], getattr(G, "materialize_buckets", None)
+    monkeypatch.setattr(G, "materialize_buckets", lambda df, *a: laid.append(real(df, *a)) or laid[-1], raising=False)
+    rnd = random.Random(6)
+    arcs = [(f"v{i}", "hub", 1) for i in range(8)] + [("hub", f"w{i}", 1 + i % 7) for i in range(900)]
+    arcs += [("start", f"v{i}", 2 + i) for i in range(8)] + [(f"w{rnd.randrange(900)}", f"w{rnd.randrange(900)}", rnd.randint(0, 3)) for _ in range(600)]
+    arcs += [("start", "hub", 9), (f"w{3}", "hub", 0)]
+    e = spark.createDataFrame([(s, d, float(w)) for s, d, w in arcs] + [(None, "hub", 1.0), ("hub", None, 1.0), ("start", "w5", None)],
+                              "s string, d string, w double")
+    got = {r.vertex: r.distance for r in G.shortest_paths(e, "s", "d", "w", "start").collect()}
+    assert got == least(arcs, "start", {x for s, d, _ in arcs for x in (s, d)})
+    assert laid[0].where("_tk_s = 'hub'").select("_tk_k").distinct().count() == 18
+    assert laid[0].count() == len(arcs)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("tablekit_")]
+
+
+@pytest.mark.parametrize("chain", [0, 40])
+def test_only_edges_of_low_vertices_are_moved_to_shorten_paths(spark, monkeypatch, chain):
+    """A dense part, whose edges were all grouped by both ends twice over; without and with a chain behind it."""
+    moved = []
+    real = G.materialize
+
+    def counted(df, name, **by):
+        out = real(df, name, **by)
+        if name == "graph_arcs":
+            moved.append(out.count())
+        return out
+
+    monkeypatch.setattr(G, "materialize", counted)
+    monkeypatch.setattr(G, "SHORTCUT_AFTER", 1)
+    rnd = random.Random(7)
+    arcs = [(i, rnd.randrange(60), rnd.randint(1, 50)) for i in range(60) for _ in range(25)]
+    arcs += [(59 + i, 60 + i, 2) for i in range(chain)] + [(60 + i, 59 + i, 1) for i in range(0, chain, 3)]
+    e = spark.createDataFrame([(s, d, float(w)) for s, d, w in arcs], "s long, d long, w double")
+    got = G.shortest_paths(e, "s", "d", "w", 0).collect()
+    assert {r.vertex: r.distance for r in got} == least(arcs, 0, {x for s, d, _ in arcs for x in (s, d)})
+    assert not any(r.negative_cycle for r in got)
+    assert bool(moved) == bool(chain) and sum(moved) < 3 * chain + 1
