@@ -157,6 +157,7 @@ def _shorten(e: DataFrame, ends: DataFrame) -> tuple[DataFrame, list[DataFrame],
     one.  The other edges are kept as they are."""
     w = e.schema["_tk_w"].dataType
     none = F.lit(None)
+    e = e.where((F.col("_tk_s") != F.col("_tk_d")) | (F.col("_tk_w") < 0))   # a loop is no neighbour
     near = (e.select(F.col("_tk_s").alias("_tk_v"), F.col("_tk_d").alias("n"))
             .unionByName(e.select(F.col("_tk_d").alias("_tk_v"), F.col("_tk_s").alias("n"))))
     low = materialize(near.groupBy("_tk_v").agg(F.expr("bit_or(shiftleft(1, pmod(hash(n), 16)))").alias("m"))
@@ -173,8 +174,7 @@ def _shorten(e: DataFrame, ends: DataFrame) -> tuple[DataFrame, list[DataFrame],
         rest, e = [split.where("not moved").drop("moved")], split.where("moved").drop("moved")
         n_rest = rest[0].count()
         ends = e.select(F.col("_tk_s").alias("_tk_v")).union(e.select("_tk_d")).join(F.broadcast(low), "_tk_v", "left_anti")
-    arcs = materialize(e.where((F.col("_tk_s") != F.col("_tk_d")) | (F.col("_tk_w") < 0))
-                        .groupBy("_tk_s", "_tk_d").agg(F.min("_tk_w").alias("_tk_w")), "graph_arcs")
+    arcs = materialize(e.groupBy("_tk_s", "_tk_d").agg(F.min("_tk_w").alias("_tk_w")), "graph_arcs")
     sides = (arcs.select(F.col("_tk_s").alias("_tk_v"), F.col("_tk_d").alias("n"), F.col("_tk_w").alias("out"), none.cast(w).alias("back"))
              .unionByName(arcs.select(F.col("_tk_d").alias("_tk_v"), F.col("_tk_s").alias("n"), none.cast(w).alias("out"), F.col("_tk_w").alias("back")))
              .groupBy("_tk_v", "n").agg(F.min("out").alias("out"), F.min("back").alias("back")))

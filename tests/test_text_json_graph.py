@@ -489,7 +489,7 @@ def test_only_edges_of_low_vertices_are_moved_to_shorten_paths(spark, monkeypatc
     monkeypatch.setattr(G, "SHORTCUT_AFTER", 1)
     rnd = random.Random(7)
     arcs = [(i, rnd.randrange(60), rnd.randint(1, 50)) for i in range(60) for _ in range(25)]
-    arcs += [(59 + i, 60 + i, 2) for i in range(chain)] + [(60 + i, 59 + i, 1) for i in range(0, chain, 3)]
+    arcs += [(59 + i, 60 + i, 2) for i in range(chain)] + [(60 + i, 59 + i, 1) for i in range(0, chain, 3)] + [(70, 70, 1), (80, 80, 0)][:chain]
     e = spark.createDataFrame([(s, d, float(w)) for s, d, w in arcs], "s long, d long, w double")
     got = G.shortest_paths(e, "s", "d", "w", 0).collect()
     assert {r.vertex: r.distance for r in got} == least(arcs, 0, {x for s, d, _ in arcs for x in (s, d)})
